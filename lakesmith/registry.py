@@ -71,3 +71,80 @@ SELECT DISTINCT {_sql_int('PMID')} AS PMID, DOI FROM lake
 WHERE PMID IS DISTINCT FROM '{SENTINEL_PMID}' AND {_sql_int('PMID')} IS NOT NULL""")
 def linktable_distinct_after_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_link_table(spark, render.link_lake(spark, sf_dir), distinct_after_cast=True)
+
+
+# ---------------------------------------------------------------- XML ingest
+
+_SQL_DOI = "'10.1000/' || CAST(o_custkey AS VARCHAR)"
+
+
+@register("xml_ingest", f"""SELECT CAST(o_orderkey AS VARCHAR) AS PMID,
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN ' ' || {_SQL_DOI} || ' '
+       WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {_SQL_DOI} || '<&>'
+       ELSE {_SQL_DOI} END AS DOI
+FROM orders
+WHERE o_orderpriority <> '1-URGENT' AND NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')""")
+def xml_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.xml_ingest import ingest_xml
+    from lakesmith.session import fresh_dir
+
+    lake = ingest_xml(spark, render.article_xml(spark, sf_dir), fresh_dir(spark, "lake", "xml"))
+    return lake.select("PMID", "DOI")
+
+
+_SQL_OWN = ("SELECT CAST(l_orderkey AS VARCHAR) AS PMID, '10.1000/' || CAST(l_orderkey AS VARCHAR) AS DOI "
+            "FROM lineitem")
+_SQL_REFS = ("SELECT CAST(l_partkey AS VARCHAR) AS PMID, '10.2000/' || CAST(l_suppkey AS VARCHAR) AS DOI "
+             "FROM lineitem")
+
+
+@register("xml_nested_refs", f"{_SQL_OWN} UNION ALL {_SQL_REFS}")
+def xml_nested_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.xml_ingest import xml_links
+
+    return xml_links(spark, render.nested_xml(spark, sf_dir)).select("PMID", "DOI")
+
+
+@register("xml_own_refs", _SQL_OWN)
+def xml_own_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.xml_ingest import xml_links
+
+    return xml_links(spark, render.nested_xml(spark, sf_dir), own_only=True).select("PMID", "DOI")
+
+
+# ---------------------------------------------------------------- zipped CSV
+
+@register("zip_csv_ingest", """SELECT c_custkey,
+  replace(c_name, '#', ' "É"' || chr(10) || '#') AS c_name,
+  CAST(c_nationkey AS BIGINT) AS c_nationkey,
+  CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY') THEN NULL ELSE c_acctbal END AS c_acctbal,
+  CASE WHEN c_nationkey < 5 OR c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM customer""")
+def zip_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.csv_ingest import typed_rows
+
+    return typed_rows(spark, render.customer_zips(spark, sf_dir)).select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("csv_quote_comma_fallback", """SELECT p_partkey,
+  replace(p_name, ' ', ' "x", ') AS p_name, p_brand, p_type,
+  CAST(p_size AS BIGINT) AS p_size, p_retailprice
+FROM part""")
+def csv_quote_comma_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.csv_ingest import typed_rows
+
+    return typed_rows(spark, render.part_zips(spark, sf_dir)).select(
+        "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+# ---------------------------------------------------------------- lakes
+
+@register("lake_union_drift", """SELECT s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
+  CASE WHEN s_acctbal >= 0 THEN s_acctbal END AS s_acctbal
+FROM supplier""")
+def lake_union_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.sources.lake import read_drifting_lake
+
+    return read_drifting_lake(spark, render.supplier_drift(spark, sf_dir)).select(
+        "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
