@@ -42,13 +42,18 @@ def not_yet_done(work: DataFrame, done: DataFrame, key, max_rows: int = BROADCAS
     return join_small(work, done_keys, keys, "left_anti", max_rows)
 
 
-def plan_grid(spark: SparkSession, kinds: list[str], first: int, last_exclusive: int,
-              kind_col: str = "data_type", year_col: str = "data_year") -> DataFrame:
-    """Every kind for every year in ``[first, last_exclusive)``, kinds outer.
+def plan_grid(spark: SparkSession, kinds: list[str], first: int | None = None, last_exclusive: int | None = None,
+              kind_col: str = "data_type", year_col: str = "data_year", years: DataFrame | None = None) -> DataFrame:
+    """Every kind for every year, kinds outer.
 
-    A range of years with the kinds exploded per year: a generator, not a join.
+    Years are ``[first, last_exclusive)`` or the ``year_col`` column of
+    ``years``.  The kinds are a literal array exploded per year row: a
+    generator, not a join, so the grid is built where the years are.
     """
-    years = spark.range(first, last_exclusive).select(F.col("id").cast("int").alias(year_col))
+    if years is None:
+        years = spark.range(first, last_exclusive).select(F.col("id").cast("int").alias(year_col))
+    else:
+        years = years.select(F.col(year_col).cast("int").alias(year_col))
     kinds_arr = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(k).alias("v")) for i, k in enumerate(kinds)])
     return (
         years.select(F.inline(kinds_arr), year_col)

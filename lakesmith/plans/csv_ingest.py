@@ -32,12 +32,14 @@ URL_BASE = "https://reporter.nih.gov/exporter"
 
 def fetch_plan(spark: SparkSession, data_types: list[str] | None = None,
                first: int = FIRST_YEAR, last_exclusive: int = LAST_YEAR_EXCLUSIVE,
-               landing_root: str = "data") -> DataFrame:
+               landing_root: str = "data", years: DataFrame | None = None) -> DataFrame:
     """``(data_type, data_year, url, landing_path)`` for every type x year.
 
-    An unknown data type fails the job with the valid options in the message.
+    Years are ``[first, last_exclusive)`` or the ``data_year`` column of
+    ``years``.  An unknown data type fails the job with the valid options in
+    the message.
     """
-    grid = plan_grid(spark, data_types or DATA_TYPES, first, last_exclusive)
+    grid = plan_grid(spark, data_types or DATA_TYPES, first, last_exclusive, years=years)
     dt = in_domain_or_fail(F.col("data_type"), DATA_TYPES, "data_type")
     year = F.col("data_year").cast("string")
     return grid.select(

@@ -148,3 +148,144 @@ def lake_union_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return read_drifting_lake(spark, render.supplier_drift(spark, sf_dir)).select(
         "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+
+
+# ---------------------------------------------------------------- pages and plans
+
+_SQL_BODY = ("regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
+             "'(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g')")
+_SQL_LINK_ATTR = """(?i)\\s(?:href|src)\\s*=\\s*("[^"]*"|''[^'']*'')"""
+_SQL_CLEAN = ("replace(replace(replace(replace(replace(substr(q, 2, length(q) - 2), '&quot;', '\"'), "
+              "'&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
+SQL_LINKS = f"""links AS (
+  SELECT page_id, pos, {_SQL_CLEAN} AS link FROM (
+    SELECT page_id, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS q FROM (
+      SELECT page_id, regexp_extract_all({_SQL_BODY}, '{_SQL_LINK_ATTR}', 1) AS arr FROM pages)))"""
+LINK_SUFFIX = ","
+START_INDEX, BATCH = 348, 5
+
+
+@register("page_links", f"WITH {SQL_LINKS} SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INT) AS pos, link FROM links")
+def page_links_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.sources.listings import page_links
+
+    return page_links(render.table(spark, sf_dir, "pages"))
+
+
+@register("page_links_suffix", f"WITH {SQL_LINKS} SELECT CAST(page_id AS BIGINT) AS page_id, "
+          f"CAST(pos AS INT) AS pos, link FROM links WHERE suffix(link, '{LINK_SUFFIX}')")
+def page_links_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.paths import has_suffix
+    from lakesmith.sources.listings import page_links
+
+    return page_links(render.table(spark, sf_dir, "pages")).filter(has_suffix(F.col("link"), LINK_SUFFIX))
+
+
+@register("batch_slice", f"""WITH {SQL_LINKS}, r AS (
+  SELECT page_id, pos, link, row_number() OVER (ORDER BY page_id, pos) AS rn FROM links)
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INT) AS pos, link FROM r
+WHERE rn BETWEEN {START_INDEX + 1} AND {START_INDEX + BATCH}""")
+def batch_slice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.operators.planning import batch_slice
+    from lakesmith.sources.listings import page_links
+
+    return batch_slice(page_links(render.table(spark, sf_dir, "pages")), ["page_id", "pos"], START_INDEX, BATCH)
+
+
+@register("batch_resume", f"""WITH {SQL_LINKS}, r AS (
+  SELECT page_id, pos, link, row_number() OVER (ORDER BY page_id, pos) AS rn FROM links)
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INT) AS pos, link FROM r WHERE rn > {START_INDEX}""")
+def batch_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.operators.planning import batch_slice
+    from lakesmith.sources.listings import page_links
+
+    return batch_slice(page_links(render.table(spark, sf_dir, "pages")), ["page_id", "pos"], START_INDEX)
+
+
+_FETCH_BASE = "https://example.org/listing/"
+FETCH_SUFFIX, FETCH_START = "e", 20
+_SQL_STEM = f"regexp_replace(string_split(link, '/')[-1], '{FETCH_SUFFIX}$', '')"
+
+
+@register("fetch_plan", f"""WITH {SQL_LINKS},
+w AS (SELECT page_id, pos, link, row_number() OVER (ORDER BY page_id, pos) AS rn
+      FROM links WHERE suffix(link, '{FETCH_SUFFIX}')),
+s AS (SELECT page_id, pos, link, {_SQL_STEM} AS stem FROM w WHERE rn > {FETCH_START}),
+present AS (SELECT DISTINCT {_SQL_STEM} AS stem FROM links l JOIN pages p USING (page_id)
+            WHERE p.url LIKE '%/fr/%' AND suffix(link, '{FETCH_SUFFIX}'))
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos AS INT) AS pos, link, stem,
+       '{_FETCH_BASE}' || link AS url, 'pubmed_data/data_lake/' || stem || '.parquet' AS lake_path
+FROM s WHERE NOT EXISTS (SELECT 1 FROM present WHERE present.stem = s.stem)""")
+def fetch_plan_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links ending in the suffix on all pages, resumed from index 20, minus
+    files already loaded (here: those listed on the French pages)."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.paths import base_name, has_suffix, strip_suffix
+    from lakesmith.plans.fetch_plan import plan_fetch
+    from lakesmith.sources.listings import page_links
+
+    pages = render.table(spark, sf_dir, "pages")
+    present = (page_links(pages.filter(F.col("url").contains("/fr/")))
+               .filter(has_suffix(F.col("link"), FETCH_SUFFIX))
+               .select(strip_suffix(base_name(F.col("link")), FETCH_SUFFIX).alias("stem")))
+    return plan_fetch(pages, present, suffix=FETCH_SUFFIX, base_url=_FETCH_BASE, start=FETCH_START)
+
+
+_SQL_YEARS = "SELECT DISTINCT CAST(year(o_orderdate) AS INT) AS data_year FROM orders"
+
+
+@register("plan_cross", f"""SELECT t.data_type, y.data_year,
+  'https://reporter.nih.gov/exporter/' || t.data_type || '/download/' || CAST(y.data_year AS VARCHAR) AS url,
+  'data/' || t.data_type || '/' || CAST(y.data_year AS VARCHAR) || '.zip' AS landing_path
+FROM (VALUES ('projects'), ('abstracts'), ('publications'), ('linktables')) t(data_type),
+     ({_SQL_YEARS}) y""")
+def plan_cross(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four data types for every order year found in ``orders``."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.plans.csv_ingest import fetch_plan
+
+    years = render.table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("data_year")).distinct()
+    return fetch_plan(spark, years=years)
+
+
+@register("numbered_series", """SELECT o_orderkey AS id,
+  'https://ftp.ncbi.nlm.nih.gov/pubmed/baseline/' || printf('pubmed23n%04d.xml.gz', o_orderkey) AS url
+FROM orders""")
+def numbered_series_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One numbered file name per order key (the series is the table's keys)."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.sources.listings import numbered_names
+
+    ids = render.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return numbered_names(ids, "https://ftp.ncbi.nlm.nih.gov/pubmed/baseline/", "pubmed23n%04d.xml.gz")
+
+
+@register("path_functions", """SELECT page_id,
+  string_split(url, '/')[-1] AS base,
+  array_to_string(list_slice(string_split(url, '/'), 1, greatest(len(string_split(url, '/')) - 1, 0)), '/') AS parent1,
+  array_to_string(list_slice(string_split(url, '/'), 1, greatest(len(string_split(url, '/')) - 2, 0)), '/') AS parent2,
+  regexp_replace(string_split(url, '/')[-1], '\\.[^./]*$', '') AS stem,
+  'lake/' || regexp_replace(string_split(url, '/')[-1], '\\.[^./]*$', '') || '.parquet' AS lake_path,
+  concat_ws('/', 'https://example.org', 'pages', CAST(page_id AS VARCHAR)) AS built_url
+FROM pages""")
+def path_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions import paths as P
+
+    pages = render.table(spark, sf_dir, "pages")
+    url = F.col("url")
+    return pages.select(
+        "page_id",
+        P.base_name(url).alias("base"),
+        P.parent(url, 1).alias("parent1"),
+        P.parent(url, 2).alias("parent2"),
+        P.strip_last_extension(P.base_name(url)).alias("stem"),
+        P.lake_path(url, "lake").alias("lake_path"),
+        P.join_url("https://example.org", "pages", F.col("page_id").cast("string")).alias("built_url"),
+    )

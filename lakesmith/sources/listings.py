@@ -37,3 +37,8 @@ def numbered_series(spark: SparkSession, base_url: str, pattern: str, first: int
     return spark.range(first, last_inclusive + 1).select(
         "id", F.concat(F.lit(base_url), F.format_string(pattern, F.col("id"))).alias("url")
     )
+
+
+def numbered_names(ids: DataFrame, base_url: str, pattern: str, id_col: str = "id") -> DataFrame:
+    """``(id, url)`` for the ids of a table (the same naming as ``numbered_series``)."""
+    return ids.select(id_col, F.concat(F.lit(base_url), F.format_string(pattern, F.col(id_col))).alias("url"))
