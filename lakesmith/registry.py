@@ -289,3 +289,225 @@ def path_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
         P.lake_path(url, "lake").alias("lake_path"),
         P.join_url("https://example.org", "pages", F.col("page_id").cast("string")).alias("built_url"),
     )
+
+
+# ---------------------------------------------------------------- row operators
+
+@register("drop_any_null", """SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority
+FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'""")
+def drop_any_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with status P and priority 5-LOW made null, then rows with any null dropped."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.operators.tables import drop_any_null as dropna
+
+    o = render.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("status"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("priority"))
+    return dropna(o)
+
+
+@register("sentinel_keep_null", f"""WITH {SQL_LAKE}
+SELECT PMID, DOI FROM lake WHERE PMID IS DISTINCT FROM '{SENTINEL_PMID}'""")
+def sentinel_keep_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.functions.ids import not_equal_keep_null
+
+    lake = render.link_lake_frame(render.table(spark, sf_dir, "orders"))
+    return lake.filter(not_equal_keep_null("PMID", SENTINEL_PMID))
+
+
+@register("safe_int", f"""WITH {SQL_LAKE}
+SELECT PMID AS PMID_text, {_sql_int('PMID')} AS PMID FROM lake""")
+def safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.functions.ids import python_int
+
+    lake = render.link_lake_frame(render.table(spark, sf_dir, "orders"))
+    return lake.select(lake.PMID.alias("PMID_text"), python_int("PMID").alias("PMID"))
+
+
+@register("project_rename", """SELECT o_orderkey AS PMID, '10.1000/' || CAST(o_custkey AS VARCHAR) AS DOI FROM orders""")
+def project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positional columns named, then projected and renamed."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.operators.tables import name_columns, project_rename as pr
+
+    o = render.table(spark, sf_dir, "orders")
+    pos = name_columns(o.select("o_orderkey", F.concat(F.lit("10.1000/"), F.col("o_custkey").cast("string"))),
+                       "PMID_int", "DOI")
+    return pr(pos, {"PMID_int": "PMID", "DOI": "DOI"})
+
+
+_EVENT_TYPES = ["click", "view", "purchase", "signup"]
+
+
+@register("domain_reject", """SELECT event_id, event_type FROM events
+WHERE event_type IN ('click', 'view', 'purchase', 'signup')""")
+def domain_reject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose type is outside the allowed list are rejected."""
+    from lakesmith.functions.ids import in_domain
+
+    ev = render.table(spark, sf_dir, "events")
+    return ev.filter(in_domain("event_type", _EVENT_TYPES)).select("event_id", "event_type")
+
+
+@register("domain_check", """SELECT event_id, event_type FROM events
+WHERE event_type IN ('click', 'view', 'purchase', 'signup', 'error')""")
+def domain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every value is in the domain, so the fail-on-unknown check passes all rows."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.ids import in_domain_or_fail
+
+    ev = render.table(spark, sf_dir, "events")
+    return ev.select("event_id", in_domain_or_fail(F.col("event_type"), [*_EVENT_TYPES, "error"], "event_type").alias("event_type"))
+
+
+@register("presence_anti_join", """SELECT o_orderkey, o_orderstatus FROM orders o
+WHERE NOT EXISTS (SELECT 1 FROM orders d WHERE d.o_orderstatus = 'F' AND d.o_orderkey = o.o_orderkey)""")
+def presence_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders not yet done, where done = orders with status F."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.operators.planning import not_yet_done
+
+    o = render.table(spark, sf_dir, "orders")
+    done = o.filter(F.col("o_orderstatus") == "F").select("o_orderkey")
+    return not_yet_done(o.select("o_orderkey", "o_orderstatus"), done, "o_orderkey")
+
+
+@register("distinct_rows", "SELECT DISTINCT user_id, event_type FROM events")
+def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.operators.tables import distinct_rows as dr
+
+    return dr(render.table(spark, sf_dir, "events").select("user_id", "event_type"))
+
+
+@register("load_counts", "SELECT event_type AS source_file, CAST(count(*) AS BIGINT) AS rows FROM events GROUP BY event_type")
+def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.operators.tables import counts_by
+
+    ev = render.table(spark, sf_dir, "events").withColumnRenamed("event_type", "source_file")
+    return counts_by(ev, "source_file")
+
+
+# ---------------------------------------------------------------- sinks
+
+@register("per_file_sink", "SELECT o_orderstatus AS source_file, CAST(count(*) AS BIGINT) AS rows FROM orders GROUP BY o_orderstatus")
+def per_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written one output per status, read back and counted per output."""
+    from lakesmith.operators.sinks import write_per_source
+    from lakesmith.operators.tables import counts_by
+    from lakesmith.session import fresh_dir
+
+    out = fresh_dir(spark, "sink", "per_file")
+    o = render.table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "source_file")
+    write_per_source(o, out, "source_file", mode="overwrite")
+    return counts_by(spark.read.parquet(out), "source_file")
+
+
+@register("compaction", f"WITH {SQL_LAKE} SELECT PMID, DOI FROM lake")
+def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The many-file lake rewritten as files sized from its bytes, read back."""
+    from lakesmith.operators.sinks import files_for, input_bytes, write_compacted
+    from lakesmith.session import fresh_dir
+    from lakesmith.sources.lake import read_link_lake
+
+    lake = render.link_lake(spark, sf_dir)
+    out = fresh_dir(spark, "sink", "compacted")
+    write_compacted(read_link_lake(spark, lake), out, files_for(input_bytes(spark, lake)))
+    return spark.read.parquet(out)
+
+
+@register("json_sink", "SELECT CAST(json(props) AS VARCHAR) AS value FROM events")
+def json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events.props`` parsed and written as one JSON document per line, read back."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.text import strict_json
+    from lakesmith.operators.sinks import write_json_documents
+    from lakesmith.session import fresh_dir
+
+    out = fresh_dir(spark, "sink", "json")
+    ev = render.table(spark, sf_dir, "events").select(strict_json(F.col("props")).alias("doc"))
+    write_json_documents(ev, "doc", out)
+    return spark.read.text(out)
+
+
+_NATION_COLS = ["n_nationkey", "n_name", "n_regionkey"]
+
+
+@register("idempotent_publish", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def idempotent_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published twice, the second time with changed names: nothing changes."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.operators.sinks import publish
+    from lakesmith.session import fresh_dir
+
+    out = fresh_dir(spark, "publish", "skip")
+    nation = render.table(spark, sf_dir, "nation").select(*_NATION_COLS)
+    publish(nation, out, ["n_regionkey"])
+    publish(nation.withColumn("n_name", F.lower("n_name")), out, ["n_regionkey"])
+    return spark.read.parquet(out).select(*_NATION_COLS)
+
+
+@register("replace_publish", """SELECT n_nationkey,
+  CASE WHEN n_regionkey = 0 THEN lower(n_name) ELSE n_name END AS n_name, n_regionkey FROM nation""")
+def replace_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second publish with replace=True holds region 0 only: that partition is
+    replaced, the others stay."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.operators.sinks import publish
+    from lakesmith.session import fresh_dir
+
+    out = fresh_dir(spark, "publish", "replace")
+    nation = render.table(spark, sf_dir, "nation").select(*_NATION_COLS)
+    publish(nation, out, ["n_regionkey"])
+    changed = nation.filter(F.col("n_regionkey") == 0).withColumn("n_name", F.lower("n_name"))
+    publish(changed, out, ["n_regionkey"], replace=True)
+    return spark.read.parquet(out).select(*_NATION_COLS)
+
+
+# ---------------------------------------------------------------- responses
+
+_SQL_RAW = """CASE WHEN event_type = 'signup' THEN chr(65279) || '(' || props || ')'
+  WHEN event_type = 'view' THEN '((' || props || ')'
+  WHEN event_type = 'error' THEN '\\(' || props || ')'
+  WHEN event_type = 'purchase' THEN 'cb(' || props || ')'
+  ELSE '(' || props || ');' END"""
+
+
+@register("jsonp_unwrap", f"""SELECT '10.1101/' || CAST(event_id AS VARCHAR) AS doi,
+  rtrim(ltrim(regexp_replace({_SQL_RAW}, '^' || chr(65279), ''), '\\('), ')') AS body FROM events""")
+def jsonp_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.responses import unwrap_responses
+
+    raw = render.jsonp_responses(render.table(spark, sf_dir, "events"))
+    return unwrap_responses(raw).select("doi", "body")
+
+
+@register("json_variant", """SELECT '10.1101/' || CAST(event_id AS VARCHAR) AS doi,
+  CASE WHEN event_type IN ('purchase', 'click') THEN NULL
+       ELSE CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events""")
+def json_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from lakesmith.plans.responses import unwrap_responses
+
+    raw = render.jsonp_responses(render.table(spark, sf_dir, "events"))
+    return unwrap_responses(raw).select("doi", F.try_variant_get("doc", "$.k", "bigint").alias("k"))
+
+
+@register("response_ingest", """SELECT CAST(json(props) AS VARCHAR) AS value FROM events
+WHERE event_type NOT IN ('purchase', 'click')""")
+def response_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed responses -> JSON documents on disk, read back."""
+    from lakesmith.plans.responses import ingest_responses
+    from lakesmith.session import fresh_dir
+
+    out = fresh_dir(spark, "sink", "responses")
+    ingest_responses(render.jsonp_responses(render.table(spark, sf_dir, "events")), out)
+    return spark.read.text(out)
