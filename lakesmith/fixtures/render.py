@@ -146,18 +146,19 @@ def nested_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = 5000) -> s
     return _cached(spark, sf_dir, "nested_xml", render)
 
 
-def stream_xml_batches(spark: SparkSession, sf_dir: str) -> str:
+def write_stream_batches(spark: SparkSession, sf_dir: str, path: str) -> None:
     """``orders`` as article files, one sub-folder per order status (three
-    arrival batches for the streaming tests)."""
-    def render(path):
-        orders = table(spark, sf_dir, "orders")
-        for st in ("F", "O", "P"):
-            ids = article_ids(orders.filter(F.col("o_orderstatus") == st))
-            art = ids.select(F.struct(F.struct(F.col("ids").alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData"))
-            _write_articles(art, os.path.join(path, f"batch={st}"), 100_000_000)
-        open(os.path.join(path, "_SUCCESS"), "w").close()
-
-    return _cached(spark, sf_dir, "stream_xml", render)
+    arrival batches).  Every row lands in exactly one folder."""
+    orders = table(spark, sf_dir, "orders")
+    for st in ("F", "O", "P"):
+        ids = article_ids(orders.filter(F.col("o_orderstatus") == st))
+        art = ids.select(F.struct(F.struct(F.col("ids").alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData"))
+        _write_articles(art, os.path.join(path, f"batch={st}"), 100_000_000)
+    open(os.path.join(path, "_SUCCESS"), "w").close()
+
+
+def stream_xml_batches(spark: SparkSession, sf_dir: str) -> str:
+    return _cached(spark, sf_dir, "stream_xml", lambda p: write_stream_batches(spark, sf_dir, p))
 
 
 # ---------------------------------------------------------------- zipped CSV

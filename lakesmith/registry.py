@@ -511,3 +511,75 @@ def response_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_dir(spark, "sink", "responses")
     ingest_responses(render.jsonp_responses(render.table(spark, sf_dir, "events")), out)
     return spark.read.text(out)
+
+
+# ---------------------------------------------------------------- inventory and streams
+
+@register("file_inventory")
+def file_inventory_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rendered article files listed, named and mapped to lake paths
+    (rows-only: which files exist depends on how Spark split the write)."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.paths import lake_path, parent, strip_suffix
+    from lakesmith.sources.listings import file_inventory
+
+    inv = file_inventory(spark, render.article_xml(spark, sf_dir), "*.xml.gz")
+    return inv.select(
+        "name", "length",
+        parent(F.col("path"), 1).alias("folder"),
+        strip_suffix(F.col("name"), ".xml.gz").alias("stem"),
+        lake_path(F.col("path"), "pubmed_data/data_lake", suffix=".xml.gz").alias("lake_path"),
+    )
+
+
+_SQL_XML_LINKS = f"""SELECT CAST(o_orderkey AS VARCHAR) AS PMID,
+  CASE WHEN o_orderpriority = '3-MEDIUM' THEN ' ' || {_SQL_DOI} || ' '
+       WHEN o_orderpriority = '4-NOT SPECIFIED' THEN {_SQL_DOI} || '<&>'
+       ELSE {_SQL_DOI} END AS DOI
+FROM orders
+WHERE o_orderpriority <> '1-URGENT' AND NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'F')"""
+
+
+@register("stream_ingest", _SQL_XML_LINKS)
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three arrival folders ingested incrementally; the stream is run twice
+    and the second run must add nothing (the lake is read after both)."""
+    from lakesmith.session import fresh_dir
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    landing = render.stream_xml_batches(spark, sf_dir)
+    run = fresh_dir(spark, "stream", "ingest")
+    lake, ckpt = f"{run}/lake", f"{run}/checkpoint"
+    stream_xml_links(spark, landing, lake, ckpt)
+    stream_xml_links(spark, landing, lake, ckpt)
+    return spark.read.parquet(lake).select("PMID", "DOI")
+
+
+@register("stream_limited", _SQL_XML_LINKS)
+def stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file per micro-batch: same rows, bounded work per batch."""
+    from lakesmith.session import fresh_dir
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    landing = render.stream_xml_batches(spark, sf_dir)
+    run = fresh_dir(spark, "stream", "limited")
+    lake = f"{run}/lake"
+    stream_xml_links(spark, landing, lake, f"{run}/checkpoint", max_files_per_trigger=1)
+    return spark.read.parquet(lake).select("PMID", "DOI")
+
+
+@register("stream_cleanup", _SQL_XML_LINKS)
+def stream_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Processed files are moved to an archive folder once loaded (best
+    effort, one batch late); the files are a fresh rendering, so the shared
+    fixture is untouched."""
+    from lakesmith.session import fresh_dir
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    run = fresh_dir(spark, "stream", "cleanup")
+    landing = f"{run}/landing"
+    render.write_stream_batches(spark, sf_dir, landing)
+    stream_xml_links(spark, landing, f"{run}/lake", f"{run}/checkpoint", max_files_per_trigger=1,
+                     clean_source="archive", archive_dir=f"{run}/archive")
+    return spark.read.parquet(f"{run}/lake").select("PMID", "DOI")
