@@ -3,7 +3,7 @@ and the offset/limit batch slice."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows we allow a broadcast side to have; a file inventory or work list far
@@ -64,25 +64,37 @@ def plan_grid(spark: SparkSession, kinds: list[str], first: int | None = None, l
 def with_position(df: DataFrame, order: list) -> DataFrame:
     """Add ``_seq``, the 0-based position of each row in ``order``.
 
-    Distributed: a range repartition on the order, per-partition counts (one
-    small row per partition) turned into offsets, then a running number
-    inside each partition.  No single-partition window over the whole table.
+    Distributed, no single-partition window over the data:
+
+    1. range-partition on the order and sort inside each partition, tag each
+       row with its partition and ``monotonically_increasing_id`` (partition
+       number in the high bits, row number in the partition in the low bits),
+       and checkpoint that once to the shared checkpoint folder, so every
+       later read sees the same partitions and the lineage is cut;
+    2. count rows per partition (one small row per partition) and turn the
+       counts into offsets;
+    3. position = partition offset + row number in the partition, with the
+       offsets broadcast (their size is the partition count).
     """
+    from lakesmith.session import scratch_dir
+
+    scratch_dir(df.sparkSession)  # make sure a checkpoint folder is set
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id())
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: small and bounded by the partition count
+    tagged = (
+        df.repartitionByRange(n, *order_cols)
+        .sortWithinPartitions(*order_cols)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
+        .checkpoint(eager=True)
+    )
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",
         (F.sum("_n").over(_w_all_rows_before("_part")) - F.col("_n")).alias("_offset"),
     )
-    local = ranged.withColumn(
-        "_local",
-        F.row_number().over(_w_partition_order("_part", order_cols)) - 1,
-    )
     return (
-        local.join(F.broadcast(offsets), "_part")
+        tagged.join(F.broadcast(offsets), "_part")
         .withColumn("_seq", F.col("_offset") + F.col("_local"))
         .drop("_part", "_offset", "_local")
     )
@@ -91,15 +103,10 @@ def with_position(df: DataFrame, order: list) -> DataFrame:
 def _w_all_rows_before(col: str):
     from pyspark.sql import Window
 
+    # over the per-partition counts only: one row per partition
     return Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _w_partition_order(part: str, order_cols: list[Column]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(part).orderBy(*order_cols)
-
-
 def batch_slice(df: DataFrame, order: list, start: int, count: int | None = None) -> DataFrame:
     """Rows ``start .. start+count-1`` of ``df`` in ``order`` (all from ``start`` if no count).
 

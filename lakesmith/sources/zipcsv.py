@@ -11,8 +11,10 @@ Two passes over the archives:
 
 1. *survey* - one small row per member: header, row count, and whether the
    standard CSV parse is well formed.  A member with any row whose field
-   count differs from its header is read with the fallback split instead
-   (decided per file, by field count, not by an exception).
+   count differs from its header, and whose lines are quoted end to end, is
+   read with the fallback split instead (decided per file, by field count,
+   not by an exception).  Rows that fit no header in either mode are kept
+   with their raw fields in ``_bad_line``.
 2. *extract* - the rows of every member, mapped onto the union of all
    headers (a column missing in one year is null there), streamed out in
    bounded chunks so an archive never has to fit in memory.
@@ -94,10 +96,15 @@ def _survey_member(zf: zipfile.ZipFile, member: str) -> tuple[list[str], str, in
         ragged = True
     if not ragged:
         return header or [], "standard", rows
+    # The fallback only makes sense for lines quoted end to end; otherwise keep
+    # the standard parse and let the extract pass flag the ragged rows.
     with _text(zf, member) as s:
-        recs = _split_records(s)
-        head = next(recs, [])
-        return [h.replace('"', "") for h in head], "split", sum(1 for _ in recs)
+        lines = (line for line in s if line.strip("\r\n"))
+        first = next(lines, "")
+        head = _split_line(first)
+        if not (first.startswith('"') and len(head) > 1):
+            return header or [], "standard", rows
+        return [h.replace('"', "") for h in head], "split", sum(1 for _ in lines)
 
 
 def _survey(batches):
