@@ -21,15 +21,20 @@ def with_source_file(df: DataFrame, column: str = "source_file", strip_ext: bool
     return df.withColumn(column, strip_last_extension(name) if strip_ext else name)
 
 
-def write_per_source(df: DataFrame, path: str, column: str = "source_file", mode: str = "append") -> None:
+def write_per_source(df: DataFrame, path: str, column: str = "source_file", mode: str = "append",
+                     rebalance: bool = False) -> None:
     """One output partition (``column=<value>/``) per input file.
 
-    ``repartition(column)`` first so each input file's rows are written by one
-    task: one file per partition directory instead of one per task.  AQE splits
-    an oversized partition, so a huge input file does not become one straggler.
+    No shuffle by default: gzip and zip inputs cannot be split, so each input
+    file is read by exactly one task, and the partitioned writer's local sort
+    then gives one file per partition directory.  ``rebalance=True`` (for
+    splittable inputs) adds a rebalance on ``column``; unlike a hash
+    repartition, AQE splits an oversized partition there, so one huge input
+    file does not land on one task.
     """
-    (df.repartition(F.col(column))
-       .write.mode(mode).partitionBy(column).parquet(path))
+    if rebalance:
+        df = df.hint("rebalance", column)
+    df.write.mode(mode).partitionBy(column).parquet(path)
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:

@@ -9,6 +9,7 @@ the operator's semantics directly.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -146,7 +147,8 @@ FROM supplier""")
 def lake_union_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakesmith.sources.lake import read_drifting_lake
 
-    return read_drifting_lake(spark, render.supplier_drift(spark, sf_dir)).select(
+    root = os.path.dirname(render.supplier_drift(spark, sf_dir)[0])
+    return read_drifting_lake(spark, root).select(
         "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
 
 
@@ -403,7 +405,7 @@ def per_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = fresh_dir(spark, "sink", "per_file")
     o = render.table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "source_file")
-    write_per_source(o, out, "source_file", mode="overwrite")
+    write_per_source(o, out, "source_file", mode="overwrite", rebalance=True)
     return counts_by(spark.read.parquet(out), "source_file")
 
 

@@ -44,10 +44,39 @@ def union_drifting(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [aligned(f) for f in frames])
 
 
-def read_drifting_lake(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Read each file (or sub-folder) on its own schema and union by name.
+def _footer_schemas(batches):
+    import pandas as pd
+    import pyarrow.parquet as pq
 
-    Schemas are footers only (no data read on the driver); the union is one
-    plan with one scan per input.
+    from lakesmith.sources._fs import open_input
+
+    for pdf in batches:
+        out = []
+        for path in pdf["path"]:
+            with open_input(path) as f:
+                out.append((path, pq.read_schema(f).remove_metadata().to_string()))
+        yield pd.DataFrame(out, columns=["path", "schema"])
+
+
+def file_schemas(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, schema)`` for every parquet file under ``root``; footers are
+    read by the executors, so the driver only sees the answer."""
+    from lakesmith.sources.listings import file_inventory
+
+    inv = file_inventory(spark, root, "*.parquet").select("path")
+    return inv.mapInPandas(_footer_schemas, "path string, schema string")
+
+
+def read_drifting_lake(spark: SparkSession, root_or_paths) -> DataFrame:
+    """Parquet files whose columns drift, as one table.
+
+    Given a folder: files are grouped by schema (footers read in a Spark
+    job), each group is one scan, and the groups are unioned by name, so
+    the plan has one scan per distinct schema however many files there are.
+    Given a list of paths: one scan per path.
     """
-    return union_drifting([spark.read.parquet(p) for p in paths])
+    if isinstance(root_or_paths, (list, tuple)):
+        return union_drifting([spark.read.parquet(p) for p in root_or_paths])
+    groups = (file_schemas(spark, root_or_paths).groupBy("schema")
+              .agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("schema").collect())
+    return union_drifting([spark.read.parquet(*g["paths"]) for g in groups])

@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesmith.sources._fs import open_input as _open
 from lakesmith.sources.listings import file_inventory
 
 CHUNK_ROWS = 10_000
@@ -40,17 +41,6 @@ FALLBACK_SEP = '","'
 ENCODING = "latin-1"
 
 
-def _open(path: str):
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    return filesystem.open_input_file(inner)
-
-
 def _members(zf: zipfile.ZipFile):
     return [i.filename for i in zf.infolist() if not i.is_dir()]
 
