@@ -6,7 +6,7 @@ to it, archives already in the lake skipped (anti-join), the zip reader
 whole-column type inference over the union of all archives, cast, and one
 write partitioned by source archive.
 
-The raw string rows are staged as parquet in the shared scratch folder: the
+The reader stages the raw rows as parquet in the shared scratch folder: the
 inference pass then reads cheap columnar data instead of unzipping again,
 and the lineage back to the archives is cut (a lost executor recomputes from
 the staged files).
@@ -21,7 +21,6 @@ from lakesmith.functions.ids import in_domain_or_fail
 from lakesmith.functions.paths import base_name, join_url, strip_last_extension
 from lakesmith.operators.planning import plan_grid
 from lakesmith.operators.tables import infer_and_cast
-from lakesmith.session import fresh_dir
 from lakesmith.sources.zipcsv import read_zip_csv
 
 # The four data types the source publishes, and its URL layout.
@@ -53,13 +52,14 @@ def fetch_plan(spark: SparkSession, data_types: list[str] | None = None,
 
 def typed_rows(spark: SparkSession, landing_path: str, glob: str = "*.zip") -> DataFrame:
     """All archives under ``landing_path`` as one typed table with
-    ``source_file`` (archive base name without ``.zip``) and ``row_no``."""
+    ``source_file`` (archive base name without ``.zip``) and ``row_no``.
+
+    The reader stages its raw rows in the shared folder, so the inference
+    pass and the final cast read staged parquet, not the archives.
+    """
     raw = read_zip_csv(spark, landing_path, glob)
-    stage = fresh_dir(spark, "stage", "zipcsv")
-    raw.write.mode("overwrite").parquet(stage)
-    staged = spark.read.parquet(stage)
-    value_cols = [c for c in staged.columns if c not in ("archive", "member", "row_no", "_bad_line")]
-    typed = infer_and_cast(staged, value_cols)
+    value_cols = [c for c in raw.columns if c not in ("archive", "member", "row_no", "_bad_line", "_mode")]
+    typed = infer_and_cast(raw, value_cols)
     return typed.withColumn("source_file", strip_last_extension(base_name(F.col("archive"))))
 
 

@@ -4,23 +4,28 @@ fallback for badly quoted files.
 Spark's CSV source cannot open a zip (it returns garbage rows, no error), so
 the archives are read by Python inside ``mapInPandas``.  The work is still
 Spark's: the file listing, one task per archive (zip is not splittable), and
-everything after the raw fields (missing tokens, type inference, casts,
-writes) is built-in expressions.
-
-Two passes over the archives:
-
-1. *survey* - one small row per member: header, row count, and whether the
-   standard CSV parse is well formed.  A member with any row whose field
-   count differs from its header, and whose lines are quoted end to end, is
-   read with the fallback split instead (decided per file, by field count,
-   not by an exception).  Rows that fit no header in either mode are kept
-   with their raw fields in ``_bad_line``.
-2. *extract* - the rows of every member, mapped onto the union of all
-   headers (a column missing in one year is null there), streamed out in
-   bounded chunks so an archive never has to fit in memory.
-
-Archives are opened by path through ``pyarrow.fs`` (local paths, ``file:``
-and any filesystem pyarrow knows), as seekable streams.
+everything after the raw fields (header mapping, missing tokens, type
+inference, casts, writes) is built-in expressions.
+
+Every archive is parsed once:
+
+1. *extract* - each member is parsed with the standard CSV rules and
+   streamed out in bounded chunks as ``(archive, member, row_no, fields)``;
+   the header is row ``-1``, each row carries a ``ragged`` flag (field count
+   differs from the header).  The rows are staged as parquet under the shared
+   checkpoint folder, which also cuts the lineage back to the archives.
+2. *summary* - per member: header, and whether it has a ragged row while
+   its lines are quoted end to end; observed on the staging write itself.
+3. *fallback* - members with ragged rows whose lines are quoted end to end
+   are re-read with the ``","`` split (decided per file by field count, not
+   by an exception); only those archives are opened again.
+4. *mapping* - each member's header is mapped onto the union of all
+   headers (a column missing in one year is null there) by a join with a
+   per-member position table and ``try_element_at``.  Rows that fit no
+   header keep their raw fields in ``_bad_line``; nothing is dropped.
+
+Archives are opened by path through ``pyarrow.fs`` as seekable streams, so an
+archive never has to fit in memory and no binary column passes through Arrow.
 """
 
 from __future__ import annotations
@@ -33,12 +38,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.sources._fs import open_input as _open
-from lakesmith.sources.listings import file_inventory
+from lakesmith.session import fresh_dir
+from lakesmith.sources._fs import open_input
 
 CHUNK_ROWS = 10_000
 FALLBACK_SEP = '","'
 ENCODING = "latin-1"
+STANDARD, SPLIT = "standard", "split"
+RAW_SCHEMA = ("archive string, member string, row_no bigint, fields array<string>, "
+              "ragged boolean, quoted boolean")
+_RAW_COLUMNS = ["archive", "member", "row_no", "fields", "ragged", "quoted"]
 
 
 def _members(zf: zipfile.ZipFile):
@@ -60,108 +69,128 @@ def _split_line(line: str) -> list[str]:
     return parts
 
 
-def _standard_records(stream):
-    for rec in csv.reader(stream):
-        if rec:  # blank lines are skipped, as CSV readers do by default
-            yield rec
+def _records(stream, mode: str):
+    if mode == STANDARD:
+        for rec in csv.reader(stream):
+            if rec:  # blank lines are skipped, as CSV readers do by default
+                yield rec
+    else:
+        for line in stream:
+            if line.strip("\r\n"):
+                yield _split_line(line)
 
 
-def _split_records(stream):
-    for line in stream:
-        if line.strip("\r\n"):
-            yield _split_line(line)
-
-
-def _survey_member(zf: zipfile.ZipFile, member: str) -> tuple[list[str], str, int]:
-    header, rows, ragged = None, 0, False
-    try:
-        with _text(zf, member) as s:
-            for rec in _standard_records(s):
-                if header is None:
-                    header = rec
-                    continue
-                rows += 1
-                ragged = ragged or len(rec) != len(header)
-    except csv.Error:
-        ragged = True
-    if not ragged:
-        return header or [], "standard", rows
-    # The fallback only makes sense for lines quoted end to end; otherwise keep
-    # the standard parse and let the extract pass flag the ragged rows.
+def _first_line_quoted(zf: zipfile.ZipFile, member: str) -> bool:
     with _text(zf, member) as s:
-        lines = (line for line in s if line.strip("\r\n"))
-        first = next(lines, "")
-        head = _split_line(first)
-        if not (first.startswith('"') and len(head) > 1):
-            return header or [], "standard", rows
-        return [h.replace('"', "") for h in head], "split", sum(1 for _ in lines)
-
-
-def _survey(batches):
-    for pdf in batches:
-        out = []
-        for path in pdf["path"]:
-            with _open(path) as f, zipfile.ZipFile(f) as zf:
-                for m in _members(zf):
-                    header, mode, rows = _survey_member(zf, m)
-                    out.append((path, m, header, mode, rows))
-        yield pd.DataFrame(out, columns=["archive", "member", "header", "mode", "rows"])
-
+        for line in s:
+            if line.strip("\r\n"):
+                return line.startswith('"')
+    return False
 
-SURVEY_SCHEMA = "archive string, member string, header array<string>, mode string, rows bigint"
 
+def _member_chunks(zf: zipfile.ZipFile, path: str, member: str, mode: str):
+    quoted = _first_line_quoted(zf, member)
+    chunk: list = []
+    width = None
+    with _text(zf, member) as s:
+        try:
+            for row_no, rec in enumerate(_records(s, mode), start=-1):
+                if row_no == -1:
+                    if mode == SPLIT:
+                        rec = [h.replace('"', "") for h in rec]
+                    width = len(rec)
+                    chunk.append((path, member, -1, rec, False, quoted))
+                    continue
+                chunk.append((path, member, row_no, rec, len(rec) != width, quoted))
+                if len(chunk) >= CHUNK_ROWS:
+                    yield pd.DataFrame(chunk, columns=_RAW_COLUMNS)
+                    chunk = []
+        except csv.Error as e:
+            # unparseable remainder: keep it visible as one ragged row
+            chunk.append((path, member, 1 << 62, [f"csv error: {e}"], True, quoted))
+    if chunk:
+        yield pd.DataFrame(chunk, columns=_RAW_COLUMNS)
+
+
+def _extractor(modes: dict | None):
+    """``modes`` None: every member in standard mode; else only the listed
+    ``(archive, member)`` pairs, in the given mode."""
+    def extract(batches):
+        for pdf in batches:
+            for path in pdf["path"]:
+                with open_input(path) as f, zipfile.ZipFile(f) as zf:
+                    for m in _members(zf):
+                        mode = STANDARD if modes is None else modes.get((path, m))
+                        if mode is not None:
+                            yield from _member_chunks(zf, path, m, mode)
 
-def _by_archive(paths: DataFrame, n: int) -> DataFrame:
-    """One archive per task where possible (range split of the sorted paths)."""
-    return paths.repartitionByRange(max(n, 1), "path")
+    return extract
 
 
-def survey_archives(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """``(archive, member, header, mode, rows)``, one row per CSV member."""
-    inv = file_inventory(spark, path, glob).select("path")
-    n = inv.count()
-    return _by_archive(inv, n).mapInPandas(_survey, SURVEY_SCHEMA)
+def _archives(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """Archive paths spread over tasks.
 
+    The file list comes from Spark's file index (no job).  A round-robin
+    repartition of the path rows (a tiny shuffle) spreads the archives over
+    ``min(#archives, 2 x default parallelism)`` tasks: one archive per task
+    while there are fewer archives than slots, a few per task beyond that,
+    and never a wave of near-empty tasks.  (The scan alone would pack many
+    small archives into one partition.)
+    """
+    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+               .option("pathGlobFilter", glob).load(path))
+    n = min(len(listing.inputFiles()), 2 * spark.sparkContext.defaultParallelism)
+    return listing.select("path").repartition(max(n, 1))
 
-def _extractor(plan: dict, columns: list[str]):
-    width = len(columns)
-    pos = {c: i for i, c in enumerate(columns)}
 
-    def extract(batches):
-        names = ["archive", "member", "row_no", *columns, "_bad_line"]
-        for pdf in batches:
-            for path in pdf["path"]:
-                with _open(path) as f, zipfile.ZipFile(f) as zf:
-                    for m in _members(zf):
-                        mode, header = plan[(path, m)]
-                        idx = [pos[h] for h in header]
-                        chunk = []
-                        with _text(zf, m) as s:
-                            recs = _standard_records(s) if mode == "standard" else _split_records(s)
-                            next(recs, None)  # header
-                            for row_no, rec in enumerate(recs):
-                                vals = [None] * width
-                                bad = None
-                                if len(rec) == len(idx):
-                                    for i, v in zip(idx, rec):
-                                        vals[i] = v
-                                else:
-                                    bad = FALLBACK_SEP.join(rec) if mode == "split" else ",".join(rec)
-                                chunk.append((path, m, row_no, *vals, bad))
-                                if len(chunk) >= CHUNK_ROWS:
-                                    yield pd.DataFrame(chunk, columns=names)
-                                    chunk = []
-                        if chunk:
-                            yield pd.DataFrame(chunk, columns=names)
+def extract_raw(spark: SparkSession, path: str, glob: str = "*.zip", modes: dict | None = None,
+                only: list[str] | None = None) -> DataFrame:
+    """Raw records of the archives (see module doc, step 1)."""
+    arch = _archives(spark, path, glob)
+    if only is not None:
+        arch = arch.filter(F.col("path").isin(only))
+    return arch.mapInPandas(_extractor(modes), RAW_SCHEMA)
 
-    return extract
 
+def _stage(df: DataFrame) -> tuple[DataFrame, list, list]:
+    """Write the raw rows to the shared folder and read them back.
 
-def union_columns(survey_rows) -> list[str]:
-    """Header names in first-seen order over archives sorted by path."""
+    The member summary rides on the same write as an ``Observation`` (no
+    extra job): every header row, and the members with a ragged row whose
+    lines are quoted end to end.  Both are one small entry per member.
+    """
+    from pyspark.sql import Observation
+
+    spark = df.sparkSession
+    out = fresh_dir(spark, "stage", "zipcsv")
+    obs = Observation("zip_members")
+    head = F.col("row_no") == -1
+    observed = df.observe(
+        obs,
+        F.collect_list(F.when(head, F.struct("archive", "member", "fields"))).alias("headers"),
+        F.collect_set(F.when(F.col("ragged") & F.col("quoted"), F.struct("archive", "member"))).alias("fallback"),
+    )
+    observed.write.mode("overwrite").parquet(out)
+    m = obs.get
+    return spark.read.parquet(out), list(m["headers"]), list(m["fallback"])
+
+
+def member_summary(raw: DataFrame) -> DataFrame:
+    """One row per member: header, data rows, any ragged row, quoted lines."""
+    is_head = F.col("row_no") == -1
+    return raw.groupBy("archive", "member").agg(
+        F.first(F.when(is_head, F.col("fields")), ignorenulls=True).alias("header"),
+        F.count(F.when(~is_head, F.lit(1))).alias("rows"),
+        F.max(F.col("ragged").cast("int")).alias("ragged"),
+        F.first("quoted").alias("quoted"),
+    )
+
+
+def union_columns(headers) -> list[str]:
+    """Header names in first-seen order over members sorted by (archive, member)."""
     cols: list[str] = []
-    for r in sorted(survey_rows, key=lambda r: (r["archive"], r["member"])):
-        for h in r["header"]:
+    for _, header in sorted(headers, key=lambda x: x[0]):
+        for h in header or []:
             if h not in cols:
                 cols.append(h)
     return cols
@@ -169,22 +198,49 @@ def union_columns(survey_rows) -> list[str]:
 
 def read_zip_csv(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
     """All CSV members of the archives under ``path`` as one string table:
-    ``archive, member, row_no, <union of header columns>, _bad_line``.
+    ``archive, member, row_no, <union of header columns>, _bad_line, _mode``
+    (``_mode`` tells how the member was parsed).
 
-    ``_bad_line`` holds the raw fields of a row that fits no header (null on
-    good rows) so nothing is dropped silently.  The survey result brought to
-    the driver is one small row per member.
+    What reaches the driver is the member summary: one small row per member,
+    metadata that grows with the file count, not with the data.
     """
-    survey = survey_archives(spark, path, glob).collect()
-    columns = union_columns(survey)
-    plan = {(r["archive"], r["member"]): (r["mode"], list(r["header"])) for r in survey}
-    schema = ", ".join(["archive string", "member string", "row_no bigint",
-                        *[f"`{c}` string" for c in columns], "_bad_line string"])
-    inv = file_inventory(spark, path, glob).select("path")
-    n = len({r["archive"] for r in survey})
-    return _by_archive(inv, n).mapInPandas(_extractor(plan, columns), schema)
+    from lakesmith.operators.planning import BROADCAST_MAX_ROWS, not_yet_done
+
+    staged, heads, bad_members = _stage(extract_raw(spark, path, glob))
+    headers = {(h["archive"], h["member"]): list(h["fields"]) for h in heads}
+    fallback = {(b["archive"], b["member"]): SPLIT for b in bad_members}
+    rows = staged.withColumn("_mode", F.lit(STANDARD))
+    if fallback:
+        again, heads2, _ = _stage(extract_raw(spark, path, glob, modes=fallback, only=sorted({a for a, _ in fallback})))
+        for h in heads2:
+            headers[(h["archive"], h["member"])] = list(h["fields"])
+        bad = spark.createDataFrame(sorted(fallback), "archive string, member string")
+        rows = not_yet_done(rows, bad, ["archive", "member"]).unionByName(again.withColumn("_mode", F.lit(SPLIT)))
+    columns = union_columns(headers.items())
+    pos = {c: i for i, c in enumerate(columns)}
+    # 1-based position of each union column in the member's header (null: absent);
+    # built from the member list, so its size is known here without a job
+    mapping = spark.createDataFrame(
+        [(a, m, [h.index(c) + 1 if c in h else None for c in columns]) for (a, m), h in sorted(headers.items())],
+        "archive string, member string, _idx array<int>",
+    )
+    if len(headers) <= BROADCAST_MAX_ROWS:
+        mapping = F.broadcast(mapping)
+    data = rows.filter(F.col("row_no") >= 0).join(mapping, ["archive", "member"])
+    raw_line = (F.when(F.col("_mode") == SPLIT, F.array_join(F.col("fields"), FALLBACK_SEP))
+                .otherwise(F.array_join(F.col("fields"), ",")))
+    values = [
+        F.when(~F.col("ragged"), F.try_element_at(F.col("fields"), F.col("_idx")[pos[c]])).alias(c)
+        for c in columns
+    ]
+    return data.select(
+        "archive", "member", "row_no", *values,
+        F.when(F.col("ragged"), raw_line).alias("_bad_line"),
+        "_mode",
+    )
 
 
 def member_modes(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Survey as a table (which members needed the fallback, row counts)."""
-    return survey_archives(spark, path, glob).select("archive", "member", "mode", "rows", F.size("header").alias("n_columns"))
+    """Per member: how it is parsed (``standard`` / ``split``) and its row count."""
+    raw = read_zip_csv(spark, path, glob)
+    return raw.groupBy("archive", "member").agg(F.first("_mode").alias("mode"), F.count(F.lit(1)).alias("rows"))

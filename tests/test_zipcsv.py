@@ -32,7 +32,7 @@ def landing(tmp_path):
 
 def test_union_of_headers_and_values(spark, landing):
     raw = read_zip_csv(spark, landing)
-    assert raw.columns[3:] == ["id", "title", "amount", "flag", "org", "_bad_line"]
+    assert raw.columns[3:] == ["id", "title", "amount", "flag", "org", "_bad_line", "_mode"]
     rows = {r.id: r for r in raw.collect()}
     assert rows["1"].title == "Line one\nline two"
     assert rows["2"].title == 'He said "hi"'
