@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from lakesmith.functions.ids import SENTINEL_PMID
 from lakesmith.session import scratch_dir
+from lakesmith.sources import _fs as fs
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +36,7 @@ def fixture_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
 
 
 def _complete(path: str) -> bool:
-    return os.path.exists(os.path.join(path, "_SUCCESS"))
+    return fs.exists(fs.join(path, "_SUCCESS"))
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, render) -> str:
@@ -153,8 +154,8 @@ def write_stream_batches(spark: SparkSession, sf_dir: str, path: str) -> None:
     for st in ("F", "O", "P"):
         ids = article_ids(orders.filter(F.col("o_orderstatus") == st))
         art = ids.select(F.struct(F.struct(F.col("ids").alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData"))
-        _write_articles(art, os.path.join(path, f"batch={st}"), 100_000_000)
-    open(os.path.join(path, "_SUCCESS"), "w").close()
+        _write_articles(art, fs.join(path, f"batch={st}"), 100_000_000)
+    fs.touch(fs.join(path, "_SUCCESS"))
 
 
 def stream_xml_batches(spark: SparkSession, sf_dir: str) -> str:
@@ -191,64 +192,61 @@ def part_csv_frame(part: DataFrame) -> DataFrame:
 
 
 def _zip_writer(out_dir: str, columns: list[str], all_quoted: bool):
-    """mapInPandas body: stream each task's rows into one zip per group.
+    """mapInPandas body: one zip per group found in this task's rows.
 
     A column that is null for a whole group is left out of that group's
     header (a column missing in that year).  Each archive is written under a
     temporary name and renamed, so a retried task never leaves half a file.
+    Rows are buffered per task (one input split), not per group of the table.
     """
     def write(batches):
+        import pandas as pd
         from pyspark import TaskContext
 
+        from lakesmith.sources import _fs
+
         ctx = TaskContext.get()
         part, attempt = ctx.partitionId(), ctx.attemptNumber()
-        open_zips: dict = {}
-        counts: dict = {}
         pending: dict = {}
-
         for pdf in batches:
             for group, g in pdf.groupby("_group", sort=False):
                 pending.setdefault(group, []).append(g)
+        written = []
         for group, parts in pending.items():
-            import pandas as pd
-
             g = pd.concat(parts)
             cols = [c for c in columns if g[c].notna().any()]
             name = f"{group}-{part:05d}.zip"
-            tmp = os.path.join(out_dir, f".{name}.{attempt}.tmp")
-            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as zf:
+            tmp = _fs.join(out_dir, f".{name}.{attempt}.tmp")
+            with _fs.open_output(tmp) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
                 with zf.open(f"{group}.csv", "w") as raw:
                     text = io.TextIOWrapper(raw, encoding="latin-1", newline="")
                     if all_quoted:
                         # every field quoted, inner quotes written as they are
-                        line = lambda vals: text.write(",".join(f'"{v}"' for v in vals) + "\n")
+                        def line(vals):
+                            text.write(",".join(f'"{v}"' for v in vals) + "\n")
                     else:
-                        w = csv.writer(text)
-                        line = w.writerow
+                        line = csv.writer(text).writerow
                     line(cols)
                     for row in g[cols].itertuples(index=False):
                         line(["" if v is None else v for v in row])
                     text.flush()
                     text.detach()
-            os.replace(tmp, os.path.join(out_dir, name))
-            counts[name] = len(g)
-            open_zips[name] = True
-        import pandas as pd
-
-        yield pd.DataFrame({"archive": list(counts), "rows": [int(v) for v in counts.values()]})
+            _fs.move(tmp, _fs.join(out_dir, name))
+            written.append((name, len(g)))
+        yield pd.DataFrame(written, columns=["archive", "rows"])
 
     return write
 
 
 def render_zip_csv(frame: DataFrame, out_dir: str, all_quoted: bool = False) -> None:
     """Write ``frame`` (string columns plus ``_group``) as zipped CSV archives
-    ``<group>-<task>.zip``; one member per archive.  Needs a folder the
-    executors can open as a file path (shared mount in a cluster)."""
-    os.makedirs(out_dir, exist_ok=True)
+    ``<group>-<task>.zip`` under ``out_dir`` (any filesystem URI), one CSV
+    member per archive."""
+    fs.makedirs(out_dir)
     columns = [c for c in frame.columns if c != "_group"]
-    done = frame.mapInPandas(_zip_writer(out_dir, columns, all_quoted), "archive string, rows bigint")
-    done.collect()  # one small row per archive written
-    open(os.path.join(out_dir, "_SUCCESS"), "w").close()
+    written = frame.mapInPandas(_zip_writer(out_dir, columns, all_quoted), "archive string, rows bigint")
+    written.write.format("noop").mode("overwrite").save()
+    fs.touch(fs.join(out_dir, "_SUCCESS"))
 
 
 def customer_zips(spark: SparkSession, sf_dir: str) -> str:
@@ -267,15 +265,14 @@ def supplier_drift(spark: SparkSession, sf_dir: str) -> list[str]:
     """``supplier`` split by account sign into two files with different columns:
     one has ``s_nationkey`` as text and no ``s_acctbal``."""
     base = fixture_dir(spark, sf_dir, "supplier_drift")
-    a, b = os.path.join(base, "a"), os.path.join(base, "b")
+    a, b = fs.join(base, "a"), fs.join(base, "b")
     if not _complete(base):
         sup = table(spark, sf_dir, "supplier")
         sup.filter(F.col("s_acctbal") >= 0).write.mode("overwrite").parquet(a)
         (sup.filter(~(F.col("s_acctbal") >= 0))
             .select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("s_nationkey"))
             .write.mode("overwrite").parquet(b))
-        os.makedirs(base, exist_ok=True)
-        open(os.path.join(base, "_SUCCESS"), "w").close()
+        fs.touch(fs.join(base, "_SUCCESS"))
     return [a, b]
 
 

@@ -1,16 +1,60 @@
-"""Open a file by the path Spark reports, from inside a task."""
+"""File access by the paths Spark reports, from the driver or inside a task.
+
+Local paths, ``file:`` URIs and any URI ``pyarrow.fs`` knows (hdfs://, s3://,
+gs://, ...) resolve to the same calls, so code that writes a marker or opens
+an archive works the same on a laptop and against a cluster's shared store.
+"""
 
 from __future__ import annotations
 
 
-def open_input(path: str):
-    """Seekable input stream for a local path, a ``file:`` URI or any URI
-    ``pyarrow.fs`` knows (hdfs://, s3://, gs://, ...)."""
+def resolve(path: str):
+    """``(filesystem, path inside it)`` for ``path``."""
     from pyarrow import fs
 
     if path.startswith("file:"):
         path = path[len("file:"):]
         while path.startswith("//"):
             path = path[1:]
-    filesystem, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    if "://" in path:
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
+def open_input(path: str):
+    """Seekable input stream."""
+    filesystem, inner = resolve(path)
     return filesystem.open_input_file(inner)
+
+
+def open_output(path: str):
+    filesystem, inner = resolve(path)
+    return filesystem.open_output_stream(inner)
+
+
+def exists(path: str) -> bool:
+    from pyarrow import fs
+
+    filesystem, inner = resolve(path)
+    return filesystem.get_file_info(inner).type != fs.FileType.NotFound
+
+
+def makedirs(path: str) -> None:
+    filesystem, inner = resolve(path)
+    filesystem.create_dir(inner, recursive=True)
+
+
+def touch(path: str) -> None:
+    with open_output(path):
+        pass
+
+
+def move(src: str, dst: str) -> None:
+    """Rename within one filesystem (atomic on POSIX and HDFS)."""
+    filesystem, a = resolve(src)
+    _, b = resolve(dst)
+    filesystem.move(a, b)
+
+
+def join(base: str, *parts: str) -> str:
+    return "/".join([base.rstrip("/"), *[p.strip("/") for p in parts]])
