@@ -291,3 +291,35 @@ def jsonp_responses(events: DataFrame) -> DataFrame:
         .otherwise(F.concat(F.lit("("), props, F.lit(");")))
     )
     return events.select(F.concat(F.lit("10.1101/"), F.col("event_id").cast("string")).alias("doi"), raw.alias("raw"))
+
+
+# ---------------------------------------------------------------- plain CSV
+
+def customer_csv(spark: SparkSession, sf_dir: str) -> str:
+    """``customer`` rendered as plain Latin-1 CSV files by Spark's CSV writer
+    (same values as the zipped rendering, one file per task)."""
+    from lakesmith.sources.plaincsv import write_csv
+
+    def render(path):
+        write_csv(customer_csv_frame(table(spark, sf_dir, "customer")).drop("_group"), path)
+
+    return _cached(spark, sf_dir, "customer_csv", render)
+
+
+def part_quoted_lines(spark: SparkSession, sf_dir: str) -> str:
+    """``part`` as plain text lines, every field quoted, inner quotes as they
+    are; each output file (one per task) starts with its own header line."""
+    def render(path):
+        frame = part_csv_frame(table(spark, sf_dir, "part")).drop("_group")
+        header_line = ",".join(f'"{c}"' for c in frame.columns)
+        body = frame.select(F.concat_ws(",", *[F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in frame.columns]).alias("value"))
+
+        def with_header(batches):
+            import pandas as pd
+
+            yield pd.DataFrame({"value": [header_line]})
+            yield from batches
+
+        body.mapInPandas(with_header, "value string").write.mode("overwrite").text(path)
+
+    return _cached(spark, sf_dir, "part_quoted_lines", render)

@@ -89,13 +89,38 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, rep
            .partitionBy(*partition_by).parquet(path))
         return
     if exists:
-        present = spark.read.parquet(path).select(*partition_by).distinct()
         from lakesmith.operators.planning import not_yet_done
 
-        df = not_yet_done(df, present, partition_by)
+        df = not_yet_done(df, present_partitions(spark, path, partition_by, df.schema), partition_by)
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+# Fixed value: the directory name Hive-style writers use for a null partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def present_partitions(spark: SparkSession, path: str, columns: list[str], schema=None) -> DataFrame:
+    """Distinct partition values already under ``path``, from the file listing.
+
+    One row per data file from the ``binaryFile`` listing (no file opened),
+    values cut from the ``col=value`` path segments and cast to the column
+    types of ``schema``.  Cheaper than scanning the table, which would open
+    every file.  Values that needed path escaping (``%XX``) are compared in
+    their escaped form.
+    """
+    from lakesmith.sources.listings import file_inventory
+
+    inv = file_inventory(spark, path, "*.parquet")
+    cols = []
+    for c in columns:
+        raw = F.regexp_extract(F.col("path"), f"/{c}=([^/]*)/", 1)
+        v = F.when(raw != NULL_PARTITION, raw)
+        if schema is not None:
+            v = v.cast(schema[c].dataType)
+        cols.append(v.alias(c))
+    return inv.select(*cols).distinct()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` already holds a readable parquet table."""
     from pyspark.errors import AnalysisException

@@ -585,3 +585,56 @@ def stream_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_xml_links(spark, landing, f"{run}/lake", f"{run}/checkpoint", max_files_per_trigger=1,
                      clean_source="archive", archive_dir=f"{run}/archive")
     return spark.read.parquet(f"{run}/lake").select("PMID", "DOI")
+
+
+# ---------------------------------------------------------------- plain CSV, Latin-1, response URLs
+
+_SQL_CUSTOMER = """SELECT c_custkey,
+  replace(c_name, '#', ' "É"' || chr(10) || '#') AS c_name,
+  CAST(c_nationkey AS BIGINT) AS c_nationkey,
+  CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY') THEN NULL ELSE c_acctbal END AS c_acctbal,
+  CASE WHEN c_nationkey < 5 OR c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS c_mktsegment
+FROM customer"""
+
+
+@register("plain_csv_ingest", _SQL_CUSTOMER)
+def plain_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same customer rendering as unzipped Latin-1 CSV, read by Spark's CSV source."""
+    from lakesmith.operators.tables import infer_and_cast
+    from lakesmith.sources.plaincsv import read_csv
+
+    raw = read_csv(spark, render.customer_csv(spark, sf_dir))
+    return infer_and_cast(raw).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("plain_csv_quote_split", """SELECT p_partkey,
+  replace(p_name, ' ', ' "x", ') AS p_name, p_brand, p_type,
+  CAST(p_size AS BIGINT) AS p_size, p_retailprice
+FROM part""")
+def plain_csv_quote_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.operators.tables import infer_and_cast
+    from lakesmith.sources.plaincsv import read_quote_split_csv
+
+    raw = read_quote_split_csv(spark, render.part_quoted_lines(spark, sf_dir))
+    return infer_and_cast(raw).select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+@register("latin1_decode", """SELECT c_custkey, replace(c_name, '#', ' É#') AS c_name FROM customer""")
+def latin1_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with a Latin-1 letter as ISO-8859-1 bytes, decoded back."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.functions.text import latin1
+
+    c = render.table(spark, sf_dir, "customer")
+    raw = c.select("c_custkey", F.encode(F.replace(F.col("c_name"), F.lit("#"), F.lit(" É#")), "ISO-8859-1").alias("b"))
+    return raw.select("c_custkey", latin1("b").alias("c_name"))
+
+
+@register("response_urls", """SELECT '10.1101/' || CAST(event_id AS VARCHAR) AS doi,
+  'https://example.org/api/' || '10.1101/' || CAST(event_id AS VARCHAR) AS url FROM events""")
+def response_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lakesmith.plans.responses import response_urls
+
+    dois = render.jsonp_responses(render.table(spark, sf_dir, "events")).select("doi")
+    return response_urls(dois, "https://example.org/api/")
