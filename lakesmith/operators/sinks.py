@@ -68,14 +68,16 @@ def write_json_documents(df: DataFrame, variant_col: str, path: str, mode: str =
     df.select(F.to_json(F.col(variant_col)).alias("value")).write.mode(mode).text(path)
 
 
-def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, replace: bool = False) -> None:
+def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, replace: bool = False,
+            checked: bool = False) -> None:
     """Idempotent publish of a table to ``path``.
 
     ``replace=False``: partitions already present under ``path`` are left as
     they are and only new partitions are added (a second run adds nothing).
     ``replace=True``: the partitions this ``df`` holds are overwritten, others
     are kept (dynamic partition overwrite).  Unpartitioned tables are skipped
-    or overwritten whole.
+    or overwritten whole.  ``checked=True``: the caller already removed
+    present partitions, so rows are appended without a second check.
     """
     spark = df.sparkSession
     exists = _exists(spark, path)
@@ -88,7 +90,7 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, rep
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(*partition_by).parquet(path))
         return
-    if exists:
+    if exists and not checked:
         from lakesmith.operators.planning import not_yet_done
 
         df = not_yet_done(df, present_partitions(spark, path, partition_by, df.schema), partition_by)
@@ -122,11 +124,14 @@ def present_partitions(spark: SparkSession, path: str, columns: list[str], schem
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` already holds a readable parquet table."""
-    from pyspark.errors import AnalysisException
+    """True when ``path`` already holds data files (anything but ``_``/``.``
+    markers), checked on the filesystem without planning a read."""
+    from pyarrow import fs as pafs
 
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
+    from lakesmith.sources import _fs
+
+    filesystem, inner = _fs.resolve(path)
+    if filesystem.get_file_info(inner).type == pafs.FileType.NotFound:
         return False
+    entries = filesystem.get_file_info(pafs.FileSelector(inner, recursive=False))
+    return any(not e.base_name.startswith(("_", ".")) for e in entries)

@@ -50,14 +50,14 @@ def fetch_plan(spark: SparkSession, data_types: list[str] | None = None,
     ).orderBy("_kind_pos", "data_year").drop("_kind_pos")
 
 
-def typed_rows(spark: SparkSession, landing_path: str, glob: str = "*.zip") -> DataFrame:
+def typed_rows(spark: SparkSession, landing_path: str, glob: str = "*.zip", only: list[str] | None = None) -> DataFrame:
     """All archives under ``landing_path`` as one typed table with
     ``source_file`` (archive base name without ``.zip``) and ``row_no``.
 
     The reader stages its raw rows in the shared folder, so the inference
     pass and the final cast read staged parquet, not the archives.
     """
-    raw = read_zip_csv(spark, landing_path, glob)
+    raw = read_zip_csv(spark, landing_path, glob, only=only)
     value_cols = [c for c in raw.columns if c not in ("archive", "member", "row_no", "_bad_line", "_mode")]
     typed = infer_and_cast(raw, value_cols)
     return typed.withColumn("source_file", strip_last_extension(base_name(F.col("archive"))))
@@ -71,3 +71,40 @@ def ingest_zip_csv(spark: SparkSession, landing_path: str, lake_path: str, repla
     typed = typed_rows(spark, landing_path)
     publish(typed.drop("archive", "member"), lake_path, ["source_file"], replace=replace)
     return spark.read.parquet(lake_path)
+
+
+def landed_archives(spark: SparkSession, plan: DataFrame, landing_dir: str, data_type: str) -> DataFrame:
+    """Plan rows of ``data_type`` joined to the archives landed in
+    ``landing_dir`` by year (archive names start with the year):
+    ``(data_type, data_year, path, source_file)``."""
+    from lakesmith.operators.planning import join_small
+    from lakesmith.sources.listings import file_inventory
+
+    inv = file_inventory(spark, landing_dir, "*.zip").select(
+        "path",
+        strip_last_extension(F.col("name")).alias("source_file"),
+        F.regexp_extract(F.col("name"), r"^([0-9]{4})", 1).cast("int").alias("data_year"),
+    )
+    wanted = plan.filter(F.col("data_type") == data_type).select("data_type", "data_year")
+    return join_small(inv, wanted, "data_year")
+
+
+def ingest_planned(spark: SparkSession, plan: DataFrame, landing_dir: str, lake_path: str,
+                   data_type: str, replace: bool = False) -> DataFrame:
+    """Load the planned, landed archives that the lake does not hold yet.
+
+    The presence check comes first (nothing already loaded is read again),
+    then one typed read of the remaining archives and one partitioned write.
+    Returns the lake read back.
+    """
+    from lakesmith.operators.planning import not_yet_done
+    from lakesmith.operators.sinks import _exists, present_partitions, publish
+
+    todo = landed_archives(spark, plan, landing_dir, data_type)
+    if not replace and _exists(spark, lake_path):
+        todo = not_yet_done(todo, present_partitions(spark, lake_path, ["source_file"]), "source_file")
+    paths = [r["path"] for r in todo.select("path").collect()]   # the work list: one row per archive
+    if paths:
+        typed = typed_rows(spark, landing_dir, only=paths)
+        publish(typed.drop("archive", "member"), lake_path, ["source_file"], replace=replace, checked=True)
+    return spark.read.parquet(lake_path)

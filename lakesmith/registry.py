@@ -638,3 +638,18 @@ def response_urls_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     dois = render.jsonp_responses(render.table(spark, sf_dir, "events")).select("doi")
     return response_urls(dois, "https://example.org/api/")
+
+
+@register("zip_plan_ingest", _SQL_CUSTOMER)
+def zip_plan_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plan for 1985-1994 loaded first, then the full 1985-2009 plan: the
+    second run reads only the years not yet in the lake; the lake ends with
+    every customer exactly once."""
+    from lakesmith.plans.csv_ingest import fetch_plan, ingest_planned
+    from lakesmith.session import fresh_dir
+
+    landing = render.customer_zips(spark, sf_dir)
+    lake = fresh_dir(spark, "lake", "zip_plan")
+    ingest_planned(spark, fetch_plan(spark, ["projects"], 1985, 1995), landing, lake, "projects")
+    out = ingest_planned(spark, fetch_plan(spark, ["projects"], 1985, 2010), landing, lake, "projects")
+    return out.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")

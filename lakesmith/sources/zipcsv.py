@@ -196,17 +196,18 @@ def union_columns(headers) -> list[str]:
     return cols
 
 
-def read_zip_csv(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+def read_zip_csv(spark: SparkSession, path: str, glob: str = "*.zip", only: list[str] | None = None) -> DataFrame:
     """All CSV members of the archives under ``path`` as one string table:
     ``archive, member, row_no, <union of header columns>, _bad_line, _mode``
     (``_mode`` tells how the member was parsed).
 
     What reaches the driver is the member summary: one small row per member,
-    metadata that grows with the file count, not with the data.
+    metadata that grows with the file count, not with the data.  ``only``
+    restricts the read to the listed archive paths (a work list).
     """
     from lakesmith.operators.planning import BROADCAST_MAX_ROWS, not_yet_done
 
-    staged, heads, bad_members = _stage(extract_raw(spark, path, glob))
+    staged, heads, bad_members = _stage(extract_raw(spark, path, glob, only=only))
     headers = {(h["archive"], h["member"]): list(h["fields"]) for h in heads}
     fallback = {(b["archive"], b["member"]): SPLIT for b in bad_members}
     rows = staged.withColumn("_mode", F.lit(STANDARD))
