@@ -30,9 +30,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+# Bump when a rendering rule changes, so cached fixtures are not reused.
+FIXTURE_VERSION = "v2"
+# Records per rendered file: lake files of ~200 kB, XML files the size of a
+# published article batch.
+LAKE_ROWS_PER_FILE = 20_000
+XML_ROWS_PER_FILE = 30_000
+
+
 def fixture_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
-    tag = os.path.basename(os.path.normpath(sf_dir)) or "data"
-    return scratch_dir(spark, "fixtures", tag, name)
+    import hashlib
+
+    src = os.path.normpath(sf_dir)
+    tag = f"{os.path.basename(src) or 'data'}-{hashlib.sha1(src.encode()).hexdigest()[:8]}"
+    return scratch_dir(spark, "fixtures", FIXTURE_VERSION, tag, name)
+
+
+def _spread(df: DataFrame, rows_per_file: int, at_least: int = 4) -> DataFrame:
+    """Round-robin over enough tasks for ``rows_per_file``; the row count of
+    a parquet table comes from its footers."""
+    import math
+
+    return df.repartition(max(at_least, math.ceil(df.count() / rows_per_file)))
 
 
 def _complete(path: str) -> bool:
@@ -70,7 +89,7 @@ def link_lake_frame(orders: DataFrame) -> DataFrame:
     return copies[0].unionAll(copies[1])
 
 
-def link_lake(spark: SparkSession, sf_dir: str, rows_per_file: int = 2000) -> str:
+def link_lake(spark: SparkSession, sf_dir: str, rows_per_file: int = LAKE_ROWS_PER_FILE) -> str:
     """``orders`` twice as a lake of many small (PMID, DOI) string files."""
     def render(path):
         (link_lake_frame(table(spark, sf_dir, "orders"))
@@ -111,10 +130,10 @@ def _write_articles(df: DataFrame, path: str, rows_per_file: int) -> None:
        .save(path))
 
 
-def article_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = 2000) -> str:
+def article_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = XML_ROWS_PER_FILE) -> str:
     """``orders`` as rooted ``.xml.gz`` article files (one root per file)."""
     def render(path):
-        ids = article_ids(table(spark, sf_dir, "orders"))
+        ids = article_ids(_spread(table(spark, sf_dir, "orders"), rows_per_file))
         art = ids.select(
             F.struct(F.get(F.col("ids"), 0)["_VALUE"].alias("PMID")).alias("MedlineCitation"),
             F.struct(F.struct(F.col("ids").alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData"),
@@ -124,11 +143,11 @@ def article_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = 2000) ->
     return _cached(spark, sf_dir, "article_xml", render)
 
 
-def nested_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = 5000) -> str:
+def nested_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = XML_ROWS_PER_FILE) -> str:
     """``lineitem`` as articles: own ids from the order, one reference whose
     id list (part, supplier) is nested under ``ReferenceList``."""
     def render(path):
-        li = table(spark, sf_dir, "lineitem")
+        li = _spread(table(spark, sf_dir, "lineitem"), rows_per_file)
         own = F.array(_id("pubmed", F.col("l_orderkey").cast("string")),
                       _id("doi", F.concat(F.lit("10.1000/"), F.col("l_orderkey").cast("string"))))
         ref = F.array(_id("pubmed", F.col("l_partkey").cast("string")),

@@ -38,7 +38,9 @@ def not_yet_done(work: DataFrame, done: DataFrame, key, max_rows: int = BROADCAS
     Null keys in ``work`` are kept (nothing can be present for them).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    done_keys = done.select(*keys).dropna().distinct()
+    # the size check runs on the raw rows (the limit reaches the scan, so it
+    # reads at most max_rows + 1 rows); duplicates do not change an anti-join
+    done_keys = done.select(*keys).dropna()
     return join_small(work, done_keys, keys, "left_anti", max_rows)
 
 

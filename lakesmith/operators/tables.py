@@ -104,3 +104,15 @@ def infer_and_cast(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     """Missing-value tokens -> null, then whole-column inference, then cast."""
     cleaned = nulls_for_tokens(df, columns)
     return apply_types(cleaned, infer_types(cleaned, columns))
+
+
+def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once to a fresh folder under the shared checkpoint
+    directory and read it back: later passes (type inference, the final
+    cast) read columnar parquet instead of re-parsing the source, and the
+    lineage to the source is cut."""
+    from lakesmith.session import fresh_dir
+
+    out = fresh_dir(df.sparkSession, "stage", name)
+    df.write.mode("overwrite").parquet(out)
+    return df.sparkSession.read.parquet(out)

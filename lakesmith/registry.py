@@ -600,10 +600,10 @@ FROM customer"""
 @register("plain_csv_ingest", _SQL_CUSTOMER)
 def plain_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same customer rendering as unzipped Latin-1 CSV, read by Spark's CSV source."""
-    from lakesmith.operators.tables import infer_and_cast
+    from lakesmith.operators.tables import infer_and_cast, stage
     from lakesmith.sources.plaincsv import read_csv
 
-    raw = read_csv(spark, render.customer_csv(spark, sf_dir))
+    raw = stage(read_csv(spark, render.customer_csv(spark, sf_dir)), "plaincsv")
     return infer_and_cast(raw).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
@@ -612,10 +612,10 @@ def plain_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
   CAST(p_size AS BIGINT) AS p_size, p_retailprice
 FROM part""")
 def plain_csv_quote_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lakesmith.operators.tables import infer_and_cast
+    from lakesmith.operators.tables import infer_and_cast, stage
     from lakesmith.sources.plaincsv import read_quote_split_csv
 
-    raw = read_quote_split_csv(spark, render.part_quoted_lines(spark, sf_dir))
+    raw = stage(read_quote_split_csv(spark, render.part_quoted_lines(spark, sf_dir)), "plaincsv")
     return infer_and_cast(raw).select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 
 
