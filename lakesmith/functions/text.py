@@ -58,21 +58,28 @@ def latin1(col) -> Column:
 # HTML link extraction.  Comments and script bodies hold no links; attribute
 # values are quoted with " or '.
 HTML_COMMENT = r"(?s)<!--.*?-->"
-HTML_SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
-LINK_ATTR = r"""(?i)\s(?:href|src)\s*=\s*("[^"]*"|'[^']*')"""
+# script bodies hold no markup; the <script> tag itself (and its src) stays
+HTML_SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?(</script\s*>)"
+# The attributes an HTML parser reports as links (the link
+# attribute set of lxml.html), in its documented order.
+LINK_ATTRS = ["action", "archive", "background", "cite", "classid", "codebase", "data", "href",
+              "longdesc", "profile", "src", "usemap", "dynsrc", "lowsrc"]
+# value quoted with " or ', or unquoted
+LINK_ATTR = r"(?i)\s(?:" + "|".join(LINK_ATTRS) + r""")\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # Character references decoded in attribute values, '&amp;' last.
 ENTITY_DECODE = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
 
 def html_links(html) -> Column:
     """``array<string>`` of link targets in document order (repeats kept)."""
-    body = F.regexp_replace(F.regexp_replace(as_col(html), HTML_COMMENT, ""), HTML_SCRIPT, "")
-    quoted = F.regexp_extract_all(body, F.lit(LINK_ATTR), 1)
+    body = F.regexp_replace(F.regexp_replace(as_col(html), HTML_COMMENT, ""), HTML_SCRIPT_BODY, "$1$2")
+    raw = F.regexp_extract_all(body, F.lit(LINK_ATTR), 1)
 
     def clean(x: Column) -> Column:
-        v = F.substring(x, F.lit(2), F.length(x) - 2)
+        quoted = F.startswith(x, F.lit('"')) | F.startswith(x, F.lit("'"))
+        v = F.when(quoted, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
         for ent, ch in ENTITY_DECODE:
             v = F.replace(v, F.lit(ent), F.lit(ch))
         return v
 
-    return F.transform(quoted, clean)
+    return F.transform(raw, clean)

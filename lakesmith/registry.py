@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakesmith.fixtures import render
 from lakesmith.functions.ids import PY_INT_PATTERN, SENTINEL_PMID
+from lakesmith.functions.text import HTML_COMMENT, HTML_SCRIPT_BODY, LINK_ATTR
 from lakesmith.plans.linktable import build_link_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,15 +155,21 @@ def lake_union_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- pages and plans
 
-_SQL_BODY = ("regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
-             "'(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g')")
-_SQL_LINK_ATTR = """(?i)\\s(?:href|src)\\s*=\\s*("[^"]*"|''[^'']*'')"""
-_SQL_CLEAN = ("replace(replace(replace(replace(replace(substr(q, 2, length(q) - 2), '&quot;', '\"'), "
-              "'&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
+def _sql_str(s: str) -> str:
+    """A SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+_SQL_BODY = (f"regexp_replace(regexp_replace(html, {_sql_str(HTML_COMMENT)}, '', 'g'), "
+             f"{_sql_str(HTML_SCRIPT_BODY)}, '\\1\\2', 'g')")
+_SQL_LINK_ATTR = _sql_str(LINK_ATTR)
+_SQL_CLEAN = ("replace(replace(replace(replace(replace("
+              "CASE WHEN starts_with(q, '\"') OR starts_with(q, '''') THEN substr(q, 2, length(q) - 2) ELSE q END, "
+              "'&quot;', '\"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")
 SQL_LINKS = f"""links AS (
   SELECT page_id, pos, {_SQL_CLEAN} AS link FROM (
     SELECT page_id, generate_subscripts(arr, 1) - 1 AS pos, unnest(arr) AS q FROM (
-      SELECT page_id, regexp_extract_all({_SQL_BODY}, '{_SQL_LINK_ATTR}', 1) AS arr FROM pages)))"""
+      SELECT page_id, regexp_extract_all({_SQL_BODY}, {_SQL_LINK_ATTR}, 1) AS arr FROM pages)))"""
 LINK_SUFFIX = ","
 START_INDEX, BATCH = 348, 5
 

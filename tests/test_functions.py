@@ -94,6 +94,17 @@ def test_html_links(spark):
     assert len(wanted) == 3
 
 
+def test_html_links_attributes_and_scripts(spark):
+    html = (
+        "<html><head><script src=\"lib.js\">var s = '<a href=\"fake\">';</script></head>"
+        "<body><a href=plain.xml.gz>u</a><blockquote cite='q.html'>c</blockquote>"
+        "<div data-href=\"no\" data=\"obj.bin\">d</div><form action=\"/post\"></form></body></html>"
+    )
+    df = spark.createDataFrame([(html,)], "html string")
+    links = df.select(html_links("html").alias("l")).first().l
+    assert links == ["lib.js", "plain.xml.gz", "q.html", "obj.bin", "/post"]
+
+
 def _py_jsonp(s):
     try:
         return json.loads(s.encode().decode("utf-8-sig").lstrip("\\(").rstrip(")"))
