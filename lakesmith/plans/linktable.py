@@ -32,10 +32,13 @@ def build_link_table(spark: SparkSession, lake_path: str, distinct_after_cast: b
     return clean_links(read_link_lake(spark, lake_path), distinct_after_cast)
 
 
-def publish_link_table(spark: SparkSession, lake_path: str, out_path: str, distinct_after_cast: bool = False) -> str:
+def publish_link_table(spark: SparkSession, lake_path: str, out_path: str, distinct_after_cast: bool = False) -> int:
     """Build and write the table as files of ~256 MB each (sized from the
     lake's bytes; the lake is larger than the output, so this errs on fewer,
-    bigger files)."""
-    df = build_link_table(spark, lake_path, distinct_after_cast)
+    bigger files).  Returns the final row count, observed during the write
+    (no second pass)."""
+    from lakesmith.operators.tables import observe_count
+
+    df, obs = observe_count(build_link_table(spark, lake_path, distinct_after_cast))
     write_compacted(df, out_path, files_for(input_bytes(spark, lake_path)))
-    return out_path
+    return int(obs.get["rows"])

@@ -133,3 +133,34 @@ def test_domain_check_raises(spark):
 
     with pytest.raises(Exception, match="not within valid options"):
         df.select(in_domain_or_fail(F.col("t"), ["projects", "abstracts"], "data_type")).collect()
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="ab./_x", min_size=0, max_size=12), min_size=1, max_size=30))
+def test_paths_match_python(spark, paths):
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    out = df.select(base_name("p").alias("b"), parent("p", 1).alias("p1"), parent("p", 2).alias("p2"),
+                    strip_suffix("p", ".x").alias("s")).collect()
+    for p, o in zip(paths, out):
+        parts = p.split("/")
+        assert o.b == parts[-1]
+        assert o.p1 == "/".join(parts[:-1])
+        assert o.p2 == "/".join(parts[:-2])
+        assert o.s == (p[: -len(".x")] if p.endswith(".x") else p)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["", "﻿", "﻿(", "(", "((", "\\(", "cb(", "\\"]),
+                          st.sampled_from(['{"k": 1}', '[1, 2]', '"s"', '{"a": {"b": null}}', "", "{bad"]),
+                          st.sampled_from([")", "))", ");", "", " )"])), min_size=1, max_size=20))
+def test_jsonp_matches_python(spark, cases):
+    raws = [a + b + c for a, b, c in cases]
+    df = spark.createDataFrame([(r,) for r in raws], "raw string")
+    out = df.select(F.to_json(strict_json(unwrap_jsonp(strip_bom("raw")))).alias("j")).collect()
+    for r, o in zip(raws, out):
+        want = _py_jsonp(r)
+        if isinstance(want, (dict, list)):
+            assert o.j is not None and json.loads(o.j) == want, r
+        else:
+            # scalars and failures: the strict shape guard yields null
+            assert o.j is None, r

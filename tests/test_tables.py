@@ -96,3 +96,16 @@ def test_compaction_file_count(spark, tmp_path):
     write_compacted(src, out, 3)
     files = [f for f in os.listdir(out) if f.endswith(".parquet")]
     assert len(files) == 3 and spark.read.parquet(out).count() == 10000
+
+
+def test_publish_link_table_counts_rows(spark, tmp_path):
+    import pandas as pd
+
+    from lakesmith.plans.linktable import publish_link_table
+
+    lake = tmp_path / "lk"
+    lake.mkdir()
+    pd.DataFrame({"PMID": ["1", "1", "2", "x"], "DOI": ["a", "a", "b", "c"]}).to_parquet(lake / "p.parquet")
+    out = str(tmp_path / "table")
+    assert publish_link_table(spark, str(lake), out) == 2
+    assert spark.read.parquet(out).count() == 2
