@@ -45,6 +45,8 @@ def union_drifting(frames: list[DataFrame]) -> DataFrame:
 
 
 def _footer_schemas(batches):
+    import json
+
     import pandas as pd
     import pyarrow.parquet as pq
 
@@ -54,13 +56,16 @@ def _footer_schemas(batches):
         out = []
         for path in pdf["path"]:
             with open_input(path) as f:
-                out.append((path, pq.read_schema(f).remove_metadata().to_string()))
+                schema = pq.read_schema(f)
+            out.append((path, json.dumps([[fld.name, str(fld.type)] for fld in schema
+                                          if not fld.name.startswith("__index_level_")])))
         yield pd.DataFrame(out, columns=["path", "schema"])
 
 
 def file_schemas(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, schema)`` for every parquet file under ``root``; footers are
-    read by the executors, so the driver only sees the answer."""
+    """``(path, schema)`` for every parquet file under ``root`` (schema as a
+    JSON list of ``[column, arrow type]``); footers are read by the
+    executors."""
     from lakesmith.sources.listings import file_inventory
 
     inv = file_inventory(spark, root, "*.parquet").select("path")
@@ -70,13 +75,28 @@ def file_schemas(spark: SparkSession, root: str) -> DataFrame:
 def read_drifting_lake(spark: SparkSession, root_or_paths) -> DataFrame:
     """Parquet files whose columns drift, as one table.
 
-    Given a folder: files are grouped by schema (footers read in a Spark
-    job), each group is one scan, and the groups are unioned by name, so
-    the plan has one scan per distinct schema however many files there are.
+    Given a folder, footers are read in a Spark job and only the distinct
+    schemas (a handful) reach the driver.  If no column changes type, one
+    ``mergeSchema`` scan of the folder reads everything (missing columns are
+    null).  If a column's type conflicts, files are read per schema group and
+    the conflicting columns are unioned as string; that path needs the file
+    list per group on the driver - the same list Spark's file index keeps.
     Given a list of paths: one scan per path.
     """
+    import json
+
     if isinstance(root_or_paths, (list, tuple)):
         return union_drifting([spark.read.parquet(p) for p in root_or_paths])
-    groups = (file_schemas(spark, root_or_paths).groupBy("schema")
-              .agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("schema").collect())
-    return union_drifting([spark.read.parquet(*g["paths"]) for g in groups])
+    schemas = file_schemas(spark, root_or_paths)
+    distinct = [json.loads(r["schema"]) for r in schemas.select("schema").distinct().collect()]
+    types: dict[str, set[str]] = {}
+    for sch in distinct:
+        for name, t in sch:
+            types.setdefault(name, set()).add(t)
+    if all(len(ts) == 1 for ts in types.values()):
+        return (spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+                .parquet(root_or_paths).select(*types))
+    groups: dict[str, list[str]] = {}
+    for r in schemas.collect():
+        groups.setdefault(r["schema"], []).append(r["path"])
+    return union_drifting([spark.read.parquet(*sorted(paths)) for _, paths in sorted(groups.items())])

@@ -109,3 +109,17 @@ def test_publish_link_table_counts_rows(spark, tmp_path):
     out = str(tmp_path / "table")
     assert publish_link_table(spark, str(lake), out) == 2
     assert spark.read.parquet(out).count() == 2
+
+
+def test_drifting_lake_merge_and_conflict(spark, tmp_path):
+    from lakesmith.sources.lake import read_drifting_lake
+
+    root = tmp_path / "drift"
+    spark.createDataFrame([(1, "a")], "k bigint, v string").write.parquet(str(root / "y1"))
+    spark.createDataFrame([(2, "b", 1.5)], "k bigint, v string, w double").write.parquet(str(root / "y2"))
+    merged = read_drifting_lake(spark, str(root))            # no type conflict: one mergeSchema scan
+    assert sorted(tuple(r) for r in merged.select("k", "v", "w").collect()) == [(1, "a", None), (2, "b", 1.5)]
+    spark.createDataFrame([("3", "c")], "k string, v string").write.parquet(str(root / "y3"))
+    mixed = read_drifting_lake(spark, str(root))             # k is bigint in two files, string in one
+    assert dict(mixed.dtypes)["k"] == "string"
+    assert sorted(r.k for r in mixed.collect()) == ["1", "2", "3"]
