@@ -50,14 +50,15 @@ def fetch_plan(spark: SparkSession, data_types: list[str] | None = None,
     ).orderBy("_kind_pos", "data_year").drop("_kind_pos")
 
 
-def typed_rows(spark: SparkSession, landing_path: str, glob: str = "*.zip", only: list[str] | None = None) -> DataFrame:
+def typed_rows(spark: SparkSession, landing_path: str | None = None, glob: str = "*.zip",
+               archives: DataFrame | None = None) -> DataFrame:
     """All archives under ``landing_path`` as one typed table with
     ``source_file`` (archive base name without ``.zip``) and ``row_no``.
 
     The reader stages its raw rows in the shared folder, so the inference
     pass and the final cast read staged parquet, not the archives.
     """
-    raw = read_zip_csv(spark, landing_path, glob, only=only)
+    raw = read_zip_csv(spark, landing_path, glob, archives=archives)
     value_cols = [c for c in raw.columns if c not in ("archive", "member", "row_no", "_bad_line", "_mode")]
     typed = infer_and_cast(raw, value_cols)
     return typed.withColumn("source_file", strip_last_extension(base_name(F.col("archive"))))
@@ -103,8 +104,7 @@ def ingest_planned(spark: SparkSession, plan: DataFrame, landing_dir: str, lake_
     todo = landed_archives(spark, plan, landing_dir, data_type)
     if not replace and _exists(spark, lake_path):
         todo = not_yet_done(todo, present_partitions(spark, lake_path, ["source_file"]), "source_file")
-    paths = [r["path"] for r in todo.select("path").collect()]   # the work list: one row per archive
-    if paths:
-        typed = typed_rows(spark, landing_dir, only=paths)
+    if not todo.isEmpty():
+        typed = typed_rows(spark, archives=todo.select("path"))
         publish(typed.drop("archive", "member"), lake_path, ["source_file"], replace=replace, checked=True)
     return spark.read.parquet(lake_path)

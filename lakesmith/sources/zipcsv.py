@@ -14,15 +14,17 @@ Every archive is parsed once:
    the header is row ``-1``, each row carries a ``ragged`` flag (field count
    differs from the header).  The rows are staged as parquet under the shared
    checkpoint folder, which also cuts the lineage back to the archives.
-2. *summary* - per member: header, and whether it has a ragged row while
-   its lines are quoted end to end; observed on the staging write itself.
-3. *fallback* - members with ragged rows whose lines are quoted end to end
-   are re-read with the ``","`` split (decided per file by field count, not
-   by an exception); only those archives are opened again.
+2. *summary* - observed on the staging write itself: the member count, the
+   distinct headers, and the number of ragged rows in members whose lines
+   are quoted end to end.
+3. *fallback* - those members are re-read with the ``","`` split (decided
+   per file by field count, not by an exception); the member list stays a
+   DataFrame that feeds the re-read tasks directly.
 4. *mapping* - each member's header is mapped onto the union of all
-   headers (a column missing in one year is null there) by a join with a
-   per-member position table and ``try_element_at``.  Rows that fit no
-   header keep their raw fields in ``_bad_line``; nothing is dropped.
+   headers (a column missing in one year is null there): a per-member
+   position array built with ``array_position``, joined to the rows, read
+   with ``try_element_at``.  Rows that fit no header keep their raw fields
+   in ``_bad_line``; nothing is dropped.
 
 Archives are opened by path through ``pyarrow.fs`` as seekable streams, so an
 archive never has to fit in memory and no binary column passes through Arrow.
@@ -112,52 +114,51 @@ def _member_chunks(zf: zipfile.ZipFile, path: str, member: str, mode: str):
         yield pd.DataFrame(chunk, columns=_RAW_COLUMNS)
 
 
-def _extractor(modes: dict | None):
-    """``modes`` None: every member in standard mode; else only the listed
-    ``(archive, member)`` pairs, in the given mode."""
-    def extract(batches):
-        for pdf in batches:
-            for path in pdf["path"]:
-                with open_input(path) as f, zipfile.ZipFile(f) as zf:
-                    for m in _members(zf):
-                        mode = STANDARD if modes is None else modes.get((path, m))
-                        if mode is not None:
-                            yield from _member_chunks(zf, path, m, mode)
+def _extract_all(batches):
+    """mapInPandas body: every member of each archive, standard rules."""
+    for pdf in batches:
+        for path in pdf["path"]:
+            with open_input(path) as f, zipfile.ZipFile(f) as zf:
+                for m in _members(zf):
+                    yield from _member_chunks(zf, path, m, STANDARD)
 
-    return extract
 
+def _extract_split(batches):
+    """mapInPandas body: the listed ``(archive, member)`` pairs, ``","`` split;
+    each archive is opened once per task."""
+    for pdf in batches:
+        for path, g in pdf.groupby("archive", sort=True):
+            with open_input(path) as f, zipfile.ZipFile(f) as zf:
+                for m in g["member"]:
+                    yield from _member_chunks(zf, path, m, SPLIT)
 
-def _archives(spark: SparkSession, path: str, glob: str) -> DataFrame:
-    """Archive paths spread over tasks.
 
-    The file list comes from Spark's file index (no job).  A round-robin
-    repartition of the path rows (a tiny shuffle) spreads the archives over
-    ``min(#archives, 2 x default parallelism)`` tasks: one archive per task
-    while there are fewer archives than slots, a few per task beyond that,
-    and never a wave of near-empty tasks.  (The scan alone would pack many
-    small archives into one partition.)
-    """
-    listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-               .option("pathGlobFilter", glob).load(path))
-    n = min(len(listing.inputFiles()), 2 * spark.sparkContext.defaultParallelism)
-    return listing.select("path").repartition(max(n, 1))
+def _spread(df: DataFrame, n: int) -> DataFrame:
+    """Round-robin over ``min(n, 2 x default parallelism)`` tasks: one archive
+    per task while there are fewer archives than slots, a few per task
+    beyond that, never a wave of near-empty tasks.  (A file scan alone would
+    pack many small archives into one partition.)"""
+    return df.repartition(max(1, min(n, 2 * df.sparkSession.sparkContext.defaultParallelism)))
+
 
+def archive_paths(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
+    """``path`` of every archive under ``path`` (content never read)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", glob).load(path).select("path"))
 
-def extract_raw(spark: SparkSession, path: str, glob: str = "*.zip", modes: dict | None = None,
-                only: list[str] | None = None) -> DataFrame:
-    """Raw records of the archives (see module doc, step 1)."""
-    arch = _archives(spark, path, glob)
-    if only is not None:
-        arch = arch.filter(F.col("path").isin(only))
-    return arch.mapInPandas(_extractor(modes), RAW_SCHEMA)
 
+def extract_raw(archives: DataFrame) -> DataFrame:
+    """Raw records of the archives listed in ``archives.path`` (step 1)."""
+    n = archives.count()   # the work list: one small row per archive
+    return _spread(archives.select("path"), n).mapInPandas(_extract_all, RAW_SCHEMA)
 
-def _stage(df: DataFrame) -> tuple[DataFrame, list, list]:
+
+def _stage(df: DataFrame) -> tuple[DataFrame, dict]:
     """Write the raw rows to the shared folder and read them back.
 
-    The member summary rides on the same write as an ``Observation`` (no
-    extra job): every header row, and the members with a ragged row whose
-    lines are quoted end to end.  Both are one small entry per member.
+    Observed on the same write (no extra job), all small: the number of
+    members, their distinct headers, and how many rows are ragged inside a
+    member whose lines are quoted end to end (fallback candidates).
     """
     from pyspark.sql import Observation
 
@@ -167,65 +168,61 @@ def _stage(df: DataFrame) -> tuple[DataFrame, list, list]:
     head = F.col("row_no") == -1
     observed = df.observe(
         obs,
-        F.collect_list(F.when(head, F.struct("archive", "member", "fields"))).alias("headers"),
-        F.collect_set(F.when(F.col("ragged") & F.col("quoted"), F.struct("archive", "member"))).alias("fallback"),
+        F.count(F.when(head, F.lit(1))).alias("members"),
+        F.collect_set(F.when(head, F.col("fields"))).alias("headers"),
+        F.count(F.when(F.col("ragged") & F.col("quoted"), F.lit(1))).alias("fallback_rows"),
     )
     observed.write.mode("overwrite").parquet(out)
-    m = obs.get
-    return spark.read.parquet(out), list(m["headers"]), list(m["fallback"])
-
-
-def member_summary(raw: DataFrame) -> DataFrame:
-    """One row per member: header, data rows, any ragged row, quoted lines."""
-    is_head = F.col("row_no") == -1
-    return raw.groupBy("archive", "member").agg(
-        F.first(F.when(is_head, F.col("fields")), ignorenulls=True).alias("header"),
-        F.count(F.when(~is_head, F.lit(1))).alias("rows"),
-        F.max(F.col("ragged").cast("int")).alias("ragged"),
-        F.first("quoted").alias("quoted"),
-    )
+    return spark.read.parquet(out), obs.get
 
 
-def union_columns(headers) -> list[str]:
-    """Header names in first-seen order over members sorted by (archive, member)."""
+def union_columns(headers: list[list[str]]) -> list[str]:
+    """Header names in first-seen order over the distinct headers (sorted)."""
     cols: list[str] = []
-    for _, header in sorted(headers, key=lambda x: x[0]):
+    for header in sorted(headers):
         for h in header or []:
             if h not in cols:
                 cols.append(h)
     return cols
 
 
-def read_zip_csv(spark: SparkSession, path: str, glob: str = "*.zip", only: list[str] | None = None) -> DataFrame:
-    """All CSV members of the archives under ``path`` as one string table:
+def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zip",
+                 archives: DataFrame | None = None) -> DataFrame:
+    """All CSV members of the archives (under ``path``, or the ``path``
+    column of ``archives``) as one string table:
     ``archive, member, row_no, <union of header columns>, _bad_line, _mode``
     (``_mode`` tells how the member was parsed).
 
-    What reaches the driver is the member summary: one small row per member,
-    metadata that grows with the file count, not with the data.  ``only``
-    restricts the read to the listed archive paths (a work list).
+    Only small answers reach the driver: counts and the distinct headers.
+    Which members need the fallback, and where each column sits in each
+    member's header, stay DataFrames.
     """
     from lakesmith.operators.planning import BROADCAST_MAX_ROWS, not_yet_done
 
-    staged, heads, bad_members = _stage(extract_raw(spark, path, glob, only=only))
-    headers = {(h["archive"], h["member"]): list(h["fields"]) for h in heads}
-    fallback = {(b["archive"], b["member"]): SPLIT for b in bad_members}
+    if archives is None:
+        archives = archive_paths(spark, path, glob)
+    staged, seen = _stage(extract_raw(archives))
+    headers = [list(h) for h in seen["headers"]]
+    members = int(seen["members"])
     rows = staged.withColumn("_mode", F.lit(STANDARD))
-    if fallback:
-        again, heads2, _ = _stage(extract_raw(spark, path, glob, modes=fallback, only=sorted({a for a, _ in fallback})))
-        for h in heads2:
-            headers[(h["archive"], h["member"])] = list(h["fields"])
-        bad = spark.createDataFrame(sorted(fallback), "archive string, member string")
+    heads = staged.filter(F.col("row_no") == -1).select("archive", "member", "fields")
+    if seen["fallback_rows"]:
+        bad = (staged.filter(F.col("ragged") & F.col("quoted"))
+               .select("archive", "member").distinct())
+        again, seen2 = _stage(_spread(bad, members).mapInPandas(_extract_split, RAW_SCHEMA))
+        headers += [list(h) for h in seen2["headers"]]
         rows = not_yet_done(rows, bad, ["archive", "member"]).unionByName(again.withColumn("_mode", F.lit(SPLIT)))
-    columns = union_columns(headers.items())
+        heads = (not_yet_done(heads, bad, ["archive", "member"])
+                 .unionByName(again.filter(F.col("row_no") == -1).select("archive", "member", "fields")))
+    columns = union_columns(headers)
     pos = {c: i for i, c in enumerate(columns)}
-    # 1-based position of each union column in the member's header (null: absent);
-    # built from the member list, so its size is known here without a job
-    mapping = spark.createDataFrame(
-        [(a, m, [h.index(c) + 1 if c in h else None for c in columns]) for (a, m), h in sorted(headers.items())],
-        "archive string, member string, _idx array<int>",
+    # 1-based position of each union column in the member's header (null: absent)
+    mapping = heads.select(
+        "archive", "member",
+        F.transform(F.array(*[F.lit(c) for c in columns]),
+                    lambda c: F.nullif(F.array_position(F.col("fields"), c), F.lit(0)).cast("int")).alias("_idx"),
     )
-    if len(headers) <= BROADCAST_MAX_ROWS:
+    if members <= BROADCAST_MAX_ROWS:   # one row per member, counted on the staging write
         mapping = F.broadcast(mapping)
     data = rows.filter(F.col("row_no") >= 0).join(mapping, ["archive", "member"])
     raw_line = (F.when(F.col("_mode") == SPLIT, F.array_join(F.col("fields"), FALLBACK_SEP))
