@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from lakesmith.functions.ids import DOI_ID_TYPE, PUBMED_ID_TYPE, first_id_of_type
 from lakesmith.functions.paths import strip_suffix
-from lakesmith.operators.sinks import write_per_source
 from lakesmith.sources.xml import read_id_lists
 
 XML_SUFFIX = ".xml.gz"
@@ -38,7 +37,29 @@ def xml_links(spark: SparkSession, xml_path: str, own_only: bool = False) -> Dat
     return extract_links(read_id_lists(spark, xml_path, own_only))
 
 
-def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: bool = False) -> DataFrame:
-    """Write the lake (``source_file=<stem>/`` per input file) and return it read back."""
-    write_per_source(xml_links(spark, xml_path, own_only), lake_path, mode="overwrite")
+def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: bool = False,
+               skip_present: bool = True) -> DataFrame:
+    """Load the article files under ``xml_path`` into the lake
+    (``source_file=<stem>/`` per input file) and return the lake read back.
+
+    ``skip_present``: files whose partition is already in the lake are not
+    read again (the presence check runs first, on the file listing and the
+    lake's partition listing).  Written partitions replace only themselves
+    (dynamic overwrite), so a rerun or a re-delivered file never duplicates
+    rows and never touches other files' output.
+    """
+    from lakesmith.operators.planning import not_yet_done
+    from lakesmith.operators.sinks import _exists, present_partitions
+    from lakesmith.sources.listings import file_inventory
+
+    todo = file_inventory(spark, xml_path, "*" + XML_SUFFIX).select(
+        "path", strip_suffix(F.col("name"), XML_SUFFIX).alias("source_file"))
+    if skip_present and _exists(spark, lake_path):
+        todo = not_yet_done(todo, present_partitions(spark, lake_path, ["source_file"]), "source_file")
+    # the work list: one row per file still to load
+    paths = [r["path"] for r in todo.select("path").collect()]
+    if paths:
+        links = extract_links(read_id_lists(spark, paths, own_only))
+        (links.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("source_file").parquet(lake_path))
     return spark.read.parquet(lake_path)

@@ -33,13 +33,14 @@ def _reader(spark: SparkSession, row_tag: str, schema: T.StructType):
     )
 
 
-def read_id_lists(spark: SparkSession, path: str, own_only: bool = False) -> DataFrame:
+def read_id_lists(spark: SparkSession, path: str | list[str], own_only: bool = False) -> DataFrame:
     """One row per ``ArticleIdList`` element: column ``ArticleId`` (array of
     ``{_IdType, _VALUE}``) plus ``source_file``.
 
     ``own_only=False`` matches the element at any depth (lists nested in
     reference lists too).  ``own_only=True`` keeps only each article's own
-    list (``PubmedArticle/PubmedData/ArticleIdList``).
+    list (``PubmedArticle/PubmedData/ArticleIdList``).  ``path`` is a folder
+    or a list of files.
     """
     if own_only:
         df = _reader(spark, "PubmedArticle", ARTICLE_SCHEMA).load(path)

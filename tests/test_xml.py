@@ -102,3 +102,18 @@ def test_malformed_raises(spark, tmp_path):
     _gz(d / "bad.xml.gz", "<PubmedArticleSet><PubmedArticle><PubmedData><ArticleIdList><ArticleId IdType=\"pubmed\">1</ArticleIdList>")
     with pytest.raises(Exception):
         xml_links(spark, str(d)).collect()
+
+
+def test_ingest_skips_loaded_files_and_replaces_only_its_own(spark, article_dir, tmp_path):
+    lake = str(tmp_path / "lake2")
+    assert ingest_xml(spark, article_dir, lake).count() == 5
+    _gz(f"{article_dir}/pubmed23n0002.xml.gz", ARTICLES.replace(">1<", ">11<"))
+    df = ingest_xml(spark, article_dir, lake)          # only the new file is read
+    assert df.count() == 10
+    assert ingest_xml(spark, article_dir, lake).count() == 10   # rerun adds nothing
+    # a re-delivered file replaces exactly its own partition
+    _gz(f"{article_dir}/pubmed23n0002.xml.gz", ARTICLES.replace(">1<", ">12<"))
+    df = ingest_xml(spark, article_dir, lake, skip_present=False)
+    assert df.count() == 10
+    assert {r.PMID for r in df.filter("source_file = 'pubmed23n0002'").collect()} >= {"12"}
+    assert "11" not in {r.PMID for r in df.collect()}
