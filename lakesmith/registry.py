@@ -423,9 +423,15 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lakesmith.session import fresh_dir
     from lakesmith.sources.lake import read_link_lake
 
+    from lakesmith.sources.listings import file_inventory
+
     lake = render.link_lake(spark, sf_dir)
     out = fresh_dir(spark, "sink", "compacted")
-    write_compacted(read_link_lake(spark, lake), out, files_for(input_bytes(spark, lake)))
+    n = files_for(input_bytes(spark, lake))
+    write_compacted(read_link_lake(spark, lake), out, n)
+    written = file_inventory(spark, out, "*.parquet").count()
+    if written != n:
+        raise AssertionError(f"compaction wrote {written} files, expected {n}")
     return spark.read.parquet(out)
 
 
