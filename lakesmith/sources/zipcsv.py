@@ -147,9 +147,11 @@ def archive_paths(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
             .option("pathGlobFilter", glob).load(path).select("path"))
 
 
-def extract_raw(archives: DataFrame) -> DataFrame:
-    """Raw records of the archives listed in ``archives.path`` (step 1)."""
-    n = archives.count()   # the work list: one small row per archive
+def extract_raw(archives: DataFrame, n: int | None = None) -> DataFrame:
+    """Raw records of the archives listed in ``archives.path`` (step 1);
+    ``n`` is the number of archives if already known."""
+    if n is None:
+        n = archives.count()   # the work list: one small row per archive
     return _spread(archives.select("path"), n).mapInPandas(_extract_all, RAW_SCHEMA)
 
 
@@ -176,6 +178,18 @@ def _stage(df: DataFrame) -> tuple[DataFrame, dict]:
     return spark.read.parquet(out), obs.get
 
 
+def _stage_members(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write a small ``(archive, member)`` list to the shared folder; return it
+    read back with its row count (observed on the write)."""
+    from pyspark.sql import Observation
+
+    spark = df.sparkSession
+    out = fresh_dir(spark, "stage", "zipmembers")
+    obs = Observation("zip_bad_members")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out), int(obs.get["n"])
+
+
 def union_columns(headers: list[list[str]]) -> list[str]:
     """Header names in first-seen order over the distinct headers (sorted)."""
     cols: list[str] = []
@@ -197,23 +211,29 @@ def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zi
     Which members need the fallback, and where each column sits in each
     member's header, stay DataFrames.
     """
-    from lakesmith.operators.planning import BROADCAST_MAX_ROWS, not_yet_done
+    from lakesmith.operators.planning import BROADCAST_MAX_ROWS
 
+    n = None
     if archives is None:
         archives = archive_paths(spark, path, glob)
-    staged, seen = _stage(extract_raw(archives))
+        n = len(archives.inputFiles())   # from Spark's file index, no job
+    staged, seen = _stage(extract_raw(archives, n))
     headers = [list(h) for h in seen["headers"]]
     members = int(seen["members"])
     rows = staged.withColumn("_mode", F.lit(STANDARD))
     heads = staged.filter(F.col("row_no") == -1).select("archive", "member", "fields")
     if seen["fallback_rows"]:
-        bad = (staged.filter(F.col("ragged") & F.col("quoted"))
-               .select("archive", "member").distinct())
-        again, seen2 = _stage(_spread(bad, members).mapInPandas(_extract_split, RAW_SCHEMA))
+        # the members to re-read, written once (one small row per member) and
+        # counted on that write, so the re-read and the anti-join reuse it
+        bad, n_bad = _stage_members(staged.filter(F.col("ragged") & F.col("quoted"))
+                                    .select("archive", "member").distinct())
+        again, seen2 = _stage(_spread(bad, n_bad).mapInPandas(_extract_split, RAW_SCHEMA))
         headers += [list(h) for h in seen2["headers"]]
-        rows = not_yet_done(rows, bad, ["archive", "member"]).unionByName(again.withColumn("_mode", F.lit(SPLIT)))
-        heads = (not_yet_done(heads, bad, ["archive", "member"])
-                 .unionByName(again.filter(F.col("row_no") == -1).select("archive", "member", "fields")))
+        if n_bad <= BROADCAST_MAX_ROWS:
+            bad = F.broadcast(bad)
+        rows = (rows.join(bad, ["archive", "member"], "left_anti")
+                .unionByName(again.withColumn("_mode", F.lit(SPLIT))))
+        heads = rows.filter(F.col("row_no") == -1).select("archive", "member", "fields")
     columns = union_columns(headers)
     pos = {c: i for i, c in enumerate(columns)}
     # 1-based position of each union column in the member's header (null: absent)
