@@ -42,8 +42,11 @@ def first_id_of_type(id_list, id_type: str, type_field: str = "_IdType", value_f
     Null when the list is null/empty or no element matches (the element-lookup
     failure case), and null when the matching element is empty.
     """
-    matches = F.filter(as_col(id_list), lambda x: x[type_field] == F.lit(id_type))
-    return F.get(matches, 0)[value_field]
+    ids = as_col(id_list)
+    # position of the first matching type (0 when absent), then that value;
+    # plain array expressions, so the step stays inside whole-stage codegen
+    first = F.array_position(ids[type_field], F.lit(id_type))
+    return F.try_element_at(ids[value_field], F.nullif(first, F.lit(0)).cast("int"))
 
 
 def not_equal_keep_null(col, value) -> Column:
