@@ -70,16 +70,23 @@ LINK_ATTR = r"(?i)\s(?:" + "|".join(LINK_ATTRS) + r""")\s*=\s*("[^"]*"|'[^']*'|[
 ENTITY_DECODE = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
 
 
-def html_links(html) -> Column:
-    """``array<string>`` of link targets in document order (repeats kept)."""
+def raw_links(html) -> Column:
+    """``array<string>`` of link attribute values as written (quotes and
+    character references still in), in document order."""
     body = F.regexp_replace(F.regexp_replace(as_col(html), HTML_COMMENT, ""), HTML_SCRIPT_BODY, "$1$2")
-    raw = F.regexp_extract_all(body, F.lit(LINK_ATTR), 1)
+    return F.regexp_extract_all(body, F.lit(LINK_ATTR), 1)
+
 
-    def clean(x: Column) -> Column:
-        quoted = F.startswith(x, F.lit('"')) | F.startswith(x, F.lit("'"))
-        v = F.when(quoted, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
-        for ent, ch in ENTITY_DECODE:
-            v = F.replace(v, F.lit(ent), F.lit(ch))
-        return v
+def clean_link(raw) -> Column:
+    """One raw attribute value -> link: outer quotes off, references decoded."""
+    x = as_col(raw)
+    quoted = F.startswith(x, F.lit('"')) | F.startswith(x, F.lit("'"))
+    v = F.when(quoted, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
+    for ent, ch in ENTITY_DECODE:
+        v = F.replace(v, F.lit(ent), F.lit(ch))
+    return v
 
-    return F.transform(raw, clean)
+
+def html_links(html) -> Column:
+    """``array<string>`` of link targets in document order (repeats kept)."""
+    return F.transform(raw_links(html), clean_link)

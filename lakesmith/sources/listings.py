@@ -7,16 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.functions.paths import base_name
-from lakesmith.functions.text import html_links
+from lakesmith.functions.text import clean_link, raw_links
 
 
 def page_links(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """``(page_id, pos, link)``: every link on every page in listing order.
 
     ``pos`` is the 0-based position on the page; repeated links are kept.
-    One generator per row, no shuffle.
+    One generator per row, no shuffle; each link is cleaned after the
+    explode with plain string expressions (whole-stage codegen).
     """
-    return pages.select(id_col, F.posexplode(html_links(F.col(html_col))).alias("pos", "link"))
+    exploded = pages.select(id_col, F.posexplode(raw_links(F.col(html_col))).alias("pos", "_raw"))
+    return exploded.select(id_col, "pos", clean_link(F.col("_raw")).alias("link"))
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
