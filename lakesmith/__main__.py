@@ -1,5 +1,5 @@
-"""Run the jobs from the command line (``spark-submit -m`` style or
-``python -m lakesmith``).
+"""Run the jobs from the command line: ``python -m lakesmith JOB ...`` or
+``spark-submit --py-files lakesmith.zip lakesmith/__main__.py JOB ...``.
 
     python -m lakesmith link-table  --lake DIR --out DIR [--distinct-after-cast]
     python -m lakesmith xml-ingest  --xml DIR --lake DIR [--own-only] [--reload]
