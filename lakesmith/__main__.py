@@ -100,8 +100,14 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         from lakesmith.plans.fetch_plan import plan_fetch
         from lakesmith.sources.listings import file_inventory
 
-        present = file_inventory(spark, a.lake, "*.parquet").select(
+        from lakesmith.operators.sinks import present_partitions
+
+        # present = a file <stem>.parquet (one file per input) or a partition
+        # source_file=<stem>/ (this package's lakes)
+        files = file_inventory(spark, a.lake, "*.parquet").select(
             strip_suffix(base_name(F.col("path")), ".parquet").alias("stem"))
+        parts = present_partitions(spark, a.lake, ["source_file"]).select(F.col("source_file").alias("stem"))
+        present = files.unionByName(parts).filter(F.col("stem") != "")
         todo = plan_fetch(spark.read.parquet(a.pages), present, suffix=a.suffix, base_url=a.base_url,
                           start=a.start, count=a.count, lake_prefix=a.lake)
         todo.write.mode("overwrite").parquet(a.out)

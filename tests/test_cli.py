@@ -54,3 +54,15 @@ def test_fetch_plan_and_responses_jobs(spark, tmp_path):
     raw = tmp_path / "raw.parquet"
     pd.DataFrame({"doi": ["d1", "d2"], "raw": ['﻿({"a": 1})', 'cb({"a": 2})']}).to_parquet(raw)
     assert run(spark, ["responses", "--raw", str(raw), "--out", str(tmp_path / "docs")])["documents"] == 1
+
+
+def test_fetch_plan_sees_partitioned_lake(spark, tmp_path):
+    pages = tmp_path / "pages.parquet"
+    pd.DataFrame({"page_id": [1], "html": ['<a href="a.xml.gz">a</a><a href="b.xml.gz">b</a>']}).to_parquet(pages)
+    lake = str(tmp_path / "lake")
+    spark.createDataFrame([("1", "d", "b")], "PMID string, DOI string, source_file string") \
+        .write.partitionBy("source_file").parquet(lake)
+    out = run(spark, ["fetch-plan", "--pages", str(pages), "--lake", lake, "--base-url", "https://h/",
+                      "--out", str(tmp_path / "todo")])
+    assert out["todo"] == 1
+    assert spark.read.parquet(str(tmp_path / "todo")).first().stem == "a"
