@@ -586,9 +586,9 @@ def stream_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_cleanup", _SQL_XML_LINKS)
 def stream_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed files are moved to an archive folder once loaded (best
-    effort, one batch late); the files are a fresh rendering, so the shared
-    fixture is untouched."""
+    """Processed files are deleted once loaded, as the raw files are after a
+    load (best effort, one batch late); the files are a fresh rendering, so
+    the shared fixture is untouched."""
     from lakesmith.session import fresh_dir
     from lakesmith.streaming.ingest import stream_xml_links
 
@@ -596,7 +596,7 @@ def stream_cleanup(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = f"{run}/landing"
     render.write_stream_batches(spark, sf_dir, landing)
     stream_xml_links(spark, landing, f"{run}/lake", f"{run}/checkpoint", max_files_per_trigger=1,
-                     clean_source="archive", archive_dir=f"{run}/archive")
+                     clean_source="delete")
     return spark.read.parquet(f"{run}/lake").select("PMID", "DOI")
 
 
