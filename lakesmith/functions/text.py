@@ -16,8 +16,14 @@ NA_TOKENS = [
     "nan", "null",
 ]
 
-# A JSON text must be one object or array with nothing but whitespace around it.
-JSON_SHAPE = r"(?s)^\s*[{\[].*[}\]]\s*$"
+# A JSON text is one value with nothing but whitespace around it: an object or
+# array (checked by its outer brackets), or a number, string, true/false/null.
+JSON_SHAPE = (
+    r"(?s)^\s*(?:[{\[].*[}\]]"
+    r'|"(?:[^"\\]|\\.)*"'
+    r"|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+    r"|true|false|null)\s*$"
+)
 
 
 def na_to_null(col, tokens: list[str] | None = None) -> Column:
