@@ -10,6 +10,10 @@ from lakesmith.functions.text import na_to_null
 
 # Integer text as a CSV reader types it: optional sign and ASCII digits.
 _INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+# The spellings a CSV reader with default settings reads as
+# booleans (pandas ``read_csv`` true/false values).
+TRUE_TOKENS = ["True", "TRUE", "true"]
+FALSE_TOKENS = ["False", "FALSE", "false"]
 
 
 def drop_any_null(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -63,12 +67,14 @@ def nulls_for_tokens(df: DataFrame, columns: list[str] | None = None, tokens: li
 
 
 def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """Whole-column type of string columns: ``bigint``, ``double`` or ``string``.
+    """Whole-column type of string columns: ``bigint``, ``double``,
+    ``boolean`` or ``string``.
 
     One aggregate pass over all columns at once: for each column count the
-    non-null values and how many of them read as integer / as double.  A column
-    is integer only if every non-null value is; an all-null column stays string.
-    The result is one small row, so it is the only thing brought to the driver.
+    non-null values and how many of them read as integer / double / boolean.
+    A column gets a type only if every non-null value reads as it; an
+    all-null column stays string.  The result is one small row, so it is the
+    only thing brought to the driver.
     """
     cols = columns if columns is not None else [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
     if not cols:
@@ -80,12 +86,14 @@ def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, st
             F.count(v).alias(f"n{i}"),
             F.count(F.when(v.rlike(_INT_TEXT), F.trim(v).try_cast("bigint"))).alias(f"i{i}"),
             F.count(F.trim(v).try_cast("double")).alias(f"d{i}"),
+            F.count(F.when(v.isin(*TRUE_TOKENS, *FALSE_TOKENS), F.lit(1))).alias(f"b{i}"),
         ]
     row = df.agg(*aggs).first()
     out = {}
     for i, c in enumerate(cols):
-        n, ni, nd = row[f"n{i}"], row[f"i{i}"], row[f"d{i}"]
-        out[c] = "string" if n == 0 else "bigint" if ni == n else "double" if nd == n else "string"
+        n, ni, nd, nb = row[f"n{i}"], row[f"i{i}"], row[f"d{i}"], row[f"b{i}"]
+        out[c] = ("string" if n == 0 else "bigint" if ni == n else "double" if nd == n
+                  else "boolean" if nb == n else "string")
     return out
 
 
@@ -95,6 +103,9 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
         t = types.get(c)
         if t is None or t == "string":
             return F.col(c)
+        if t == "boolean":
+            return F.when(F.col(c).isin(*TRUE_TOKENS), F.lit(True)).when(
+                F.col(c).isin(*FALSE_TOKENS), F.lit(False)).alias(c)
         return F.trim(F.col(c)).try_cast(t).alias(c)
 
     return df.select(*[typed(c) for c in df.columns])

@@ -73,8 +73,13 @@ def test_observe_count_is_free(spark, tmp_path):
 
 
 def test_infer_types(spark):
-    df = spark.createDataFrame([("1", "1.5", "x", None), ("2", "2", "3", None)], "a string, b string, c string, d string")
-    assert infer_types(df) == {"a": "bigint", "b": "double", "c": "string", "d": "string"}
+    from lakesmith.operators.tables import apply_types
+
+    df = spark.createDataFrame([("1", "1.5", "x", None, "True"), ("2", "2", "3", None, "false")],
+                               "a string, b string, c string, d string, e string")
+    types = infer_types(df)
+    assert types == {"a": "bigint", "b": "double", "c": "string", "d": "string", "e": "boolean"}
+    assert [r.e for r in apply_types(df, types).collect()] == [True, False]
 
 
 def test_publish_skip_and_replace(spark, tmp_path):
