@@ -125,13 +125,25 @@ def present_partitions(spark: SparkSession, path: str, columns: list[str], schem
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` already holds data files (anything but ``_``/``.``
-    markers), checked on the filesystem without planning a read."""
-    from pyarrow import fs as pafs
-
-    from lakesmith.sources import _fs
-
-    filesystem, inner = _fs.resolve(path)
-    if filesystem.get_file_info(inner).type == pafs.FileType.NotFound:
-        return False
-    entries = filesystem.get_file_info(pafs.FileSelector(inner, recursive=False))
-    return any(not e.base_name.startswith(("_", ".")) for e in entries)
+    markers).  Checked on the filesystem without planning a read; if the
+    driver cannot open that filesystem through ``pyarrow.fs`` (e.g. HDFS
+    without libhdfs), a Spark file listing answers instead."""
+    try:
+        from pyarrow import fs as pafs
+
+        from lakesmith.sources import _fs
+
+        filesystem, inner = _fs.resolve(path)
+        if filesystem.get_file_info(inner).type == pafs.FileType.NotFound:
+            return False
+        entries = filesystem.get_file_info(pafs.FileSelector(inner, recursive=False))
+        return any(not e.base_name.startswith(("_", ".")) for e in entries)
+    except Exception:  # noqa: BLE001 - fall back to Spark's own filesystem access
+        from pyspark.errors import AnalysisException
+
+        try:
+            listing = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                       .load(path).select("path"))
+            return not listing.filter(~F.col("path").rlike(r"/[_.][^/]*$")).isEmpty()
+        except AnalysisException:
+            return False
