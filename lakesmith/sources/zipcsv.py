@@ -2,7 +2,8 @@
 fallback for badly quoted files.
 
 Spark's CSV source cannot open a zip (it returns garbage rows, no error), so
-the archives are read by Python inside ``mapInPandas``.  The work is still
+the archives are read by Python inside ``mapInArrow`` (Arrow record batches
+built directly, no pandas objects in between).  The work is still
 Spark's: the file listing, one task per archive (zip is not splittable), and
 everything after the raw fields (header mapping, missing tokens, type
 inference, casts, writes) is built-in expressions.
@@ -36,7 +37,6 @@ import csv
 import io
 import zipfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,8 +91,22 @@ def _first_line_quoted(zf: zipfile.ZipFile, member: str) -> bool:
 
 
 def _member_chunks(zf: zipfile.ZipFile, path: str, member: str, mode: str):
+    """Arrow record batches of one member's records, ``CHUNK_ROWS`` at a time."""
+    import pyarrow as pa
+
     quoted = _first_line_quoted(zf, member)
-    chunk: list = []
+    rows_no: list = []
+    fields: list = []
+    ragged: list = []
+
+    def batch():
+        n = len(rows_no)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string()),
+             pa.array(rows_no, pa.int64()), pa.array(fields, pa.list_(pa.string())),
+             pa.array(ragged, pa.bool_()), pa.array([quoted] * n, pa.bool_())],
+            names=_RAW_COLUMNS)
+
     width = None
     with _text(zf, member) as s:
         try:
@@ -101,35 +115,44 @@ def _member_chunks(zf: zipfile.ZipFile, path: str, member: str, mode: str):
                     if mode == SPLIT:
                         rec = [h.replace('"', "") for h in rec]
                     width = len(rec)
-                    chunk.append((path, member, -1, rec, False, quoted))
+                    rows_no.append(-1)
+                    fields.append(rec)
+                    ragged.append(False)
                     continue
-                chunk.append((path, member, row_no, rec, len(rec) != width, quoted))
-                if len(chunk) >= CHUNK_ROWS:
-                    yield pd.DataFrame(chunk, columns=_RAW_COLUMNS)
-                    chunk = []
+                rows_no.append(row_no)
+                fields.append(rec)
+                ragged.append(len(rec) != width)
+                if len(rows_no) >= CHUNK_ROWS:
+                    yield batch()
+                    rows_no, fields, ragged = [], [], []
         except csv.Error as e:
             # unparseable remainder: keep it visible as one ragged row
-            chunk.append((path, member, 1 << 62, [f"csv error: {e}"], True, quoted))
-    if chunk:
-        yield pd.DataFrame(chunk, columns=_RAW_COLUMNS)
+            rows_no.append(1 << 62)
+            fields.append([f"csv error: {e}"])
+            ragged.append(True)
+    if rows_no:
+        yield batch()
 
 
 def _extract_all(batches):
-    """mapInPandas body: every member of each archive, standard rules."""
-    for pdf in batches:
-        for path in pdf["path"]:
+    """mapInArrow body: every member of each archive, standard rules."""
+    for b in batches:
+        for path in b.column("path").to_pylist():
             with open_input(path) as f, zipfile.ZipFile(f) as zf:
                 for m in _members(zf):
                     yield from _member_chunks(zf, path, m, STANDARD)
 
 
 def _extract_split(batches):
-    """mapInPandas body: the listed ``(archive, member)`` pairs, ``","`` split;
+    """mapInArrow body: the listed ``(archive, member)`` pairs, ``","`` split;
     each archive is opened once per task."""
-    for pdf in batches:
-        for path, g in pdf.groupby("archive", sort=True):
+    for b in batches:
+        wanted: dict = {}
+        for a, m in zip(b.column("archive").to_pylist(), b.column("member").to_pylist()):
+            wanted.setdefault(a, []).append(m)
+        for path in sorted(wanted):
             with open_input(path) as f, zipfile.ZipFile(f) as zf:
-                for m in g["member"]:
+                for m in wanted[path]:
                     yield from _member_chunks(zf, path, m, SPLIT)
 
 
@@ -152,7 +175,7 @@ def extract_raw(archives: DataFrame, n: int | None = None) -> DataFrame:
     ``n`` is the number of archives if already known."""
     if n is None:
         n = archives.count()   # the work list: one small row per archive
-    return _spread(archives.select("path"), n).mapInPandas(_extract_all, RAW_SCHEMA)
+    return _spread(archives.select("path"), n).mapInArrow(_extract_all, RAW_SCHEMA)
 
 
 def _stage(df: DataFrame) -> tuple[DataFrame, dict]:
@@ -227,7 +250,7 @@ def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zi
         # counted on that write, so the re-read and the anti-join reuse it
         bad, n_bad = _stage_members(staged.filter(F.col("ragged") & F.col("quoted"))
                                     .select("archive", "member").distinct())
-        again, seen2 = _stage(_spread(bad, n_bad).mapInPandas(_extract_split, RAW_SCHEMA))
+        again, seen2 = _stage(_spread(bad, n_bad).mapInArrow(_extract_split, RAW_SCHEMA))
         headers += [list(h) for h in seen2["headers"]]
         if n_bad <= BROADCAST_MAX_ROWS:
             bad = F.broadcast(bad)
