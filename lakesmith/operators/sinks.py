@@ -50,13 +50,22 @@ def files_for(total_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
     return max(1, math.ceil(total_bytes / target_bytes))
 
 
-def write_compacted(df: DataFrame, path: str, n_files: int, mode: str = "overwrite") -> None:
+def write_compacted(df: DataFrame, path: str, n_files: int, mode: str = "overwrite",
+                    cluster_by: list[str] | None = None) -> None:
     """Write ``df`` as ``n_files`` files of similar size.
 
     ``repartition(n)`` is a full shuffle but balances the files; ``coalesce(1)``
-    would funnel all data through one task.
+    would funnel all data through one task.  ``cluster_by``: range-partition
+    and sort on these columns instead, so each file holds a disjoint key
+    range and parquet min/max statistics let readers skip files and row
+    groups.  Give a column list that is unique per row (e.g. the whole key),
+    so one hot leading value is still split across files.
     """
-    df.repartition(n_files).write.mode(mode).parquet(path)
+    if cluster_by:
+        out = df.repartitionByRange(n_files, *cluster_by).sortWithinPartitions(*cluster_by)
+    else:
+        out = df.repartition(n_files)
+    out.write.mode(mode).parquet(path)
 
 
 def write_json_documents(df: DataFrame, variant_col: str, path: str, mode: str = "overwrite") -> None:

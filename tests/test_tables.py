@@ -128,3 +128,20 @@ def test_drifting_lake_merge_and_conflict(spark, tmp_path):
     mixed = read_drifting_lake(spark, str(root))             # k is bigint in two files, string in one
     assert dict(mixed.dtypes)["k"] == "string"
     assert sorted(r.k for r in mixed.collect()) == ["1", "2", "3"]
+
+
+def test_clustered_compaction_gives_disjoint_ranges(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    src = spark.range(0, 20000).selectExpr("id % 7000 AS PMID", "concat('d', id) AS DOI").repartition(13)
+    out = tmp_path / "clustered"
+    write_compacted(src, str(out), 4, cluster_by=["PMID", "DOI"])
+    ranges = []
+    for f in sorted(out.glob("*.parquet")):
+        col = pq.read_table(f, columns=["PMID"]).column("PMID").to_pylist()
+        assert col == sorted(col)                      # sorted inside each file
+        ranges.append((min(col), max(col)))
+    ranges.sort()
+    assert len(ranges) == 4
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))   # files cover disjoint ranges
+    assert spark.read.parquet(str(out)).count() == 20000
