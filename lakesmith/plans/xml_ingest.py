@@ -37,29 +37,54 @@ def xml_links(spark: SparkSession, xml_path: str, own_only: bool = False) -> Dat
     return extract_links(read_id_lists(spark, xml_path, own_only))
 
 
+MANIFEST = "_manifest"
+
+
+def load_manifest(spark: SparkSession, lake_path: str) -> DataFrame | None:
+    """``(source_file, rows)`` of every file loaded into the lake so far, or
+    None before the first load.  Kept under ``_manifest/`` in the lake, which
+    Spark's readers skip (leading underscore)."""
+    from lakesmith.operators.sinks import _exists
+    from lakesmith.sources import _fs
+
+    path = _fs.join(lake_path, MANIFEST)
+    return spark.read.parquet(path) if _exists(spark, path) else None
+
+
 def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: bool = False,
                skip_present: bool = True) -> DataFrame:
     """Load the article files under ``xml_path`` into the lake
     (``source_file=<stem>/`` per input file) and return the lake read back.
 
-    ``skip_present``: files whose partition is already in the lake are not
-    read again (the presence check runs first, on the file listing and the
-    lake's partition listing).  Written partitions replace only themselves
-    (dynamic overwrite), so a rerun or a re-delivered file never duplicates
-    rows and never touches other files' output.
+    ``skip_present``: files already loaded are not read again.  The
+    presence check runs first, on the file listing against the lake's load
+    manifest (which also remembers files that yielded no rows).  Written
+    partitions replace only themselves (dynamic overwrite), so a rerun or a
+    re-delivered file never duplicates rows and never touches other files'
+    output.  After the write, one manifest row per loaded file records its
+    row count (from the new partitions' parquet footers, no re-parse).
     """
     from lakesmith.operators.planning import not_yet_done
-    from lakesmith.operators.sinks import _exists, present_partitions
+    from lakesmith.sources import _fs
     from lakesmith.sources.listings import file_inventory
 
     todo = file_inventory(spark, xml_path, "*" + XML_SUFFIX).select(
         "path", strip_suffix(F.col("name"), XML_SUFFIX).alias("source_file"))
-    if skip_present and _exists(spark, lake_path):
-        todo = not_yet_done(todo, present_partitions(spark, lake_path, ["source_file"]), "source_file")
+    manifest = load_manifest(spark, lake_path)
+    if skip_present and manifest is not None:
+        todo = not_yet_done(todo, manifest, "source_file")
     # the work list: one row per file still to load
-    paths = [r["path"] for r in todo.select("path").collect()]
-    if paths:
-        links = extract_links(read_id_lists(spark, paths, own_only))
+    work = [(r["path"], r["source_file"]) for r in todo.collect()]
+    if work:
+        links = extract_links(read_id_lists(spark, [p for p, _ in work], own_only))
         (links.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("source_file").parquet(lake_path))
+        stems = [s for _, s in work]
+        loaded = (spark.read.parquet(lake_path).filter(F.col("source_file").isin(stems))
+                  .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
+        entries = (spark.createDataFrame([(s,) for s in stems], "source_file string")
+                   .join(loaded, "source_file", "left")
+                   .select("source_file", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+                           F.current_timestamp().alias("loaded_at")))
+        entries.write.mode("append").parquet(_fs.join(lake_path, MANIFEST))
     return spark.read.parquet(lake_path)

@@ -117,3 +117,15 @@ def test_ingest_skips_loaded_files_and_replaces_only_its_own(spark, article_dir,
     assert df.count() == 10
     assert {r.PMID for r in df.filter("source_file = 'pubmed23n0002'").collect()} >= {"12"}
     assert "11" not in {r.PMID for r in df.collect()}
+
+
+def test_manifest_remembers_empty_files_and_counts(spark, article_dir, tmp_path):
+    from lakesmith.plans.xml_ingest import load_manifest
+
+    _gz(f"{article_dir}/empty.xml.gz", "<PubmedArticleSet><PubmedArticle/></PubmedArticleSet>")
+    lake = str(tmp_path / "lake3")
+    ingest_xml(spark, article_dir, lake)
+    counts = {r.source_file: r.rows for r in load_manifest(spark, lake).collect()}
+    assert counts == {"pubmed23n0001": 5, "empty": 0}
+    ingest_xml(spark, article_dir, lake)                      # nothing new: no second entry
+    assert load_manifest(spark, lake).count() == 2
