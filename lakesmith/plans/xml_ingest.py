@@ -41,9 +41,10 @@ MANIFEST = "_manifest"
 
 
 def load_manifest(spark: SparkSession, lake_path: str) -> DataFrame | None:
-    """``(source_file, rows)`` of every file loaded into the lake so far, or
-    None before the first load.  Kept under ``_manifest/`` in the lake, which
-    Spark's readers skip (leading underscore)."""
+    """``(source_file, loaded_at)`` of every file loaded into the lake so
+    far, or None before the first load.  Kept under ``_manifest/`` in the
+    lake, which Spark's readers skip (leading underscore).  Rows per file:
+    ``operators.tables.counts_by(lake, "source_file")``."""
     from lakesmith.operators.sinks import _exists
     from lakesmith.sources import _fs
 
@@ -61,8 +62,7 @@ def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: boo
     manifest (which also remembers files that yielded no rows).  Written
     partitions replace only themselves (dynamic overwrite), so a rerun or a
     re-delivered file never duplicates rows and never touches other files'
-    output.  After the write, one manifest row per loaded file records its
-    row count (from the new partitions' parquet footers, no re-parse).
+    output.  After the write, one manifest row per loaded file is appended.
     """
     from lakesmith.operators.planning import not_yet_done
     from lakesmith.sources import _fs
@@ -79,12 +79,8 @@ def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: boo
         links = extract_links(read_id_lists(spark, [p for p, _ in work], own_only))
         (links.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("source_file").parquet(lake_path))
-        stems = [s for _, s in work]
-        loaded = (spark.read.parquet(lake_path).filter(F.col("source_file").isin(stems))
-                  .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
-        entries = (spark.createDataFrame([(s,) for s in stems], "source_file string")
-                   .join(loaded, "source_file", "left")
-                   .select("source_file", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-                           F.current_timestamp().alias("loaded_at")))
+        # one manifest row per loaded file (the work list itself: no extra pass)
+        entries = spark.createDataFrame([(s,) for _, s in work], "source_file string") \
+            .withColumn("loaded_at", F.current_timestamp())
         entries.write.mode("append").parquet(_fs.join(lake_path, MANIFEST))
     return spark.read.parquet(lake_path)
