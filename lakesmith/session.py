@@ -64,3 +64,41 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
 def fresh_dir(spark: SparkSession, *parts: str) -> str:
     """A new, never-used folder under the shared scratch area."""
     return scratch_dir(spark, *parts, uuid.uuid4().hex)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable by the Python workers, wherever they run.
+
+    Steps that run Python in tasks (``mapInArrow`` / ``mapInPandas``) pickle
+    functions by module reference, so the workers must import ``lakesmith``.
+    The package is zipped once per Spark context into the shared folder and
+    added with ``addPyFile``, which puts it on every worker's path (local or
+    cluster).  Cheap and idempotent.
+    """
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import io
+    import zipfile
+
+    from lakesmith.sources import _fs
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    folder = scratch_dir(spark, "pyfiles", key)
+    _fs.makedirs(folder)
+    out = _fs.join(folder, "lakesmith.zip")
+    with _fs.open_output(out) as sink:
+        sink.write(buf.getvalue())
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
