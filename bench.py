@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from lakesmith.fixtures import render  # noqa: E402
 from lakesmith.registry import QUERIES  # noqa: E402
-from lakesmith.session import get_session  # noqa: E402
+from lakesmith.session import get_session, ship_package  # noqa: E402
 
 HEADLINE = [
     "linktable_build",
@@ -48,6 +48,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)   # Python workers import the package whatever the working directory
 
     render_sec = {}
     for name, fn in FIXTURES.items():

@@ -70,7 +70,10 @@ def _parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, argv: list[str]) -> dict:
     from pyspark.sql import functions as F
 
+    from lakesmith.session import ship_package
+
     a = _parser().parse_args(argv)
+    ship_package(spark)
     if a.job == "link-table":
         from lakesmith.plans.linktable import publish_link_table
 
