@@ -7,8 +7,9 @@ the link lake and XML files from ``orders``/``lineitem``, zipped CSV from
 segment), never by dropping rows, and every rule is mirrored in the SQL
 oracle (``lakesmith.registry``).
 
-Rendered output goes under the shared scratch folder and is reused within a
-session: a folder with a ``_SUCCESS`` marker is complete.
+Rendered output goes under the shared scratch folder and is reused: a folder
+with a ``_SUCCESS`` marker is complete.  Each rendering is written to a fresh
+folder and renamed into place, so concurrent sessions cannot interleave.
 """
 
 from __future__ import annotations
@@ -59,9 +60,25 @@ def _complete(path: str) -> bool:
 
 
 def _cached(spark: SparkSession, sf_dir: str, name: str, render) -> str:
+    """``render`` the fixture once.  It is written to a fresh folder and
+    renamed into place, so two sessions rendering at the same time never
+    write into one folder: the second rename fails and that session uses the
+    finished copy."""
+    import uuid
+
     path = fixture_dir(spark, sf_dir, name)
-    if not _complete(path):
-        render(path)
+    if _complete(path):
+        return path
+    fs.makedirs(path.rsplit("/", 1)[0])
+    tmp = f"{path}.tmp-{uuid.uuid4().hex}"
+    render(tmp)
+    if not _complete(tmp):
+        fs.touch(fs.join(tmp, "_SUCCESS"))
+    try:
+        fs.move(tmp, path)
+    except Exception:  # noqa: BLE001 - another session finished first
+        if not _complete(path):
+            raise
     return path
 
 
@@ -283,16 +300,15 @@ def part_zips(spark: SparkSession, sf_dir: str) -> str:
 def supplier_drift(spark: SparkSession, sf_dir: str) -> list[str]:
     """``supplier`` split by account sign into two files with different columns:
     one has ``s_nationkey`` as text and no ``s_acctbal``."""
-    base = fixture_dir(spark, sf_dir, "supplier_drift")
-    a, b = fs.join(base, "a"), fs.join(base, "b")
-    if not _complete(base):
+    def render(base):
         sup = table(spark, sf_dir, "supplier")
-        sup.filter(F.col("s_acctbal") >= 0).write.mode("overwrite").parquet(a)
+        sup.filter(F.col("s_acctbal") >= 0).write.mode("overwrite").parquet(fs.join(base, "a"))
         (sup.filter(~(F.col("s_acctbal") >= 0))
             .select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("s_nationkey"))
-            .write.mode("overwrite").parquet(b))
-        fs.touch(fs.join(base, "_SUCCESS"))
-    return [a, b]
+            .write.mode("overwrite").parquet(fs.join(base, "b")))
+
+    base = _cached(spark, sf_dir, "supplier_drift", render)
+    return [fs.join(base, "a"), fs.join(base, "b")]
 
 
 # ---------------------------------------------------------------- JSONP responses
