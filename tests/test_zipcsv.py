@@ -101,3 +101,12 @@ def test_fetch_plan_default_grid(spark):
 def test_fetch_plan_rejects_unknown_type(spark):
     with pytest.raises(Exception, match="not within valid options"):
         fetch_plan(spark, data_types=["projects", "grants"]).collect()
+
+
+def test_short_row_is_padded(spark, tmp_path):
+    d = tmp_path / "short"
+    d.mkdir()
+    _zip(d / "2003.zip", "s.csv", 'a,b,c\n1,2\n4,5,6\n')
+    rows = {r.a: r for r in read_zip_csv(spark, str(d)).collect()}
+    assert rows["1"].b == "2" and rows["1"].c is None and rows["1"]._bad_line is None
+    assert rows["4"].c == "6"
