@@ -5,50 +5,65 @@ Standard files: header, quoted fields with doubled quotes, quoted newlines
 split).  Badly quoted files (every field quoted, inner quotes not doubled):
 split on the three characters ``","`` with quoting off, then the outer quote
 is removed from the header names and from the first and last values.
+
+Both read all columns as strings (typing is a separate whole-column step,
+``operators.tables.infer_and_cast``) and keep rows whole: a row shorter than
+the header is padded with nulls, as CSV readers do; a row with more fields
+than the header is kept in ``_bad_line`` (its raw text) with null values,
+instead of being cut silently.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ENCODING = "ISO-8859-1"
+_CORRUPT = "_corrupt_record"
+
+
+def _reader(spark: SparkSession, split: bool, multi_line: bool):
+    r = spark.read.option("header", True).option("encoding", ENCODING)
+    if split:
+        return r.option("sep", '","').option("quote", "")
+    return r.option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+
+
+def _read_whole_rows(spark: SparkSession, path: str, split: bool, multi_line: bool = True) -> DataFrame:
+    """Header names from the first file, then every row against them with
+    Spark's corrupt-record column; long rows become ``_bad_line``."""
+    names = _reader(spark, split, multi_line).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names]
+                          + [T.StructField(_CORRUPT, T.StringType())])
+    df = (_reader(spark, split, multi_line).schema(schema).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
+    # Spark flags short and long rows alike; only a long row fills the last column too
+    long_row = F.col(_CORRUPT).isNotNull() & F.col(f"`{names[-1]}`").isNotNull()
+    cols = [F.when(~long_row, F.col(f"`{c}`")).alias(c) for c in names]
+    return df.select(*cols, F.when(long_row, F.col(_CORRUPT)).alias("_bad_line"))
 
 
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """All-string columns; typing is a separate whole-column step
-    (``operators.tables.infer_and_cast``)."""
-    return (
-        spark.read.option("header", True)
-        .option("encoding", ENCODING)
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    """Standard CSV: string columns named by the header, plus ``_bad_line``."""
+    return _read_whole_rows(spark, path, split=False, multi_line=multi_line)
 
 
 def read_quote_split_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The ``","`` fallback on plain files: one line per row, no quoting."""
-    df = (
-        spark.read.option("header", True)
-        .option("encoding", ENCODING)
-        .option("sep", '","')
-        .option("quote", "")
-        .csv(path)
-    )
-    names = [c.replace('"', "") for c in df.columns]
-    first, last = df.columns[0], df.columns[-1]
+    """The ``","`` fallback on plain files: one line per row, no quoting;
+    outer quotes removed from header names and from the first and last value."""
+    df = _read_whole_rows(spark, path, split=True, multi_line=False)
+    data = [c for c in df.columns if c != "_bad_line"]
+    first, last = data[0], data[-1]
     cols = []
-    for c, name in zip(df.columns, names):
+    for c in data:
         v = F.col(f"`{c}`")
         if c == first:
             v = F.regexp_replace(v, '^"', "")
         if c == last:
             v = F.regexp_replace(v, '"$', "")
-        cols.append(v.alias(name))
-    return df.select(*cols)
+        cols.append(v.alias(c.replace('"', "")))
+    return df.select(*cols, "_bad_line")
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
