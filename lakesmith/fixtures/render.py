@@ -183,11 +183,12 @@ def nested_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = XML_ROWS_P
     return _cached(spark, sf_dir, "nested_xml", render)
 
 
-def write_stream_batches(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """``orders`` as article files, one sub-folder per order status (three
-    arrival batches).  Every row lands in exactly one folder."""
+def write_stream_batches(spark: SparkSession, sf_dir: str, path: str,
+                         statuses: tuple[str, ...] = ("F", "O", "P")) -> None:
+    """``orders`` as article files, one sub-folder per order status (arrival
+    batches).  Every row lands in exactly one folder."""
     orders = table(spark, sf_dir, "orders")
-    for st in ("F", "O", "P"):
+    for st in statuses:
         ids = article_ids(orders.filter(F.col("o_orderstatus") == st))
         art = ids.select(F.struct(F.struct(F.col("ids").alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData"))
         _write_articles(art, fs.join(path, f"batch={st}"), 100_000_000)

@@ -666,3 +666,19 @@ def zip_plan_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest_planned(spark, fetch_plan(spark, ["projects"], 1985, 1995), landing, lake, "projects")
     out = ingest_planned(spark, fetch_plan(spark, ["projects"], 1985, 2010), landing, lake, "projects")
     return out.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@register("stream_new_arrivals", _SQL_XML_LINKS)
+def stream_new_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files for two order statuses land and are ingested; the third status
+    lands later and the next run adds exactly its rows (each file once)."""
+    from lakesmith.session import fresh_dir
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    run = fresh_dir(spark, "stream", "arrivals")
+    landing, lake, ckpt = f"{run}/landing", f"{run}/lake", f"{run}/checkpoint"
+    render.write_stream_batches(spark, sf_dir, landing, statuses=("F", "O"))
+    stream_xml_links(spark, landing, lake, ckpt)
+    render.write_stream_batches(spark, sf_dir, landing, statuses=("P",))
+    stream_xml_links(spark, landing, lake, ckpt)
+    return spark.read.parquet(lake).select("PMID", "DOI")
