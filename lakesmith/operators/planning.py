@@ -6,9 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows we allow a broadcast side to have; a file inventory or work list far
-# below this costs a few MB per executor.
-BROADCAST_MAX_ROWS = 1_000_000
+# Rows we allow a broadcast side to have.  Broadcast sides here are file
+# inventories, work lists and key lists (a few hundred bytes a row), so the
+# bound keeps a broadcast near the tens of MB every executor holds.
+BROADCAST_MAX_ROWS = 200_000
+# Byte cap for broadcast sides whose row width is known up front.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def broadcast_fits(rows: int, row_bytes: int) -> bool:
+    """A side of ``rows`` rows of about ``row_bytes`` bytes may be broadcast."""
+    return rows <= BROADCAST_MAX_ROWS and rows * row_bytes <= BROADCAST_MAX_BYTES
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:

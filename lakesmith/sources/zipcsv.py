@@ -234,7 +234,7 @@ def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zi
     Which members need the fallback, and where each column sits in each
     member's header, stay DataFrames.
     """
-    from lakesmith.operators.planning import BROADCAST_MAX_ROWS
+    from lakesmith.operators.planning import broadcast_fits
 
     n = None
     if archives is None:
@@ -252,7 +252,7 @@ def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zi
                                     .select("archive", "member").distinct())
         again, seen2 = _stage(_spread(bad, n_bad).mapInArrow(_extract_split, RAW_SCHEMA))
         headers += [list(h) for h in seen2["headers"]]
-        if n_bad <= BROADCAST_MAX_ROWS:
+        if broadcast_fits(n_bad, 512):   # (archive path, member name) per row
             bad = F.broadcast(bad)
         rows = (rows.join(bad, ["archive", "member"], "left_anti")
                 .unionByName(again.withColumn("_mode", F.lit(SPLIT))))
@@ -265,7 +265,9 @@ def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zi
         F.transform(F.array(*[F.lit(c) for c in columns]),
                     lambda c: F.nullif(F.array_position(F.col("fields"), c), F.lit(0)).cast("int")).alias("_idx"),
     )
-    if members <= BROADCAST_MAX_ROWS:   # one row per member, counted on the staging write
+    # one row per member (counted on the staging write): two names and one
+    # int per union column
+    if broadcast_fits(members, 512 + 8 * len(columns)):
         mapping = F.broadcast(mapping)
     data = rows.filter(F.col("row_no") >= 0).join(mapping, ["archive", "member"])
     raw_line = (F.when(F.col("_mode") == SPLIT, F.array_join(F.col("fields"), FALLBACK_SEP))
