@@ -682,3 +682,21 @@ def stream_new_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     render.write_stream_batches(spark, sf_dir, landing, statuses=("P",))
     stream_xml_links(spark, landing, lake, ckpt)
     return spark.read.parquet(lake).select("PMID", "DOI")
+
+
+@register("zip_inventory", """SELECT DISTINCT CAST(c_nationkey + 1985 AS INT) AS data_year,
+  'lake/projects/' || CAST(c_nationkey + 1985 AS VARCHAR) || '.parquet' AS lake_path
+FROM customer""")
+def zip_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed archives listed (no file opened), the year parsed from each
+    name and mapped to its lake path: one row per year present."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.sources.listings import file_inventory
+
+    inv = file_inventory(spark, render.customer_zips(spark, sf_dir), "*.zip")
+    year = F.regexp_extract(F.col("name"), r"^([0-9]{4})", 1)
+    return inv.select(
+        year.cast("int").alias("data_year"),
+        F.concat(F.lit("lake/projects/"), year, F.lit(".parquet")).alias("lake_path"),
+    ).distinct()
