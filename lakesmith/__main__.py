@@ -87,7 +87,10 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if a.job == "xml-stream":
         from lakesmith.streaming.ingest import stream_xml_links
 
-        batches = stream_xml_links(spark, a.xml, a.lake, a.checkpoint, max_files_per_trigger=a.max_files,
+        from lakesmith.streaming.ingest import DEFAULT_MAX_FILES_PER_TRIGGER
+
+        batches = stream_xml_links(spark, a.xml, a.lake, a.checkpoint,
+                                   max_files_per_trigger=a.max_files or DEFAULT_MAX_FILES_PER_TRIGGER,
                                    clean_source="archive" if a.archive else None, archive_dir=a.archive)
         return {"job": a.job, "batches": batches, "lake": a.lake}
     if a.job == "zip-ingest":

@@ -19,9 +19,13 @@ from pyspark.sql import functions as F
 from lakesmith.plans.xml_ingest import extract_links
 from lakesmith.sources.xml import ID_LIST_SCHEMA
 
+# Files per micro-batch unless told otherwise: a failed batch redoes at most
+# this many files, and each batch commits its output and checkpoint.
+DEFAULT_MAX_FILES_PER_TRIGGER = 1000
+
 
 def stream_xml_links(spark: SparkSession, landing: str, lake: str, checkpoint: str,
-                     max_files_per_trigger: int | None = None,
+                     max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
                      clean_source: str | None = None, archive_dir: str | None = None) -> int:
     """Process every file under ``landing`` not yet seen by ``checkpoint`` into
     the parquet ``lake`` (``availableNow``: all pending files, then stop).
