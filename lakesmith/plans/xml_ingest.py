@@ -12,10 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.functions.ids import DOI_ID_TYPE, PUBMED_ID_TYPE, first_id_of_type
-from lakesmith.functions.paths import strip_suffix
 from lakesmith.sources.xml import read_id_lists
 
 XML_SUFFIX = ".xml.gz"
+# Landed article files: gzipped as published, or already unpacked.
+XML_GLOB = "{*.xml.gz,*.xml}"
+_XML_NAME_END = r"\.xml(\.gz)?$"
+
+
+def xml_stem(name):
+    """File name without ``.xml.gz`` / ``.xml`` (a suffix, not a character set)."""
+    return F.regexp_replace(name, _XML_NAME_END, "")
 
 
 def _text_or_null(c):
@@ -29,7 +36,7 @@ def extract_links(id_lists: DataFrame) -> DataFrame:
     return id_lists.select(
         _text_or_null(first_id_of_type("ArticleId", PUBMED_ID_TYPE)).alias("PMID"),
         _text_or_null(first_id_of_type("ArticleId", DOI_ID_TYPE)).alias("DOI"),
-        strip_suffix(F.col("source_file"), XML_SUFFIX).alias("source_file"),
+        xml_stem(F.col("source_file")).alias("source_file"),
     ).dropna("any", subset=["PMID", "DOI"])
 
 
@@ -68,8 +75,8 @@ def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: boo
     from lakesmith.sources import _fs
     from lakesmith.sources.listings import file_inventory
 
-    todo = file_inventory(spark, xml_path, "*" + XML_SUFFIX).select(
-        "path", strip_suffix(F.col("name"), XML_SUFFIX).alias("source_file"))
+    todo = file_inventory(spark, xml_path, XML_GLOB).select(
+        "path", xml_stem(F.col("name")).alias("source_file"))
     manifest = load_manifest(spark, lake_path)
     if skip_present and manifest is not None:
         todo = not_yet_done(todo, manifest, "source_file")

@@ -52,8 +52,17 @@ RAW_SCHEMA = ("archive string, member string, row_no bigint, fields array<string
 _RAW_COLUMNS = ["archive", "member", "row_no", "fields", "ragged", "quoted"]
 
 
+# Member names read as CSV when an archive holds more than one file.
+CSV_MEMBER_ENDINGS = (".csv", ".txt")
+
+
 def _members(zf: zipfile.ZipFile):
-    return [i.filename for i in zf.infolist() if not i.is_dir()]
+    """The CSV members: an archive's only file whatever its name, else the
+    ``.csv`` / ``.txt`` files (archive metadata folders skipped)."""
+    files = [i.filename for i in zf.infolist() if not i.is_dir() and not i.filename.startswith("__MACOSX/")]
+    if len(files) == 1:
+        return files
+    return [f for f in files if f.lower().endswith(CSV_MEMBER_ENDINGS)]
 
 
 def _text(zf: zipfile.ZipFile, member: str):

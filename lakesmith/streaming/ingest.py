@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from lakesmith.plans.xml_ingest import extract_links
+from lakesmith.plans.xml_ingest import XML_GLOB, extract_links
 from lakesmith.sources.xml import ID_LIST_SCHEMA
 
 # Files per micro-batch unless told otherwise: a failed batch redoes at most
@@ -38,7 +38,7 @@ def stream_xml_links(spark: SparkSession, landing: str, lake: str, checkpoint: s
         .option("mode", "FAILFAST")
         .option("ignoreSurroundingSpaces", False)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.xml.gz")
+        .option("pathGlobFilter", XML_GLOB)
         .schema(ID_LIST_SCHEMA)
     )
     if max_files_per_trigger:

@@ -130,3 +130,14 @@ def test_manifest_remembers_empty_files_and_counts(spark, article_dir, tmp_path)
     assert {r.source_file: r.rows for r in counts_by(df, "source_file").collect()} == {"pubmed23n0001": 5}
     ingest_xml(spark, article_dir, lake)                      # nothing new: the empty file is not re-read
     assert load_manifest(spark, lake).count() == 2
+
+
+def test_plain_xml_files_are_read_too(spark, tmp_path):
+    d = tmp_path / "plain"
+    d.mkdir()
+    (d / "pubmed23n0009.xml").write_text(ARTICLES, encoding="utf-8")
+    _gz(d / "pubmed23n0010.xml.gz", ARTICLES)
+    lake = ingest_xml(spark, str(d), str(tmp_path / "lk"))
+    assert {r.source_file for r in lake.select("source_file").distinct().collect()} == {
+        "pubmed23n0009", "pubmed23n0010"}
+    assert lake.count() == 10

@@ -141,3 +141,16 @@ def test_zip_reader_matches_pandas(spark, tmp_path_factory, rows):
 
     got = nulls_for_tokens(read_zip_csv(spark, str(d)), ["x", "y", "z"]).select("x", "y", "z").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_non_csv_members_are_skipped(spark, tmp_path):
+    d = tmp_path / "mixed"
+    d.mkdir()
+    with zipfile.ZipFile(d / "2004.zip", "w") as z:
+        z.writestr("data.csv", "a,b\n1,2\n")
+        z.writestr("README.pdf", "%PDF-1.4 not a table")
+        z.writestr("__MACOSX/._data.csv", "junk")
+    with zipfile.ZipFile(d / "2005.zip", "w") as z:
+        z.writestr("export", "a,b\n3,4\n")          # the only member: read whatever its name
+    rows = sorted((r.a, r.b) for r in read_zip_csv(spark, str(d)).collect())
+    assert rows == [("1", "2"), ("3", "4")]
