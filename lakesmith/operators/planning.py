@@ -81,16 +81,18 @@ def with_position(df: DataFrame, order: list) -> DataFrame:
        number in the high bits, row number in the partition in the low bits),
        and checkpoint that once to the shared checkpoint folder, so every
        later read sees the same partitions and the lineage is cut;
-    2. count rows per partition (one small row per partition) and turn the
-       counts into offsets;
+    2. count rows per partition: one small row per partition (bounded by the
+       partition count, not by the data) comes to the driver and becomes a
+       running offset;
     3. position = partition offset + row number in the partition, with the
-       offsets broadcast (their size is the partition count).
+       offsets broadcast.
     """
     from lakesmith.session import scratch_dir
 
-    scratch_dir(df.sparkSession)  # make sure a checkpoint folder is set
+    spark = df.sparkSession
+    scratch_dir(spark)  # make sure a checkpoint folder is set
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     tagged = (
         df.repartitionByRange(n, *order_cols)
         .sortWithinPartitions(*order_cols)
@@ -98,25 +100,20 @@ def with_position(df: DataFrame, order: list) -> DataFrame:
         .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33))
         .checkpoint(eager=True)
     )
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_part",
-        (F.sum("_n").over(_w_all_rows_before("_part")) - F.col("_n")).alias("_offset"),
-    )
+    counts = sorted((r["_part"], r["_n"]) for r in
+                    tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, running = [], 0
+    for part, cnt in counts:
+        offsets.append((part, running))
+        running += cnt
+    off = spark.createDataFrame(offsets or [(0, 0)], "_part int, _offset bigint")
     return (
-        tagged.join(F.broadcast(offsets), "_part")
+        tagged.join(F.broadcast(off), "_part")
         .withColumn("_seq", F.col("_offset") + F.col("_local"))
         .drop("_part", "_offset", "_local")
     )
 
 
-def _w_all_rows_before(col: str):
-    from pyspark.sql import Window
-
-    # over the per-partition counts only: one row per partition
-    return Window.orderBy(col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def batch_slice(df: DataFrame, order: list, start: int, count: int | None = None) -> DataFrame:
     """Rows ``start .. start+count-1`` of ``df`` in ``order`` (all from ``start`` if no count).
 
