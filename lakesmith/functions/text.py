@@ -44,7 +44,8 @@ def unwrap_jsonp(col) -> Column:
     ``)`` goes; a named callback or a trailing ``;`` is left in place (and the
     strict parse below then yields null).
     """
-    return F.rtrim(F.ltrim(as_col(col), F.lit("\\(")), F.lit(")"))
+    left = F.regexp_replace(as_col(col), r"^[\\(]+", "")
+    return F.regexp_replace(left, r"\)+\z", "")   # \z: the very end, not before a final newline
 
 
 def strict_json(col) -> Column:

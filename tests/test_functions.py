@@ -114,7 +114,7 @@ def _py_jsonp(s):
 
 def test_jsonp(spark):
     cases = ["\ufeff({\"a\": 1})", "(({\"a\": 2})", "\\({\"a\": 3})", "cb({\"a\": 4})", "({\"a\": 5});", "",
-             "({\"a\": [1, 2]})"]
+             "({\"a\": [1, 2]})", "({\"a\": 6})\n", "({\"a\": 7}))"]
     df = spark.createDataFrame([(c,) for c in cases], "raw string")
     out = df.select(strict_json(unwrap_jsonp(strip_bom("raw"))).alias("v")).select(F.to_json("v").alias("j")).collect()
     for c, o in zip(cases, out):
