@@ -145,3 +145,19 @@ def test_clustered_compaction_gives_disjoint_ranges(spark, tmp_path):
     assert len(ranges) == 4
     assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))   # files cover disjoint ranges
     assert spark.read.parquet(str(out)).count() == 20000
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3)), min_size=1, max_size=80, unique=True),
+       st.integers(0, 90), st.one_of(st.none(), st.integers(0, 10)))
+def test_positions_and_slices_match_python(spark, keys, start, count):
+    df = spark.createDataFrame(keys, "p int, q int")
+    want = sorted(keys)
+    pos = {(r.p, r.q): r._seq for r in with_position(df, ["p", "q"]).collect()}
+    assert pos == {k: i for i, k in enumerate(want)}
+    got = sorted((r.p, r.q) for r in batch_slice(df, ["p", "q"], start, count).collect())
+    assert got == want[start:] if count is None else got == want[start:start + count]
