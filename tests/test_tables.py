@@ -161,3 +161,27 @@ def test_positions_and_slices_match_python(spark, keys, start, count):
     assert pos == {k: i for i, k in enumerate(want)}
     got = sorted((r.p, r.q) for r in batch_slice(df, ["p", "q"], start, count).collect())
     assert got == want[start:] if count is None else got == want[start:start + count]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(0, 20)), max_size=40),
+       st.lists(st.one_of(st.none(), st.integers(0, 20)), max_size=40),
+       st.sampled_from([1, 1000]))
+def test_not_yet_done_matches_set_difference(spark, work, done, bound):
+    w = spark.createDataFrame([(k,) for k in work], "k int")
+    d = spark.createDataFrame([(k,) for k in done], "k int")
+    got = sorted((r.k for r in not_yet_done(w, d, "k", max_rows=bound).collect()), key=lambda x: (x is None, x))
+    present = {k for k in done if k is not None}
+    want = sorted((k for k in work if k is None or k not in present), key=lambda x: (x is None, x))
+    assert got == want          # nulls in the work list are kept; both join strategies agree
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from(["projects", "abstracts", "publications", "linktables"]), min_size=1, max_size=4,
+                unique=True), st.integers(1980, 2030), st.integers(0, 6))
+def test_plan_grid_matches_product(spark, kinds, first, n_years):
+    import itertools
+
+    got = [(r.data_type, r.data_year) for r in
+           plan_grid(spark, kinds, first, first + n_years).orderBy("_kind_pos", "data_year").collect()]
+    assert got == list(itertools.product(kinds, range(first, first + n_years)))
