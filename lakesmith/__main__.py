@@ -2,9 +2,9 @@
 ``spark-submit --py-files lakesmith.zip lakesmith/__main__.py JOB ...``.
 
     python -m lakesmith link-table  --lake DIR --out DIR [--distinct-after-cast]
-    python -m lakesmith xml-ingest  --xml DIR --lake DIR [--own-only] [--reload]
+    python -m lakesmith xml-ingest  --xml DIR --lake DIR [--own-only] [--reload] [--remove-loaded]
     python -m lakesmith xml-stream  --xml DIR --lake DIR --checkpoint DIR [--max-files N] [--archive DIR]
-    python -m lakesmith zip-ingest  --landing DIR --lake DIR --type T [--first Y --last Y] [--replace]
+    python -m lakesmith zip-ingest  --landing DIR --lake DIR --type T [--first Y --last Y] [--replace] [--remove-loaded]
     python -m lakesmith fetch-plan  --pages PARQUET --lake DIR --base-url URL --out DIR [--suffix S] [--start N] [--count N]
     python -m lakesmith responses   --raw PARQUET --out DIR
 
@@ -36,6 +36,7 @@ def _parser() -> argparse.ArgumentParser:
     xi.add_argument("--lake", required=True)
     xi.add_argument("--own-only", action="store_true")
     xi.add_argument("--reload", action="store_true", help="read files already in the lake again")
+    xi.add_argument("--remove-loaded", action="store_true", help="delete input files once loaded")
 
     xs = sub.add_parser("xml-stream", help="incremental XML ingest (availableNow)")
     xs.add_argument("--xml", required=True)
@@ -51,6 +52,7 @@ def _parser() -> argparse.ArgumentParser:
     zi.add_argument("--first", type=int)
     zi.add_argument("--last", type=int, help="last year, inclusive")
     zi.add_argument("--replace", action="store_true")
+    zi.add_argument("--remove-loaded", action="store_true", help="delete archives once loaded")
 
     fp = sub.add_parser("fetch-plan", help="listing pages -> files still to load")
     fp.add_argument("--pages", required=True, help="parquet table (page_id, html)")
@@ -82,7 +84,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if a.job == "xml-ingest":
         from lakesmith.plans.xml_ingest import ingest_xml
 
-        lake = ingest_xml(spark, a.xml, a.lake, own_only=a.own_only, skip_present=not a.reload)
+        lake = ingest_xml(spark, a.xml, a.lake, own_only=a.own_only, skip_present=not a.reload,
+                          remove_loaded=a.remove_loaded)
         return {"job": a.job, "lake_rows": lake.count(), "lake": a.lake}
     if a.job == "xml-stream":
         from lakesmith.streaming.ingest import stream_xml_links
@@ -99,7 +102,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
         first = a.first or FIRST_YEAR
         last_excl = (a.last + 1) if a.last else LAST_YEAR_EXCLUSIVE
         plan = fetch_plan(spark, [a.type], first, last_excl)
-        lake = ingest_planned(spark, plan, a.landing, a.lake, a.type, replace=a.replace)
+        lake = ingest_planned(spark, plan, a.landing, a.lake, a.type, replace=a.replace,
+                              remove_loaded=a.remove_loaded)
         return {"job": a.job, "lake_rows": lake.count(), "lake": a.lake}
     if a.job == "fetch-plan":
         from lakesmith.functions.paths import base_name, strip_suffix

@@ -156,3 +156,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
             return not listing.filter(~F.col("path").rlike(r"/[_.][^/]*$")).isEmpty()
         except AnalysisException:
             return False
+
+
+def _delete_paths(batches):
+    import pyarrow as pa
+
+    from lakesmith.sources import _fs
+
+    for b in batches:
+        paths = b.column("path").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(paths, pa.string()), pa.array([_fs.delete_file(p) for p in paths], pa.bool_())],
+            names=["path", "deleted"])
+
+
+def remove_files(paths: DataFrame) -> int:
+    """Delete the files listed in ``paths.path`` (raw inputs after a committed
+    load), spread over tasks; returns how many were deleted.  Idempotent: a
+    retried task finds its files already gone."""
+    n = paths.count()
+    if not n:
+        return 0
+    spread = paths.select("path").repartition(max(1, min(n, 2 * paths.sparkSession.sparkContext.defaultParallelism)))
+    done = spread.mapInArrow(_delete_paths, "path string, deleted boolean")
+    return done.filter(F.col("deleted")).count()

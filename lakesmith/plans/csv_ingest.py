@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakesmith.functions.ids import in_domain_or_fail
 from lakesmith.functions.paths import base_name, join_url, strip_last_extension
 from lakesmith.operators.planning import plan_grid
-from lakesmith.operators.tables import infer_and_cast
+from lakesmith.operators.tables import infer_and_cast, stage
 from lakesmith.sources.zipcsv import read_zip_csv
 
 # The four data types the source publishes, and its URL layout.
@@ -91,12 +91,13 @@ def landed_archives(spark: SparkSession, plan: DataFrame, landing_dir: str, data
 
 
 def ingest_planned(spark: SparkSession, plan: DataFrame, landing_dir: str, lake_path: str,
-                   data_type: str, replace: bool = False) -> DataFrame:
+                   data_type: str, replace: bool = False, remove_loaded: bool = False) -> DataFrame:
     """Load the planned, landed archives that the lake does not hold yet.
 
     The presence check comes first (nothing already loaded is read again),
     then one typed read of the remaining archives and one partitioned write.
-    Returns the lake read back.
+    ``remove_loaded``: the loaded archives are deleted once the lake write is
+    committed.  Returns the lake read back.
     """
     from lakesmith.operators.planning import not_yet_done
     from lakesmith.operators.sinks import _exists, present_partitions, publish
@@ -105,6 +106,11 @@ def ingest_planned(spark: SparkSession, plan: DataFrame, landing_dir: str, lake_
     if not replace and _exists(spark, lake_path):
         todo = not_yet_done(todo, present_partitions(spark, lake_path, ["source_file"]), "source_file")
     if not todo.isEmpty():
-        typed = typed_rows(spark, archives=todo.select("path"))
+        work = stage(todo.select("path"), "zipwork")   # the work list, fixed before any file is removed
+        typed = typed_rows(spark, archives=work)
         publish(typed.drop("archive", "member"), lake_path, ["source_file"], replace=replace, checked=True)
+        if remove_loaded:
+            from lakesmith.operators.sinks import remove_files
+
+            remove_files(work)
     return spark.read.parquet(lake_path)

@@ -60,7 +60,7 @@ def load_manifest(spark: SparkSession, lake_path: str) -> DataFrame | None:
 
 
 def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: bool = False,
-               skip_present: bool = True) -> DataFrame:
+               skip_present: bool = True, remove_loaded: bool = False) -> DataFrame:
     """Load the article files under ``xml_path`` into the lake
     (``source_file=<stem>/`` per input file) and return the lake read back.
 
@@ -70,6 +70,8 @@ def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: boo
     partitions replace only themselves (dynamic overwrite), so a rerun or a
     re-delivered file never duplicates rows and never touches other files'
     output.  After the write, one manifest row per loaded file is appended.
+    ``remove_loaded``: the loaded input files are then deleted (after the
+    lake and the manifest are committed, so a failed load never loses input).
     """
     from lakesmith.operators.planning import not_yet_done
     from lakesmith.sources import _fs
@@ -90,4 +92,8 @@ def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: boo
         entries = spark.createDataFrame([(s,) for _, s in work], "source_file string") \
             .withColumn("loaded_at", F.current_timestamp())
         entries.write.mode("append").parquet(_fs.join(lake_path, MANIFEST))
+        if remove_loaded:
+            from lakesmith.operators.sinks import remove_files
+
+            remove_files(spark.createDataFrame([(p,) for p, _ in work], "path string"))
     return spark.read.parquet(lake_path)

@@ -58,3 +58,14 @@ def move(src: str, dst: str) -> None:
 
 def join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *[p.strip("/") for p in parts]])
+
+
+def delete_file(path: str) -> bool:
+    """Delete one file; False if it was already gone."""
+    from pyarrow import fs
+
+    filesystem, inner = resolve(path)
+    if filesystem.get_file_info(inner).type == fs.FileType.NotFound:
+        return False
+    filesystem.delete_file(inner)
+    return True

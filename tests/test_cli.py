@@ -66,3 +66,19 @@ def test_fetch_plan_sees_partitioned_lake(spark, tmp_path):
                       "--out", str(tmp_path / "todo")])
     assert out["todo"] == 1
     assert spark.read.parquet(str(tmp_path / "todo")).first().stem == "a"
+
+
+def test_zip_ingest_remove_loaded(spark, tmp_path):
+    import os
+
+    from lakesmith.plans.csv_ingest import fetch_plan, ingest_planned
+
+    landing = tmp_path / "projects"
+    landing.mkdir()
+    for year in (1990, 1991):
+        with zipfile.ZipFile(landing / f"{year}.zip", "w") as z:
+            z.writestr(f"{year}.csv", f"id,v\n{year},x\n".encode("latin-1"))
+    lake = ingest_planned(spark, fetch_plan(spark, ["projects"], 1990, 1991), str(landing),
+                          str(tmp_path / "lake"), "projects", remove_loaded=True)
+    assert lake.count() == 1
+    assert sorted(os.listdir(landing)) == ["1991.zip"]     # only the loaded archive is gone

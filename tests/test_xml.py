@@ -141,3 +141,13 @@ def test_plain_xml_files_are_read_too(spark, tmp_path):
     assert {r.source_file for r in lake.select("source_file").distinct().collect()} == {
         "pubmed23n0009", "pubmed23n0010"}
     assert lake.count() == 10
+
+
+def test_remove_loaded_deletes_inputs_after_commit(spark, article_dir, tmp_path):
+    import os
+
+    lake = str(tmp_path / "lake4")
+    df = ingest_xml(spark, article_dir, lake, remove_loaded=True)
+    assert df.count() == 5
+    assert not [f for f in os.listdir(article_dir) if f.endswith(".xml.gz")]
+    assert ingest_xml(spark, article_dir, lake).count() == 5       # nothing left to load, lake intact
