@@ -13,8 +13,9 @@ Every archive is parsed once:
 1. *extract* - each member is parsed with the standard CSV rules and
    streamed out in bounded chunks as ``(archive, member, row_no, fields)``;
    the header is row ``-1``, each row carries a ``ragged`` flag (more fields
-   than the header; a short row is padded with nulls, as CSV readers do).  The rows are staged as parquet under the shared
-   checkpoint folder, which also cuts the lineage back to the archives.
+   than the header; a short row is padded with nulls, as CSV readers do).
+   The rows are staged as parquet under the shared checkpoint folder, which
+   also cuts the lineage back to the archives.
 2. *summary* - observed on the staging write itself: the member count, the
    distinct headers, and the number of ragged rows in members whose lines
    are quoted end to end.
