@@ -10,7 +10,9 @@ inference, casts, writes) is built-in expressions.
 
 Every archive is parsed once:
 
-1. *extract* - each member is parsed with the standard CSV rules and
+1. *extract* - the archives' CSV members are listed (zip central directory
+   only) and spread over tasks one member at a time; each member is parsed
+   with the standard CSV rules and
    streamed out in bounded chunks as ``(archive, member, row_no, fields)``;
    the header is row ``-1``, each row carries a ``ragged`` flag (more fields
    than the header; a short row is padded with nulls, as CSV readers do).
@@ -144,26 +146,35 @@ def _member_chunks(zf: zipfile.ZipFile, path: str, member: str, mode: str):
         yield batch()
 
 
-def _extract_all(batches):
-    """mapInArrow body: every member of each archive, standard rules."""
+def _list_members(batches):
+    """mapInArrow body: ``(archive, member, size)`` of each archive's CSV
+    members, from the zip central directory only (no member is inflated)."""
+    import pyarrow as pa
+
     for b in batches:
+        rows = []
         for path in b.column("path").to_pylist():
             with open_input(path) as f, zipfile.ZipFile(f) as zf:
-                for m in _members(zf):
-                    yield from _member_chunks(zf, path, m, STANDARD)
+                rows += [(path, m, zf.getinfo(m).file_size) for m in _members(zf)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()),
+             pa.array([r[2] for r in rows], pa.int64())], names=["archive", "member", "size"])
 
 
-def _extract_split(batches):
-    """mapInArrow body: the listed ``(archive, member)`` pairs, ``","`` split;
+def _extractor(mode: str):
+    """mapInArrow body: the listed ``(archive, member)`` pairs in ``mode``;
     each archive is opened once per task."""
-    for b in batches:
-        wanted: dict = {}
-        for a, m in zip(b.column("archive").to_pylist(), b.column("member").to_pylist()):
-            wanted.setdefault(a, []).append(m)
-        for path in sorted(wanted):
-            with open_input(path) as f, zipfile.ZipFile(f) as zf:
-                for m in wanted[path]:
-                    yield from _member_chunks(zf, path, m, SPLIT)
+    def extract(batches):
+        for b in batches:
+            wanted: dict = {}
+            for a, m in zip(b.column("archive").to_pylist(), b.column("member").to_pylist()):
+                wanted.setdefault(a, []).append(m)
+            for path in sorted(wanted):
+                with open_input(path) as f, zipfile.ZipFile(f) as zf:
+                    for m in wanted[path]:
+                        yield from _member_chunks(zf, path, m, mode)
+
+    return extract
 
 
 def _spread(df: DataFrame, n: int) -> DataFrame:
@@ -181,11 +192,20 @@ def archive_paths(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
 
 
 def extract_raw(archives: DataFrame, n: int | None = None) -> DataFrame:
-    """Raw records of the archives listed in ``archives.path`` (step 1);
-    ``n`` is the number of archives if already known."""
+    """Raw records of the archives listed in ``archives.path`` (step 1).
+
+    The unit of work is a member, not an archive: a cheap pass lists each
+    archive's CSV members (central directory only), the list is staged and
+    counted on its write, and the members are spread over tasks, so an
+    archive of many files is parsed in parallel.  ``n``: number of archives,
+    if known.
+    """
     if n is None:
         n = archives.count()   # the work list: one small row per archive
-    return _spread(archives.select("path"), n).mapInArrow(_extract_all, RAW_SCHEMA)
+    listing = _spread(archives.select("path"), n).mapInArrow(
+        _list_members, "archive string, member string, size bigint")
+    members, n_members = _stage_members(listing)
+    return _spread(members, n_members).mapInArrow(_extractor(STANDARD), RAW_SCHEMA)
 
 
 def _stage(df: DataFrame) -> tuple[DataFrame, dict]:
@@ -212,8 +232,8 @@ def _stage(df: DataFrame) -> tuple[DataFrame, dict]:
 
 
 def _stage_members(df: DataFrame) -> tuple[DataFrame, int]:
-    """Write a small ``(archive, member)`` list to the shared folder; return it
-    read back with its row count (observed on the write)."""
+    """Write a small member list (one row per member) to the shared folder;
+    return it read back with its row count (observed on the write)."""
     from pyspark.sql import Observation
 
     spark = df.sparkSession
@@ -260,7 +280,7 @@ def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zi
         # counted on that write, so the re-read and the anti-join reuse it
         bad, n_bad = _stage_members(staged.filter(F.col("ragged") & F.col("quoted"))
                                     .select("archive", "member").distinct())
-        again, seen2 = _stage(_spread(bad, n_bad).mapInArrow(_extract_split, RAW_SCHEMA))
+        again, seen2 = _stage(_spread(bad, n_bad).mapInArrow(_extractor(SPLIT), RAW_SCHEMA))
         headers += [list(h) for h in seen2["headers"]]
         if broadcast_fits(n_bad, 512):   # (archive path, member name) per row
             bad = F.broadcast(bad)

@@ -154,3 +154,18 @@ def test_non_csv_members_are_skipped(spark, tmp_path):
         z.writestr("export", "a,b\n3,4\n")          # the only member: read whatever its name
     rows = sorted((r.a, r.b) for r in read_zip_csv(spark, str(d)).collect())
     assert rows == [("1", "2"), ("3", "4")]
+
+
+def test_members_of_one_archive_are_all_read(spark, tmp_path):
+    from lakesmith.sources.zipcsv import extract_raw, archive_paths
+
+    d = tmp_path / "multi"
+    d.mkdir()
+    with zipfile.ZipFile(d / "2006.zip", "w") as z:
+        for i in range(5):
+            z.writestr(f"part{i}.csv", f"a,b\n{i},x\n{i},y\n")
+    rows = read_zip_csv(spark, str(d)).collect()
+    assert sorted((r.member, r.a, r.b) for r in rows) == sorted(
+        (f"part{i}.csv", str(i), v) for i in range(5) for v in "xy")
+    # the work is spread per member: more than one task for one archive
+    assert extract_raw(archive_paths(spark, str(d)), 1).rdd.getNumPartitions() > 1
