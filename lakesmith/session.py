@@ -54,8 +54,8 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is unset: point it at a folder every executor can reach"
             )
-        root = tempfile.mkdtemp(prefix="lakesmith-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakesmith-"))
+        root = _checkpoint_root(spark)   # the folder Spark made, as later calls will see it
     root = root.removeprefix("file:")
     path = os.path.join(root, "lakesmith", *parts) if parts else os.path.join(root, "lakesmith")
     return path
