@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from lakesmith.functions.ids import SENTINEL_PMID, not_equal_keep_null, python_int
 from lakesmith.operators.sinks import files_for, input_bytes, write_compacted
+from lakesmith.operators.tables import keep_not_null, project_rename
 from lakesmith.sources.lake import read_link_lake
 
 
@@ -23,8 +24,8 @@ def clean_links(lake: DataFrame, distinct_after_cast: bool = False) -> DataFrame
     df = lake if distinct_after_cast else lake.dropDuplicates()
     df = df.filter(not_equal_keep_null("PMID", SENTINEL_PMID))
     df = df.withColumn("PMID_int", python_int("PMID"))
-    df = df.filter(F.col("PMID_int").isNotNull())
-    df = df.select(F.col("PMID_int").alias("PMID"), "DOI")
+    df = keep_not_null(df, "PMID_int")
+    df = project_rename(df, {"PMID_int": "PMID", "DOI": "DOI"})
     return df.dropDuplicates() if distinct_after_cast else df
 
 

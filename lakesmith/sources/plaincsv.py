@@ -52,6 +52,8 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
 def read_quote_split_csv(spark: SparkSession, path: str) -> DataFrame:
     """The ``","`` fallback on plain files: one line per row, no quoting;
     outer quotes removed from header names and from the first and last value."""
+    from lakesmith.operators.tables import clean_header_names
+
     df = _read_whole_rows(spark, path, split=True, multi_line=False)
     data = [c for c in df.columns if c != "_bad_line"]
     first, last = data[0], data[-1]
@@ -62,8 +64,8 @@ def read_quote_split_csv(spark: SparkSession, path: str) -> DataFrame:
             v = F.regexp_replace(v, '^"', "")
         if c == last:
             v = F.regexp_replace(v, '"$', "")
-        cols.append(v.alias(c.replace('"', "")))
-    return df.select(*cols, "_bad_line")
+        cols.append(v.alias(c))
+    return clean_header_names(df.select(*cols, "_bad_line"))
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:

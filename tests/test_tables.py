@@ -218,3 +218,18 @@ def test_drifting_lake_matches_pandas_concat(spark, tmp_path_factory, files):
                       key=repr)
 
     assert rows(got) == rows(want)
+
+
+def test_small_table_helpers(spark, tmp_path):
+    from lakesmith.operators.sinks import with_source_file
+    from lakesmith.operators.tables import clean_header_names, keep_not_null
+
+    df = spark.createDataFrame([(1, None), (2, "x")], "a int, v string").toDF('"id"', "v")
+    assert clean_header_names(df).columns == ["id", "v"]
+    assert [r.v for r in keep_not_null(df, "v").collect()] == ["x"]
+    out = tmp_path / "src"
+    spark.createDataFrame([(1,)], "a int").write.parquet(str(out))
+    named = with_source_file(spark.read.parquet(str(out)))
+    stems = {f.rsplit(".", 1)[0] for f in (p.name for p in out.iterdir()) if f.endswith(".parquet")}
+    got = {r.source_file for r in named.collect()}
+    assert len(got) == 1 and got <= stems          # the row carries the name of the file it came from
