@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from lakesmith.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
@@ -36,7 +37,7 @@ def test_entry(spark):
     assert df.columns == ["PMID", "DOI"] and df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
