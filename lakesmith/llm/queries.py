@@ -6,12 +6,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.llm import decontaminate as _decontaminate
+from lakesmith.llm import exact_dedup as _exact
+from lakesmith.llm import substring_dedup as _substring
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _exact.exact_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+OP5_SQL = """
+SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, d AS text_sha256
+FROM (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS d FROM documents)
+WINDOW w AS (PARTITION BY d)
+"""
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _substring.substring_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+hit AS (SELECT win.doc_id, win.i FROM win JOIN (SELECT s, min(doc_id) AS least FROM win GROUP BY s) m ON win.s = m.s WHERE m.least < win.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS k FROM hit),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+kept AS (SELECT words.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k) AS t FROM words ANTI JOIN gone USING (doc_id, k) GROUP BY 1)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -38,8 +69,12 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
 QUERIES = {
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_decontaminate": op8_decontaminate,
 }
 ORACLES = {
+    "op5_exact_dedup": OP5_SQL,
+    "op6_substring_dedup": OP6_SQL,
     "op8_decontaminate": OP8_SQL,
 }
