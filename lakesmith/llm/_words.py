@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 
 U = np.uint64
 _MASK = (1 << 64) - 1
+#: stands for a null integer id: it ranks above all others
+NO_ID = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -129,3 +131,23 @@ def windows(hashes: np.ndarray, size: int) -> np.ndarray:
     for j in range(size):
         acc += hashes[j:n - size + 1 + j] * PLACE[j % len(PLACE)]
     return mix(acc)
+
+
+def whole_groups(batches, key: str, least: int, weight=lambda t: t.num_rows):
+    """Tables of about ``least`` weight or more, cut where ``key`` (sorted) changes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += weight(batch)
+        if size >= least:
+            table = pa.Table.from_batches(held)
+            k = table.column(key).to_numpy()
+            cut = int(np.searchsorted(k, k[-1]))
+            if cut:
+                yield table.slice(0, cut)
+                held = table.slice(cut).to_batches()
+            size = sum(map(weight, held))
+            if not cut:
+                least = max(least, 2 * size)
+    if held:
+        yield pa.Table.from_batches(held)

@@ -142,18 +142,20 @@ def _search(batches, p: Phrases, schema: pa.Schema, with_text: bool):
                         at = int(words.end[end[s] - 1])
                     kept.append(b"".join([*left, data[at:off[t + 1]]]).decode())
                 out.append(pa.array(kept, pa.string()))
+            out += [x.slice(a, k) for x in batch.columns[2:]]
             yield pa.RecordBatch.from_arrays([x.cast(f.type) for x, f in zip(out, schema, strict=True)], schema=schema)
 
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-    block_words: int = BLOCK_WORDS, with_text: bool = False,
+    block_words: int = BLOCK_WORDS, with_text: bool = False, carry: bool = False,
 ) -> DataFrame:
     """Per document: id, ``n_words``, ``n_hit``, ``spans`` (merged hit word ranges, end excluded), ``items``.
 
     ``with_text`` adds ``text_kept``, the text without the bytes of the hit
-    spans; it takes a test set of one block.  Null and empty texts have no
+    spans, and ``carry`` adds ``row``, a struct of the document's columns;
+    both take a test set of one block.  Null and empty texts have no
     words and no hits; null or empty items match nothing; an item id that is
     repeated counts once; repeated documents are judged row by row; empty
     tables give an empty result, or no hits.  Other columns are not read.
@@ -166,6 +168,10 @@ def decontaminate(
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))),
         T.StructField("items", T.ArrayType(item_type)),
     ] + ([T.StructField("text_kept", T.StringType())] if with_text else [])
+    cols = [F.col(id_col), F.col(text_col).cast("string")]
+    if carry:
+        cols.append(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+        fields.append(docs.select(cols[-1]).schema["row"])
     schema = T.StructType(fields)
     arrow = to_arrow_schema(schema)
     parts = []
@@ -173,11 +179,11 @@ def decontaminate(
         if parts and not len(block.lengths):
             break
         sent = docs.sparkSession.sparkContext.broadcast(block)   # bounded by block_words
-        parts.append(docs.select(id_col, text_col).mapInArrow(lambda it, sent=sent: _search(it, sent.value, arrow, with_text), schema))
+        parts.append(docs.select(*cols).mapInArrow(lambda it, sent=sent: _search(it, sent.value, arrow, with_text), schema))
     if len(parts) == 1:
         return parts[0].withColumn("items", F.array_distinct("items"))
-    if with_text:
-        raise ValueError("with_text needs a test set of one block; raise block_words")
+    if with_text or carry:
+        raise ValueError("the test set takes several blocks; raise block_words")
     # several blocks: the covered words of a document are the union of its blocks' spans
     out = parts[0]
     for p in parts[1:]:

@@ -2,18 +2,55 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.llm import decontaminate as _decontaminate
 from lakesmith.llm import exact_dedup as _exact
+from lakesmith.llm import html_extract as _html
+from lakesmith.llm import language_id as _language
+from lakesmith.llm import ngram_join as _ngram
+from lakesmith.llm import piece_encoding as _pieces
+from lakesmith.llm import quality as _quality
 from lakesmith.llm import substring_dedup as _substring
+from lakesmith.llm import toxicity as _toxicity
+from lakesmith.llm import url_filter as _url
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    categories = {"low_quality": F.col("quality") == 0, "toxic": F.col("toxic") == 1}
+    return _toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), categories)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _language.language_id(_table(spark, sf_dir, "documents"))
+
+
+#: a public tokenizer's model, never copied into the repository
+PIECE_MODEL = os.environ.get("LAKESMITH_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = _pieces.load_pieces(PIECE_MODEL)
+    encoded = _pieces.encode(_table(spark, sf_dir, "documents"), pieces, keep=["doc_id"]).select("row.doc_id", "ids")
+    decoded = _pieces.decode(encoded.select("doc_id", "ids", F.col("ids").alias("kept")), pieces)
+    return decoded.select("row.doc_id", F.size("row.kept").cast("long").alias("n_pieces"), F.col("row.kept").alias("ids"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _url.url_filter(_table(spark, sf_dir, "pages"), URL_RULES)
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _exact.exact_dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -43,6 +80,24 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ngram.ngram_jaccard_join(_table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS MATERIALIZED (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + least(5, len(w)) - 1], ' ')) AS s
+       FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+p AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 80 * (na.n + nb.n - k)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS doc_id, a AS c FROM e UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id WHERE r.c < e.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(m.c, d.doc_id)) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY 1) m USING (doc_id)
+"""
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     listed = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
@@ -68,13 +123,31 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    meta = {"source": F.col("source"), "lang": F.col("lang"), "size": F.floor(F.log2(F.greatest(F.col("n_chars"), F.lit(1)))).cast("string")}
+    return _quality.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), F.col("quality") == 1, meta)
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _html.html_extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language_id": op2_language_id,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_url_filter": op4_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_decontaminate": op8_decontaminate,
+    "op9_quality": op9_quality,
+    "op10_html_extract": op10_html_extract,
 }
 ORACLES = {
     "op5_exact_dedup": OP5_SQL,
     "op6_substring_dedup": OP6_SQL,
+    "op7_ngram_jaccard": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
 }

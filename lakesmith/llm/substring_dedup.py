@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakesmith.llm._fm import LIMIT, FMIndex
-from lakesmith.llm._words import PLACE, SPACE, U, mix, pieces, scan, utf8, windows
+from lakesmith.llm._words import NO_ID, PLACE, SPACE, U, mix, pieces, scan, utf8, whole_groups, windows
 from lakesmith.session import fresh_dir
 
 WINDOW = 13
@@ -41,7 +41,6 @@ HOT = 16
 PIECE_BYTES = 4_000_000
 #: words gathered before a shard is indexed
 SHARD_WORDS = 500_000
-NO_ID = (1 << 63) - 1
 
 MINIMIZERS = "route long, kind tinyint, id long, tkey int, begin int, count int"
 SURVIVORS = "id long, tkey int, begin int, count int"
@@ -130,26 +129,6 @@ def _send_minimizers(batches, k: int):
             )
 
 
-def _whole_groups(batches, key: str, least: int, weight=lambda t: t.num_rows):
-    """Tables of about ``least`` weight or more, cut where ``key`` (sorted) changes."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += weight(batch)
-        if size >= least:
-            table = pa.Table.from_batches(held)
-            k = table.column(key).to_numpy()
-            cut = int(np.searchsorted(k, k[-1]))
-            if cut:
-                yield table.slice(0, cut)
-                held = table.slice(cut).to_batches()
-            size = sum(map(weight, held))
-            if not cut:
-                least = max(least, 2 * size)
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _surviving(batches):
     """Rows whose minimizer more than one document has."""
     def waiting():
@@ -163,7 +142,7 @@ def _surviving(batches):
                 yield b
 
     direct: list = []
-    for table in _whole_groups(waiting(), "route", 200_000):
+    for table in whole_groups(waiting(), "route", 200_000):
         route, kind, own = (table.column(c).to_numpy() for c in ("route", "kind", "id"))
         start = np.flatnonzero(np.concatenate([[True], route[1:] != route[:-1]]))
         keep = (np.minimum.reduceat(own, start) != np.maximum.reduceat(own, start)) | (np.maximum.reduceat(kind, start) == 2)
@@ -274,7 +253,7 @@ def _match(batches, k: int):
                 yield b
 
     passed: list = []
-    for table in _whole_groups(local(), "route", 6 * SHARD_WORDS, lambda b: b.column("text").nbytes):
+    for table in whole_groups(local(), "route", 6 * SHARD_WORDS, lambda b: b.column("text").nbytes):
         yield from passed
         passed.clear()
         route, own = table.column("route").to_numpy(), table.column("id").to_numpy()
