@@ -3,7 +3,7 @@
 
     python -m lakesmith link-table  --lake DIR --out DIR [--distinct-after-cast]
     python -m lakesmith xml-ingest  --xml DIR --lake DIR [--own-only] [--reload] [--remove-loaded]
-    python -m lakesmith xml-stream  --xml DIR --lake DIR --checkpoint DIR [--max-files N] [--archive DIR]
+    python -m lakesmith xml-stream  --xml DIR --lake DIR [--checkpoint DIR] [--max-files N] [--archive DIR]
     python -m lakesmith zip-ingest  --landing DIR --lake DIR --type T [--first Y --last Y] [--replace] [--remove-loaded]
     python -m lakesmith fetch-plan  --pages PARQUET --lake DIR --base-url URL --out DIR [--suffix S] [--start N] [--count N]
     python -m lakesmith responses   --raw PARQUET --out DIR
@@ -41,7 +41,7 @@ def _parser() -> argparse.ArgumentParser:
     xs = sub.add_parser("xml-stream", help="incremental XML ingest (availableNow)")
     xs.add_argument("--xml", required=True)
     xs.add_argument("--lake", required=True)
-    xs.add_argument("--checkpoint", required=True)
+    xs.add_argument("--checkpoint", help="default: the lake's own, which xml-ingest uses too")
     xs.add_argument("--max-files", type=int)
     xs.add_argument("--archive")
 
@@ -88,23 +88,24 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
                           remove_loaded=a.remove_loaded)
         return {"job": a.job, "lake_rows": lake.count(), "lake": a.lake}
     if a.job == "xml-stream":
-        from lakesmith.streaming.ingest import stream_xml_links
-
-        from lakesmith.streaming.ingest import DEFAULT_MAX_FILES_PER_TRIGGER
+        from lakesmith.streaming.ingest import DEFAULT_MAX_FILES_PER_TRIGGER, stream_xml_links
 
         batches = stream_xml_links(spark, a.xml, a.lake, a.checkpoint,
                                    max_files_per_trigger=a.max_files or DEFAULT_MAX_FILES_PER_TRIGGER,
                                    clean_source="archive" if a.archive else None, archive_dir=a.archive)
         return {"job": a.job, "batches": batches, "lake": a.lake}
     if a.job == "zip-ingest":
-        from lakesmith.plans.csv_ingest import FIRST_YEAR, LAST_YEAR_EXCLUSIVE, fetch_plan, ingest_planned
+        from lakesmith.plans.csv_ingest import FIRST_YEAR, LAST_YEAR_EXCLUSIVE, fetch_plan, ingest_planned, missing_archives
 
         first = a.first or FIRST_YEAR
         last_excl = (a.last + 1) if a.last else LAST_YEAR_EXCLUSIVE
         plan = fetch_plan(spark, [a.type], first, last_excl)
         lake = ingest_planned(spark, plan, a.landing, a.lake, a.type, replace=a.replace,
                               remove_loaded=a.remove_loaded)
-        return {"job": a.job, "lake_rows": lake.count(), "lake": a.lake}
+        out = {"job": a.job, "lake_rows": lake.count(), "lake": a.lake}
+        if not a.remove_loaded:   # else what was loaded is gone by now
+            out["not_landed"] = missing_archives(spark, plan, a.landing, a.type).count()
+        return out
     if a.job == "fetch-plan":
         from lakesmith.functions.paths import base_name, strip_suffix
         from lakesmith.plans.fetch_plan import plan_fetch
@@ -125,8 +126,8 @@ def run(spark: SparkSession, argv: list[str]) -> dict:
     if a.job == "responses":
         from lakesmith.plans.responses import ingest_responses
 
-        ingest_responses(spark.read.parquet(a.raw), a.out)
-        return {"job": a.job, "documents": spark.read.text(a.out).count(), "out": a.out}
+        counts = ingest_responses(spark.read.parquet(a.raw), a.out)
+        return {"job": a.job, **counts, "out": a.out}
     raise SystemExit(f"unknown job {a.job}")
 
 

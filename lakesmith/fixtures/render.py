@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Bump when a rendering rule changes, so cached fixtures are not reused.
-FIXTURE_VERSION = "v2"
+FIXTURE_VERSION = "v3"
 # Records per rendered file: lake files of ~200 kB, XML files the size of a
 # published article batch.
 LAKE_ROWS_PER_FILE = 20_000
@@ -183,13 +183,21 @@ def nested_xml(spark: SparkSession, sf_dir: str, rows_per_file: int = XML_ROWS_P
     return _cached(spark, sf_dir, "nested_xml", render)
 
 
+# Order statuses with an arrival folder of their own; all others share one.
+STATUSES = ("F", "O", "P")
+OTHER = "other"
+
+
 def write_stream_batches(spark: SparkSession, sf_dir: str, path: str,
-                         statuses: tuple[str, ...] = ("F", "O", "P")) -> None:
+                         statuses: tuple[str, ...] = (*STATUSES, OTHER)) -> None:
     """``orders`` as article files, one sub-folder per order status (arrival
-    batches).  Every row lands in exactly one folder."""
+    batches), one for all other statuses and null.  Every row lands in exactly
+    one folder."""
     orders = table(spark, sf_dir, "orders")
+    status = F.col("o_orderstatus")
     for st in statuses:
-        ids = article_ids(orders.filter(F.col("o_orderstatus") == st))
+        here = F.coalesce(~status.isin(*STATUSES), F.lit(True)) if st == OTHER else status == st
+        ids = article_ids(orders.filter(here))
         art = ids.select(F.struct(F.struct(F.col("ids").alias("ArticleId")).alias("ArticleIdList")).alias("PubmedData"))
         _write_articles(art, fs.join(path, f"batch={st}"), 100_000_000)
     fs.touch(fs.join(path, "_SUCCESS"))
@@ -296,6 +304,90 @@ def part_zips(spark: SparkSession, sf_dir: str) -> str:
                    lambda p: render_zip_csv(part_csv_frame(table(spark, sf_dir, "part")), p, all_quoted=True))
 
 
+# ---------------------------------------------------------------- dirty CSV
+
+DIRTY = ["open", "quoted", "long", "ragged"]
+
+
+def dirty_lines(supplier: DataFrame) -> DataFrame:
+    """``supplier`` as raw lines of badly formed CSV files, one per kind of
+    dirt: ``(_group, pos, line)``.
+
+    ``open``: every 7th supplier's name starts with a quote that nothing
+    closes.  ``quoted``: quoted end to end, the name holds bare quotes, and
+    every 11th row's last quote is missing.  ``long``: a field of 200,000
+    characters in every 50th row.  ``ragged``: every 5th row has a field too
+    many, every 3rd one too few.
+    """
+    key, name = F.col("s_suppkey").cast("string"), F.col("s_name")
+    kind = F.element_at(F.array(*[F.lit(k) for k in DIRTY]), (F.col("s_suppkey") % 4 + 1).cast("int"))
+
+    def every(n):
+        return F.col("s_suppkey") % n == 0
+
+    plain = F.concat(key, F.lit(","), name)
+    line = (
+        F.when(kind == "open", F.concat(key, F.lit(","), F.when(every(7), F.concat(F.lit('"'), name)).otherwise(name)))
+        .when(kind == "quoted", F.concat(F.lit('"'), key, F.lit('","a "b" '), name, F.when(every(11), F.lit("")).otherwise(F.lit('"'))))
+        .when(kind == "long", F.concat(plain, F.when(every(50), F.repeat(F.lit("x"), 200_000)).otherwise(F.lit(""))))
+        .otherwise(F.when(every(5), F.concat(plain, F.lit(",more"))).when(every(3), key).otherwise(plain))
+    )
+    return supplier.select(kind.alias("_group"), F.col("s_suppkey").alias("pos"), line.alias("line"))
+
+
+def _line_zipper(out_dir: str):
+    """One zip per group: its lines in order below a header."""
+    def write(pdf):
+        import pandas as pd
+
+        from lakesmith.sources import _fs
+
+        group = pdf["_group"].iloc[0]
+        header = '"s_suppkey","s_name"' if group == "quoted" else "s_suppkey,s_name"
+        with _fs.open_output(_fs.join(out_dir, f"{group}.zip")) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as zf:
+            zf.writestr(f"{group}.csv", "\n".join([header, *pdf.sort_values("pos")["line"]]).encode("latin-1"))
+        return pd.DataFrame({"archive": [group]})
+
+    return write
+
+
+def dirty_zips(spark: SparkSession, sf_dir: str) -> str:
+    def render(path):
+        fs.makedirs(path)
+        lines = dirty_lines(table(spark, sf_dir, "supplier"))
+        lines.groupBy("_group").applyInPandas(_line_zipper(path), "archive string").write.format("noop").mode("overwrite").save()
+
+    return _cached(spark, sf_dir, "dirty_zip", render)
+
+
+def header_frames(nation: DataFrame) -> dict[str, DataFrame]:
+    """``nation`` as raw lines under awkward headers, a third of the rows each:
+    a repeated and a blank name; names that differ only in case, and a dotted
+    one; names of the engine's own columns, in another order."""
+    key, name, region = (F.col(c).cast("string") for c in ("n_nationkey", "n_name", "n_regionkey"))
+    third = F.col("n_nationkey") % 3
+    return {
+        "n_nationkey,v,v,": nation.filter(third == 0).select(F.concat_ws(",", key, name, region, F.lit("z"))),
+        "n_nationkey,V,v,a.b": nation.filter(third == 1).select(F.concat_ws(",", key, name, region, F.lit("d"))),
+        "_mode,n_nationkey,source_file": nation.filter(third == 2).select(F.concat_ws(",", name, key, region)),
+    }
+
+
+def header_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Plain files, each with its own header (``header_frames``)."""
+    def render(path):
+        for i, (header, lines) in enumerate(header_frames(table(spark, sf_dir, "nation")).items()):
+            def with_header(batches, header=header):
+                import pandas as pd
+
+                yield pd.DataFrame({"value": [header]})
+                yield from batches
+
+            lines.toDF("value").mapInPandas(with_header, "value string").write.mode("overwrite").text(fs.join(path, f"h{i}"))
+
+    return _cached(spark, sf_dir, "header_csv", render)
+
+
 # ---------------------------------------------------------------- drifting lake
 
 def supplier_drift(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -303,8 +395,9 @@ def supplier_drift(spark: SparkSession, sf_dir: str) -> list[str]:
     one has ``s_nationkey`` as text and no ``s_acctbal``."""
     def render(base):
         sup = table(spark, sf_dir, "supplier")
-        sup.filter(F.col("s_acctbal") >= 0).write.mode("overwrite").parquet(fs.join(base, "a"))
-        (sup.filter(~(F.col("s_acctbal") >= 0))
+        positive = F.coalesce(F.col("s_acctbal") >= 0, F.lit(False))   # a null balance goes to the file without one
+        sup.filter(positive).write.mode("overwrite").parquet(fs.join(base, "a"))
+        (sup.filter(~positive)
             .select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("s_nationkey"))
             .write.mode("overwrite").parquet(fs.join(base, "b")))
 

@@ -64,7 +64,7 @@ def in_domain_or_fail(col, allowed: list[str], what: str = "value") -> Column:
     The error names the valid options, as a domain check should.
     """
     c = as_col(col)
-    msg = F.concat(F.lit(f"{what} not within valid options {allowed}: "), F.coalesce(c.cast("string"), F.lit("NULL")))
+    msg = F.concat(F.lit(f"unknown {what} "), F.coalesce(c.cast("string"), F.lit("NULL")), F.lit(f"; expected one of {', '.join(allowed)}"))
     return F.when(c.isin(*allowed), c).otherwise(F.raise_error(msg))
 
 

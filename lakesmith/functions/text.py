@@ -16,16 +16,6 @@ NA_TOKENS = [
     "nan", "null",
 ]
 
-# A JSON text is one value with nothing but whitespace around it: an object or
-# array (checked by its outer brackets), or a number, string, true/false/null.
-JSON_SHAPE = (
-    r"(?s)^\s*(?:[{\[].*[}\]]"
-    r'|"(?:[^"\\]|\\.)*"'
-    r"|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
-    r"|true|false|null)\s*$"
-)
-
-
 def na_to_null(col, tokens: list[str] | None = None) -> Column:
     """Null when the value is one of the missing-value tokens."""
     c = as_col(col)
@@ -51,10 +41,17 @@ def unwrap_jsonp(col) -> Column:
 def strict_json(col) -> Column:
     """Parse JSON text into VARIANT; null unless the whole text is one JSON value.
 
-    Spark's parsers accept trailing garbage; the shape guard rejects it first.
+    Spark's parser stops after the first value and ignores what follows.  So
+    the text is parsed as the only element of an array and as the only value
+    of an object: whatever ends the one early is a syntax error in the other,
+    and both are whole exactly when the text is one value.  No pattern runs
+    over the text, so its length does not matter (up to the size that a
+    VARIANT can hold).
     """
     c = as_col(col)
-    return F.when(c.rlike(JSON_SHAPE), F.try_parse_json(c))
+    in_array = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
+    return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
 
 
 def latin1(col) -> Column:
@@ -62,33 +59,54 @@ def latin1(col) -> Column:
     return F.decode(as_col(col), "ISO-8859-1")
 
 
-# HTML link extraction.  Comments and script bodies hold no links; attribute
-# values are quoted with " or '.
+# HTML link extraction.  Comments and script bodies hold no links; attributes
+# are read inside tags only.  Groups that repeat are possessive, which Java
+# runs as a loop: the number of attributes or characters costs no stack.
 HTML_COMMENT = r"(?s)<!--.*?-->"
 # script bodies hold no markup; the <script> tag itself (and its src) stays
 HTML_SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?(</script\s*>)"
+HTML_TAG = r"""<[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# one attribute with a value quoted with " or ', or unquoted
+HTML_ATTR = r"""\s([^\s=<>"'/]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 # The attributes an HTML parser reports as links (the link
 # attribute set of lxml.html), in its documented order.
 LINK_ATTRS = ["action", "archive", "background", "cite", "classid", "codebase", "data", "href",
-              "longdesc", "profile", "src", "usemap", "dynsrc", "lowsrc"]
-# value quoted with " or ', or unquoted
-LINK_ATTR = r"(?i)\s(?:" + "|".join(LINK_ATTRS) + r""")\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Character references decoded in attribute values, '&amp;' last.
-ENTITY_DECODE = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+              "longdesc", "profile", "src", "usemap", "dynsrc", "lowsrc", "formaction"]
+# Named character references decoded in attribute values, '&amp;' last.
+ENTITY_DECODE = [("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]
+# a numeric character reference at the start of a part
+NUMERIC_REF = r"^&#(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));"
 
 
 def raw_links(html) -> Column:
     """``array<string>`` of link attribute values as written (quotes and
     character references still in), in document order."""
     body = F.regexp_replace(F.regexp_replace(as_col(html), HTML_COMMENT, ""), HTML_SCRIPT_BODY, "$1$2")
-    return F.regexp_extract_all(body, F.lit(LINK_ATTR), 1)
+    tags = F.regexp_extract_all(body, F.lit(HTML_TAG), 0)
+    attrs = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(HTML_ATTR), 0)))
+    links = F.filter(attrs, lambda a: F.lower(F.regexp_extract(a, HTML_ATTR, 1)).isin(*LINK_ATTRS))
+    return F.transform(links, lambda a: F.regexp_extract(a, HTML_ATTR, 2))
+
+
+def _numeric_refs(value: Column) -> Column:
+    """``&#47;`` and ``&#x2F;`` -> the character; a reference to no character stays as it is."""
+    def spelt(part):
+        ref = F.regexp_extract(part, NUMERIC_REF, 0)
+        dec, hexa = F.regexp_extract(part, NUMERIC_REF, 1), F.regexp_extract(part, NUMERIC_REF, 2)
+        code = F.when(dec != "", F.conv(dec, 10, 16)).otherwise(hexa)
+        number = F.conv(code, 16, 10).cast("bigint")
+        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        known = (ref != "") & (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        return F.when(known, F.concat(char, F.substring(part, F.length(ref) + 1, F.length(part)))).otherwise(part)
+
+    return F.when(F.contains(value, F.lit("&#")), F.array_join(F.transform(F.split(value, "(?=&#)"), spelt), "")).otherwise(value)
 
 
 def clean_link(raw) -> Column:
     """One raw attribute value -> link: outer quotes off, references decoded."""
     x = as_col(raw)
     quoted = F.startswith(x, F.lit('"')) | F.startswith(x, F.lit("'"))
-    v = F.when(quoted, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x)
+    v = _numeric_refs(F.when(quoted, F.substring(x, F.lit(2), F.length(x) - 2)).otherwise(x))
     for ent, ch in ENTITY_DECODE:
         v = F.replace(v, F.lit(ent), F.lit(ch))
     return v

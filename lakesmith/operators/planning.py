@@ -3,53 +3,27 @@ and the offset/limit batch slice."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows we allow a broadcast side to have.  Broadcast sides here are file
-# inventories, work lists and key lists (a few hundred bytes a row), so the
-# bound keeps a broadcast near the tens of MB every executor holds.
-BROADCAST_MAX_ROWS = 200_000
-# Byte cap for broadcast sides whose row width is known up front.
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-
-
-def broadcast_fits(rows: int, row_bytes: int) -> bool:
-    """A side of ``rows`` rows of about ``row_bytes`` bytes may be broadcast."""
-    return rows <= BROADCAST_MAX_ROWS and rows * row_bytes <= BROADCAST_MAX_BYTES
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows.
-
-    ``limit(max_rows + 1).count()`` stops reading once the bound is passed, so
-    the check costs at most ``max_rows + 1`` rows however big ``df`` is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
-
-def join_small(left: DataFrame, right: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join, broadcasting ``right`` only after proving it has at most ``max_rows`` rows.
-
-    Beyond the bound the hint is left off and Spark plans a shuffle join
-    (AQE may still switch to broadcast from runtime sizes).
-    """
-    if has_at_most(right, max_rows):
-        right = F.broadcast(right)
-    return left.join(right, on, how)
-
-
-def not_yet_done(work: DataFrame, done: DataFrame, key, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def not_yet_done(work: DataFrame, done: DataFrame, key, null_safe: bool = False) -> DataFrame:
     """Rows of ``work`` whose ``key`` is not in ``done`` (presence check).
 
-    ``key`` may be a column name present in both frames or a list of names.
-    Null keys in ``work`` are kept (nothing can be present for them).
+    ``key``: a column name present in both frames, or a list of names.  Null
+    keys in ``work`` are kept (nothing can be present for them); with
+    ``null_safe`` a null key is a key like any other.  No size is checked
+    beforehand: that would read both sides twice, and adaptive execution picks
+    the join from the sizes it meets.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    # the size check runs on the raw rows (the limit reaches the scan, so it
-    # reads at most max_rows + 1 rows); duplicates do not change an anti-join
-    done_keys = done.select(*keys).dropna()
-    return join_small(work, done_keys, keys, "left_anti", max_rows)
+    if not null_safe:
+        return work.join(done.select(*keys).dropna(), keys, "left_anti")
+    held = done.select(*[F.col(f"`{k}`").alias(f"_done_{i}") for i, k in enumerate(keys)])
+    same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_done_{i}")) for i, k in enumerate(keys)]
+    return work.join(held, reduce(lambda x, y: x & y, same), "left_anti")
 
 
 def plan_grid(spark: SparkSession, kinds: list[str], first: int | None = None, last_exclusive: int | None = None,
@@ -117,11 +91,9 @@ def with_position(df: DataFrame, order: list) -> DataFrame:
 def batch_slice(df: DataFrame, order: list, start: int, count: int | None = None) -> DataFrame:
     """Rows ``start .. start+count-1`` of ``df`` in ``order`` (all from ``start`` if no count).
 
-    With a count this is a top-(start+count) per partition and one small
-    merge (``TakeOrderedAndProject``), which is the point of a batch of a few
-    files.  Without a count, positions are computed distributedly.
+    Positions are computed distributedly, so a slice deep in the list costs
+    no more than one at its start.
     """
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if count is not None:
-        return df.orderBy(*order_cols).offset(start).limit(count)
-    return with_position(df, order).filter(F.col("_seq") >= start).drop("_seq")
+    at = F.col("_seq")
+    within = at >= start if count is None else (at >= start) & (at < start + count)
+    return with_position(df, order).filter(within).drop("_seq")

@@ -5,6 +5,7 @@ partitions a run touches)."""
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,19 +53,20 @@ def files_for(total_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
 
 def write_compacted(df: DataFrame, path: str, n_files: int, mode: str = "overwrite",
                     cluster_by: list[str] | None = None) -> None:
-    """Write ``df`` as ``n_files`` files of similar size.
-
-    ``repartition(n)`` is a full shuffle but balances the files; ``coalesce(1)``
-    would funnel all data through one task.  ``cluster_by``: range-partition
-    and sort on these columns instead, so each file holds a disjoint key
-    range and parquet min/max statistics let readers skip files and row
-    groups.  Give a column list that is unique per row (e.g. the whole key),
-    so one hot leading value is still split across files.
+    """Write ``df`` as at most ``n_files`` files of similar size.
+
+    Without ``cluster_by`` nothing is shuffled: the scan already packs small
+    files into tasks, and ``coalesce`` joins neighbouring tasks into
+    ``n_files`` (sized from the bytes, so one task writes one target file).
+    ``cluster_by``: range-partition and sort on these columns instead, so each
+    file holds a disjoint key range and parquet min/max statistics let readers
+    skip files and row groups.  Give a column list that is unique per row
+    (e.g. the whole key), so one hot leading value is still split across files.
     """
     if cluster_by:
         out = df.repartitionByRange(n_files, *cluster_by).sortWithinPartitions(*cluster_by)
     else:
-        out = df.repartition(n_files)
+        out = df.coalesce(n_files)
     out.write.mode(mode).parquet(path)
 
 
@@ -100,9 +102,7 @@ def publish(df: DataFrame, path: str, partition_by: list[str] | None = None, rep
            .partitionBy(*partition_by).parquet(path))
         return
     if exists and not checked:
-        from lakesmith.operators.planning import not_yet_done
-
-        df = not_yet_done(df, present_partitions(spark, path, partition_by, df.schema), partition_by)
+        df = _new_partitions(df, present_partitions(spark, path, partition_by, df.schema), partition_by)
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
@@ -114,24 +114,39 @@ def present_partitions(spark: SparkSession, path: str, columns: list[str], schem
     """Distinct partition values already under ``path``, from the file listing.
 
     One row per data file from the ``binaryFile`` listing (no file opened),
-    values cut from the ``col=value`` path segments and cast to the column
-    types of ``schema``.  Cheaper than scanning the table, which would open
-    every file.  Values that needed path escaping (``%XX``) are compared in
-    their escaped form.
+    values cut from the ``col=value`` path segments, unescaped, and cast to
+    the column types of ``schema``.  Cheaper than scanning the table, which
+    would open every file.  Null partitions are rows too.
     """
     from lakesmith.sources.listings import file_inventory
 
     inv = file_inventory(spark, path, "*.parquet")
     cols = []
     for c in columns:
-        raw = F.regexp_extract(F.col("path"), f"/{c}=([^/]*)/", 1)
-        v = F.when(raw != NULL_PARTITION, raw)
+        raw = F.regexp_extract(F.col("path"), f"/{re.escape(c)}=([^/]*)/", 1)
+        v = F.when(raw != NULL_PARTITION, unescape_path(raw))
         if schema is not None:
-            v = v.cast(schema[c].dataType)
+            v = v.try_cast(schema[c].dataType)
         cols.append(v.alias(c))
     return inv.select(*cols).distinct()
 
 
+def unescape_path(segment):
+    """``%XX`` escapes of a partition directory's value -> the characters (a ``+`` is a plus)."""
+    return F.coalesce(F.try_url_decode(F.replace(segment, F.lit("+"), F.lit("%2B"))), segment)
+
+
+def _new_partitions(df: DataFrame, present: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows of partitions that are not present.  Null is a value here, and an
+    empty string lands in the null partition, as the partitioned writer puts it."""
+    from lakesmith.operators.planning import not_yet_done
+
+    keys = {f"_key_{i}": F.nullif(F.col(f"`{c}`"), F.lit("")) if df.schema[c].dataType.simpleString() == "string" else F.col(f"`{c}`")
+            for i, c in enumerate(columns)}
+    done = present.select(*[F.col(f"`{c}`").alias(k) for k, c in zip(keys, columns)])
+    return not_yet_done(df.withColumns(keys), done, list(keys), null_safe=True).drop(*keys)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` already holds data files (anything but ``_``/``.``
     markers).  Checked on the filesystem without planning a read; if the
@@ -174,9 +189,6 @@ def remove_files(paths: DataFrame) -> int:
     """Delete the files listed in ``paths.path`` (raw inputs after a committed
     load), spread over tasks; returns how many were deleted.  Idempotent: a
     retried task finds its files already gone."""
-    n = paths.count()
-    if not n:
-        return 0
-    spread = paths.select("path").repartition(max(1, min(n, 2 * paths.sparkSession.sparkContext.defaultParallelism)))
+    spread = paths.select("path").repartition("path")
     done = spread.mapInArrow(_delete_paths, "path string, deleted boolean")
     return done.filter(F.col("deleted")).count()

@@ -10,6 +10,9 @@ from lakesmith.functions.text import na_to_null
 
 # Integer text as a CSV reader types it: optional sign and ASCII digits.
 _INT_TEXT = r"^\s*[+-]?[0-9]+\s*$"
+# Decimal text: digits with a point and an exponent, or an infinity.  A cast
+# alone would also take Java's suffixes (``1D``, ``2F``).
+_NUMBER_TEXT = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+|(?i:inf|infinity))(?:[eE][+-]?[0-9]+)?\s*$"
 # The spellings a CSV reader with default settings reads as
 # booleans (pandas ``read_csv`` true/false values).
 TRUE_TOKENS = ["True", "TRUE", "true"]
@@ -60,53 +63,91 @@ def clean_header_names(df: DataFrame, quote: str = '"') -> DataFrame:
     return df.toDF(*[c.replace(quote, "") for c in df.columns])
 
 
+def column(name: str):
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def string_columns(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+
+
 def nulls_for_tokens(df: DataFrame, columns: list[str] | None = None, tokens: list[str] | None = None) -> DataFrame:
     """Replace missing-value tokens by null in string columns."""
-    cols = columns if columns is not None else [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    return df.select(*[na_to_null(F.col(c), tokens).alias(c) if c in cols else F.col(c) for c in df.columns])
+    cols = set(columns if columns is not None else string_columns(df))
+    return df.select(*[na_to_null(column(c), tokens).alias(c) if c in cols else column(c) for c in df.columns])
 
 
-def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
-    """Whole-column type of string columns: ``bigint``, ``double``,
-    ``boolean`` or ``string``.
+def type_counts(df: DataFrame, columns: list[str] | None = None) -> dict[str, dict[str, int]]:
+    """Per string column how many values there are (``n``) and how many read as
+    ``bigint``, as integers of any size (``digits``), ``double`` and ``boolean``.
 
-    One aggregate pass over all columns at once: for each column count the
-    non-null values and how many of them read as integer / double / boolean.
-    A column gets a type only if every non-null value reads as it; an
-    all-null column stays string.  The result is one small row, so it is the
-    only thing brought to the driver.
+    One aggregate pass over all columns at once; the result is one small row,
+    so it is the only thing brought to the driver.
     """
-    cols = columns if columns is not None else [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
+    cols = columns if columns is not None else string_columns(df)
     if not cols:
         return {}
     aggs = []
     for i, c in enumerate(cols):
-        v = F.col(c)
+        v = column(c)
+        digits = v.rlike(_INT_TEXT)
         aggs += [
             F.count(v).alias(f"n{i}"),
-            F.count(F.when(v.rlike(_INT_TEXT), F.trim(v).try_cast("bigint"))).alias(f"i{i}"),
-            F.count(F.trim(v).try_cast("double")).alias(f"d{i}"),
-            F.count(F.when(v.isin(*TRUE_TOKENS, *FALSE_TOKENS), F.lit(1))).alias(f"b{i}"),
+            F.count(F.when(digits, F.trim(v).try_cast("bigint"))).alias(f"bigint{i}"),
+            F.count_if(digits).alias(f"digits{i}"),
+            F.count(F.when(v.rlike(_NUMBER_TEXT), F.trim(v).try_cast("double"))).alias(f"double{i}"),
+            F.count_if(v.isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias(f"boolean{i}"),
         ]
     row = df.agg(*aggs).first()
-    out = {}
-    for i, c in enumerate(cols):
-        n, ni, nd, nb = row[f"n{i}"], row[f"i{i}"], row[f"d{i}"], row[f"b{i}"]
-        out[c] = ("string" if n == 0 else "bigint" if ni == n else "double" if nd == n
-                  else "boolean" if nb == n else "string")
-    return out
+    return {c: {k: row[f"{k}{i}"] for k in ("n", "bigint", "digits", "double", "boolean")} for i, c in enumerate(cols)}
+
+
+def type_of(counts: dict[str, int]) -> str:
+    """A type if every value reads as it, else string; an all-null column is ``void``.
+
+    Integer text beyond ``bigint`` keeps its column a string: as doubles,
+    different ids would become equal.
+    """
+    n = counts["n"]
+    if n == 0:
+        return "void"
+    if counts["bigint"] == n:
+        return "bigint"
+    if counts["double"] == n and counts["digits"] == counts["bigint"]:
+        return "double"
+    return "boolean" if counts["boolean"] == n else "string"
+
+
+def wider_type(a: str, b: str) -> str:
+    """The type that holds what both hold: void < bigint < double < string; boolean only with itself."""
+    if a == b or b == "void":
+        return a
+    if a == "void":
+        return b
+    return "double" if {a, b} == {"bigint", "double"} else "string"
+
+
+def infer_types(df: DataFrame, columns: list[str] | None = None) -> dict[str, str]:
+    """Whole-column type of string columns: ``bigint``, ``double``,
+    ``boolean`` or ``string``.
+
+    A column gets a type only if every non-null value reads as it; an
+    all-null column stays string.
+    """
+    return {c: "string" if (t := type_of(k)) == "void" else t for c, k in type_counts(df, columns).items()}
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast string columns to the inferred types (values already checked)."""
     def typed(c):
         t = types.get(c)
-        if t is None or t == "string":
-            return F.col(c)
+        if t in (None, "string", "void"):
+            return column(c)
         if t == "boolean":
-            return F.when(F.col(c).isin(*TRUE_TOKENS), F.lit(True)).when(
-                F.col(c).isin(*FALSE_TOKENS), F.lit(False)).alias(c)
-        return F.trim(F.col(c)).try_cast(t).alias(c)
+            return F.when(column(c).isin(*TRUE_TOKENS), F.lit(True)).when(
+                column(c).isin(*FALSE_TOKENS), F.lit(False)).alias(c)
+        return F.trim(column(c)).try_cast(t).alias(c)
 
     return df.select(*[typed(c) for c in df.columns])
 

@@ -22,7 +22,7 @@ BASELINE_URL = "https://ftp.ncbi.nlm.nih.gov/pubmed/baseline/"
 
 def plan_fetch(pages: DataFrame, present_stems: DataFrame, suffix: str = XML_SUFFIX,
                base_url: str = BASELINE_URL, start: int = 0, count: int | None = None,
-               lake_prefix: str = "pubmed_data/data_lake") -> DataFrame:
+               lake_prefix: str = "lake") -> DataFrame:
     """``(page_id, pos, link, stem, url, lake_path)`` still to load.
 
     ``present_stems`` has one column ``stem``: base names (without ``suffix``)

@@ -1,7 +1,7 @@
 """Response ingest: a table of landed JSONP responses -> JSON documents.
 
 raw text -> strip BOM -> unwrap ``(...)`` -> strict parse to VARIANT (null
-when the text is not exactly one JSON value) -> one JSON document per line.
+when the text is not exactly one JSON value) -> documents by id, and rejects.
 All column expressions; no Python on the data path.
 """
 
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from lakesmith.functions.paths import concat_url
 from lakesmith.functions.text import strict_json, strip_bom, unwrap_jsonp
 from lakesmith.operators.sinks import write_json_documents
+from lakesmith.operators.tables import observe_count
+
 
 def response_urls(dois: DataFrame, base_url: str, doi_col: str = "doi") -> DataFrame:
     """``(doi, url)`` with ``url = base_url + doi`` (the service base comes from config)."""
@@ -25,8 +27,22 @@ def unwrap_responses(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
     return raw.withColumn("body", body).withColumn("doc", strict_json(F.col("body")))
 
 
-def ingest_responses(raw: DataFrame, out_path: str) -> None:
-    """Write the parsed documents; unparseable responses are left out of the
-    sink (they stay visible as null ``doc`` in ``unwrap_responses``)."""
-    docs = unwrap_responses(raw).filter(F.col("doc").isNotNull())
+def ingest_responses(raw: DataFrame, out_path: str, rejects_path: str | None = None, doi_col: str = "doi",
+                     raw_col: str = "raw") -> dict[str, int]:
+    """Write the parsed documents, the documents with their ids, and the rejects.
+
+    ``out_path`` gets one JSON document per line; beside it, ``<out_path>_by_doi``
+    gets ``(doi, document)`` as parquet, so each document can be tied to its id,
+    and ``rejects_path`` (default ``<out_path>_rejects``) gets ``(doi, raw)`` of
+    the responses that are not exactly one JSON value.  Returns the counts.
+    """
+    base = out_path.rstrip("/")
+    parsed = unwrap_responses(raw, raw_col).select(F.col(doi_col), F.to_json("doc").alias("document"), F.col(raw_col))
+    ok, n_ok = observe_count(parsed.filter(F.col("document").isNotNull()).select(doi_col, "document"), "documents")
+    ok.write.mode("overwrite").parquet(f"{base}_by_doi")
+    bad, n_bad = observe_count(parsed.filter(F.col("document").isNull()).select(doi_col, raw_col), "rejects")
+    bad.write.mode("overwrite").parquet(rejects_path or f"{base}_rejects")
+    spark = raw.sparkSession
+    docs = spark.read.parquet(f"{base}_by_doi").select(F.parse_json("document").alias("doc"))
     write_json_documents(docs, "doc", out_path)
+    return {"documents": int(n_ok.get["rows"]), "rejects": int(n_bad.get["rows"])}

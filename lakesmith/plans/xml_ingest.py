@@ -1,23 +1,33 @@
 """XML ingest: gzipped article files -> (PMID, DOI) lake, one output per input.
 
-One distributed scan over all files instead of a per-file loop: each gzip
-file is a task, ids are picked with built-in higher-order functions, rows
-without both ids are dropped, and the sink writes one partition per input
-file named after it.
+Batch and stream are one path: Structured Streaming's file source lists the
+landing folder, remembers which files it has read, and hands them over in
+bounded micro-batches; ids are picked with built-in higher-order functions,
+rows without both ids are dropped, and each micro-batch replaces the
+partitions of its own files and appends them to the load manifest.
+
+A file's identity is its path below the landing folder without ``.xml`` /
+``.xml.gz``, so equal names in different folders are different files, and an
+unpacked copy beside its archive is the same one (the archive is read).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.functions.ids import DOI_ID_TYPE, PUBMED_ID_TYPE, first_id_of_type
+from lakesmith.operators.sinks import unescape_path
+from lakesmith.sources import _fs
 from lakesmith.sources.xml import read_id_lists
 
 XML_SUFFIX = ".xml.gz"
 # Landed article files: gzipped as published, or already unpacked.
 XML_GLOB = "{*.xml.gz,*.xml}"
 _XML_NAME_END = r"\.xml(\.gz)?$"
+MANIFEST = "_manifest"
+CHECKPOINT = "_checkpoint"
+LAKE_SCHEMA = "PMID string, DOI string, source_file string"
 
 
 def xml_stem(name):
@@ -25,18 +35,28 @@ def xml_stem(name):
     return F.regexp_replace(name, _XML_NAME_END, "")
 
 
+def file_identity(path: Column, root: str) -> Column:
+    """Path below ``root`` without the file ending; the file name for files elsewhere."""
+    inner = root.rstrip("/").removeprefix("file:").replace("//", "/")
+    plain = unescape_path(path)
+    at = F.instr(plain, f"{inner}/")
+    below = F.when(at > 0, F.substring(plain, at + F.lit(len(inner) + 1), F.length(plain))).otherwise(
+        F.element_at(F.split(plain, "/"), -1))
+    return xml_stem(below)
+
+
 def _text_or_null(c):
     # an empty element has no text (null), not an empty string
     return F.nullif(c, F.lit(""))
 
 
-def extract_links(id_lists: DataFrame) -> DataFrame:
+def extract_links(id_lists: DataFrame, identity: Column | None = None) -> DataFrame:
     """``(PMID, DOI, source_file)``: first pubmed id and first DOI of each list,
     rows with either missing dropped."""
     return id_lists.select(
         _text_or_null(first_id_of_type("ArticleId", PUBMED_ID_TYPE)).alias("PMID"),
         _text_or_null(first_id_of_type("ArticleId", DOI_ID_TYPE)).alias("DOI"),
-        xml_stem(F.col("source_file")).alias("source_file"),
+        (xml_stem(F.col("source_file")) if identity is None else identity).alias("source_file"),
     ).dropna("any", subset=["PMID", "DOI"])
 
 
@@ -44,56 +64,55 @@ def xml_links(spark: SparkSession, xml_path: str, own_only: bool = False) -> Dat
     return extract_links(read_id_lists(spark, xml_path, own_only))
 
 
-MANIFEST = "_manifest"
+def load_manifest(spark: SparkSession, lake_path: str) -> DataFrame | None:
+    """``(source_file, path, loaded_at)`` of every file that gave rows to the
+    lake, or None before the first load.  Kept under ``_manifest/`` in the
+    lake, which Spark's readers skip (leading underscore)."""
+    path = _fs.join(lake_path, MANIFEST)
+    return spark.read.parquet(path) if _fs.list_files(path) else None
 
 
-def load_manifest(spark: SparkSession, lake_path: str) -> DataFrame | None:
-    """``(source_file, loaded_at)`` of every file loaded into the lake so
-    far, or None before the first load.  Kept under ``_manifest/`` in the
-    lake, which Spark's readers skip (leading underscore).  Rows per file:
-    ``operators.tables.counts_by(lake, "source_file")``."""
-    from lakesmith.operators.sinks import _exists
-    from lakesmith.sources import _fs
+def write_links(batch: DataFrame, lake_path: str, root: str) -> None:
+    """One micro-batch of id lists into the lake: its files' partitions are
+    replaced (so a repeated batch or a re-delivered file never duplicates
+    rows) and listed in the manifest."""
+    batch.persist()   # used twice; what does not fit in memory goes to disk, what is lost is read again
+    keyed = batch.withColumn("source_file", file_identity(F.col("path"), root))
+    # one row per file of the micro-batch, whose size is bounded; "x.xml.gz" sorts behind "x.xml"
+    files = keyed.groupBy("source_file").agg(F.max("path").alias("path"))
+    links = extract_links(keyed.join(F.broadcast(files), ["source_file", "path"]), F.col("source_file"))
+    (links.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+          .partitionBy("source_file").parquet(lake_path))
+    files.withColumn("loaded_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(_fs.join(lake_path, MANIFEST))
+    batch.unpersist()
 
-    path = _fs.join(lake_path, MANIFEST)
-    return spark.read.parquet(path) if _exists(spark, path) else None
+
+def read_link_partitions(spark: SparkSession, lake_path: str) -> DataFrame:
+    """The lake, its partition column a string whatever the file names look like."""
+    return spark.read.schema(LAKE_SCHEMA).parquet(lake_path)
 
 
 def ingest_xml(spark: SparkSession, xml_path: str, lake_path: str, own_only: bool = False,
                skip_present: bool = True, remove_loaded: bool = False) -> DataFrame:
     """Load the article files under ``xml_path`` into the lake
-    (``source_file=<stem>/`` per input file) and return the lake read back.
-
-    ``skip_present``: files already loaded are not read again.  The
-    presence check runs first, on the file listing against the lake's load
-    manifest (which also remembers files that yielded no rows).  Written
-    partitions replace only themselves (dynamic overwrite), so a rerun or a
-    re-delivered file never duplicates rows and never touches other files'
-    output.  After the write, one manifest row per loaded file is appended.
-    ``remove_loaded``: the loaded input files are then deleted (after the
-    lake and the manifest are committed, so a failed load never loses input).
+    (``source_file=<identity>/`` per input file) and return the lake read back.
+
+    ``skip_present``: files already loaded are not read again (the lake's own
+    checkpoint, shared with the stream, remembers them, also those that
+    yielded no rows).  Otherwise all are read and replace what they gave.
+    ``remove_loaded``: the input files that were there before the load are
+    deleted after it is committed, so a failed load never loses input.
     """
-    from lakesmith.operators.planning import not_yet_done
-    from lakesmith.sources import _fs
-    from lakesmith.sources.listings import file_inventory
+    import uuid
 
-    todo = file_inventory(spark, xml_path, XML_GLOB).select(
-        "path", xml_stem(F.col("name")).alias("source_file"))
-    manifest = load_manifest(spark, lake_path)
-    if skip_present and manifest is not None:
-        todo = not_yet_done(todo, manifest, "source_file")
-    # the work list: one row per file still to load
-    work = [(r["path"], r["source_file"]) for r in todo.collect()]
-    if work:
-        links = extract_links(read_id_lists(spark, [p for p, _ in work], own_only))
-        (links.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("source_file").parquet(lake_path))
-        # one manifest row per loaded file (the work list itself: no extra pass)
-        entries = spark.createDataFrame([(s,) for _, s in work], "source_file string") \
-            .withColumn("loaded_at", F.current_timestamp())
-        entries.write.mode("append").parquet(_fs.join(lake_path, MANIFEST))
-        if remove_loaded:
-            from lakesmith.operators.sinks import remove_files
-
-            remove_files(spark.createDataFrame([(p,) for p, _ in work], "path string"))
-    return spark.read.parquet(lake_path)
+    from lakesmith.operators.sinks import remove_files
+    from lakesmith.operators.tables import stage
+    from lakesmith.sources.listings import file_inventory
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    there = stage(file_inventory(spark, xml_path, XML_GLOB).select("path"), "xmlwork") if remove_loaded else None
+    name = CHECKPOINT if skip_present else f"{CHECKPOINT}-{uuid.uuid4().hex}"
+    stream_xml_links(spark, xml_path, lake_path, _fs.join(lake_path, name), own_only=own_only)
+    if there is not None:
+        remove_files(there)
+    return read_link_partitions(spark, lake_path)

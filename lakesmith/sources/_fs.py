@@ -7,6 +7,23 @@ an archive works the same on a laptop and against a cluster's shared store.
 
 from __future__ import annotations
 
+# Schemes of Hadoop's connectors and what pyarrow.fs calls the
+# same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def store_uri(path: str) -> str:
+    """The URI under the scheme that ``pyarrow.fs`` knows.
+
+    The old blob endpoint becomes the file-system endpoint of the same
+    account, as its connector does.
+    """
+    scheme, rest = path.split("://", 1)
+    known = SCHEMES.get(scheme.lower(), scheme)
+    if scheme.lower() in ("wasb", "wasbs"):
+        rest = rest.replace(".blob.core.windows.net", ".dfs.core.windows.net", 1)
+    return f"{known}://{rest}"
+
 
 def resolve(path: str):
     """``(filesystem, path inside it)`` for ``path``."""
@@ -17,7 +34,7 @@ def resolve(path: str):
         while path.startswith("//"):
             path = path[1:]
     if "://" in path:
-        return fs.FileSystem.from_uri(path)
+        return fs.FileSystem.from_uri(store_uri(path))
     return fs.LocalFileSystem(), path
 
 
@@ -60,6 +77,16 @@ def join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *[p.strip("/") for p in parts]])
 
 
+def list_files(path: str) -> list[str]:
+    """Names of the files in a folder; none if it does not exist."""
+    from pyarrow import fs
+
+    filesystem, inner = resolve(path)
+    if filesystem.get_file_info(inner).type != fs.FileType.Directory:
+        return []
+    return [e.base_name for e in filesystem.get_file_info(fs.FileSelector(inner)) if e.type == fs.FileType.File]
+
+
 def delete_file(path: str) -> bool:
     """Delete one file; False if it was already gone."""
     from pyarrow import fs

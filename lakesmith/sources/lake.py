@@ -21,8 +21,18 @@ def read_lake(spark: SparkSession, path: str, columns: list[str] | None = None)
 
 
 def read_link_lake(spark: SparkSession, path: str) -> DataFrame:
-    """The (PMID, DOI) lake, both read as strings whatever a file stored."""
-    return read_lake(spark, path).select(*[F.col(c).cast("string").alias(c) for c in LINK_COLUMNS])
+    """The (PMID, DOI) lake, both read as strings whatever a file stored.
+
+    Spark merges the footers' schemas and one scan reads all files; if a
+    column's type conflicts, files are read by their own schema.
+    """
+    try:
+        lake = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path)
+    except Exception as e:  # noqa: BLE001 - Spark raises it from its footer job as well as from analysis
+        if "MERGE" not in str(e):
+            raise
+        lake = read_drifting_lake(spark, path)
+    return lake.select(*[F.col(c).cast("string").alias(c) for c in LINK_COLUMNS])
 
 
 def union_drifting(frames: list[DataFrame]) -> DataFrame:

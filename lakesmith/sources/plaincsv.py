@@ -1,16 +1,17 @@
-"""Unzipped Latin-1 CSV with Spark's own CSV source.
-
-Standard files: header, quoted fields with doubled quotes, quoted newlines
-(``multiLine``; a multi-line file is read by one task, single-line files are
-split).  Badly quoted files (every field quoted, inner quotes not doubled):
-split on the three characters ``","`` with quoting off, then the outer quote
-is removed from the header names and from the first and last values.
-
-Both read all columns as strings (typing is a separate whole-column step,
-``operators.tables.infer_and_cast``) and keep rows whole: a row shorter than
-the header is padded with nulls, as CSV readers do; a row with more fields
-than the header is kept in ``_bad_line`` (its raw text) with null values,
-instead of being cut silently.
+"""Unzipped Latin-1 CSV.
+
+``read_csv`` reads each file whole, by its own header, with the records of
+the zip reader: files whose columns differ in order or number are mapped by
+name, quoted newlines and unclosed quotes are handled, and every row with more
+fields than its header is kept in ``_bad_line``.  A file is read by one task.
+
+``read_csv_lines`` is for big files of one record per line and one header: it
+uses Spark's own CSV source, which splits them over tasks.  A file whose
+header differs from the first one's fails the job.
+
+All columns are strings (typing is a separate whole-column step,
+``operators.tables.infer_and_cast``); a row shorter than the header is padded
+with nulls, as CSV readers do.
 """
 
 from __future__ import annotations
@@ -19,53 +20,60 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesmith.operators.tables import column
+from lakesmith.sources import _records as R
+from lakesmith.sources._fs import open_input
+from lakesmith.sources.zipcsv import TASK_BYTES, map_headers, spread, stage_raw
+
 ENCODING = "ISO-8859-1"
 _CORRUPT = "_corrupt_record"
 
 
-def _reader(spark: SparkSession, split: bool, multi_line: bool):
-    r = spark.read.option("header", True).option("encoding", ENCODING)
-    if split:
-        return r.option("sep", '","').option("quote", "")
-    return r.option("multiLine", multi_line).option("quote", '"').option("escape", '"')
-
-
-def _read_whole_rows(spark: SparkSession, path: str, split: bool, multi_line: bool = True) -> DataFrame:
-    """Header names from the first file, then every row against them with
-    Spark's corrupt-record column; long rows become ``_bad_line``."""
-    names = _reader(spark, split, multi_line).csv(path).columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in names]
-                          + [T.StructField(_CORRUPT, T.StringType())])
-    df = (_reader(spark, split, multi_line).schema(schema).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", _CORRUPT).csv(path))
-    # Spark flags short and long rows alike; only a long row fills the last column too
-    long_row = F.col(_CORRUPT).isNotNull() & F.col(f"`{names[-1]}`").isNotNull()
-    cols = [F.when(~long_row, F.col(f"`{c}`")).alias(c) for c in names]
-    return df.select(*cols, F.when(long_row, F.col(_CORRUPT)).alias("_bad_line"))
-
-
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Standard CSV: string columns named by the header, plus ``_bad_line``."""
-    return _read_whole_rows(spark, path, split=False, multi_line=multi_line)
-
-
-def read_quote_split_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The ``","`` fallback on plain files: one line per row, no quoting;
-    outer quotes removed from header names and from the first and last value."""
-    from lakesmith.operators.tables import clean_header_names
-
-    df = _read_whole_rows(spark, path, split=True, multi_line=False)
-    data = [c for c in df.columns if c != "_bad_line"]
-    first, last = data[0], data[-1]
-    cols = []
-    for c in data:
-        v = F.col(f"`{c}`")
-        if c == first:
-            v = F.regexp_replace(v, '^"', "")
-        if c == last:
-            v = F.regexp_replace(v, '"$', "")
-        cols.append(v.alias(c))
-    return clean_header_names(df.select(*cols, "_bad_line"))
+def _extract_files(mode: str | None):
+    def extract(batches):
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                yield from R.chunks(lambda path=path: open_input(path), path, "", mode)
+
+    return extract
+
+
+def _read(spark: SparkSession, path: str, glob: str | None, mode: str | None) -> DataFrame:
+    from lakesmith.sources.listings import file_inventory
+
+    files = file_inventory(spark, path, glob).select("path", "length")
+    total = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
+    raw = spread(files.select("path"), total["n"], (total["bytes"] or 0) / TASK_BYTES).mapInArrow(_extract_files(mode), R.RAW_SCHEMA)
+    table = map_headers(stage_raw(raw))
+    return table.drop(R.ARCHIVE, R.MEMBER, R.ROW_NO, R.MODE)
+
+
+def read_csv(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """CSV files under ``path``: string columns named by the headers, plus ``_bad_line``."""
+    return _read(spark, path, glob, None)
+
+
+def read_quote_split_csv(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """The ``","`` split on plain files: one line per row, no quoting; outer
+    quotes removed from header names and from the first and last value."""
+    return _read(spark, path, glob, R.SPLIT)
+
+
+def read_csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One record per line and one header for all files: string columns plus ``_bad_line``.
+
+    Spark flags short and long rows alike, so the fields are counted again on
+    the flagged lines: a field is a quoted run or a run without commas.
+    """
+    def reader():
+        return spark.read.option("header", True).option("encoding", ENCODING).option("quote", '"').option("escape", '"')
+
+    names = reader().csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names] + [T.StructField(_CORRUPT, T.StringType())])
+    df = reader().schema(schema).option("enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT).csv(path)
+    commas = F.length(F.regexp_replace(F.regexp_replace(F.col(_CORRUPT), r'"(?:[^"]++|"")*+"', ""), r"[^,]++", ""))
+    long_row = F.coalesce(commas >= len(names), F.lit(False))
+    return df.select(*[F.when(~long_row, column(c)).alias(c) for c in names], F.when(long_row, F.col(_CORRUPT)).alias(R.BAD_LINE))
 
 
 def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:

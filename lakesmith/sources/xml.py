@@ -1,8 +1,7 @@
 """Gzipped XML article files -> one row per identifier list.
 
 Spark's XML source decodes ``.xml.gz`` by extension.  A gzip file cannot be
-split, so each file is one task; many files spread over the cluster, a few
-big files are repartitioned right after the scan.
+split, so each file is one task.
 """
 
 from __future__ import annotations
@@ -21,10 +20,25 @@ ARTICLE_SCHEMA = T.StructType([
 ])
 
 
-def _reader(spark: SparkSession, row_tag: str, schema: T.StructType):
+def read_id_lists(spark: SparkSession, path: str | list[str], own_only: bool = False) -> DataFrame:
+    """One row per ``ArticleIdList`` element: column ``ArticleId`` (array of
+    ``{_IdType, _VALUE}``) plus ``source_file`` (the file's name) and ``path``.
+
+    ``own_only=False`` matches the element at any depth (lists nested in
+    reference lists too).  ``own_only=True`` keeps only each article's own
+    list (``PubmedArticle/PubmedData/ArticleIdList``).  ``path`` is a folder
+    or a list of files.
+    """
+    reader = xml_reader(spark.read, own_only)
+    return id_lists(reader.load(path), own_only)
+
+
+def xml_reader(read, own_only: bool = False):
+    """``read`` (batch or stream) set up for the id lists."""
+    tag, schema = ("PubmedArticle", ARTICLE_SCHEMA) if own_only else ("ArticleIdList", ID_LIST_SCHEMA)
     return (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
+        read.format("xml")
+        .option("rowTag", tag)
         # a file with a second root element would otherwise yield only the first
         .option("mode", "FAILFAST")
         # identifiers are kept exactly as written, outer spaces included
@@ -33,18 +47,6 @@ def _reader(spark: SparkSession, row_tag: str, schema: T.StructType):
     )
 
 
-def read_id_lists(spark: SparkSession, path: str | list[str], own_only: bool = False) -> DataFrame:
-    """One row per ``ArticleIdList`` element: column ``ArticleId`` (array of
-    ``{_IdType, _VALUE}``) plus ``source_file``.
-
-    ``own_only=False`` matches the element at any depth (lists nested in
-    reference lists too).  ``own_only=True`` keeps only each article's own
-    list (``PubmedArticle/PubmedData/ArticleIdList``).  ``path`` is a folder
-    or a list of files.
-    """
-    if own_only:
-        df = _reader(spark, "PubmedArticle", ARTICLE_SCHEMA).load(path)
-        df = df.select(F.col("PubmedData.ArticleIdList.ArticleId").alias("ArticleId"), "_metadata")
-    else:
-        df = _reader(spark, "ArticleIdList", ID_LIST_SCHEMA).load(path)
-    return df.select("ArticleId", F.col("_metadata.file_name").alias("source_file"))
+def id_lists(df: DataFrame, own_only: bool = False) -> DataFrame:
+    ids = F.col("PubmedData.ArticleIdList.ArticleId") if own_only else F.col("ArticleId")
+    return df.select(ids.alias("ArticleId"), F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("path"))

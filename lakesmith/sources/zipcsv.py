@@ -4,31 +4,20 @@ fallback for badly quoted files.
 Spark's CSV source cannot open a zip (it returns garbage rows, no error), so
 the archives are read by Python inside ``mapInArrow`` (Arrow record batches
 built directly, no pandas objects in between).  The work is still
-Spark's: the file listing, one task per archive (zip is not splittable), and
-everything after the raw fields (header mapping, missing tokens, type
-inference, casts, writes) is built-in expressions.
-
-Every archive is parsed once:
-
-1. *extract* - the archives' CSV members are listed (zip central directory
-   only) and spread over tasks one member at a time; each member is parsed
-   with the standard CSV rules and
-   streamed out in bounded chunks as ``(archive, member, row_no, fields)``;
-   the header is row ``-1``, each row carries a ``ragged`` flag (more fields
-   than the header; a short row is padded with nulls, as CSV readers do).
-   The rows are staged as parquet under the shared checkpoint folder, which
-   also cuts the lineage back to the archives.
-2. *summary* - observed on the staging write itself: the member count, the
-   distinct headers, and the number of ragged rows in members whose lines
-   are quoted end to end.
-3. *fallback* - those members are re-read with the ``","`` split (decided
-   per file by field count, not by an exception); the member list stays a
-   DataFrame that feeds the re-read tasks directly.
-4. *mapping* - each member's header is mapped onto the union of all
-   headers (a column missing in one year is null there): a per-member
-   position array built with ``array_position``, joined to the rows, read
-   with ``try_element_at``.  Rows that fit no header keep their raw fields
-   in ``_bad_line``; nothing is dropped.
+Spark's: the file listing, one task per group of members (zip is not
+splittable), and everything after the raw fields (header mapping, missing
+tokens, type inference, casts, writes) is built-in expressions.
+
+1. *list* - the archives' CSV members (zip central directory only), staged
+   with their sizes; the bytes set the number of tasks.
+2. *extract* - each member is examined, then read in the mode that fits it
+   (``_records``), as ``(archive, member, row_no, fields)`` rows that carry a
+   signature of their header.  No row is lost: what does not fit its header
+   is kept in ``_bad_line``.  The rows are staged as parquet under the shared
+   checkpoint folder, which also cuts the lineage back to the archives.
+3. *map* - the distinct headers give the union of columns (one missing in
+   one year is null there) and, per signature, where each column sits; rows
+   look their positions up by signature.
 
 Archives are opened by path through ``pyarrow.fs`` as seekable streams, so an
 archive never has to fit in memory and no binary column passes through Arrow.
@@ -36,25 +25,20 @@ archive never has to fit in memory and no binary column passes through Arrow.
 
 from __future__ import annotations
 
-import csv
-import io
+import math
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.session import fresh_dir
+from lakesmith.sources import _records as R
 from lakesmith.sources._fs import open_input
 
-CHUNK_ROWS = 10_000
-FALLBACK_SEP = '","'
-ENCODING = "latin-1"
-STANDARD, SPLIT = "standard", "split"
-RAW_SCHEMA = ("archive string, member string, row_no bigint, fields array<string>, "
-              "ragged boolean, quoted boolean")
-_RAW_COLUMNS = ["archive", "member", "row_no", "fields", "ragged", "quoted"]
-
-
+# Uncompressed bytes of members that one task reads.
+TASK_BYTES = 64 * 1024 * 1024
+# Archives whose member lists one task reads.
+LISTED_PER_TASK = 100
 # Member names read as CSV when an archive holds more than one file.
 CSV_MEMBER_ENDINGS = (".csv", ".txt")
 
@@ -68,84 +52,6 @@ def _members(zf: zipfile.ZipFile):
     return [f for f in files if f.lower().endswith(CSV_MEMBER_ENDINGS)]
 
 
-def _text(zf: zipfile.ZipFile, member: str):
-    return io.TextIOWrapper(zf.open(member), encoding=ENCODING, newline="")
-
-
-def _split_line(line: str) -> list[str]:
-    """Fallback parse: split on ``","``; drop the outer quote of the first and
-    last field (each line is quoted end to end)."""
-    parts = line.rstrip("\r\n").split(FALLBACK_SEP)
-    if parts and parts[0].startswith('"'):
-        parts[0] = parts[0][1:]
-    if parts and parts[-1].endswith('"'):
-        parts[-1] = parts[-1][:-1]
-    return parts
-
-
-def _records(stream, mode: str):
-    if mode == STANDARD:
-        for rec in csv.reader(stream):
-            if rec:  # blank lines are skipped, as CSV readers do by default
-                yield rec
-    else:
-        for line in stream:
-            if line.strip("\r\n"):
-                yield _split_line(line)
-
-
-def _first_line_quoted(zf: zipfile.ZipFile, member: str) -> bool:
-    with _text(zf, member) as s:
-        for line in s:
-            if line.strip("\r\n"):
-                return line.startswith('"')
-    return False
-
-
-def _member_chunks(zf: zipfile.ZipFile, path: str, member: str, mode: str):
-    """Arrow record batches of one member's records, ``CHUNK_ROWS`` at a time."""
-    import pyarrow as pa
-
-    quoted = _first_line_quoted(zf, member)
-    rows_no: list = []
-    fields: list = []
-    ragged: list = []
-
-    def batch():
-        n = len(rows_no)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string()),
-             pa.array(rows_no, pa.int64()), pa.array(fields, pa.list_(pa.string())),
-             pa.array(ragged, pa.bool_()), pa.array([quoted] * n, pa.bool_())],
-            names=_RAW_COLUMNS)
-
-    width = None
-    with _text(zf, member) as s:
-        try:
-            for row_no, rec in enumerate(_records(s, mode), start=-1):
-                if row_no == -1:
-                    if mode == SPLIT:
-                        rec = [h.replace('"', "") for h in rec]
-                    width = len(rec)
-                    rows_no.append(-1)
-                    fields.append(rec)
-                    ragged.append(False)
-                    continue
-                rows_no.append(row_no)
-                fields.append(rec)
-                ragged.append(len(rec) > width)  # short rows are padded, as CSV readers do
-                if len(rows_no) >= CHUNK_ROWS:
-                    yield batch()
-                    rows_no, fields, ragged = [], [], []
-        except csv.Error as e:
-            # unparseable remainder: keep it visible as one ragged row
-            rows_no.append(1 << 62)
-            fields.append([f"csv error: {e}"])
-            ragged.append(True)
-    if rows_no:
-        yield batch()
-
-
 def _list_members(batches):
     """mapInArrow body: ``(archive, member, size)`` of each archive's CSV
     members, from the zip central directory only (no member is inflated)."""
@@ -161,28 +67,25 @@ def _list_members(batches):
              pa.array([r[2] for r in rows], pa.int64())], names=["archive", "member", "size"])
 
 
-def _extractor(mode: str):
-    """mapInArrow body: the listed ``(archive, member)`` pairs in ``mode``;
-    each archive is opened once per task."""
-    def extract(batches):
-        for b in batches:
-            wanted: dict = {}
-            for a, m in zip(b.column("archive").to_pylist(), b.column("member").to_pylist()):
-                wanted.setdefault(a, []).append(m)
-            for path in sorted(wanted):
-                with open_input(path) as f, zipfile.ZipFile(f) as zf:
-                    for m in wanted[path]:
-                        yield from _member_chunks(zf, path, m, mode)
-
-    return extract
+def _extract_members(batches):
+    """mapInArrow body: the raw records of the listed ``(archive, member)``
+    pairs; each archive is opened once per batch."""
+    for b in batches:
+        wanted: dict = {}
+        for a, m in zip(b.column("archive").to_pylist(), b.column("member").to_pylist()):
+            wanted.setdefault(a, []).append(m)
+        for path in sorted(wanted):
+            with open_input(path) as f, zipfile.ZipFile(f) as zf:
+                for m in wanted[path]:
+                    yield from R.chunks(lambda zf=zf, m=m: zf.open(m), path, m)
 
 
-def _spread(df: DataFrame, n: int) -> DataFrame:
-    """Round-robin over ``min(n, 2 x default parallelism)`` tasks: one archive
-    per task while there are fewer archives than slots, a few per task
-    beyond that, never a wave of near-empty tasks.  (A file scan alone would
-    pack many small archives into one partition.)"""
-    return df.repartition(max(1, min(n, 2 * df.sparkSession.sparkContext.defaultParallelism)))
+def spread(df: DataFrame, rows: int, work: float) -> DataFrame:
+    """``df`` over as many tasks as its ``work`` fills, at least one per slot,
+    at most one per row.  (A file scan alone would pack many small rows into
+    one partition.)"""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(rows, max(slots, math.ceil(work)))))
 
 
 def archive_paths(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
@@ -191,129 +94,79 @@ def archive_paths(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFr
             .option("pathGlobFilter", glob).load(path).select("path"))
 
 
-def extract_raw(archives: DataFrame, n: int | None = None) -> DataFrame:
-    """Raw records of the archives listed in ``archives.path`` (step 1).
-
-    The unit of work is a member, not an archive: a cheap pass lists each
-    archive's CSV members (central directory only), the list is staged and
-    counted on its write, and the members are spread over tasks, so an
-    archive of many files is parsed in parallel.  ``n``: number of archives,
-    if known.
-    """
-    if n is None:
-        n = archives.count()   # the work list: one small row per archive
-    listing = _spread(archives.select("path"), n).mapInArrow(
-        _list_members, "archive string, member string, size bigint")
-    members, n_members = _stage_members(listing)
-    return _spread(members, n_members).mapInArrow(_extractor(STANDARD), RAW_SCHEMA)
-
-
-def _stage(df: DataFrame) -> tuple[DataFrame, dict]:
-    """Write the raw rows to the shared folder and read them back.
+def extract_raw(archives: DataFrame) -> DataFrame:
+    """Raw records of the archives listed in ``archives.path``.
 
-    Observed on the same write (no extra job), all small: the number of
-    members, their distinct headers, and how many rows are ragged inside a
-    member whose lines are quoted end to end (fallback candidates).
+    The unit of work is a member, not an archive: an archive of many files is
+    parsed in parallel.
     """
     from pyspark.sql import Observation
 
-    spark = df.sparkSession
-    out = fresh_dir(spark, "stage", "zipcsv")
-    obs = Observation("zip_members")
-    head = F.col("row_no") == -1
-    observed = df.observe(
-        obs,
-        F.count(F.when(head, F.lit(1))).alias("members"),
-        F.collect_set(F.when(head, F.col("fields"))).alias("headers"),
-        F.count(F.when(F.col("ragged") & F.col("quoted"), F.lit(1))).alias("fallback_rows"),
-    )
-    observed.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out), obs.get
-
-
-def _stage_members(df: DataFrame) -> tuple[DataFrame, int]:
-    """Write a small member list (one row per member) to the shared folder;
-    return it read back with its row count (observed on the write)."""
-    from pyspark.sql import Observation
-
-    spark = df.sparkSession
-    out = fresh_dir(spark, "stage", "zipmembers")
-    obs = Observation("zip_bad_members")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out), int(obs.get["n"])
+    spark = archives.sparkSession
+    n = archives.count()   # the work list: one small row per archive
+    out, seen = fresh_dir(spark, "stage", "zipmembers"), Observation("zip_members")
+    listing = spread(archives.select("path"), n, n / LISTED_PER_TASK).mapInArrow(
+        _list_members, "archive string, member string, size bigint")
+    listing.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).write.parquet(out)
+    work = (seen.get["bytes"] or 0) / TASK_BYTES
+    return spread(spark.read.parquet(out), int(seen.get["n"]), work).mapInArrow(_extract_members, R.RAW_SCHEMA)
 
 
 def union_columns(headers: list[list[str]]) -> list[str]:
-    """Header names in first-seen order over the distinct headers (sorted)."""
-    cols: list[str] = []
+    """Header names in first-seen order over the distinct headers (sorted);
+    names that differ only in case are one column, by its first spelling."""
+    cols: dict[str, str] = {}
     for header in sorted(headers):
-        for h in header or []:
-            if h not in cols:
-                cols.append(h)
-    return cols
+        for h in header:
+            cols.setdefault(h.casefold(), h)
+    return list(cols.values())
 
 
-def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zip",
-                 archives: DataFrame | None = None) -> DataFrame:
-    """All CSV members of the archives (under ``path``, or the ``path``
-    column of ``archives``) as one string table:
-    ``archive, member, row_no, <union of header columns>, _bad_line, _mode``
-    (``_mode`` tells how the member was parsed).
+def map_headers(staged: DataFrame) -> DataFrame:
+    """Staged raw records as one string table: the engine's columns, the union
+    of the headers' columns, ``_bad_line`` and ``_mode``.
 
-    Only small answers reach the driver: counts and the distinct headers.
-    Which members need the fallback, and where each column sits in each
-    member's header, stay DataFrames.
+    The distinct headers reach the driver, as the union of their columns is
+    the schema; the positions by header go back to the tasks.
     """
-    from lakesmith.operators.planning import broadcast_fits
+    from lakesmith.operators.tables import column
+
+    spark = staged.sparkSession
+    heads = staged.filter(F.col(R.ROW_NO) == -1).select("_sig", "_fields").distinct().collect()
+    columns = union_columns([h["_fields"] for h in heads])
+    places = []
+    for h in heads:
+        at = {name.casefold(): i + 1 for i, name in enumerate(h["_fields"])}
+        places.append((h["_sig"], [at.get(c.casefold()) for c in columns]))
+    # as many rows as there are distinct headers, which the driver holds already
+    mapping = F.broadcast(spark.createDataFrame(places, "_sig bigint, _idx array<int>"))
+    rows = staged.filter(F.col(R.ROW_NO) >= 0).join(mapping, "_sig")
+    fits = ~F.col("_ragged")
+    values = [F.when(fits, F.try_element_at(F.col("_fields"), F.col("_idx")[i])).alias(c) for i, c in enumerate(columns)]
+    line = (F.when(F.col(R.MODE) == R.SPLIT, F.array_join("_fields", R.FALLBACK_SEP)).otherwise(F.array_join("_fields", ",")))
+    table = rows.select(R.ARCHIVE, R.MEMBER, R.ROW_NO, *values, F.when(~fits, line).alias(R.BAD_LINE), R.MODE)
+    return table.select(*[column(c) for c in table.columns])
+
+
+def stage_raw(raw: DataFrame) -> DataFrame:
+    out = fresh_dir(raw.sparkSession, "stage", "csv")
+    raw.write.parquet(out)
+    return raw.sparkSession.read.parquet(out)
 
-    n = None
+
+def read_zip_csv(spark: SparkSession, path: str | None = None, glob: str = "*.zip",
+                 archives: DataFrame | None = None) -> DataFrame:
+    """All CSV members of the archives (under ``path``, or the ``path``
+    column of ``archives``) as one string table: ``_archive, _member,
+    _row_no, <union of header columns>, _bad_line, _mode`` (``_mode`` tells
+    how the member was parsed)."""
     if archives is None:
         archives = archive_paths(spark, path, glob)
-        n = len(archives.inputFiles())   # from Spark's file index, no job
-    staged, seen = _stage(extract_raw(archives, n))
-    headers = [list(h) for h in seen["headers"]]
-    members = int(seen["members"])
-    rows = staged.withColumn("_mode", F.lit(STANDARD))
-    heads = staged.filter(F.col("row_no") == -1).select("archive", "member", "fields")
-    if seen["fallback_rows"]:
-        # the members to re-read, written once (one small row per member) and
-        # counted on that write, so the re-read and the anti-join reuse it
-        bad, n_bad = _stage_members(staged.filter(F.col("ragged") & F.col("quoted"))
-                                    .select("archive", "member").distinct())
-        again, seen2 = _stage(_spread(bad, n_bad).mapInArrow(_extractor(SPLIT), RAW_SCHEMA))
-        headers += [list(h) for h in seen2["headers"]]
-        if broadcast_fits(n_bad, 512):   # (archive path, member name) per row
-            bad = F.broadcast(bad)
-        rows = (rows.join(bad, ["archive", "member"], "left_anti")
-                .unionByName(again.withColumn("_mode", F.lit(SPLIT))))
-        heads = rows.filter(F.col("row_no") == -1).select("archive", "member", "fields")
-    columns = union_columns(headers)
-    pos = {c: i for i, c in enumerate(columns)}
-    # 1-based position of each union column in the member's header (null: absent)
-    mapping = heads.select(
-        "archive", "member",
-        F.transform(F.array(*[F.lit(c) for c in columns]),
-                    lambda c: F.nullif(F.array_position(F.col("fields"), c), F.lit(0)).cast("int")).alias("_idx"),
-    )
-    # one row per member (counted on the staging write): two names and one
-    # int per union column
-    if broadcast_fits(members, 512 + 8 * len(columns)):
-        mapping = F.broadcast(mapping)
-    data = rows.filter(F.col("row_no") >= 0).join(mapping, ["archive", "member"])
-    raw_line = (F.when(F.col("_mode") == SPLIT, F.array_join(F.col("fields"), FALLBACK_SEP))
-                .otherwise(F.array_join(F.col("fields"), ",")))
-    values = [
-        F.when(~F.col("ragged"), F.try_element_at(F.col("fields"), F.col("_idx")[pos[c]])).alias(c)
-        for c in columns
-    ]
-    return data.select(
-        "archive", "member", "row_no", *values,
-        F.when(F.col("ragged"), raw_line).alias("_bad_line"),
-        "_mode",
-    )
+    return map_headers(stage_raw(extract_raw(archives)))
 
 
 def member_modes(spark: SparkSession, path: str, glob: str = "*.zip") -> DataFrame:
-    """Per member: how it is parsed (``standard`` / ``split``) and its row count."""
-    raw = read_zip_csv(spark, path, glob)
-    return raw.groupBy("archive", "member").agg(F.first("_mode").alias("mode"), F.count(F.lit(1)).alias("rows"))
+    """Per member: how it is parsed (``standard`` / ``split`` / ``lines``), its
+    rows, and how many of them were kept as ``_bad_line``."""
+    return read_zip_csv(spark, path, glob).groupBy(F.col(R.ARCHIVE).alias("archive"), F.col(R.MEMBER).alias("member")).agg(
+        F.first(R.MODE).alias("mode"), F.count(F.lit(1)).alias("rows"), F.count(R.BAD_LINE).alias("bad_lines"))

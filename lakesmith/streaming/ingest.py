@@ -6,6 +6,10 @@ rows.  ``max_files_per_trigger`` bounds the work of one micro-batch;
 ``clean_source`` removes (or archives) processed files, best effort and one
 batch late, so it is a tidy-up, not a guarantee.
 
+Each micro-batch goes through the batch writer and its manifest
+(``plans.xml_ingest.write_links``).  The lake has no sink log, so what the
+stream and what a batch load wrote are read alike.
+
 No dedupe runs in the stream: the link table has no event time, so a
 streaming distinct would keep unbounded state.  Dedupe stays a batch step on
 the lake (``plans.linktable``).
@@ -14,49 +18,42 @@ the lake (``plans.linktable``).
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-from lakesmith.plans.xml_ingest import XML_GLOB, extract_links
-from lakesmith.sources.xml import ID_LIST_SCHEMA
+from lakesmith.plans.xml_ingest import CHECKPOINT, XML_GLOB, write_links
+from lakesmith.sources import _fs
+from lakesmith.sources.xml import id_lists, xml_reader
 
 # Files per micro-batch unless told otherwise: a failed batch redoes at most
 # this many files, and each batch commits its output and checkpoint.
 DEFAULT_MAX_FILES_PER_TRIGGER = 1000
 
 
-def stream_xml_links(spark: SparkSession, landing: str, lake: str, checkpoint: str,
+def stream_xml_links(spark: SparkSession, landing: str, lake: str, checkpoint: str | None = None,
                      max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER,
-                     clean_source: str | None = None, archive_dir: str | None = None) -> int:
-    """Process every file under ``landing`` not yet seen by ``checkpoint`` into
-    the parquet ``lake`` (``availableNow``: all pending files, then stop).
+                     clean_source: str | None = None, archive_dir: str | None = None, own_only: bool = False) -> int:
+    """Process every file under ``landing`` not yet seen by ``checkpoint``
+    (default: the lake's own) into the parquet ``lake`` (``availableNow``: all
+    pending files, then stop).
 
     Returns the number of micro-batches run.
     """
-    reader = (
-        spark.readStream.format("xml")
-        .option("rowTag", "ArticleIdList")
-        .option("mode", "FAILFAST")
-        .option("ignoreSurroundingSpaces", False)
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", XML_GLOB)
-        .schema(ID_LIST_SCHEMA)
-    )
+    reader = xml_reader(spark.readStream, own_only).option("recursiveFileLookup", "true").option("pathGlobFilter", XML_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source:
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    id_lists = reader.load(landing).select("ArticleId", F.col("_metadata.file_name").alias("source_file"))
+    done = []
+
+    def write(batch, epoch):
+        write_links(batch, lake, landing)
+        done.append(epoch)
+
     q = (
-        extract_links(id_lists)
-        .writeStream.format("parquet")
-        .option("path", lake)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("source_file")
-        .trigger(availableNow=True)
-        .start()
+        id_lists(reader.load(landing), own_only).writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint or _fs.join(lake, CHECKPOINT))
+        .trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
-    return len(progress)
+    return len(done)

@@ -131,7 +131,7 @@ def test_domain_check_raises(spark):
     df = spark.createDataFrame([("projects",), ("grants",)], "t string")
     import pytest
 
-    with pytest.raises(Exception, match="not within valid options"):
+    with pytest.raises(Exception, match="unknown data_type"):
         df.select(in_domain_or_fail(F.col("t"), ["projects", "abstracts"], "data_type")).collect()
 
 
@@ -238,3 +238,36 @@ def test_html_links_match_stdlib_parser(spark, docs):
     df = spark.createDataFrame([(d,) for d in docs], "html string")
     got = [list(r.l) for r in df.select(html_links("html").alias("l")).collect()]
     assert got == [_LinkParser()(d) for d in docs]
+
+
+def test_strict_json_of_any_length(spark):
+    """Long strings and many escapes cost no stack; anything around the one value is refused."""
+    cases = ['"' + "x" * 1_000_000 + '"', '"' + "\\n" * 300_000 + '"', '{"a": 1} {"b": 2}', '{"a": 1}x', "1], [2", '1}, {"v": 2', "1, 2", "[1]]", "", " ", '"a" "b"', "[1, 2]", " 7 "]
+    df = spark.createDataFrame(list(enumerate(cases)), "i int, s string")
+    got = {r.i: r.j for r in df.select("i", F.to_json(strict_json("s")).alias("j")).collect()}
+    for i, c in enumerate(cases):
+        try:
+            want = json.loads(c)
+        except ValueError:
+            assert got[i] is None, c[:40]
+        else:
+            assert json.loads(got[i]) == want, c[:40]
+
+
+def test_links_only_inside_tags(spark):
+    html = """<p>set src="x.xml.gz" here</p><a title=' href="no"' href="&#47;f&#x2F;g&#0;&#xD800;">t</a><button formaction=go>b</button><a
+      href='two
+lines'>t</a><a href = "sp aced">"""
+    df = spark.createDataFrame([(html,)], "html string")
+    assert df.select(html_links("html").alias("l")).first().l == ["/f/g&#0;&#xD800;", "go", "two\nlines", "sp aced"]
+
+
+def test_responses_keep_ids_and_rejects(spark, tmp_path):
+    from lakesmith.plans.responses import ingest_responses
+
+    raw = spark.createDataFrame([("d1", '({"a": 1})'), ("d2", "cb({})"), ("d3", None)], "doi string, raw string")
+    out = str(tmp_path / "docs")
+    assert ingest_responses(raw, out) == {"documents": 1, "rejects": 2}
+    assert [tuple(r) for r in spark.read.parquet(out + "_by_doi").collect()] == [("d1", '{"a":1}')]
+    assert {tuple(r) for r in spark.read.parquet(out + "_rejects").collect()} == {("d2", "cb({})"), ("d3", None)}
+    assert [r.value for r in spark.read.text(out).collect()] == ['{"a":1}']

@@ -3,8 +3,8 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from lakesmith.operators.planning import join_small, not_yet_done
-from lakesmith.operators.sinks import present_partitions
+from lakesmith.operators.planning import batch_slice, not_yet_done
+from lakesmith.operators.sinks import present_partitions, write_compacted
 from lakesmith.plans.linktable import build_link_table
 from lakesmith.sources.listings import page_links
 
@@ -13,18 +13,36 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_broadcast_only_under_the_bound(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our explicit hint may broadcast
+def test_presence_check_counts_nothing_first(spark):
+    """No pre-check that gathers rows in one task: the plan is the anti-join and nothing else."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        big = spark.range(1000).withColumnRenamed("id", "k")
-        small = spark.range(10).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in _plan(join_small(big, small, "k", max_rows=100))
-        assert "BroadcastHashJoin" not in _plan(join_small(big, small, "k", max_rows=5))
-        assert not_yet_done(big, small, "k", max_rows=5).count() == 990
+        work = spark.range(1000).withColumnRenamed("id", "k")
+        done = spark.range(10).withColumnRenamed("id", "k")
+        todo = not_yet_done(work, done, "k")
+        plan = _plan(todo)
+        assert "SinglePartition" not in plan and "Limit" not in plan and "LeftAnti" in plan
+        assert todo.count() == 990
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_slices_do_not_gather_what_precedes_them(spark):
+    plan = _plan(batch_slice(spark.range(1000).withColumnRenamed("id", "k"), ["k"], 900, 5))
+    assert "SinglePartition" not in plan and "TakeOrdered" not in plan and "Limit" not in plan
+
+
+def test_compaction_has_no_shuffle(spark, tmp_path):
+    src, out = str(tmp_path / "many"), str(tmp_path / "few")
+    spark.range(0, 1000, 1, 8).write.parquet(src)
+    write_compacted(spark.read.parquet(src), out, 2)
+    plan = _plan(spark.read.parquet(src).coalesce(2))
+    assert "Exchange" not in plan
+    import os
+
+    assert 1 <= len([f for f in os.listdir(out) if f.startswith("part-")]) <= 2 and spark.read.parquet(out).count() == 1000
+
+
 def test_link_table_scan_is_pruned_and_filtered(spark, tmp_path):
     lake = tmp_path / "lake"
     lake.mkdir()

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from lakesmith.operators.planning import batch_slice, has_at_most, not_yet_done, plan_grid, with_position
+from lakesmith.operators.planning import batch_slice, not_yet_done, plan_grid, with_position
 from lakesmith.operators.sinks import publish, write_compacted
 from lakesmith.operators.tables import infer_types, observe_count
 from lakesmith.plans.linktable import build_link_table
@@ -55,15 +55,40 @@ def test_batch_slice_before_presence(spark):
     assert sorted(r.i for r in todo.collect()) == [10, 13, 14]   # fewer than 5 after the check
 
 
-def test_has_at_most(spark):
-    assert has_at_most(spark.range(10), 10)
-    assert not has_at_most(spark.range(11), 10)
+def test_not_yet_done_null_keys(spark):
+    work = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    done = spark.createDataFrame([(1,), (None,)], "k int")
+    assert {r.k for r in not_yet_done(work, done, "k").collect()} == {2, None}
+    assert {r.k for r in not_yet_done(work, done, "k", null_safe=True).collect()} == {2}
 
 
-def test_not_yet_done_without_broadcast(spark):
-    work = spark.range(100).withColumnRenamed("id", "k")
-    done = spark.range(50).withColumnRenamed("id", "k")
-    assert not_yet_done(work, done, "k", max_rows=10).count() == 50
+def test_publish_twice_with_odd_partition_values(spark, tmp_path):
+    rows = [(1, "a:b"), (2, "x"), (3, None), (4, "p%2F+q r"), (5, "")]
+    df = spark.createDataFrame(rows, "k int, p string")
+    for _ in range(2):
+        publish(df, str(tmp_path / "t"), ["p"])
+    got = spark.read.schema("k int, p string").parquet(str(tmp_path / "t")).collect()
+    assert sorted((r.k, r.p or None) for r in got) == [(1, "a:b"), (2, "x"), (3, None), (4, "p%2F+q r"), (5, None)]
+
+
+def test_types_are_safe(spark):
+    rows = [("1D", "12345678901234567890", "0x1F", "1.5", "007", "inf"), ("2F", "12345678901234567891", "0x2F", "2", "8", "-1e3")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, `f.g` string")
+    assert infer_types(df) == {"a": "string", "b": "string", "c": "string", "d": "double", "e": "bigint", "f.g": "double"}
+
+
+def test_link_lake_of_two_types(spark, tmp_path):
+    spark.createDataFrame([("1", "a")], "PMID string, DOI string").write.parquet(str(tmp_path / "lake" / "a"))
+    spark.createDataFrame([(2, "b")], "PMID bigint, DOI string").write.parquet(str(tmp_path / "lake" / "b"))
+    assert sorted(tuple(r) for r in read_link_lake(spark, str(tmp_path / "lake")).collect()) == [("1", "a"), ("2", "b")]
+
+
+def test_store_schemes():
+    from lakesmith.sources._fs import store_uri
+
+    assert store_uri("s3a://b/k") == "s3://b/k" and store_uri("s3n://b/k") == "s3://b/k"
+    assert store_uri("wasbs://c@a.blob.core.windows.net/k") == "abfss://c@a.dfs.core.windows.net/k"
+    assert store_uri("hdfs://n/k") == "hdfs://n/k"
 
 
 def test_observe_count_is_free(spark, tmp_path):
@@ -166,14 +191,14 @@ def test_positions_and_slices_match_python(spark, keys, start, count):
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(0, 20)), max_size=40),
        st.lists(st.one_of(st.none(), st.integers(0, 20)), max_size=40),
-       st.sampled_from([1, 1000]))
-def test_not_yet_done_matches_set_difference(spark, work, done, bound):
+       st.booleans())
+def test_not_yet_done_matches_set_difference(spark, work, done, null_safe):
     w = spark.createDataFrame([(k,) for k in work], "k int")
     d = spark.createDataFrame([(k,) for k in done], "k int")
-    got = sorted((r.k for r in not_yet_done(w, d, "k", max_rows=bound).collect()), key=lambda x: (x is None, x))
-    present = {k for k in done if k is not None}
-    want = sorted((k for k in work if k is None or k not in present), key=lambda x: (x is None, x))
-    assert got == want          # nulls in the work list are kept; both join strategies agree
+    got = sorted((r.k for r in not_yet_done(w, d, "k", null_safe=null_safe).collect()), key=lambda x: (x is None, x))
+    present = {k for k in done if null_safe or k is not None}
+    want = sorted((k for k in work if k not in present), key=lambda x: (x is None, x))
+    assert got == want          # a null is kept, or with null_safe a key like any other
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -119,17 +119,50 @@ def test_ingest_skips_loaded_files_and_replaces_only_its_own(spark, article_dir,
     assert "11" not in {r.PMID for r in df.collect()}
 
 
-def test_manifest_remembers_empty_files_and_counts(spark, article_dir, tmp_path):
+def test_manifest_and_empty_files(spark, article_dir, tmp_path):
     from lakesmith.operators.tables import counts_by
     from lakesmith.plans.xml_ingest import load_manifest
+    from lakesmith.streaming.ingest import stream_xml_links
 
     _gz(f"{article_dir}/empty.xml.gz", "<PubmedArticleSet><PubmedArticle/></PubmedArticleSet>")
     lake = str(tmp_path / "lake3")
     df = ingest_xml(spark, article_dir, lake)
-    assert {r.source_file for r in load_manifest(spark, lake).collect()} == {"pubmed23n0001", "empty"}
+    assert {r.source_file for r in load_manifest(spark, lake).collect()} == {"pubmed23n0001"}
     assert {r.source_file: r.rows for r in counts_by(df, "source_file").collect()} == {"pubmed23n0001": 5}
-    ingest_xml(spark, article_dir, lake)                      # nothing new: the empty file is not re-read
-    assert load_manifest(spark, lake).count() == 2
+    assert stream_xml_links(spark, article_dir, lake) == 0        # nothing new: the empty file is not read again either
+    assert load_manifest(spark, lake).count() == 1
+
+
+def test_equal_names_in_two_folders_are_two_files(spark, tmp_path):
+    for folder, first in (("a", ">1<"), ("b", ">91<")):
+        (tmp_path / "in" / folder).mkdir(parents=True)
+        _gz(tmp_path / "in" / folder / "f.xml.gz", ARTICLES.replace(">1<", first))
+        df = ingest_xml(spark, str(tmp_path / "in"), str(tmp_path / "lake"))      # the second comes later
+    assert {r.source_file for r in df.collect()} == {"a/f", "b/f"} and df.count() == 10
+
+
+def test_unpacked_copy_beside_its_archive_is_one_file(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "0007.xml").write_text(ARTICLES, encoding="utf-8")
+    _gz(d / "0007.xml.gz", ARTICLES)
+    df = ingest_xml(spark, str(d), str(tmp_path / "lake"))
+    assert df.count() == 5 and {r.source_file for r in df.collect()} == {"0007"}
+
+
+@pytest.mark.parametrize("stream_first", [True, False])
+def test_batch_and_stream_share_a_lake(spark, tmp_path, stream_first):
+    from lakesmith.plans.xml_ingest import load_manifest
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    d, lake = tmp_path / "in", str(tmp_path / "lake")
+    d.mkdir()
+    loads = [lambda: stream_xml_links(spark, str(d), lake, str(tmp_path / "ck")), lambda: ingest_xml(spark, str(d), lake)]
+    for i, load in enumerate(loads if stream_first else loads[::-1]):
+        _gz(d / f"f{i}.xml.gz", ARTICLES.replace(">1<", f">{i}00<"))
+        load()
+    assert spark.read.parquet(lake).count() == 10
+    assert {r.source_file for r in load_manifest(spark, lake).collect()} == {"f0", "f1"}
 
 
 def test_plain_xml_files_are_read_too(spark, tmp_path):

@@ -99,7 +99,7 @@ def test_fetch_plan_default_grid(spark):
 
 
 def test_fetch_plan_rejects_unknown_type(spark):
-    with pytest.raises(Exception, match="not within valid options"):
+    with pytest.raises(Exception, match="unknown data_type"):
         fetch_plan(spark, data_types=["projects", "grants"]).collect()
 
 
@@ -165,7 +165,80 @@ def test_members_of_one_archive_are_all_read(spark, tmp_path):
         for i in range(5):
             z.writestr(f"part{i}.csv", f"a,b\n{i},x\n{i},y\n")
     rows = read_zip_csv(spark, str(d)).collect()
-    assert sorted((r.member, r.a, r.b) for r in rows) == sorted(
+    assert sorted((r._member, r.a, r.b) for r in rows) == sorted(
         (f"part{i}.csv", str(i), v) for i in range(5) for v in "xy")
     # the work is spread per member: more than one task for one archive
-    assert extract_raw(archive_paths(spark, str(d)), 1).rdd.getNumPartitions() > 1
+    assert extract_raw(archive_paths(spark, str(d))).rdd.getNumPartitions() > 1
+
+
+def test_unclosed_quote_loses_no_line(spark, tmp_path):
+    d = tmp_path / "open"
+    d.mkdir()
+    _zip(d / "1.zip", "a.csv", 'a,b\n1,"x\n2,y\n3,z\n4,w')
+    _zip(d / "2.zip", "b.csv", '"a","b"\n"5","x\n"6","y"\n"7","z"')
+    _zip(d / "3.zip", "c.csv", 'a,b\n8,"x\n9,y\n10,"z\n11,w')           # two of them close each other
+    rows = read_zip_csv(spark, str(d)).collect()
+    assert {(r.a, r.b) for r in rows if r._bad_line is None} == {
+        ("2", "y"), ("3", "z"), ("4", "w"), ("5", "x"), ("6", "y"), ("7", "z"), ("9", "y"), ("11", "w")}
+    assert {r._bad_line for r in rows} - {None} == {'1,"x', '8,"x', '10,"z'}
+    assert {r.member: r.mode for r in member_modes(spark, str(d)).collect()} == {"a.csv": "lines", "b.csv": "split", "c.csv": "lines"}
+
+
+def test_fields_of_any_length(spark, tmp_path):
+    d = tmp_path / "long"
+    d.mkdir()
+    _zip(d / "1.zip", "a.csv", f"a,b\n1,x\n2,{'y' * 200_000}\n3,z\n4,w\n")
+    rows = {r.a: r for r in read_zip_csv(spark, str(d)).collect()}
+    assert set(rows) == {"1", "2", "3", "4"} and len(rows["2"].b) == 200_000
+    assert all(r._bad_line is None for r in rows.values())
+
+
+def test_headers_as_csv_readers_name_them(spark, tmp_path):
+    import pandas as pd
+
+    d = tmp_path / "heads"
+    d.mkdir()
+    _zip(d / "1.zip", "a.csv", "a,a,,x.y,A,_mode\n1,2,3,4,5,6\n")
+    raw = read_zip_csv(spark, str(d))
+    assert raw.columns[3:-2] == ["a", "a.1", "Unnamed: 2", "x.y", "A.2", "_mode.1"]
+    assert list(raw.first())[3:-2] == ["1", "2", "3", "4", "5", "6"]
+    assert list(pd.read_csv(d / "1.zip", encoding="latin-1").columns)[:4] == raw.columns[3:7]     # the model for repeats and blanks
+    assert dict(typed_rows(spark, str(d)).dtypes)["x.y"] == "bigint"
+
+
+def _plan_years(spark, first, last):
+    return fetch_plan(spark, ["projects"], first, last + 1)
+
+
+def test_schema_survives_the_second_run(spark, tmp_path):
+    from lakesmith.plans.csv_ingest import ingest_planned, lake_schema, missing_archives, read_csv_lake
+
+    d = tmp_path / "projects"
+    d.mkdir()
+    _zip(d / "1985.zip", "a.csv", "id,n,empty\n1,007,NA\n")
+    _zip(d / "1986.zip", "b.csv", "id,n,org\n2,about 5,ORG\n")
+    _zip(d / "0001.zip", "d.csv", "id\n9\n")
+    _zip(d / "notes.zip", "c.csv", "id\n8\n")               # no year in its name: not planned, no failure
+    lake = str(tmp_path / "lake")
+    one = ingest_planned(spark, _plan_years(spark, 1985, 1985), str(d), lake, "projects")
+    assert dict(one.dtypes)["n"] == "bigint" and one.first().n == 7
+    two = ingest_planned(spark, _plan_years(spark, 1985, 1987), str(d), lake, "projects")
+    rows = {r.id: r for r in two.collect()}
+    assert set(rows) == {1, 2} and rows[2].org == "ORG" and rows[1].org is None
+    assert rows[1].n == "007" and rows[2].n == "about 5"      # text in one year: the text that was loaded in all
+    assert lake_schema(lake) == {"id": "bigint", "n": "string", "empty": "void", "org": "string"}
+    three = ingest_planned(spark, fetch_plan(spark, ["projects"], 1, 2), str(d), lake, "projects")
+    assert {r.source_file for r in three.collect()} == {"1985", "1986", "0001"}         # a string, whatever it looks like
+    assert [r.data_year for r in missing_archives(spark, _plan_years(spark, 1985, 1987), str(d), "projects").collect()] == [1987]
+    assert read_csv_lake(spark, lake).count() == 3
+
+
+def test_whole_plan_in_one_call(spark, tmp_path):
+    from lakesmith.plans.csv_ingest import ingest_plan
+
+    for t in ("projects", "abstracts"):
+        (tmp_path / "in" / t).mkdir(parents=True)
+        _zip(tmp_path / "in" / t / "1990.zip", "a.csv", f"id,t\n1,{t}\n")
+    plan = fetch_plan(spark, ["projects", "abstracts"], 1990, 1992)
+    lakes = ingest_plan(spark, plan, str(tmp_path / "in"), str(tmp_path / "lake"), ["projects", "abstracts"])
+    assert {t: [r.t for r in df.collect()] for t, df in lakes.items()} == {"projects": ["projects"], "abstracts": ["abstracts"]}
