@@ -10,10 +10,13 @@ The answer asks for connected classes, so not every pair is needed:
 
 1. within a shingle the classes are chained in order of size; chain pairs that
    pass the filters are verified once per pair on the whole sets;
-2. the links found so far give components; then every remaining pair, of
-   classes in different components, that shares a prefix shingle and passes
-   the filters is verified.  This second step makes the result exact, and a
-   large group of near copies, joined by its chains, adds no pairs to it.
+2. the links found so far give components; where a shingle's classes are in
+   several, they are chained again in random orders, which joins most of what
+   belongs together at the cost of few pairs;
+3. then every remaining pair, of classes in different components, that shares
+   a prefix shingle and passes the filters is verified.  This step makes the
+   result exact, and a large group of near copies, joined by its chains, adds
+   few pairs to it.
 
 A shingle that is frequent within a map piece is chained there and only its
 first class is sent on; its other rows are dealt at random.
@@ -25,28 +28,31 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesmith.llm._graph import connected_components
-from lakesmith.llm._words import NO_ID, SPACE, U, mix, pieces, scan, whole_groups, windows
+from lakesmith.llm._words import NO_ID, SPACE, U, mix, pieces, scan, utf8, whole_groups, windows
 from lakesmith.session import fresh_dir
 
 WORDS = 5
 PERCENT = 80
-#: buckets of the count sketch that orders shingles (4 bytes each; sent to every task)
-SKETCH = 1 << 18
+#: buckets of the count sketch that orders shingles (8 bytes each; sent to every task)
+SKETCH = 1 << 20
 SKETCH_PARTS = 64
-#: pivots of the suffix filter: ranges of the shingle hash
-RANGES = 32
+#: ranges of the shingle hash that the suffix filter compares, one byte each
+RANGES = 256
 #: classes with one shingle in a map piece from which on they are chained there
 HOT = 16
 PIECE_BYTES = 4_000_000
+#: neighbours that a class meets in each of the random orders of step 2, and about how many rows are ordered together
+NEIGHBOURS, TOGETHER = (1, 4), 64
 #: bits that say which documents' sets are written for verification
 WANTED_BITS = 1 << 24
 
-POSTINGS = "route long, kind tinyint, token long, n int, cls binary, pos int, prev_cls binary, prev_n int, prev_pos int"
-SHARED = "token long, n int, cls binary, pos int, prev_cls binary, prev_n int, prev_pos int"
+POSTINGS = "route long, kind tinyint, token long, n int, cls long, pos int, prev_cls long, prev_n int, prev_pos int"
+SHARED = "token long, n int, cls long, pos int, prev_cls long, prev_n int, prev_pos int"
 
 
 def _sets(batches, words: int):
@@ -59,8 +65,9 @@ def _sets(batches, words: int):
             ]
 
 
-def _class(u: np.ndarray) -> bytes:
-    return hashlib.blake2b(u.tobytes(), digest_size=16).digest()
+def _class(u: np.ndarray) -> int:
+    """64-bit digest of a set; like the shingles', equal digests count as equal."""
+    return int.from_bytes(hashlib.blake2b(u.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def _classes(batches, words: int):
@@ -68,25 +75,25 @@ def _classes(batches, words: int):
     shift = U(64 - (RANGES - 1).bit_length())
     for ids, sets in _sets(batches, words):
         yield pa.RecordBatch.from_arrays([
-            ids.cast(pa.int64()), pa.array([None if u is None else _class(u) for u in sets], pa.binary()),
+            ids.cast(pa.int64()), pa.array([None if u is None else _class(u) for u in sets], pa.int64()),
             pa.array([0 if u is None else len(u) for u in sets], pa.int32()),
-            pa.array([None if u is None else np.bincount((u >> shift).astype(np.int64), minlength=RANGES) for u in sets], pa.list_(pa.int32())),
+            pa.array([None if u is None else np.bincount((u >> shift).astype(np.int64), minlength=RANGES).clip(max=255).astype(np.uint8).tobytes() for u in sets], pa.binary()),
         ], names=["id", "cls", "n", "ranges"])
 
 
 def _sketch(batches, words: int):
     """Document counts of shingles by bucket, one row per task and part of the sketch."""
-    total = np.zeros(SKETCH, np.int64)
+    total = np.zeros(SKETCH, np.uint32)
     for _, sets in _sets(batches, words):
         filled = [u for u in sets if u is not None]
         if filled:
-            total += np.bincount((np.concatenate(filled) & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+            total += np.bincount((np.concatenate(filled) & U(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
     parts = total.reshape(SKETCH_PARTS, -1)
     yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["part", "counts"])
 
 
 def _add_up(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(c.as_py(), np.int64) for c in table.column("counts"))
+    total = sum(np.frombuffer(c.as_py(), np.uint32).astype(np.int64) for c in table.column("counts"))
     return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
 
@@ -115,15 +122,13 @@ def _postings(batches, words: int, percent: int, counts: np.ndarray):
             names.append(name)
         if not names:
             continue
-        _, keep = np.unique(np.array(names, dtype="V16"), return_index=True)   # copies within the piece once
-        names, tokens, sizes = [names[i] for i in keep], [tokens[i] for i in keep], np.array([sizes[i] for i in keep])
+        names, keep = np.unique(np.array(names, np.int64), return_index=True)   # copies within the piece once
+        tokens, sizes = [tokens[i] for i in keep], np.array(sizes)[keep]
         lengths = np.array([len(t) for t in tokens])
         owner = np.repeat(np.arange(len(names)), lengths)
         pos = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
         token = np.concatenate(tokens)
-        rank = np.empty(len(names), np.int64)                    # place of a class by (size, name)
-        rank[sorted(range(len(names)), key=lambda i: (sizes[i], names[i]))] = np.arange(len(names))
-        order = np.lexsort((rank[owner], token))
+        order = np.lexsort((names[owner], sizes[owner], token))
         token, owner, pos = token[order], owner[order], pos[order]
         start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
         size = np.diff(np.append(start, len(token)))
@@ -133,11 +138,10 @@ def _postings(batches, words: int, percent: int, counts: np.ndarray):
         chained = hot & ~lead
         kind = np.where(chained, 1, np.where(hot, 2, 0)).astype(np.int8)
         route = np.where(chained, mix(token + owner.astype(U)).view(np.int64), token.view(np.int64))
-        names = pa.array(names, pa.binary())
-        back = pa.array(np.where(chained, np.roll(owner, 1), 0), mask=~chained)
+        back = np.roll(owner, 1)
         yield pa.RecordBatch.from_arrays([
-            pa.array(route), pa.array(kind), pa.array(token.view(np.int64)), pa.array(sizes[owner], pa.int32()), names.take(pa.array(owner)), pa.array(pos, pa.int32()),
-            names.take(back), pa.array(np.where(chained, sizes[np.roll(owner, 1)], 0), pa.int32(), mask=~chained), pa.array(np.where(chained, np.roll(pos, 1), 0), pa.int32(), mask=~chained),
+            pa.array(route), pa.array(kind), pa.array(token.view(np.int64)), pa.array(sizes[owner], pa.int32()), pa.array(names[owner]), pa.array(pos, pa.int32()),
+            pa.array(names[back], mask=~chained), pa.array(sizes[back], pa.int32(), mask=~chained), pa.array(np.roll(pos, 1), pa.int32(), mask=~chained),
         ], names=[f.split()[0] for f in POSTINGS.split(", ")])
 
 
@@ -159,7 +163,7 @@ def _shared(batches):
         yield from chained
         chained.clear()
         token, kind = table.column("token").to_numpy(), table.column("kind").to_numpy()
-        name = np.array(table.column("cls").to_pylist(), dtype="V16")
+        name = table.column("cls").to_numpy()
         first = np.concatenate([[True], token[1:] != token[:-1]])
         alone = ~np.concatenate([[False], ~first[1:] & (name[1:] == name[:-1])])     # not a copy of the row before
         start = np.flatnonzero(first)
@@ -188,15 +192,21 @@ def _may_link(n: Column, i: Column, m: Column, j: Column, percent: int) -> Colum
     return long_enough & (room >= _needed(n, m, percent))
 
 
-def _wanted_sets(batches, words: int, bits: np.ndarray):
-    """Class and whole set of the documents whose bit is set."""
-    for ids, sets in _sets(batches, words):
-        want = _bit(ids)
-        pick = [i for i, u in enumerate(sets) if u is not None and bits[want[i]]]
-        yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()).take(pa.array(pick, pa.int64())), pa.array([_class(sets[i]) for i in pick], pa.binary()), pa.array([sets[i].tobytes() for i in pick], pa.binary())],
-            names=["id", "cls", "members"],
-        )
+def _wanted_texts(batches, words: int, bits: np.ndarray):
+    """Class and whole text, compressed (a third of its set's size), of the documents whose bit is set."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        ids, texts = batch.column(0), batch.column(1)
+        pick = pa.array(np.flatnonzero(bits[_bit(ids)]))
+        some = pa.RecordBatch.from_arrays([ids.take(pick), texts.take(pick)], names=["id", "text"])
+        names, packed = [], []
+        for (_, sets), (a, b, off, raw) in zip(_sets([some], words), pieces(some.column(1), PIECE_BYTES), strict=True):
+            data = raw.tobytes()
+            for i, u in enumerate(sets):
+                if u is not None:
+                    names.append(_class(u))
+                    packed.append(squeeze(data[off[i]:off[i + 1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(packed, pa.binary())], names=["cls", "packed"])
 
 
 def _bit(ids: pa.Array) -> np.ndarray:
@@ -211,11 +221,30 @@ def _mark(batches):
     yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen), pa.int64())], names=["bit"])
 
 
-def _linked(batches, percent: int):
+def _near_enough(batches, percent: int):
+    """Suffix filter: what two sets differ by in all ranges together bounds their intersection (counts end at 255, which differ by less)."""
+    for b in batches:
+        n = b.column("n_a").to_numpy().astype(np.int64) + b.column("n_b").to_numpy()
+        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, RANGES).astype(np.int16) for c in ("ranges_a", "ranges_b"))
+        apart = np.abs(x - y).sum(axis=1, dtype=np.int64)
+        yield b.filter(pa.array((n - apart) * (100 + percent) >= 2 * percent * n)).select(["a", "b"])
+
+
+def _linked(batches, words: int, percent: int):
+    """Pairs that reach the threshold, by the whole sets."""
+    loose = zstandard.ZstdDecompressor().decompress
     for b in batches:
-        keep = []
-        for x, y in zip(b.column("members_a"), b.column("members_b"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
+        sets, keep = {}, []
+        for side in "ab":
+            names, packed = b.column(side).to_pylist(), b.column(f"packed_{side}")
+            new = {n: packed[i].as_py() for i, n in enumerate(names) if n not in sets}
+            texts = pa.array([loose(x) for x in new.values()], pa.large_binary())
+            for a, e, off, raw in pieces(texts, PIECE_BYTES):
+                w = scan(off, raw, SPACE, True)
+                for i, n in enumerate(list(new)[a:e]):
+                    sets[n] = np.unique(windows(w.hash[w.first[i]:w.first[i + 1]], words))
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist(), strict=True):
+            x, y = sets[x], sets[y]
             both = len(np.intersect1d(x, y, assume_unique=True))
             keep.append(100 * both >= percent * (len(x) + len(y) - both))
         yield b.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
@@ -233,67 +262,105 @@ def similar_classes(keyed: DataFrame, classes: DataFrame, words: int = WORDS, pe
     )
     shared = spark.read.parquet(f"{path}/shared")
 
-    # whole sets of the classes that share a prefix shingle, one document for each class
     kinds = classes.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
-    (
-        kinds.hint("merge").join(shared.select("cls").distinct(), "cls", "left_semi").write.parquet(f"{path}/kinds")
-    )
+    kinds.hint("merge").join(shared.select("cls").distinct(), "cls", "left_semi").write.parquet(f"{path}/kinds")
     kinds = spark.read.parquet(f"{path}/kinds")
-    marks = kinds.select("id").mapInArrow(_mark, "bit long").distinct().toArrow().column(0).to_numpy()      # at most WANTED_BITS
-    bits = np.zeros(WANTED_BITS, bool)
-    bits[marks] = True
-    sent = spark.sparkContext.broadcast(np.packbits(bits))
-    (
-        keyed.mapInArrow(lambda it: _wanted_sets(it, words, np.unpackbits(sent.value).astype(bool)), "id long, cls binary, members binary")
-        .hint("merge").join(kinds.select("id", "cls"), ["id", "cls"], "left_semi")
-        .dropDuplicates(["cls"]).select("cls", "members").write.parquet(f"{path}/sets")
-    )
-    sets = spark.read.parquet(f"{path}/sets")
-    ranges = kinds.select("cls", "n", "ranges")
+
+    def texts_of(pairs: DataFrame, step: str) -> DataFrame:
+        """Whole texts of the classes of ``pairs``, each from one document.
+
+        Which documents those are goes to the tasks as a bit table of fixed
+        size; what slips through it is dropped by the join.
+        """
+        named = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
+        kinds.select("cls", "id").hint("merge").join(named, "cls", "left_semi").write.parquet(f"{path}/need{step}")
+        need = spark.read.parquet(f"{path}/need{step}")
+        marks = need.select("id").mapInArrow(_mark, "bit long").distinct().toArrow().column(0).to_numpy()      # at most WANTED_BITS
+        bits = np.zeros(WANTED_BITS, bool)
+        bits[marks] = True
+        sent = spark.sparkContext.broadcast(np.packbits(bits))
+        (
+            keyed.mapInArrow(lambda it: _wanted_texts(it, words, np.unpackbits(sent.value).astype(bool)), "cls long, packed binary")
+            .hint("merge").join(need.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]).write.parquet(f"{path}/texts{step}")
+        )
+        return spark.read.parquet(f"{path}/texts{step}")
 
     def verify(pairs: DataFrame, step: str) -> DataFrame:
         """Suffix filter, then the whole sets, once per pair ``(a, b)``."""
-        apart = F.aggregate(F.zip_with("ranges_a", "ranges_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+        ranges = kinds.select("cls", "n", "ranges")
         (
             pairs.distinct()
             .join(ranges.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("ranges").alias("ranges_a")).hint("merge"), "a")
             .join(ranges.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("ranges").alias("ranges_b")).hint("merge"), "b")
-            .where((F.col("n_a") + F.col("n_b") - apart) / 2 >= _needed(F.col("n_a"), F.col("n_b"), percent))
-            .select("a", "b").write.parquet(f"{path}/pairs{step}")
+            .mapInArrow(lambda it: _near_enough(it, percent), "a long, b long").write.parquet(f"{path}/pairs{step}")
         )
+        pairs = spark.read.parquet(f"{path}/pairs{step}")
+        texts = texts_of(pairs, step)
         (
-            spark.read.parquet(f"{path}/pairs{step}")
-            .join(sets.select(F.col("cls").alias("b"), F.col("members").alias("members_b")).hint("merge"), "b")
-            .join(sets.select(F.col("cls").alias("a"), F.col("members").alias("members_a")).hint("merge"), "a")
-            .mapInArrow(lambda it: _linked(it, percent), "a binary, b binary").write.parquet(f"{path}/links{step}")
+            pairs
+            .join(texts.select(F.col("cls").alias("b"), F.col("packed").alias("packed_b")).hint("merge"), "b")
+            .join(texts.select(F.col("cls").alias("a"), F.col("packed").alias("packed_a")).hint("merge"), "a")
+            .mapInArrow(lambda it: _linked(it, words, percent), "a long, b long").write.parquet(f"{path}/links{step}")
         )
         return spark.read.parquet(f"{path}/links{step}")
 
     chain = shared.where("prev_cls is not null").where(_may_link(F.col("n"), F.col("pos"), F.col("prev_n"), F.col("prev_pos"), percent))
     links = verify(chain.select(F.least("cls", "prev_cls").alias("a"), F.greatest("cls", "prev_cls").alias("b")).where("a <> b"), "1")
+    found = connected_components(links).withColumnsRenamed({"node": "cls", "component": "comp"})
     (
-        connected_components(links).withColumnsRenamed({"node": "cls", "component": "comp"}).write.parquet(f"{path}/found1")
-    )
-    found = spark.read.parquet(f"{path}/found1")
-
-    # shingles whose classes are not all in one component: what is outside the largest one against all
-    (
-        shared.select("token", "n", "cls", "pos").distinct().hint("merge").join(found, "cls", "left")
+        shared.select("token", "n", "cls", "pos").hint("merge").join(found, "cls", "left")
         .withColumn("comp", F.coalesce("comp", "cls")).write.parquet(f"{path}/labelled")
     )
     rows = spark.read.parquet(f"{path}/labelled")
-    sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("token").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    main.select("token", "main").write.parquet(f"{path}/main")
-    open_rows = rows.hint("merge").join(spark.read.parquet(f"{path}/main"), "token")
-    open_rows.write.parquet(f"{path}/open")
-    open_rows = spark.read.parquet(f"{path}/open")
+
+    def still_open(rows: DataFrame, step: str) -> DataFrame:
+        """Rows of the shingles whose classes are not all in one component, with the largest one there."""
+        sizes = rows.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("k"))
+        main = sizes.groupBy("token").agg(
+            F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("k").alias("rows")).where("comps > 1")
+        main.select("token", "main", "rows").write.parquet(f"{path}/main{step}")
+        rows.hint("merge").join(spark.read.parquet(f"{path}/main{step}"), "token").write.parquet(f"{path}/open{step}")
+        return spark.read.parquet(f"{path}/open{step}")
+
+    def moved(rows: DataFrame, more: DataFrame, step: str) -> DataFrame:
+        """A class that was linked with a larger component takes its name: all with one name are connected."""
+        names = rows.select("cls", "comp").distinct()
+        names.write.parquet(f"{path}/names{step}")
+        names = spark.read.parquet(f"{path}/names{step}")
+        sizes = names.groupBy("comp").agg(F.count(F.lit(1)).alias("size"))
+        sized = names.join(sizes, "comp")
+        both = more.unionByName(more.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        best = both.join(sized.withColumnRenamed("cls", "b"), "b").groupBy(F.col("a").alias("cls")).agg(F.max(F.struct("size", "comp")).alias("best"))
+        better = sized.join(best, "cls").where(F.col("best.size") > F.col("size")).select("cls", F.col("best.comp").alias("new"))
+        better.write.parquet(f"{path}/moved{step}")
+        (
+            rows.hint("merge").join(spark.read.parquet(f"{path}/moved{step}"), "cls", "left")
+            .select("token", "n", "cls", "pos", F.coalesce("new", "comp").alias("comp")).write.parquet(f"{path}/rows{step}")
+        )
+        return spark.read.parquet(f"{path}/rows{step}")
+
+    for turn, neighbours in enumerate(NEIGHBOURS):
+        step = f"2_{turn}"
+        open_rows = still_open(rows, step)
+        at = F.xxhash64("cls", F.lit(turn))
+        some = Window.partitionBy("token", F.pmod(at, F.ceil(F.col("rows") / TOGETHER))).orderBy(at)       # about TOGETHER rows, however hot the shingle
+        pairs = None
+        for k in range(1, neighbours + 1):
+            near = open_rows.withColumn("y", F.lag(F.struct("cls", "n", "pos", "comp"), k).over(some))
+            near = near.where((F.col("y.comp") != F.col("comp")) & _may_link(F.col("n"), F.col("pos"), F.col("y.n"), F.col("y.pos"), percent))
+            near = near.select(F.least("cls", "y.cls").alias("a"), F.greatest("cls", "y.cls").alias("b"))
+            pairs = near if pairs is None else pairs.unionByName(near)
+        more = verify(pairs, step)
+        links = links.unionByName(more)
+        rows = moved(open_rows.drop("main", "rows"), more, step)
+
+    open_rows = still_open(rows, "3")
     x, y = open_rows.where("comp <> main").alias("x"), open_rows.alias("y")
     rest = x.hint("merge").join(
         y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
         & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
     )
-    more = verify(rest.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")), "2")
+    more = verify(rest.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")), "3")
     return connected_components(links.unionByName(more))
 
 
@@ -310,7 +377,7 @@ def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     path = fresh_dir(spark, "ngram_classes")
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    keyed.mapInArrow(lambda it: _classes(it, words), "id long, cls binary, n int, ranges array<int>").write.parquet(f"{path}/classes")
+    keyed.mapInArrow(lambda it: _classes(it, words), "id long, cls long, n int, ranges binary").write.parquet(f"{path}/classes")
     classes = spark.read.parquet(f"{path}/classes")
     found = similar_classes(keyed, classes, words, percent).withColumnsRenamed({"node": "cls", "component": "comp"})
     (
