@@ -1,22 +1,27 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut into units (a space and the run of other characters after it;
-other white space stands alone; a unit has at most ``UNIT`` characters).  Each
+A text is cut into units: a run of letters, of digits or of other signs, with
+the space before it; other white space stands alone; a run has at most ``UNIT``
+characters.  Each
 distinct unit is segmented once: its substrings up to the longest piece are
 exploded and equi-joined to the piece table, the edges are grouped by unit, and
 a Spark higher-order aggregate folds them into the best path (Viterbi).
 Characters without a piece become byte pieces, so decoding gives back every
 text exactly.
 
-Documents are dealt to blocks by hash and shuffled once, compressed.  A block
-asks for its distinct units and gets back one packed row per hash part of them,
-so no task needs the whole vocabulary and frequent words travel once per block.
+Documents stay where they are read.  A task asks for the distinct units of its
+block of documents; the requests are shuffled by hash part, answered there with
+one packed row per block, and the answers are written by block to the shared
+folder, where the task that encodes the block reads its own.  So no task needs
+the whole vocabulary, frequent words travel once per block, and no text is
+shuffled.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,19 +30,30 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesmith.session import fresh_dir
+
 #: characters of a unit at most; longer runs are cut
 UNIT = 64
 #: the mark that stands for a space in pieces, and what stands for the mark itself in units (no piece has it)
 SPACE_MARK, LITERAL_MARK = "▁", "￿"
-#: score of a character without a piece
-UNKNOWN_SCORE = -100.0
+#: a score counts as a cost in whole units of this many to one: the fold adds and compares integers
+COST_UNITS = 10_000
+#: cost of a character without a piece, more than any piece's
+UNKNOWN_COST = 100 * COST_UNITS
+#: fields of a lattice edge, from its low bits on: piece id, start, end, cost, and the end again, by which edges are sorted
+START, END, COST, ORDER = 21, 28, 35, 55
+PLACE_MASK = (1 << (END - START)) - 1
+#: ids from here on stand for the character at ``id - OWN``
+OWN = 1 << 20
+#: bytes of text of a block (one batch of rows at least)
+BLOCK_BYTES = 32_000_000
 
-UNITS = re.compile(rf" ?\S{{1,{UNIT}}}|\s")
+UNITS = re.compile(rf" ?[^\W\d_]{{1,{UNIT}}}| ?[^\s\w]{{1,{UNIT}}}| ?[\d_]{{1,{UNIT}}}|\s")
 
 
 @dataclass
 class Pieces:
-    """Piece table of a model: ``(id, piece, score)`` rows, and the id of byte piece 0x00."""
+    """Piece table of a model: ``(id, piece, cost)`` rows, and the id of byte piece 0x00."""
 
     rows: list
     byte_base: int
@@ -48,7 +64,7 @@ class Pieces:
         return max(len(p) for _, p, _ in self.rows)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "id int, piece string, score double")
+        return spark.createDataFrame(self.rows, "id int, piece string, cost long")
 
 
 def load_pieces(path: str) -> Pieces:
@@ -68,7 +84,10 @@ def load_pieces(path: str) -> Pieces:
         raise ValueError("the model has no byte pieces")
     scores = [model.get_score(i) for i in plain]
     ranks = all(s == int(s) for s in scores)
-    rows = [(i, model.id_to_piece(i), -float(np.log(2 - s)) if ranks else float(s)) for i, s in zip(plain, scores, strict=True)]
+    logs = [-float(np.log(2 - s)) if ranks else float(s) for s in scores]
+    rows = [(i, model.id_to_piece(i), min(max(round(-x * COST_UNITS), 0), UNKNOWN_COST - 1)) for i, x in zip(plain, logs, strict=True)]
+    if n > OWN or max(len(p) for _, p, _ in rows) > UNIT:
+        raise ValueError("more or longer pieces than an edge can hold")
     surface = [b""] * n
     for i, p, _ in rows:
         surface[i] = p.replace(SPACE_MARK, " ").encode()
@@ -83,63 +102,84 @@ def units_of(text: str) -> list[str]:
 
 
 def segment(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(part, unit, ids)`` from distinct ``(part, unit)``: the path of the highest score, longer pieces first on ties."""
+    """``(part, unit, ids)`` from distinct ``(part, unit)``: the path of the least cost; on ties the later piece is the longer one.
+
+    An edge is one integer (its fields are above).  So is a node of the fold:
+    the edge that reaches it, with the cost of the whole path; the smaller
+    integer is the better node.
+    """
     spark = units.sparkSession
-    marked = units.withColumn("esc", F.translate("unit", SPACE_MARK + " ", LITERAL_MARK + SPACE_MARK)).withColumn("n", F.char_length("unit"))
+    # a number in front of the grouping key: rows are sorted by it instead of by text
+    marked = units.withColumns({
+        "key": F.xxhash64("unit"), "esc": F.translate("unit", SPACE_MARK + " ", LITERAL_MARK + SPACE_MARK), "n": F.char_length("unit")})
     subs = (
         marked.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
         .withColumn("l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("n") - F.col("s")))))
         .withColumn("piece", F.expr("substring(esc, s + 1, l)"))
     )
     table = F.broadcast(pieces.table(spark))                    # the model's pieces, a fixed table
-    edges = subs.join(table, "piece").groupBy("part", "unit").agg(
-        F.collect_list(F.struct((F.col("s") + F.col("l")).alias("e"), F.col("s"), F.col("score"), F.array("id").alias("ids"))).alias("edges"))
-    # the edges of single characters as bytes, which connect every lattice
-    unit_bytes = F.transform(
-        F.sequence(F.lit(1), F.char_length("unit")),
-        lambda i: F.struct(
-            i.alias("e"), (i - 1).alias("s"), F.lit(UNKNOWN_SCORE).alias("score"),
-            F.transform(
-                F.split(F.hex(F.encode(F.substring(F.col("unit"), i, F.lit(1)), "utf-8")), r"(?<=\G..)(?=.)"),
-                lambda h: (F.conv(h, 16, 10).cast("int") + pieces.byte_base),
-            ).alias("ids"),
-        ),
-    )
-    whole = units.join(edges, ["part", "unit"], "left")
-    state = "struct<score:double,ids:array<int>>"
-
-    def grow(path, edge):
-        before = F.element_at(path, edge["s"] + 1)
-        now = F.struct((before["score"] + edge["score"]).alias("score"), F.concat(before["ids"], edge["ids"]).alias("ids"))
-        new = F.size(path) == edge["e"]                         # edges come by their end, then by their start
-        last = F.element_at(path, -1)
-        return F.when(new, F.concat(path, F.array(now))).when(
-            now["score"] > last["score"], F.concat(F.slice(path, 1, F.size(path) - 1), F.array(now))).otherwise(path)
-
-    folded = F.aggregate(
-        F.array_sort(F.concat(F.coalesce("edges", F.expr("cast(array() as array<struct<e:int,s:int,score:double,ids:array<int>>>)")), unit_bytes)),
-        F.expr(f"array(cast(struct(0.0D, array()) as {state}))"), grow, lambda path: F.element_at(path, -1)["ids"],
-    )
-    return whole.select("part", "unit", folded.alias("ids"))
 
+    def field(value, place):
+        return F.shiftleft(value.cast("long"), place)
 
-def _pack(batches):
-    squeeze = zstandard.ZstdCompressor(level=3).compress
+    # a single character without a piece keeps an edge of its own, which connects every lattice
+    end = F.col("s") + F.col("l")
+    cost, piece = F.coalesce("cost", F.lit(UNKNOWN_COST)), F.coalesce("id", F.col("s") + OWN)
+    edge = field(end, ORDER) + field(cost, COST) + field(end, END) + field(F.col("s"), START) + piece
+    whole = subs.join(table, "piece", "left").where("id is not null or l = 1").groupBy("key", "unit", "part").agg(
+        F.sort_array(F.collect_list(edge)).alias("edges"))
+
+    def start_of(x):
+        return F.shiftright(x, START).bitwiseAND(F.lit(PLACE_MASK)).cast("int")
+
+    def grow(nodes, edge):
+        node = F.get(nodes, start_of(edge)).bitwiseAND(F.lit(-1 << COST)) + edge.bitwiseAND(F.lit((1 << ORDER) - 1))
+        # edges come by their end: the first one of an end adds its node
+        return F.when(F.size(nodes) == F.shiftright(edge, ORDER), F.concat(nodes, F.array(node))).otherwise(
+            F.concat(F.slice(nodes, F.lit(1), F.size(nodes) - 1), F.array(F.least(F.element_at(nodes, -1), node))))
+
+    def back(path, node):
+        # nodes from the last to the first; the head of the path is the place that the next one must end at
+        here = F.shiftright(node, END).bitwiseAND(F.lit(PLACE_MASK)) == F.get(path, F.lit(0))
+        return F.when(here, F.concat(F.array(start_of(node), node.bitwiseAND(F.lit((1 << START) - 1)).cast("int")), F.slice(path, F.lit(2), F.size(path)))).otherwise(path)
+
+    def as_bytes(i):
+        # the character's UTF-8 bytes as byte pieces
+        digits = F.split(F.hex(F.encode(F.substring(F.col("unit"), i - OWN + 1, F.lit(1)), "utf-8")), r"(?<=\G..)(?=.)")
+        return F.when(i >= OWN, F.transform(digits, lambda h: F.conv(h, 16, 10).cast("int") + pieces.byte_base)).otherwise(F.array(i))
+
+    nodes = whole.select("part", "unit", F.aggregate("edges", F.expr("array(0L)"), grow).alias("nodes"))
+    # node 0 is no edge; what is left of the path's head is place 0
+    ids = nodes.select("part", "unit", F.aggregate(
+        F.reverse(F.slice("nodes", F.lit(2), F.size("nodes"))), F.array(F.size("nodes") - 1), back, lambda p: F.slice(p, F.lit(2), F.size(p))).alias("ids"))
+    return ids.select("part", "unit", F.when(F.array_max("ids") < OWN, F.col("ids")).otherwise(F.flatten(F.transform("ids", as_bytes))).alias("ids"))
+
+
+def _blocks(batches) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
+    """Blocks of a task's rows, numbered alike whenever the same rows are read in the same order."""
+    from pyspark import TaskContext
+
+    number, held, size = TaskContext.get().partitionId() << 24, [], 0
     for b in batches:
-        packed = [squeeze(t.as_buffer()) if t.is_valid else None for t in b.column("text")]
-        yield pa.RecordBatch.from_arrays([b.column("block"), b.column("row"), pa.array(packed, pa.binary())], names=["block", "row", "packed"])
+        held.append(b)
+        size += b.column("text").nbytes
+        if size >= BLOCK_BYTES:
+            yield number, held
+            number, held, size = number + 1, [], 0
+    if held:
+        yield number, held
 
 
-def _texts(table: pa.Table):
-    loose = zstandard.ZstdDecompressor().decompress
-    for t in table.column("packed"):
-        yield loose(t.as_py()).decode() if t.is_valid else None
+def _texts(held: list[pa.RecordBatch]) -> Iterator[str | None]:
+    for b in held:
+        for t in b.column("text"):
+            yield t.as_py()
 
 
-def _by_part(table: pa.Table, parts: int) -> dict[int, list[str]]:
+def _by_part(held: list[pa.RecordBatch], parts: int) -> dict[int, list[str]]:
     """The block's distinct units by hash part, each list in order."""
     seen: set[str] = set()
-    for t in _texts(table):
+    for t in _texts(held):
         seen.update(units_of(t or ""))
     out: dict[int, list[str]] = {}
     for u in sorted(seen):
@@ -147,10 +187,11 @@ def _by_part(table: pa.Table, parts: int) -> dict[int, list[str]]:
     return out
 
 
-def _ask(table: pa.Table, parts: int) -> pa.Table:
-    asked = _by_part(table, parts)
-    block = table.column("block")[0].as_py() if table.num_rows else 0
-    return pa.table({"part": pa.array(list(asked), pa.int32()), "block": pa.array([block] * len(asked), pa.int32()), "units": pa.array(list(asked.values()), pa.list_(pa.string()))})
+def _ask(batches, parts: int):
+    for block, held in _blocks(batches):
+        asked = _by_part(held, parts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(asked), pa.int32()), pa.array([block] * len(asked), pa.int64()), pa.array(list(asked.values()), pa.list_(pa.string()))], names=["part", "block", "units"])
 
 
 def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
@@ -167,48 +208,74 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table({"part": asked.column("part"), "block": asked.column("block"), "n": pa.array([len(u) for u in asked.column("units")], pa.int32()), "packed": pa.array(blobs, pa.binary())})
 
 
-def _encode(docs: pa.Table, answers: pa.Table, parts: int) -> pa.Table:
+def _answers(folder: str, block: int) -> dict[int, tuple[int, bytes]]:
+    """What was answered to a block: ``(units, packed ids)`` by part."""
+    import pyarrow.parquet as pq
+
+    from lakesmith.sources import _fs
+
+    out, here = {}, _fs.join(folder, f"block={block}")
+    for name in _fs.list_files(here):
+        if name.endswith(".parquet"):
+            with _fs.open_input(_fs.join(here, name)) as f:
+                t = pq.read_table(f)
+            out.update(zip(t.column("part").to_pylist(), zip(t.column("n").to_pylist(), t.column("packed").to_pylist(), strict=True), strict=True))
+    return out
+
+
+def _encode(batches, folder: str, parts: int):
     loose = zstandard.ZstdDecompressor().decompress
-    asked, known = _by_part(docs, parts), {}
-    for part, n, packed in zip(answers.column("part").to_pylist(), answers.column("n").to_pylist(), answers.column("packed").to_pylist(), strict=True):
-        blob = loose(packed)
-        at = 4 * n
-        for u, size in zip(asked[part], np.frombuffer(blob, "<u4", n).tolist(), strict=True):
-            known[u] = blob[at:at + 4 * size]
-            at += 4 * size
-    ids, first = [], [0]
-    for t in _texts(docs):
-        ids.append(b"".join([known[u] for u in units_of(t)]) if t else b"")
-        first.append(first[-1] + len(ids[-1]) // 4)
-    lists = pa.LargeListArray.from_arrays(pa.array(first, pa.int64()), pa.array(np.frombuffer(b"".join(ids), "<u4").astype(np.int32)))
-    lists = pa.array([x if p.is_valid else None for x, p in zip(lists, docs.column("packed"), strict=True)], pa.list_(pa.int32())) if docs.column("packed").null_count else lists.cast(pa.list_(pa.int32()))
-    return pa.table({"row": docs.column("row").combine_chunks(), "ids": lists})
-
-
-def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, blocks: int | None = None) -> DataFrame:
+    for block, held in _blocks(batches):
+        answers, known = _answers(folder, block), {}
+        for part, units in _by_part(held, parts).items():
+            n, packed = answers.get(part, (0, b""))
+            if n != len(units):
+                raise RuntimeError("the rows are not read in the order in which their units were collected; encode a table read from files, or pass stage=True")
+            blob, at = loose(packed), 4 * n
+            for u, size in zip(units, np.frombuffer(blob, "<u4", n).tolist(), strict=True):
+                known[u] = blob[at:at + 4 * size]
+                at += 4 * size
+        for b in held:
+            ids = [None if t is None else b"".join([known[u] for u in units_of(t)]) for t in b.column("text").to_pylist()]
+            first = np.cumsum([0] + [len(x or b"") // 4 for x in ids]).astype(np.int32)
+            values = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<u4").astype(np.int32))
+            lists = pa.ListArray.from_arrays(first, values, mask=pa.array([x is None for x in ids]))
+            yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
+
+
+def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, parts: int | None = None, stage: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all but the text) as struct ``row``, and ``ids``, the text's piece ids.
 
     A null text has null ids, an empty one none.  Repeated rows are encoded
     row by row; an empty table gives an empty result.  Ties in score go to the
     path whose last differing piece is longer.  Columns travel in the struct,
-    so any names are fine.  ``blocks``: default ``spark.sql.shuffle.partitions``.
+    so any names are fine.
+
+    ``docs`` is read twice and must give the same rows in the same order, as a
+    table read from files does; ``stage=True`` writes other frames to such a
+    table first.  Should the order differ, the job fails; it never encodes by
+    another block's answers.  ``parts``: hash parts of the vocabulary, default
+    ``spark.sql.shuffle.partitions``.
     """
-    from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
+    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
     spark = docs.sparkSession
-    parts = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_dir(spark, "piece_encoding")
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
-    text = F.col(f"`{text_col}`").cast("string")
-    dealt = docs.select(F.pmod(F.hash(row, text), F.lit(parts)).alias("block"), row.alias("row"), text.alias("text"))
-    shape = StructType([StructField("block", IntegerType()), dealt.schema["row"], StructField("packed", BinaryType())])
-    packed = dealt.mapInArrow(_pack, shape)
-    asked = packed.groupBy("block").applyInArrow(lambda t: _ask(t, parts), "part int, block int, units array<string>").repartition(parts, "part")
+    rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    if stage:
+        rows.write.parquet(f"{path}/rows")
+        rows = spark.read.parquet(f"{path}/rows")
+    rows.mapInArrow(lambda it: _ask(it, parts), "part int, block long, units array<string>").write.option("compression", "zstd").parquet(f"{path}/asked")
+    asked = spark.read.parquet(f"{path}/asked").repartition(parts, "part")
     units = asked.select("part", F.explode("units").alias("unit")).distinct()
     known = segment(units, pieces).withColumnRenamed("part", "of_part")
-    answers = asked.groupBy("part").cogroup(known.groupBy("of_part")).applyInArrow(_answer, "part int, block int, n int, packed binary")
-    out = StructType([dealt.schema["row"], StructField("ids", ArrayType(IntegerType()))])
-    return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(lambda d, a: _encode(d, a, parts), out)
+    answers = asked.groupBy("part").cogroup(known.groupBy("of_part")).applyInArrow(_answer, "part int, block long, n int, packed binary")
+    answers.repartition("block").write.partitionBy("block").parquet(f"{path}/answers")
+    out = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType()))])
+    return rows.mapInArrow(lambda it: _encode(it, f"{path}/answers", parts), out)
 
 
 def decode(encoded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:

@@ -71,22 +71,21 @@ def decontaminate(docs, items, window=10):
 
 
 def viterbi(unit, pieces, byte_base, unknown):
-    """Best path over one unit; of equal scores the path whose last differing piece is longer."""
-    esc = unit.replace("▁", "￿").replace(" ", "▁")
-    table = {p: (i, s) for i, p, s in pieces}
-    best = [(0.0, [])]
+    """Cheapest path over one unit; on ties the later piece is the longer one."""
+    esc = unit.replace("▁", "\uffff").replace(" ", "▁")
+    table = {p: (i, c) for i, p, c in pieces}
+    best = [(0, [])]
     for e in range(1, len(esc) + 1):
-        options = []
+        top = None
         for s in range(e):
             if esc[s:e] in table:
-                i, score = table[esc[s:e]]
-                options.append((s, score, [i]))
-            if s == e - 1:
-                options.append((s, unknown, [byte_base + b for b in unit[s:e].encode()]))
-        top = None
-        for s, score, ids in sorted(options, key=lambda o: (o[0], o[1])):
-            total = best[s][0] + score
-            if top is None or total > top[0]:
-                top = (total, best[s][1] + ids)
+                i, cost = table[esc[s:e]]
+                option = (best[s][0] + cost, best[s][1] + [i])
+            elif s == e - 1:
+                option = (best[s][0] + unknown, best[s][1] + [byte_base + b for b in unit[s:e].encode()])
+            else:
+                continue
+            if top is None or option[0] < top[0]:
+                top = option
         best.append(top)
     return best[-1][1]
