@@ -119,14 +119,15 @@ def blocks(text: str):
             continue
         if tag in BLOCK and (t := flush()):
             yield owner(), t
-        ends = CLOSES.get(tag)
-        if ends:
+        ends = CLOSES.get(tag, ())
+        while ends:
             k = len(stack) - 1
             while k > 0 and stack[k].tag not in ends and stack[k].tag not in SCOPE:
                 k -= 1
-            if k > 0 and stack[k].tag in ends:
-                while len(stack) > k:
-                    yield stack.pop(), None
+            if k == 0 or stack[k].tag not in ends:
+                break
+            while len(stack) > k:
+                yield stack.pop(), None
         node = Node(tag, m[3], stack[-1])
         stack[-1].kids.append(node.path)
         if tag == "br" or tag in ("td", "th"):
@@ -149,13 +150,16 @@ def blocks(text: str):
 
 
 def _features(batches):
-    """Distinct ``(host, path, kind, feature)`` of each page: texts (kind 0) and child layouts (kind 1)."""
+    """Distinct ``(host, path, kind, feature)`` of each page: texts (kind 0), child layouts (1), the node itself (2)."""
     for batch in batches:
         hosts, out = batch.column(0).to_pylist(), []
         for host, text in zip(hosts, batch.column(1).to_pylist(), strict=True):
             seen = set()
             for node, block in blocks(text or ""):
-                seen.add((node.path, 0, hash64(block)) if block is not None else (node.path, 1, hash64("|".join(sorted(set(node.kids))))))
+                if block is not None:
+                    seen.add((node.path, 0, hash64(block)))
+                else:
+                    seen |= {(node.path, 1, hash64("|".join(sorted(set(node.kids))))), (node.path, 2, 0)}
             out += [(host, *s) for s in seen]
         cols = list(zip(*out, strict=True)) or [[], [], [], []]
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int8()), pa.array(cols[3], pa.int64())], names=["host", "path", "kind", "feature"])
@@ -169,22 +173,22 @@ def importance(features: DataFrame) -> DataFrame:
     """``(host, path, pages, importance)`` of each style node from its pages' features.
 
     A text that ``k`` of ``m`` pages repeat has entropy ``log k / log m``;
-    layouts shown by shares ``p`` of the pages have ``-sum p log p / log m``.
+    layouts of shares ``p`` have ``-sum p log p / log m``, at most 1.
     """
     counts = features.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("k"))
     per = counts.groupBy("host", "path", "kind").agg(
-        F.count(F.lit(1)).alias("kinds"), F.sum("k").alias("m"), F.max("k").alias("most"),
+        F.count(F.lit(1)).alias("kinds"), F.sum("k").alias("m"),
         F.sum(F.log("k")).alias("logs"), F.sum(F.col("k") * F.log("k")).alias("klogs"),
     )
     nodes = per.groupBy("host", "path").agg(
-        F.max(F.when(F.col("kind") == 1, F.col("m"))).alias("pages"),
+        F.max(F.when(F.col("kind") == 2, F.col("m"))).alias("pages"),
         F.max(F.when(F.col("kind") == 1, F.col("kinds"))).alias("layouts"),
         F.max(F.when(F.col("kind") == 1, F.log("m") - F.col("klogs") / F.col("m"))).alias("layout_entropy"),
         F.max(F.when(F.col("kind") == 0, F.col("kinds"))).alias("texts"),
         F.max(F.when(F.col("kind") == 0, F.col("logs"))).alias("text_logs"),
     )
     many = F.col("pages") > 1
-    shape = F.when(many, F.col("layout_entropy") / F.log("pages")).otherwise(1.0)
+    shape = F.when(many, F.least(F.lit(1.0), F.col("layout_entropy") / F.log("pages"))).otherwise(1.0)
     text = F.when(F.col("texts").isNull(), 0.0).when(many, 1 - F.least(F.lit(1.0), F.col("text_logs") / F.col("texts") / F.log("pages"))).otherwise(1.0)
     weight = F.pow(F.lit(DAMPING), F.col("layouts"))
     composite = F.when(F.col("texts").isNull(), shape).otherwise((1 - weight) * shape + weight * text)

@@ -187,7 +187,7 @@ def quality(
                     slope, offset = m.scale[v]
                     odds.append(slope * m.models[v].margin(*word_index(m.vocabulary[v], r, w), n) + offset)
                 both = odds[0] + odds[1] - m.prior
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sigmoid(odds[0])), pa.array(sigmoid(odds[1])), pa.array(sigmoid(both)), pa.array(sigmoid(-both) < m.cut)],
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sigmoid(odds[0])), pa.array(sigmoid(odds[1])), pa.array(sigmoid(both)), pa.array(sigmoid(-both) <= m.cut)],
                                                  names=["id", "p_text", "p_meta", "score", "keep"])
 
     kind = docs.schema[id_col].dataType.simpleString()

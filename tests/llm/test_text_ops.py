@@ -139,7 +139,7 @@ def test_pieces_round_trip_and_best_path(spark, odd_docs, pieces):
         if t is None:
             assert ids is None
         elif len(t) < 6000:
-            assert ids == [x for u in piece_encoding.units_of(t) for x in brute.viterbi(u, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_SCORE)]
+            assert ids == [x for u in piece_encoding.units_of(t) for x in brute.viterbi(u, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST)]
     encoded.unpersist()
 
 
@@ -153,7 +153,7 @@ def test_pieces_of_the_table(spark, sf_small, pieces):
             expect = []
             for u in piece_encoding.units_of(text):
                 if u not in memo:
-                    memo[u] = brute.viterbi(u, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_SCORE)
+                    memo[u] = brute.viterbi(u, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST)
                 expect += memo[u]
             assert got[doc_id].ids == expect
 
@@ -305,7 +305,7 @@ def test_style_tree_prunes_what_a_site_repeats(spark):
 
 
 def test_style_node_importance(spark):
-    rows = [("h", "p", 0, f) for f in (1, 1, 1, 1, 2, 3, 4, 5)] + [("h", "p", 1, 7)] * 8
+    rows = [("h", "p", 0, f) for f in (1, 1, 1, 1, 2, 3, 4, 5)] + [("h", "p", 1, 7), ("h", "p", 2, 0)] * 8
     got = html_extract.importance(spark.createDataFrame(rows, "host string, path string, kind byte, feature long")).collect()[0]
     text = 1 - (math.log(4) / math.log(8)) / 5
     assert got.pages == 8 and got.importance == pytest.approx(html_extract.DAMPING * text)
