@@ -32,6 +32,8 @@ from lakesmith.session import fresh_dir
 LEAST_IMPORTANCE = 0.2
 #: pages of a host with a branch from which on its statistics count
 LEAST_PAGES = 5
+#: parts that a host's pages are dealt to
+SALTS = 64
 #: share of a node's presentation in its importance, per number of its layouts
 DAMPING = 0.9
 
@@ -253,5 +255,8 @@ def html_extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     low.groupBy("host").agg(F.collect_set("path").alias("low")).write.parquet(f"{path}/low")       # bounded by a site's style nodes
     kind = pages.schema[id_col].dataType.simpleString()
     packed = rows.select("id", "url", "host", "html").mapInArrow(_pack, f"id {kind}, url string, host string, packed binary")
-    out = packed.hint("merge").join(spark.read.parquet(f"{path}/low"), "host", "left").mapInArrow(_extract, f"id {kind}, url string, text string")
+    # a host may hold a third of all pages: its pages are dealt to parts, and its short list goes to each
+    low = spark.read.parquet(f"{path}/low").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = packed.withColumn("part", F.pmod(F.hash("id", "url"), F.lit(SALTS)))
+    out = dealt.hint("merge").join(low, ["host", "part"], "left").mapInArrow(_extract, f"id {kind}, url string, text string")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

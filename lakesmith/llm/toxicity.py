@@ -23,8 +23,8 @@ from lakesmith.llm._words import PUNCT, U, pieces, scan
 
 #: most labelled rows used for fitting, smallest hash first
 LABELLED = 20_000
-#: words per category
-WORDS = 4096
+#: words per category at most, and how many standard deviations their rate must be off
+WORDS, LEAST_Z = 4096, 5.0
 FOLDS = 5
 PIECE_BYTES = 4_000_000
 
@@ -52,7 +52,7 @@ def word_index(vocabulary: np.ndarray, row: np.ndarray, word: np.ndarray):
 
 
 def choose_words(sample: DataFrame, flags: list[str], words: int, features=distinct_words) -> np.ndarray:
-    """The ``words`` features of ``sample(text, *flags)`` that part each flag best, by a z score of their rates."""
+    """The ``words`` features of ``sample(text, *flags)`` that part each flag best, by a z score of their rates; chance words of a small sample stay below ``LEAST_Z``."""
     def emit(batches):
         for batch in batches:
             ys = np.stack([batch.column(1 + i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(len(flags))])
@@ -70,7 +70,7 @@ def choose_words(sample: DataFrame, flags: list[str], words: int, features=disti
         rate = (totals[f] or 0) / n
         if 0 < rate < 1:
             z = F.abs(F.col(f) - F.col("k") * rate) / F.sqrt(F.col("k") * F.lit(rate * (1 - rate)))
-            found |= {r[0] for r in per.select("word", z.alias("z")).orderBy(F.desc("z"), "word").limit(words).collect()}
+            found |= {r[0] for r in per.select("word", z.alias("z")).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "word").limit(words).collect()}
     return np.sort(np.array(sorted(found), np.int64).view(U))
 
 

@@ -12,7 +12,7 @@ from lakesmith.llm import ngram_join, substring_dedup
 from lakesmith.llm._fm import FMIndex
 from lakesmith.llm._graph import connected_components
 from lakesmith.llm._words import PUNCT, SPACE, scan, utf8
-from lakesmith.llm.exact_dedup import DigestIndex, exact_dedup
+from lakesmith.llm.exact_dedup import DigestIndex, exact_dedup, text_digest
 
 from . import brute
 
@@ -100,11 +100,9 @@ def test_digest_index_persists(spark):
         assert first == {(4, 3, False), (5, 5, True), (6, 6, True)}
         assert {(r.doc_id, r.keep_id, r.kept) for r in index.add(two, batch="two").collect()} == first      # after a failure
         assert index.rows().count() == 4
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = index.unseen(two.select(F.lit(b"x").alias("digest")))._jdf.queryExecution().executedPlan().toString()
+        plan = index.unseen(two.select(text_digest(F.col("text")).alias("digest")))._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "LeftAnti" in plan
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         index.drop()
 
 
