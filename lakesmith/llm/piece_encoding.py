@@ -46,7 +46,7 @@ PLACE_MASK = (1 << (END - START)) - 1
 #: ids from here on stand for the character at ``id - OWN``
 OWN = 1 << 20
 #: bytes of text of a block (one batch of rows at least)
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 8_000_000
 
 UNITS = re.compile(rf" ?[^\W\d_]{{1,{UNIT}}}| ?[^\s\w]{{1,{UNIT}}}| ?[\d_]{{1,{UNIT}}}|\s")
 
@@ -255,13 +255,13 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: lis
     table read from files does; ``stage=True`` writes other frames to such a
     table first.  Should the order differ, the job fails; it never encodes by
     another block's answers.  ``parts``: hash parts of the vocabulary, default
-    ``spark.sql.shuffle.partitions``.
+    four times ``spark.sql.shuffle.partitions``.
     """
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
     spark = docs.sparkSession
     path = fresh_dir(spark, "piece_encoding")
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))     # a part's lattice is sorted in memory
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
     rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
