@@ -57,7 +57,8 @@ NOISE_WORDS = frozenset(
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 CONTENT = frozenset(["article", "main"])
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]+|\"[^\"]*\"|'[^']*')*)>", re.S)
+#: possessive throughout: a tag whose quote is never closed fails at once
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 
 

@@ -4,6 +4,8 @@ import html
 import math
 import random
 import re
+import subprocess
+import sys
 from collections import Counter, defaultdict
 
 import pytest
@@ -289,6 +291,12 @@ def test_html_edges(spark):
     assert html_extract.html_extract(df.limit(0)).count() == 0
 
 
+def test_html_unclosed_quotes_end():
+    """In a process of its own: matching that never ends would end no test."""
+    code = "from lakesmith.llm.html_extract import main_text; print(main_text('<p>x</p><a ' + 5000 * 'n' + '\"unclosed', frozenset()) == 'x\\n<a ' + 5000 * 'n' + '\"unclosed')"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60, check=True).stdout == "True\n"
+
+
 def test_style_tree_prunes_what_a_site_repeats(spark):
     """Without stated roles: a block that all pages of the host repeat goes, diverse ones stay, also on other hosts."""
     r = random.Random(2)
