@@ -7,10 +7,12 @@ their classes and ids.  A node's importance is composed of
 * content: one less the mean entropy of its texts over the pages that have it
   (a text that all pages repeat adds nothing, one of a single page adds all).
 
-Branches of low importance go from every page of the host, and so do branches
-whose tag or class states their role (menu, footer, advert, form, ...).  A
-stated article is never pruned by its statistics, so passages that many pages
-share stay.  The merged tree is built by partial aggregates (no host's pages
+Branches of low importance go from every page of the host, inside a stated
+article too, and so do branches whose tag or class states their role (menu,
+footer, advert, form, ...).  That a block lies in a stated article or beside
+one only raises or lowers its importance; it decides alone where the host has
+too few pages.  Single texts are not judged: one that many pages share stays
+if its branch holds others.  The merged tree is built by partial aggregates (no host's pages
 meet in one task); a page gets its host's pruned paths by a join.
 """
 
@@ -32,6 +34,10 @@ from lakesmith.session import fresh_dir
 LEAST_IMPORTANCE = 0.2
 #: pages of a host with a branch from which on its statistics count
 LEAST_PAGES = 5
+#: importance of a branch that too few pages have
+UNKNOWN = 0.3
+#: what being in a stated article, or beside one, makes of an importance
+INSIDE, OUTSIDE = 2.0, 0.5
 #: parts that a host's pages are dealt to
 SALTS = 64
 #: share of a node's presentation in its importance, per number of its layouts
@@ -65,7 +71,7 @@ ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]
 class Node:
     """An open element: its tag, style path, role and the layout of its children."""
 
-    __slots__ = ("tag", "path", "noise", "content", "kids")
+    __slots__ = ("tag", "path", "noise", "content", "stated", "kids")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
         words, label, noise = [], tag, tag in NOISE_TAGS
@@ -75,7 +81,7 @@ class Node:
                 name, value = name.lower(), "".join(value).lower()
                 if name in ("class", "id"):
                     words += value.split()
-                    label += "." + ".".join(sorted(value.split()))
+                    label += "." + ".".join(sorted(value.replace("/", "|").split()))
                 elif name == "role":
                     noise |= value in NOISE_ROLES
                     content |= value in ("main", "article")
@@ -85,6 +91,7 @@ class Node:
         noise |= tag == "header" and not (parent is not None and parent.content)
         self.tag, self.path = tag, f"{parent.path}/{label}" if parent else label
         self.noise, self.content, self.kids = noise or (parent is not None and parent.noise), content, []
+        self.stated = content and not (parent is not None and parent.content)       # where stated content begins
 
 
 def blocks(text: str):
@@ -202,31 +209,37 @@ def _extract(batches):
     loose = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         texts = []
-        for packed, low in zip(batch.column("packed").to_pylist(), batch.column("low").to_pylist(), strict=True):
-            texts.append(main_text(loose(packed).decode() if packed is not None else "", frozenset(low or ())))
+        for packed, nodes in zip(batch.column("packed").to_pylist(), batch.column("nodes").to_pylist(), strict=True):
+            texts.append(main_text(loose(packed).decode() if packed is not None else "", {n["path"]: n["importance"] for n in nodes or ()}))
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
 
-def main_text(text: str, low: frozenset) -> str:
-    """Blocks that stay, joined by newlines: those of the stated article if there is one, else all but pruned branches."""
-    article, others = [], []
+def main_text(text: str, known: dict[str, float]) -> str:
+    """Blocks of enough importance, joined by newlines; ``known``: the importances of the host's style nodes.
+
+    If none of a stated article's blocks has enough, as on copies of one page,
+    they all stay.
+    """
+    found, mains, articles = [], 0, 0
     for node, block in blocks(text):
-        if block is None or node.noise:
+        if node.noise:
             continue
-        if node.content:
-            article.append(block)
-        elif not low or not _pruned(node.path, low):
-            others.append(block)
-    return "\n".join(article or others)
+        if block is not None:
+            found.append((node, block))
+        elif node.stated:
+            mains, articles = mains + (node.tag != "article"), articles + (node.tag == "article")
+    size = [sum(len(b) for n, b in found if n.content == c) for c in (False, True)]
+    # of several articles without a main element, which may be teasers or comments, only the larger part of the text is the stated one
+    stated = size[1] > 0 and (mains > 0 or articles <= 1 or size[1] >= size[0])
 
+    def kept(node: Node) -> bool:
+        prior = (INSIDE if node.content else OUTSIDE) if stated else 1.0
+        return known.get(node.path, UNKNOWN) * prior >= LEAST_IMPORTANCE
 
-def _pruned(path: str, low: frozenset) -> bool:
-    at = len(path)
-    while at > 0:
-        if path[:at] in low:
-            return True
-        at = path.rfind("/", 0, at)
-    return False
+    keep = [kept(n) for n, _ in found]
+    if stated and not any(k and n.content for k, (n, _) in zip(keep, found, strict=True)):
+        keep = [k or n.content for k, (n, _) in zip(keep, found, strict=True)]
+    return "\n".join(b for k, (_, b) in zip(keep, found, strict=True) if k)
 
 
 def _pack(batches):
@@ -252,12 +265,12 @@ def html_extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     host, _ = host_path(F.col("url"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")).withColumn("host", F.coalesce(host, F.lit("")))
     tree = importance(rows.select("host", "html").mapInArrow(_features, "host string, path string, kind tinyint, feature long"))
-    low = tree.where(F.col("has_text") & (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE))
-    low.groupBy("host").agg(F.collect_set("path").alias("low")).write.parquet(f"{path}/low")       # bounded by a site's style nodes
+    known = tree.where(F.col("has_text") & (F.col("pages") >= LEAST_PAGES))
+    known.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("nodes")).write.parquet(f"{path}/known")       # bounded by a site's style nodes
     kind = pages.schema[id_col].dataType.simpleString()
     packed = rows.select("id", "url", "host", "html").mapInArrow(_pack, f"id {kind}, url string, host string, packed binary")
     # a host may hold a third of all pages: its pages are dealt to parts, and its short list goes to each
-    low = spark.read.parquet(f"{path}/low").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = spark.read.parquet(f"{path}/known").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     dealt = packed.withColumn("part", F.pmod(F.hash("id", "url"), F.lit(SALTS)))
-    out = dealt.hint("merge").join(low, ["host", "part"], "left").mapInArrow(_extract, f"id {kind}, url string, text string")
+    out = dealt.hint("merge").join(known, ["host", "part"], "left").mapInArrow(_extract, f"id {kind}, url string, text string")
     return out.withColumnsRenamed({"id": id_col, "url": url_col})

@@ -293,7 +293,7 @@ def test_html_edges(spark):
 
 def test_html_unclosed_quotes_end():
     """In a process of its own: matching that never ends would end no test."""
-    code = "from lakesmith.llm.html_extract import main_text; print(main_text('<p>x</p><a ' + 5000 * 'n' + '\"unclosed', frozenset()) == 'x\\n<a ' + 5000 * 'n' + '\"unclosed')"
+    code = "from lakesmith.llm.html_extract import main_text; print(main_text('<p>x</p><a ' + 5000 * 'n' + '\"unclosed', {}) == 'x\\n<a ' + 5000 * 'n' + '\"unclosed')"
     assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=60, check=True).stdout == "True\n"
 
 
@@ -312,6 +312,32 @@ def test_style_tree_prunes_what_a_site_repeats(spark):
     assert "Same line" in got[99]
 
 
+def own_text(r, i, n=3):
+    return "".join(f"<p>{' '.join(f'w{r.randrange(200)}' for _ in range(12))} {i}</p>" for _ in range(n))
+
+
+def test_style_tree_decides_inside_articles(spark):
+    """A branch that all pages repeat goes from the article too; a passage among others and copies of one page stay."""
+    r = random.Random(3)
+    rows = [(i, "http://site.org/x", f"<article><div class=boxed>Read it in our app</div>{own_text(r, i)}<p>Shared words.</p></article>", "h", "p", "r") for i in range(12)]
+    rows += [(99, "http://other.org/", rows[0][2], "h", "p", "r")]
+    rows += [(100 + i, "http://copies.org/", rows[0][2], "h", "p", "r") for i in range(6)]
+    got = {x.page_id: x.text for x in html_extract.html_extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all("Read it" not in got[i] and got[i].endswith("\nShared words.") and got[i].count("\n") == 3 for i in range(12))
+    assert all(got[i].startswith("Read it") and got[i].count("\n") == 4 for i in (99, *range(100, 106)))
+
+
+def test_style_tree_keeps_the_body_beside_articles(spark):
+    """Teasers in article tags; the body lies outside them, on one page and on a host of many."""
+    r = random.Random(4)
+    teasers = "<article class=card><p>Same teaser</p></article><article class=card><p>Another one</p></article>"
+    rows = [(i, "http://site.org/x", f"<body><div class=story>{own_text(r, i)}</div>{teasers}</body>", "h", "p", "r") for i in range(12)]
+    rows += [(99, "http://other.org/", rows[0][2], "h", "p", "r")]
+    got = {x.page_id: x.text.split("\n") for x in html_extract.html_extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(len(got[i]) == 3 and all(x.endswith(f" {i}") for x in got[i]) for i in range(12))
+    assert got[99][:3] == got[0]
+
+
 def test_style_node_importance(spark):
     rows = [("h", "p", 0, f) for f in (1, 1, 1, 1, 2, 3, 4, 5)] + [("h", "p", 1, 7), ("h", "p", 2, 0)] * 8
     got = html_extract.importance(spark.createDataFrame(rows, "host string, path string, kind byte, feature long")).collect()[0]
