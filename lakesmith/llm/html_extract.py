@@ -8,8 +8,9 @@ their classes and ids.  A node's importance is composed of
   (a text that all pages repeat adds nothing, one of a single page adds all).
 
 Branches of low importance go from every page of the host, inside a stated
-article too, and so do branches whose tag or class states their role (menu,
-footer, advert, form, ...).  That a block lies in a stated article or beside
+article too, and so do branches whose tag states their role (menu, footer,
+form, ...).  Classes and ids with a role's words (advert, cookie, ...) lower
+the importance.  That a block lies in a stated article or beside
 one only raises or lowers its importance; it decides alone where the host has
 too few pages.  Single texts are not judged: one that many pages share stays
 if its branch holds others.  The merged tree is built by partial aggregates (no host's pages
@@ -38,6 +39,8 @@ LEAST_PAGES = 5
 UNKNOWN = 0.3
 #: what being in a stated article, or beside one, makes of an importance
 INSIDE, OUTSIDE = 2.0, 0.5
+#: what a stated role, or a name that only holds a role's word, makes of a branch's importance
+STATED, HINTED = 0.25, 0.7
 #: parts that a host's pages are dealt to
 SALTS = 64
 #: share of a node's presentation in its importance, per number of its layouts
@@ -60,38 +63,79 @@ NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar footer "
     "cookie cookies consent gdpr notice popup modal overlay newsletter subscribe share sharing social related recommended comment comments disqus respond login signup search".split()
 )
+#: words beside a role word that leave the name a role's
+ROLE_PARTS = frozenset("area bar block box btn button buttons container form group header icon icons inner item items link links list outer section slot unit widget wrap wrapper".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 CONTENT = frozenset(["article", "main"])
+#: elements whose noise does not reach an article within them
+FRAMES = frozenset(["form", "header"])
+#: text itself, not a part of the page: its ids name what it says
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote hgroup".split())
 
 #: possessive throughout: a tag whose quote is never closed fails at once
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
+
+
+def role_of(words: list[str], strict: bool) -> float:
+    """What names make of an importance: those of role words (and ``ROLE_PARTS``) only state a role, others with one hint at it."""
+    role = 1.0
+    for w in words:
+        parts = [p for p in re.split(r"[-_]+", w) if p]
+        if any(p in NOISE_WORDS for p in parts):
+            if all(p in NOISE_WORDS or p in ROLE_PARTS or p.isdigit() for p in parts):
+                return STATED
+            if not strict:
+                role = HINTED
+    return role
 
 
 class Node:
-    """An open element: its tag, style path, role and the layout of its children."""
+    """An open element: its tag, style path, role and the layout of its children.
 
-    __slots__ = ("tag", "path", "noise", "content", "stated", "kids")
+    ``noise``: 0, 1 in a form or page header, whose noise ends where an article
+    begins, or 2.  ``role``: the factor of the importance; it is inherited, but
+    not into a stated article.
+    """
+
+    __slots__ = ("tag", "path", "noise", "role", "content", "stated", "alone", "kids")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
-        words, label, noise = [], tag, tag in NOISE_TAGS
-        content = tag in CONTENT or (parent is not None and parent.content)
+        classes, ids, label, noise = [], [], tag, tag in NOISE_TAGS
+        within = parent is not None and parent.content
+        content = tag in CONTENT
         if attributes:
             for name, *value in ATTRIBUTE.findall(attributes):
                 name, value = name.lower(), "".join(value).lower()
                 if name in ("class", "id"):
-                    words += value.split()
+                    (classes if name == "class" else ids).extend(value.split())
                     label += "." + ".".join(sorted(value.replace("/", "|").split()))
                 elif name == "role":
                     noise |= value in NOISE_ROLES
                     content |= value in ("main", "article")
-                else:
+                elif name in ("hidden", "aria-hidden"):
                     noise |= name == "hidden" or value == "true"
-            noise |= tag not in ("html", "body", "article", "main") and any(p in NOISE_WORDS for w in words for p in re.split(r"[-_]+", w))
-        noise |= tag == "header" and not (parent is not None and parent.content)
+        inline = tag not in BLOCK
+        if tag in ("html", "body", "main"):
+            role = 1.0
+        elif tag == "article":
+            role = role_of(classes + ids, True)
+            content = role == 1.0                              # <article class="comment"> is none
+        elif inline or tag in TEXTUAL:
+            role = 1.0 if within else role_of(classes, True)
+        else:
+            role = role_of(classes + ids, False)
+        content &= not noise
+        level = (1 if tag in FRAMES else 2) if noise or (tag == "header" and not within) else 0
+        if parent is not None:
+            enters = content and not within
+            level = max(level, 0 if enters and parent.noise == 1 else parent.noise)
+            role = role if enters else min(role, parent.role)
         self.tag, self.path = tag, f"{parent.path}/{label}" if parent else label
-        self.noise, self.content, self.kids = noise or (parent is not None and parent.noise), content, []
-        self.stated = content and not (parent is not None and parent.content)       # where stated content begins
+        self.noise, self.role, self.content, self.kids = level, role, content or within, []
+        self.stated = content and not within                   # where stated content begins
+        #: an inline branch that is judged by itself
+        self.alone = inline and parent is not None and not parent.noise and (level > 0 or role < parent.role)
 
 
 def blocks(text: str):
@@ -106,7 +150,7 @@ def blocks(text: str):
 
     def owner():
         for n in reversed(stack):
-            if n.tag in BLOCK or n is root:
+            if n.tag in BLOCK or n.alone or n is root:
                 return n
 
     for m in TOKEN.finditer(text):
@@ -119,7 +163,7 @@ def blocks(text: str):
         tag = m[2].lower()
         if m[1]:
             if any(n.tag == tag for n in stack[1:]):
-                if tag in BLOCK and (t := flush()):
+                if (tag in BLOCK or _ends_alone(stack, tag)) and (t := flush()):
                     yield owner(), t
                 while (n := stack.pop()).tag != tag:
                     yield n, None
@@ -136,6 +180,8 @@ def blocks(text: str):
                 k -= 1
             if k == 0 or stack[k].tag not in ends:
                 break
+            if any(n.alone for n in stack[k:]) and (t := flush()):
+                yield owner(), t
             while len(stack) > k:
                 yield stack.pop(), None
         node = Node(tag, m[3], stack[-1])
@@ -148,9 +194,8 @@ def blocks(text: str):
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(text, at)
             at = end.end() if end else len(text)
             continue
-        if node.noise and tag not in BLOCK and not stack[-1].noise:
-            if t := flush():                                   # an inline branch that goes must not end up in its block
-                yield owner(), t
+        if node.alone and (t := flush()):                      # an inline branch that may go must not end up in its block
+            yield owner(), t
         stack.append(node)
     buffer.append(text[at:])
     if t := flush():
@@ -159,6 +204,14 @@ def blocks(text: str):
         yield stack.pop(), None
 
 
+def _ends_alone(stack: list[Node], tag: str) -> bool:
+    """Whether the innermost open ``tag``, or an element left open in it, is judged by itself."""
+    for n in reversed(stack):
+        if n.alone or n.tag == tag:
+            return n.alone
+    return False
+
+
 def _features(batches):
     """Distinct ``(host, path, kind, feature)`` of each page: texts (kind 0), child layouts (1), the node itself (2)."""
     for batch in batches:
@@ -234,7 +287,7 @@ def main_text(text: str, known: dict[str, float]) -> str:
 
     def kept(node: Node) -> bool:
         prior = (INSIDE if node.content else OUTSIDE) if stated else 1.0
-        return known.get(node.path, UNKNOWN) * prior >= LEAST_IMPORTANCE
+        return known.get(node.path, UNKNOWN) * prior * node.role >= LEAST_IMPORTANCE
 
     keep = [kept(n) for n, _ in found]
     if stated and not any(k and n.content for k, (n, _) in zip(keep, found, strict=True)):

@@ -338,6 +338,29 @@ def test_style_tree_keeps_the_body_beside_articles(spark):
     assert got[99][:3] == got[0]
 
 
+ROLE_CASES = [
+    ('<div class="layout has-sidebar"><article><p>a</p></article></div>', "a"), ('<body class="no-sidebar"><div class="no-sidebar"><p>a</p></div></body>', "a"),
+    ('<article><h2 id="related-work">a</h2><h2 id="search">b</h2><section id="social-history"><p>c</p></section><p class="notice">d</p></article>', "a\nb\nc\nd"),
+    ('<form id="aspnet"><div class="sidebar"><main><p>a <a class="share">b</a> c</p></main><p>d</p></div></form>', "a b c"),
+    ('<div data-id="search"><p title="role=search">a</p></div><h2 id="search">b</h2>', "a\nb"), ("<article data-hidden><p>a</p></article>", "a"),
+    ('<div class="share-buttons"><p>a</p></div><div id="comments">b</div><p>c <span class="ad">d</span> e</p>', "c\ne"), ("<p>a <button>b</button> c</p>", "a\nc"),
+    ('<article class="comment"><p>a</p></article><div><p>b</p></div>', "b"), ('<aside><article>a</article></aside><p>b</p>', "b"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), ROLE_CASES)
+def test_role_words_only_lower(page, text):
+    assert html_extract.main_text(page, {}) == text
+
+
+def test_statistics_confirm_role_words(spark):
+    """The same role word on a branch that all pages repeat and on one with texts of its own."""
+    r = random.Random(5)
+    rows = [(i, "http://site.org/x", f"<article><div class=notice>Same on each page</div>{own_text(r, i)}<section id=social>{own_text(r, i, 2)}</section></article>", "h", "p", "r") for i in range(12)]
+    got = {x.page_id: x.text for x in html_extract.html_extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all("Same on" not in got[i] and got[i].count(f" {i}") == 5 for i in range(12))
+
+
 def test_style_node_importance(spark):
     rows = [("h", "p", 0, f) for f in (1, 1, 1, 1, 2, 3, 4, 5)] + [("h", "p", 1, 7), ("h", "p", 2, 0)] * 8
     got = html_extract.importance(spark.createDataFrame(rows, "host string, path string, kind byte, feature long")).collect()[0]
