@@ -243,6 +243,20 @@ def test_decontaminate_in_blocks(spark, odd_docs):
     assert run_decontaminate(docs, bench, block_words=5) == run_decontaminate(docs, bench)
 
 
+def test_decontaminate_blocks_change_nothing(spark, odd_docs):
+    """Rows that repeat an id or have none, with the text that is left and the row: one block or many."""
+    docs = odd_docs.unionByName(odd_docs.select(F.lit(None).cast("long").alias("doc_id"), *[c for c in odd_docs.columns if c != "doc_id"]))
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string").repartition(3)
+
+    def run(**more):
+        rows = dec.decontaminate(docs, bench, with_text=True, carry=True, **more).collect()
+        return sorted(repr((r.doc_id, r.n_words, r.n_hit, r.spans, sorted(r["items"]), r.text_kept, r.row.text)) for r in rows)
+
+    one = run()
+    assert len(one) == docs.count() and run(block_words=5) == run(block_words=1) == one
+    assert run_decontaminate(docs, bench, block_words=5) == run_decontaminate(docs, bench) == key(brute.decontaminate(pairs_of(docs), ITEMS))
+
+
 def test_decontaminate_text(spark):
     docs = spark.createDataFrame([(1, "Keep this, one two. And that"), (2, "none")], "doc_id long, text string")
     bench = spark.createDataFrame([(1, "one two")], "item_id long, text string")
