@@ -20,8 +20,8 @@ class Logistic:
         self.size, self.l2, self.rounds = size, l2, rounds
         self.w, self.v, self.b = np.zeros(size), np.zeros(dense), 0.0
 
-    def fit(self, row, col, y, dense=None, weight=None) -> Logistic:
-        """``row``, ``col``: the set features of ``len(y)`` samples."""
+    def fit(self, row, col, y, dense=None, weight=None, centre: float = 0.0) -> Logistic:
+        """``row``, ``col``: the set features of ``len(y)`` samples; ``centre``: what the dense columns' weights are drawn to."""
         n = len(y)
         dense = np.zeros((n, 0)) if dense is None else dense
         weight = np.ones(n) if weight is None else weight
@@ -37,13 +37,13 @@ class Logistic:
         scale /= max(1.0, wide)
         values = scale[col]
         theta = np.zeros(self.size + dense.shape[1] + 1)
-        theta[-1] = np.log(pos / neg)
+        theta[self.size:-1], theta[-1] = centre, np.log(pos / neg)
         m, s = np.zeros_like(theta), np.zeros_like(theta)
         for t in range(1, self.rounds + 1):
             w, v, b = theta[:self.size], theta[self.size:-1], theta[-1]
             z = np.bincount(row, values * w[col], n) + dense @ v + b
             g = weight * (sigmoid(z) - y) / total
-            grad = np.concatenate([np.bincount(col, values * g[row], self.size) + self.l2 * w / total, dense.T @ g + self.l2 * v / total, [g.sum()]])
+            grad = np.concatenate([np.bincount(col, values * g[row], self.size) + self.l2 * w / total, dense.T @ g + self.l2 * (v - centre) / total, [g.sum()]])
             m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad ** 2
             theta -= 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-8)
         self.w, self.v, self.b = theta[:self.size] * scale, theta[self.size:-1], float(theta[-1])

@@ -1,13 +1,16 @@
 """Quality by co-training of two views: the text's content and the page's metadata.
 
-A text classifier (shapes of words and their shares) and a metadata classifier
-(source, language, length) start from the labelled rows.  In every round each
-view labels the unlabelled rows it is most sure of, and the other view learns
-from them.  In the end both views are calibrated on out-of-fold margins of the
-labelled rows and combined.
-
-Fitting uses bounded samples (``LABELLED`` and ``UNLABELLED`` rows); all
-documents are scored.
+A text classifier (words, and shapes of words with their shares) and a metadata
+classifier (source, language, length) start from the labelled rows.  In every
+round each view labels all the unlabelled documents that it is sure of, and the
+other view learns from them: tasks count its features (in a fixed number of
+buckets) in those documents by label, and the log ratio of the counts joins the
+view's model as one more column, weighted on the labelled rows.  So a feature
+that no labelled row has counts too.  In the end both views are calibrated on
+out-of-fold margins of the labelled rows and combined.
+
+Models are fitted on at most ``LABELLED`` labelled rows; all unlabelled
+documents take part in every round, and all documents are scored.
 """
 
 from __future__ import annotations
@@ -20,14 +23,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesmith.llm._linear import Logistic, best_threshold, sigmoid
-from lakesmith.llm._words import SPACE, U, mix, pieces, scan
+from lakesmith.llm._words import PUNCT, SPACE, U, mix, pieces, scan
 from lakesmith.llm.toxicity import FOLDS, choose_words, fold_of, labelled_sample, word_index
+from lakesmith.session import fresh_dir
 
-LABELLED, UNLABELLED = 20_000, 20_000
+LABELLED = 20_000
 FEATURES = 2048
 ROUNDS = 4
-#: share of the unlabelled rows that a view may label in a round, and how sure it must be
-GROWTH, SURE = 0.05, 0.95
+#: how sure a view must be of a row that it labels
+SURE = 0.95
+#: buckets that the features of the text and of the metadata are counted in
+BUCKETS = (1 << 13, 1 << 12)
 PIECE_BYTES = 4_000_000
 #: a feature says that a shape makes up more than this share of the words
 SHARES = (0.0, 1 / 64, 1 / 16, 1 / 4)
@@ -37,7 +43,7 @@ _SHAPE[97:123], _SHAPE[65:91], _SHAPE[48:58], _SHAPE[128:] = 97, 65, 48, 97
 
 
 def text_features(texts: pa.Array):
-    """``(a, b, row, feature)``: which word shapes (case, digits, punctuation) exceed which shares of the words."""
+    """``(a, b, row, feature)``: the words, and which word shapes (case, digits, punctuation) exceed which shares of them."""
     for a, b, off, raw in pieces(texts, PIECE_BYTES):
         flat = _SHAPE[raw]
         keep = np.ones(len(flat), bool)
@@ -55,9 +61,16 @@ def text_features(texts: pa.Array):
             over = share > least
             rows.append(row[start][over])
             feats.append(mix(shape[start][over] + U(i)))
+        w = scan(off, raw, PUNCT, True)
+        rows.append(np.repeat(np.arange(b - a), np.diff(w.first)))
+        feats.append(mix(w.hash + U(len(SHARES))))
         r, f = np.concatenate(rows), np.concatenate(feats)
-        order = np.argsort(r, kind="stable")
-        yield a, b, r[order], f[order]
+        order = np.lexsort((f, r))
+        r, f = r[order], f[order]
+        new = np.ones(len(r), bool)
+        new[1:] = (r[1:] != r[:-1]) | (f[1:] != f[:-1])
+        r, f = r[new], f[new]
+        yield a, b, r, f
 
 
 def meta_tokens(meta: dict[str, Column]) -> Column:
@@ -65,73 +78,140 @@ def meta_tokens(meta: dict[str, Column]) -> Column:
     return F.array(*[F.xxhash64(F.lit(n), c) for n, c in meta.items()])
 
 
+def bucketed(row: np.ndarray, feature: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of each row's features."""
+    place = np.unique(row.astype(np.int64) * buckets + ((feature >> U(40)) % U(buckets)).astype(np.int64))
+    return place // buckets, place % buckets
+
+
+def log_ratio(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Per bucket, from its documents ``counts`` among the ``n`` of labels 0 and 1; 0 if a label has none."""
+    if not n.all():
+        return np.zeros(counts.shape[1])
+    low, high = (np.log((counts[y] + 0.5) / (n[y] + 1)) for y in (0, 1))
+    return high - low
+
+
+def mean_ratio(ratio: np.ndarray, row: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
+    """Each row's mean log ratio, as a column."""
+    return (np.bincount(row, ratio[bucket], n) / np.maximum(np.bincount(row, minlength=n), 1))[:, None]
+
+
+@dataclass
+class Pair:
+    """One model per view, and the log ratios that the other view's labels have given."""
+
+    models: list
+    ratios: list
+
+    def margins(self, vocabulary: list, features: list, buckets: list, n: int) -> list[np.ndarray]:
+        return [self.models[v].margin(*word_index(vocabulary[v], *features[v]), n, mean_ratio(self.ratios[v], *buckets[v], n)) for v in range(2)]
+
+
 @dataclass
 class Views:
     vocabulary: list            # per view
-    models: list
+    pair: Pair
     scale: list                 # (slope, offset) per view: margin -> calibrated log odds
     prior: float
     cut: float
 
 
 def _calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Platt scaling by Newton steps with smoothed targets."""
+    """Platt scaling by Newton steps with smoothed targets; margins that hardly differ, as of a view that the labels tell nothing about, keep the slope 1."""
     hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2)
     t, x = np.where(y > 0, hi, lo), np.column_stack([margin, np.ones(len(y))])
-    theta = np.array([1.0, 0.0])
+    theta, ridge = np.array([1.0, 0.0]), np.array([1.0, 1e-3])
     for _ in range(25):
         p = sigmoid(x @ theta)
-        h = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        theta -= np.linalg.solve(h, x.T @ (p - t) + 1e-3 * (theta - [1, 0]))
+        h = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
+        theta -= np.linalg.solve(h, x.T @ (p - t) + ridge * (theta - [1, 0]))
     return float(theta[0]), float(theta[1])
 
 
-def cotrain(views: list, vocabulary: list, y: np.ndarray, fold: np.ndarray) -> Views:
-    """``views``: per view ``(row, col)`` of labelled rows first, then unlabelled ones."""
-    n, total = len(y), views[0][2]
+def features_of(batch: pa.RecordBatch):
+    """``(a, b, features, buckets)`` of rows ``a:b``, both per view, from the columns ``text`` and ``meta``."""
+    for a, b, row, word in text_features(batch.column("text")):
+        lists = batch.column("meta").slice(a, b - a)
+        tokens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U)
+        owner = np.repeat(np.arange(b - a), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        found = [(row, word), (owner, tokens)]
+        yield a, b, found, [bucketed(*found[v], BUCKETS[v]) for v in range(2)]
 
-    def fitted(view, labels, weight, use):
-        row, col, _ = views[view]
+
+def count_sure(free: DataFrame, vocabulary: list, pairs: list[Pair]) -> list:
+    """Per pair and view ``(counts, n)`` by label and bucket: the documents of ``free`` that the other view is sure of."""
+    width = [1 + x for x in BUCKETS]                            # in front the number of documents
+    sent = free.sparkSession.sparkContext.broadcast((vocabulary, pairs))
+
+    def emit(batches):
+        words, models = sent.value
+        sums = [np.zeros((len(models), 2, w), np.int64) for w in width]
+        for batch in batches:
+            for a, b, found, buckets in features_of(batch):
+                for k, pair in enumerate(models):
+                    for v, margin in enumerate(pair.margins(words, found, buckets, b - a)):
+                        p, other = sigmoid(margin), 1 - v
+                        for y in (0, 1):
+                            sure = (p if y else 1 - p) >= SURE
+                            row, bucket = buckets[other]
+                            sums[other][k, y, 0] += sure.sum()
+                            sums[other][k, y, 1:] += np.bincount(bucket[sure[row]], minlength=BUCKETS[other])
+        flat = np.concatenate([x.ravel() for x in sums])
+        at = np.flatnonzero(flat)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(flat[at], pa.int64())], names=["place", "k"])
+
+    # as many rows as there are buckets, whatever the input
+    got = free.select("text", "meta").mapInArrow(emit, "place int, k long").groupBy("place").agg(F.sum("k").alias("k")).toArrow()
+    flat = np.zeros(len(pairs) * 2 * sum(width))
+    flat[got.column("place").to_numpy()] = got.column("k").to_numpy()
+    text, meta = np.split(flat, [len(pairs) * 2 * width[0]])
+    views = [text.reshape(len(pairs), 2, width[0]), meta.reshape(len(pairs), 2, width[1])]
+    return [[(views[v][k, :, 1:], views[v][k, :, 0]) for v in range(2)] for k in range(len(pairs))]
+
+
+def cotrain(features: list, buckets: list, vocabulary: list, y: np.ndarray, fold: np.ndarray, free: DataFrame) -> Views:
+    """``features`` (places in the vocabularies) and ``buckets``: per view ``(row, place)`` of the labelled rows; ``free``: the unlabelled ones."""
+    n = len(y)
+    known = [fold != f for f in range(FOLDS)] + [np.ones(n, bool)]     # the rows that a pair may learn from
+
+    def fitted(view, use, ratio):
+        row, col = features[view]
         place = np.cumsum(use) - 1
         pick = use[row]
-        return Logistic(len(vocabulary[view])).fit(place[row[pick]], col[pick], labels[use], weight=weight[use])
-
-    def rounds(known: np.ndarray):
-        """Models of both views; ``known``: the labelled rows they may learn from."""
-        labels = [np.concatenate([y, np.zeros(total - n)]) for _ in views]
-        use = [np.concatenate([known, np.zeros(total - n, bool)]) for _ in views]
-        pool = np.concatenate([np.zeros(n, bool), np.ones(total - n, bool)])
-        weight = np.ones(total)
-        models = [fitted(v, labels[v], weight, use[v]) for v in range(2)]
-        for _ in range(ROUNDS):
-            if known.sum() == 0 or len(np.unique(y[known])) < 2:
-                break
-            for v in range(2):
-                row, col, _ = views[v]
-                p = models[v].probability(row, col, total)
-                other = 1 - v
-                free = np.flatnonzero(pool & ~use[other])
-                sure = free[np.maximum(p[free], 1 - p[free]) >= SURE]
-                sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:int(GROWTH * (total - n))]
-                labels[other][sure] = p[sure] >= 0.5
-                use[other][sure] = True
-            models = [fitted(v, labels[v], weight, use[v]) for v in range(2)]
-        return models
+        return Logistic(len(vocabulary[view]), 1).fit(place[row[pick]], col[pick], y[use], mean_ratio(ratio, *buckets[view], n)[use], centre=1.0)
 
+    none = [np.zeros(b) for b in BUCKETS]
+    pairs = [Pair([fitted(v, use, none[v]) for v in range(2)], none) for use in known]
+    if len(np.unique(y)) == 2:
+        for _ in range(ROUNDS):
+            counted = count_sure(free, vocabulary, pairs)
+            ratios = [[log_ratio(*counted[k][v]) for v in range(2)] for k in range(len(pairs))]
+            pairs = [Pair([fitted(v, use, ratios[k][v]) for v in range(2)], ratios[k]) for k, use in enumerate(known)]
     margins = np.zeros((2, n))
     for f in range(FOLDS):
-        for v, m in enumerate(rounds(fold != f)):
-            row, col, _ = views[v]
-            margins[v, fold == f] = m.margin(row, col, total)[:n][fold == f]
+        for v in range(2):
+            m = pairs[f].models[v].margin(*features[v], n, mean_ratio(pairs[f].ratios[v], *buckets[v], n))
+            margins[v, fold == f] = m[fold == f]
     prior = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     scale = [_calibrate(margins[v], y) if n else (1.0, 0.0) for v in range(2)]
     both = sum(s * margins[v] + o for v, (s, o) in enumerate(scale)) - prior
-    return Views(vocabulary, rounds(np.ones(n, bool)), scale, prior, best_threshold(sigmoid(-both), 1 - y))
+    return Views(vocabulary, pairs[-1], scale, prior, best_threshold(sigmoid(-both), 1 - y))
+
+
+def unlabelled(base: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
+    """Rows of ``base`` whose id no label has.  Up to ``limit`` ids are broadcast; for more, the rows are joined once and written."""
+    ids = labels.dropna().distinct()
+    if ids.limit(limit + 1).count() <= limit:
+        return base.join(F.broadcast(ids), "id", "left_anti").select("text", "meta")
+    path = f"{fresh_dir(base.sparkSession, 'quality')}/unlabelled"
+    base.hint("merge").join(ids, "id", "left_anti").select("text", "meta").write.option("compression", "zstd").parquet(path)
+    return base.sparkSession.read.parquet(path)
 
 
 def quality(
     docs: DataFrame, labels: DataFrame, good: Column, meta: dict[str, Column], *, id_col: str = "doc_id", text_col: str = "text",
-    labelled: int = LABELLED, unlabelled: int = UNLABELLED,
+    labelled: int = LABELLED,
 ) -> DataFrame:
     """Per document: id, ``p_text``, ``p_meta``, ``score`` (probability of good quality) and ``keep``.
 
@@ -145,47 +225,39 @@ def quality(
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), meta_tokens(meta).alias("meta"))
     known = labelled_sample(docs, labels, id_col, text_col, {"good": good}, labelled).select("id", "good", "key")
     known = base.join(F.broadcast(known.select("id", "good", "key")), "id")                       # at most ``labelled`` rows
-    has = F.broadcast(labels.select(F.col(id_col).alias("id")).dropna().distinct().orderBy(F.xxhash64("id"), "id").limit(labelled))
-    free = base.select("id").where("id is not null").join(has, "id", "left_anti").orderBy(F.xxhash64("id", F.lit(1)), "id").limit(unlabelled)
-    free = base.join(F.broadcast(free), "id").select("id", F.lit(0).alias("good"), F.xxhash64("id").alias("key"), "text", "meta")
+    free = unlabelled(base, labels.select(F.col(id_col).alias("id")), labelled)
     text_words = choose_words(known.select("text", "good"), ["good"], FEATURES, text_features)
 
     def index(batches):
         for batch in batches:
-            for a, b, row, word in text_features(batch.column("text")):
-                r, c = word_index(text_words, row, word)
-                first = np.searchsorted(r, np.arange(b - a + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("key").slice(a, b - a), batch.column("good").slice(a, b - a), pa.ListArray.from_arrays(first, pa.array(c, pa.int32())), batch.column("meta").slice(a, b - a)],
-                                                 names=["key", "good", "words", "meta"])
-
-    spec = "key long, good int, words array<int>, meta array<long>"
-    tables = [x.select("key", "good", "text", "meta").mapInArrow(index, spec).orderBy("key").toArrow() for x in (known, free)]   # bounded samples
-    y = tables[0].column("good").to_numpy().astype(float)
-    rows = pa.concat_tables(tables).combine_chunks()
-    total = rows.num_rows
-    words, tokens = (rows.column(c).combine_chunks() if total else pa.array([], pa.list_(pa.int64())) for c in ("words", "meta"))
-
-    def flat(lists):
-        return np.repeat(np.arange(total), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-
-    meta_row, meta_hash = flat(tokens)
+            for a, b, found, buckets in features_of(batch):
+                n, out = b - a, []
+                places = [word_index(text_words, *found[0]), (found[1][0], found[1][1].view(np.int64)), *buckets]
+                for (row, place), kind in zip(places, (pa.int32(), pa.int64(), pa.int16(), pa.int16()), strict=True):
+                    out.append(pa.ListArray.from_arrays(np.searchsorted(row, np.arange(n + 1)).astype(np.int32), pa.array(place, kind)))
+                yield pa.RecordBatch.from_arrays([batch.column("key").slice(a, n), batch.column("good").slice(a, n), *out], names=["key", "good", "words", "tokens", "text_buckets", "meta_buckets"])
+
+    spec = "key long, good int, words array<int>, tokens array<long>, text_buckets array<smallint>, meta_buckets array<smallint>"
+    rows = known.select("key", "good", "text", "meta").mapInArrow(index, spec).orderBy("key").toArrow()       # at most ``labelled`` rows
+
+    def flat(name):
+        lists = rows.column(name).combine_chunks() if rows.num_rows else pa.array([], pa.list_(pa.int64()))
+        return np.repeat(np.arange(rows.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)), lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+
+    meta_row, meta_hash = flat("tokens")
     meta_words = np.unique(meta_hash.view(U))
-    views = [(*flat(words), total), (*word_index(meta_words, meta_row, meta_hash.view(U)), total)]
-    model = cotrain(views, [text_words, meta_words], y, fold_of(tables[0].column("key").to_numpy()))
+    y = rows.column("good").to_numpy().astype(float)
+    model = cotrain(
+        [flat("words"), word_index(meta_words, meta_row, meta_hash.view(U))], [flat("text_buckets"), flat("meta_buckets")],
+        [text_words, meta_words], y, fold_of(rows.column("key").to_numpy()), free)
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches):
         m = sent.value
         for batch in batches:
-            for a, b, row, word in text_features(batch.column(1)):
+            for a, b, found, buckets in features_of(batch):
                 n = b - a
-                lists = batch.column(2).slice(a, n)
-                tokens = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(U)
-                owner = np.repeat(np.arange(n), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
-                odds = []
-                for v, (r, w) in enumerate([(row, word), (owner, tokens)]):
-                    slope, offset = m.scale[v]
-                    odds.append(slope * m.models[v].margin(*word_index(m.vocabulary[v], r, w), n) + offset)
+                odds = [slope * margin + offset for (slope, offset), margin in zip(m.scale, m.pair.margins(m.vocabulary, found, buckets, n), strict=True)]
                 both = odds[0] + odds[1] - m.prior
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sigmoid(odds[0])), pa.array(sigmoid(odds[1])), pa.array(sigmoid(both)), pa.array(sigmoid(-both) <= m.cut)],
                                                  names=["id", "p_text", "p_meta", "score", "keep"])

@@ -8,6 +8,7 @@ import subprocess
 import sys
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,37 @@ def test_quality_on_held_out_labels(spark):
     assert all(got[i].keep for i, r in test.items() if r.quality) or sum(not got[i].keep for i, r in test.items() if r.quality) <= 0.03 * len(test)
 
 
+def test_quality_learns_from_all_unlabelled(spark):
+    """Words of one shape tell the labelled rows apart, and sources that no label has learn from the text view."""
+    r = random.Random(6)
+
+    def text(bad):
+        return " ".join(r.choice("nbvcx" if bad else "qwert") * 3 + r.choice("aeiou") + "abcdef"[r.randrange(6)] for _ in range(30))
+
+    rows = [(i, text(i % 2), "common") for i in range(200)] + [(i, text(i % 2), ("fine", "junk")[i % 2]) for i in range(200, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(200)], "doc_id long, quality int")
+    got = {x.doc_id: x for x in quality.quality(docs, labels, F.col("quality") == 1, {"source": F.col("source")}).collect()}
+    assert [i for i, x in got.items() if (x.p_text > 0.5) != (i % 2 == 0)] == []
+    assert [i for i, x in got.items() if x.keep != (i % 2 == 0)] == []
+    assert all((x.p_meta > 0.5) == (i % 2 == 0) for i, x in got.items() if i >= 200)
+
+
+def test_quality_leaves_out_all_labelled(spark):
+    base = spark.createDataFrame([(i if i < 9 else None, str(i), [1]) for i in range(12)], "id long, text string, meta array<long>")
+    labels = spark.createDataFrame([(i % 6,) for i in range(12)] + [(None,)], "id long")
+    for limit in (2, 100):
+        assert {x.text for x in quality.unlabelled(base, labels, limit).collect()} == {str(i) for i in range(6, 12)}
+    none = [np.zeros(b) for b in quality.BUCKETS]
+    sure = quality.Pair([quality.Logistic(0, 1), quality.Logistic(0, 1)], none)
+    for m in sure.models:
+        m.b = 9.0
+    many = spark.range(25_000).select(F.col("id").cast("string").alias("text"), F.array("id").alias("meta"))
+    empty = np.zeros(0, np.uint64)
+    counted = quality.count_sure(many, [empty, empty], [sure])
+    assert all(counted[0][v][1].tolist() == [0, 25_000] for v in range(2))
+
+
 LABELS = [(1, 1, 0), (2, 1, 1), (3, 0, 1), (3, 0, 1), (8, None, 0), (None, 1, 1), (999, 0, 0), (10, 1, 0), (5, 0, 1)]
 
 
