@@ -7,13 +7,16 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakesmith.llm import centroid_clustering as _centroids
 from lakesmith.llm import decontaminate as _decontaminate
 from lakesmith.llm import exact_dedup as _exact
+from lakesmith.llm import hard_negatives as _negatives
 from lakesmith.llm import html_extract as _html
 from lakesmith.llm import language_id as _language
 from lakesmith.llm import ngram_join as _ngram
 from lakesmith.llm import piece_encoding as _pieces
 from lakesmith.llm import quality as _quality
+from lakesmith.llm import secret_scan as _secrets
 from lakesmith.llm import substring_dedup as _substring
 from lakesmith.llm import toxicity as _toxicity
 from lakesmith.llm import url_filter as _url
@@ -133,6 +136,99 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+CLUSTERS, ROUNDS = 40, 5
+
+
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _centroids.centroid_clustering(_table(spark, sf_dir, "embeddings"), dims=64, clusters=CLUSTERS, rounds=ROUNDS, salt="2")
+
+
+def _op11_sql() -> str:
+    """Each round spelled out: nearest centroid by ``(distance, number)``, then exact floors of the means."""
+    nearest = "SELECT i, v, min({{'d': list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'k': k}}) AS best FROM v, c{n} GROUP BY i, v"
+    parts = [
+        "w AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings "
+        "WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64)",
+        "v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, v) AS i, vec_id, v FROM w)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c FROM (SELECT sha256('2:' || vec_id) AS h, v FROM v ORDER BY h, v LIMIT {CLUSTERS}))",
+    ]
+    for n in range(ROUNDS + 1):
+        parts.append(f"a{n} AS MATERIALIZED ({nearest.format(n=n)})")
+        if n < ROUNDS:
+            parts.append(
+                f"m{n} AS MATERIALIZED (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY place) AS c FROM "
+                f"(SELECT best.k AS k, place, sum(x)::BIGINT AS s, count(*)::BIGINT AS n FROM (SELECT best, unnest(v) AS x, unnest(range(64)) AS place FROM a{n}) GROUP BY 1, 2) GROUP BY k)"
+            )
+            parts.append(f"c{n + 1} AS MATERIALIZED (SELECT k, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (k))")
+    last = ROUNDS
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT v.vec_id, a.best.k::INTEGER AS cluster, a.best.d AS distance, (sum(a.best.d) OVER (PARTITION BY a.best.k))::BIGINT AS cluster_inertia,
+       (sum(a.best.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{last} a JOIN v USING (i) JOIN c{last} c ON c.k = a.best.k
+"""
+    )
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", label)
+    return _negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, share=(80, 100))
+
+
+OP12_SQL = """
+WITH e AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM e a, e b WHERE a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.*, other AS negative_id, score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _secrets.secret_scan(_table(spark, sf_dir, "documents"))
+    base = [r.name for r in _secrets.BASE]
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in base],
+        F.sha2(listed(of(*base)), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
+def _op13_sql() -> str:
+    """Matches and the pieces between them give the offsets; letters in either case by lower-casing A-Z, which keeps offsets."""
+    rules, base = (*_secrets.BASE, *_secrets.MORE), len(_secrets.BASE)
+    parts = ["d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS f FROM documents)"]
+    for n, rule in enumerate(rules):
+        text, pattern = ("f", rule.pattern.replace("A-Za-z", "a-z")) if rule.fold else ("t", rule.pattern)
+        pattern = "'" + pattern.replace("'", "''") + "'"
+        parts.append(
+            f"x{n} AS (SELECT r, string_split_regex({text}, {pattern}) AS p, regexp_extract_all({text}, {pattern}) AS m, regexp_extract_all({text}, {pattern}, {rule.group}) AS g FROM d),\n"
+            f"y{n} AS (SELECT r, {n} AS n, '{rule.name}' AS kind, i, m, g, coalesce(list_sum(list_transform(p[1:i], lambda s: len(s))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda s: len(s))), 0) AS a "
+            f"FROM (SELECT r, p, m, g, unnest(range(1, len(m) + 1)) AS i FROM x{n})),\n"
+            f"z{n} AS (SELECT r, n, kind, a::BIGINT AS a, (a + len(m[i]))::BIGINT AS b FROM y{n} WHERE len(g[i]) >= {rule.least})"
+        )
+    parts.append("s AS (" + " UNION ALL ".join(f"FROM z{n}" for n in range(len(rules))) + ")")
+    counts = ", ".join(f"(count(*) FILTER (WHERE n = {n}))::BIGINT AS n_{rule.name}" for n, rule in enumerate(_secrets.BASE))
+    listed = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, n)"
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, {counts}, sha256(coalesce({listed} FILTER (WHERE n < {base}), '')) AS base_sha256, coalesce({listed}, '') AS spans
+FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_language_id": op2_language_id,
@@ -144,10 +240,16 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_quality": op9_quality,
     "op10_html_extract": op10_html_extract,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_secret_scan": op13_secret_scan,
 }
 ORACLES = {
     "op5_exact_dedup": OP5_SQL,
     "op6_substring_dedup": OP6_SQL,
     "op7_ngram_jaccard": OP7_SQL,
     "op8_decontaminate": OP8_SQL,
+    "op11_centroid_clustering": _op11_sql(),
+    "op12_hard_negatives": OP12_SQL,
+    "op13_secret_scan": _op13_sql(),
 }
