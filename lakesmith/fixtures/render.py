@@ -435,6 +435,21 @@ def customer_csv(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "customer_csv", render)
 
 
+def order_notes(orders: DataFrame) -> DataFrame:
+    """Records over several lines: a note with line ends, doubled quotes and commas."""
+    quoted = F.concat(F.lit('"No ""'), "o_orderstatus", F.lit('"",\n'), F.col("o_orderpriority"), F.lit(',\r\n""'), F.col("o_custkey").cast("string"), F.lit('\n"'))
+    return orders.select(F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted, F.col("o_totalprice").cast("string")).alias("value"))
+
+
+def order_notes_csv(spark: SparkSession, sf_dir: str) -> str:
+    """``orders`` as one big CSV file (one file is the point), whose records span lines."""
+    def render(path):
+        head = spark.createDataFrame([("id,note,price",)], "value string")
+        head.unionAll(order_notes(table(spark, sf_dir, "orders"))).coalesce(1).write.mode("overwrite").text(path)
+
+    return _cached(spark, sf_dir, "order_notes", render)
+
+
 def part_quoted_lines(spark: SparkSession, sf_dir: str) -> str:
     """``part`` as plain text lines, every field quoted, inner quotes as they
     are; each output file (one per task) starts with its own header line."""

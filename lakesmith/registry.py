@@ -707,6 +707,20 @@ def plain_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infer_and_cast(raw).select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 
 
+@register("plain_csv_ranges", """SELECT CAST(o_orderkey AS VARCHAR) AS id,
+  'No "' || o_orderstatus || '",' || chr(10) || o_orderpriority || ',' || chr(13) || chr(10) || '"' || o_custkey || chr(10) AS note,
+  CAST(o_totalprice AS DOUBLE) AS price, CAST(NULL AS VARCHAR) AS bad_line
+FROM orders""")
+def plain_csv_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One big file of records over several lines, read in ranges of 64 kB: quoted fields lie across range ends."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.sources.plaincsv import read_csv
+
+    t = read_csv(spark, render.order_notes_csv(spark, sf_dir), "*.txt", range_bytes=1 << 16)
+    return t.select("id", "note", F.col("price").cast("double").alias("price"), F.col("_bad_line").alias("bad_line"))
+
+
 @register("plain_csv_quote_split", """SELECT p_partkey,
   replace(p_name, ' ', ' "x", ') AS p_name, p_brand, p_type,
   CAST(p_size AS BIGINT) AS p_size, p_retailprice

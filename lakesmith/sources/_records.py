@@ -73,6 +73,12 @@ def clean_header(names: list[str]) -> list[str]:
     return out
 
 
+def quoted_line(line: str) -> bool:
+    """Quoted from end to end: such lines can be split on the separator between two quotes."""
+    line = line.rstrip("\r\n")
+    return len(line) > 1 and line.startswith('"') and line.endswith('"')
+
+
 def decide(stream) -> str:
     """Mode of a text (its first pass)."""
     first = ""
@@ -81,9 +87,7 @@ def decide(stream) -> str:
             break
     else:
         return STANDARD
-    # quoted from end to end: the lines can be split on the separator between two quotes
-    line = first.rstrip("\r\n")
-    quoted = len(line) > 1 and line.startswith('"') and line.endswith('"')
+    quoted = quoted_line(first)
     width, last, ragged = None, None, False
     try:
         for rec in csv.reader(chain([first], stream, [END]), strict=True):
@@ -123,18 +127,18 @@ def records(stream, mode: str) -> Iterator[tuple[list[str], bool]]:
             yield (fields, True) if fields is not None else ([line.rstrip("\r\n")], False)
 
 
-def chunks(open_raw: Callable, archive: str, member: str, mode: str | None = None):
-    """Arrow record batches (``RAW_SCHEMA``) of one text, ``CHUNK_ROWS`` rows at a time.
+def header(rec: list[str], mode: str) -> tuple[list[str], int]:
+    """Column names of a text's first record, and their signature."""
+    names = clean_header([h.replace('"', "") for h in rec] if mode == SPLIT else rec)
+    return names, int.from_bytes(hashlib.blake2b(json.dumps(names).encode(), digest_size=8).digest(), "little", signed=True)
 
-    The header is row -1.  A row with more fields than the header is ragged; a
-    shorter one is padded when read, as CSV readers do.
-    """
+
+def batched(rows, archive: str, member: str, mode: str, sig: int | None = None):
+    """Arrow record batches (``RAW_SCHEMA``) of ``(number, fields, ragged)``, ``CHUNK_ROWS`` rows at a time;
+    row -1 is the header, whose signature all rows carry (``sig``, where the rows have no header)."""
     import pyarrow as pa
 
-    if mode is None:
-        with open_raw() as raw, text_of(raw) as s:
-            mode = decide(s)
-    numbers, fields, ragged, sig, width = [], [], [], None, None
+    numbers, fields, ragged, size = [], [], [], 0
 
     def batch():
         n = len(numbers)
@@ -144,19 +148,35 @@ def chunks(open_raw: Callable, archive: str, member: str, mode: str | None = Non
              pa.array([mode] * n, pa.string())],
             names=[f.split()[0] for f in RAW_SCHEMA.split(", ")])
 
-    size = 0
-    with open_raw() as raw, text_of(raw) as s:
-        for number, (rec, whole) in enumerate(records(s, mode), start=-1):
-            if width is None:
-                rec = clean_header([h.replace('"', "") for h in rec] if mode == SPLIT else rec)
-                width = len(rec)
-                sig = int.from_bytes(hashlib.blake2b(json.dumps(rec).encode(), digest_size=8).digest(), "little", signed=True)
-            numbers.append(number)
-            fields.append(rec)
-            ragged.append(not whole or len(rec) > width)
-            size += sum(map(len, rec))
-            if len(numbers) >= CHUNK_ROWS or size >= 1 << 25:
-                yield batch()
-                numbers, fields, ragged, size = [], [], [], 0
+    for number, rec, odd in rows:
+        if number == -1:
+            rec, sig = header(rec, mode)
+        numbers.append(number)
+        fields.append(rec)
+        ragged.append(odd)
+        size += sum(map(len, rec))
+        if len(numbers) >= CHUNK_ROWS or size >= 1 << 25:
+            yield batch()
+            numbers, fields, ragged, size = [], [], [], 0
     if numbers:
         yield batch()
+
+
+def chunks(open_raw: Callable, archive: str, member: str, mode: str | None = None):
+    """Arrow record batches of one text.
+
+    A row with more fields than the header is ragged; a shorter one is padded
+    when read, as CSV readers do.
+    """
+    if mode is None:
+        with open_raw() as raw, text_of(raw) as s:
+            mode = decide(s)
+
+    def rows(s):
+        width = None
+        for number, (rec, whole) in enumerate(records(s, mode), start=-1):
+            width = len(rec) if width is None else width
+            yield number, rec, not whole or len(rec) > width
+
+    with open_raw() as raw, text_of(raw) as s:
+        yield from batched(rows(s), archive, member, mode)

@@ -3,7 +3,9 @@
 ``read_csv`` reads each file whole, by its own header, with the records of
 the zip reader: files whose columns differ in order or number are mapped by
 name, quoted newlines and unclosed quotes are handled, and every row with more
-fields than its header is kept in ``_bad_line``.  A file is read by one task.
+fields than its header is kept in ``_bad_line``.  A file of at most
+``range_bytes`` is read by one task, a bigger one by a task for each such range
+of bytes (``_ranges``), with the same rows.
 
 ``read_csv_lines`` is for big files of one record per line and one header: it
 uses Spark's own CSV source, which splits them over tasks.  A file whose
@@ -23,6 +25,7 @@ from pyspark.sql import types as T
 from lakesmith.operators.tables import column
 from lakesmith.sources import _records as R
 from lakesmith.sources._fs import open_input
+from lakesmith.sources._ranges import extract_ranges
 from lakesmith.sources.zipcsv import TASK_BYTES, map_headers, spread, stage_raw
 
 ENCODING = "ISO-8859-1"
@@ -38,25 +41,29 @@ def _extract_files(mode: str | None):
     return extract
 
 
-def _read(spark: SparkSession, path: str, glob: str | None, mode: str | None) -> DataFrame:
+def _read(spark: SparkSession, path: str, glob: str | None, mode: str | None, range_bytes: int) -> DataFrame:
     from lakesmith.sources.listings import file_inventory
 
     files = file_inventory(spark, path, glob).select("path", "length")
-    total = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
-    raw = spread(files.select("path"), total["n"], (total["bytes"] or 0) / TASK_BYTES).mapInArrow(_extract_files(mode), R.RAW_SCHEMA)
+    big = F.col("length") > range_bytes
+    small, total = files.where(~big), files.agg(
+        F.count_if(~big).alias("n"), F.sum(F.when(~big, F.col("length"))).alias("bytes"), F.count_if(big).alias("big")).first()
+    raw = spread(small.select("path"), total["n"], (total["bytes"] or 0) / TASK_BYTES).mapInArrow(_extract_files(mode), R.RAW_SCHEMA)
+    if total["big"]:
+        raw = raw.unionAll(extract_ranges(files.where(big), range_bytes, mode))
     table = map_headers(stage_raw(raw))
     return table.drop(R.ARCHIVE, R.MEMBER, R.ROW_NO, R.MODE)
 
 
-def read_csv(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, glob: str | None = None, range_bytes: int = TASK_BYTES) -> DataFrame:
     """CSV files under ``path``: string columns named by the headers, plus ``_bad_line``."""
-    return _read(spark, path, glob, None)
+    return _read(spark, path, glob, None, range_bytes)
 
 
-def read_quote_split_csv(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+def read_quote_split_csv(spark: SparkSession, path: str, glob: str | None = None, range_bytes: int = TASK_BYTES) -> DataFrame:
     """The ``","`` split on plain files: one line per row, no quoting; outer
     quotes removed from header names and from the first and last value."""
-    return _read(spark, path, glob, R.SPLIT)
+    return _read(spark, path, glob, R.SPLIT, range_bytes)
 
 
 def read_csv_lines(spark: SparkSession, path: str) -> DataFrame:
