@@ -203,6 +203,30 @@ def write_stream_batches(spark: SparkSession, sf_dir: str, path: str,
     fs.touch(fs.join(path, "_SUCCESS"))
 
 
+def _landed_articles(folder: str) -> list[str]:
+    return [fs.join(folder, n) for n in sorted(fs.list_files(folder)) if n.endswith(".xml.gz")]
+
+
+def write_damaged_articles(landing: str) -> None:
+    """Beside arrival folders: one of their files up to its middle, and one twice in a row (two roots)."""
+    whole = next(p for st in (*STATUSES, OTHER) for p in _landed_articles(fs.join(landing, f"batch={st}")))
+    with fs.open_input(whole) as f:
+        data = f.read()
+    for name, part in (("cut", data[:len(data) // 2]), ("two", data + data)):
+        with fs.open_output(fs.join(landing, f"{name}.xml.gz")) as out:
+            out.write(part)
+
+
+def empty_articles(folder: str) -> None:
+    """The article files of a folder delivered again without articles."""
+    import gzip
+
+    for path in _landed_articles(folder):
+        fs.delete_file(fs.join(folder, f".{path.rsplit('/', 1)[-1]}.crc"))   # Hadoop's checksum of the file before
+        with fs.open_output(path) as out:
+            out.write(gzip.compress(b"<PubmedArticleSet></PubmedArticleSet>"))
+
+
 def stream_xml_batches(spark: SparkSession, sf_dir: str) -> str:
     return _cached(spark, sf_dir, "stream_xml", lambda p: write_stream_batches(spark, sf_dir, p))
 

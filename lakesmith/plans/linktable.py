@@ -29,8 +29,18 @@ def clean_links(lake: DataFrame, distinct_after_cast: bool = False) -> DataFrame
     return df.dropDuplicates() if distinct_after_cast else df
 
 
+def lake_links(spark: SparkSession, lake_path: str) -> DataFrame:
+    """``(PMID, DOI)`` as strings; of a lake with a manifest, the committed rows."""
+    from lakesmith.plans.xml_ingest import MANIFEST, read_link_partitions
+    from lakesmith.sources import _fs
+
+    if _fs.list_files(_fs.join(lake_path, MANIFEST)):
+        return read_link_partitions(spark, lake_path).select("PMID", "DOI")
+    return read_link_lake(spark, lake_path)
+
+
 def build_link_table(spark: SparkSession, lake_path: str, distinct_after_cast: bool = False) -> DataFrame:
-    return clean_links(read_link_lake(spark, lake_path), distinct_after_cast)
+    return clean_links(lake_links(spark, lake_path), distinct_after_cast)
 
 
 def publish_link_table(spark: SparkSession, lake_path: str, out_path: str, distinct_after_cast: bool = False) -> int:

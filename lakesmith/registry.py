@@ -897,3 +897,37 @@ def xml_mixed_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     render.write_stream_batches(spark, sf_dir, landing, statuses=("P", render.OTHER))
     stream_xml_links(spark, landing, lake, f"{run}/other_checkpoint")   # reads all again, replaces what it gave
     return spark.read.parquet(lake).select("PMID", "DOI")
+
+
+@register("xml_damaged_files", f"""{_SQL_XML_LINKS}
+UNION ALL SELECT 'damaged', 'cut' UNION ALL SELECT 'damaged', 'two'""")
+def xml_damaged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive that ends in the middle and one with two roots among the others: all others are loaded, both are listed."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.plans.xml_ingest import dead_letters, read_link_partitions
+    from lakesmith.session import fresh_dir
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    run = fresh_dir(spark, "stream", "damaged")
+    landing, lake = f"{run}/landing", f"{run}/lake"
+    render.write_stream_batches(spark, sf_dir, landing)
+    render.write_damaged_articles(landing)
+    stream_xml_links(spark, landing, lake)
+    stream_xml_links(spark, landing, lake)   # nothing has changed, so nothing is tried again
+    dead = dead_letters(spark, lake).select(F.lit("damaged").alias("PMID"), F.col("source_file").alias("DOI"))
+    return read_link_partitions(spark, lake).select("PMID", "DOI").unionAll(dead)
+
+
+@register("xml_redelivered", f"{_SQL_XML_LINKS} AND coalesce(o_orderstatus <> 'F', TRUE)")
+def xml_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of one order status are delivered again, now without articles: their rows go, all others stay."""
+    from lakesmith.plans.xml_ingest import ingest_xml
+    from lakesmith.session import fresh_dir
+
+    run = fresh_dir(spark, "lake", "redelivered")
+    landing, lake = f"{run}/landing", f"{run}/lake"
+    render.write_stream_batches(spark, sf_dir, landing)
+    ingest_xml(spark, landing, lake)
+    render.empty_articles(f"{landing}/batch=F")
+    return ingest_xml(spark, landing, lake, skip_present=False).select("PMID", "DOI")

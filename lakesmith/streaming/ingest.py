@@ -6,9 +6,10 @@ rows.  ``max_files_per_trigger`` bounds the work of one micro-batch;
 ``clean_source`` removes (or archives) processed files, best effort and one
 batch late, so it is a tidy-up, not a guarantee.
 
-Each micro-batch goes through the batch writer and its manifest
-(``plans.xml_ingest.write_links``).  The lake has no sink log, so what the
-stream and what a batch load wrote are read alike.
+The stream carries the files' listing (path, length, time; no content).  Each
+micro-batch is read and committed by the batch loader
+(``plans.xml_ingest.load_files``), which sets damaged files aside, so one of
+them neither fails the stream nor comes up again until it changes.
 
 No dedupe runs in the stream: the link table has no event time, so a
 streaming distinct would keep unbounded state.  Dedupe stays a batch step on
@@ -19,9 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from lakesmith.plans.xml_ingest import CHECKPOINT, XML_GLOB, write_links
+from lakesmith.plans.xml_ingest import CHECKPOINT, XML_GLOB, load_files, retry_changed
 from lakesmith.sources import _fs
-from lakesmith.sources.xml import id_lists, xml_reader
+
+LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 # Files per micro-batch unless told otherwise: a failed batch redoes at most
 # this many files, and each batch commits its output and checkpoint.
@@ -33,11 +35,13 @@ def stream_xml_links(spark: SparkSession, landing: str, lake: str, checkpoint: s
                      clean_source: str | None = None, archive_dir: str | None = None, own_only: bool = False) -> int:
     """Process every file under ``landing`` not yet seen by ``checkpoint``
     (default: the lake's own) into the parquet ``lake`` (``availableNow``: all
-    pending files, then stop).
+    pending files, then stop).  Files that failed before and have changed are
+    read again first.
 
     Returns the number of micro-batches run.
     """
-    reader = xml_reader(spark.readStream, own_only).option("recursiveFileLookup", "true").option("pathGlobFilter", XML_GLOB)
+    again = retry_changed(spark, landing, lake, own_only, max_files_per_trigger or DEFAULT_MAX_FILES_PER_TRIGGER)
+    reader = spark.readStream.format("binaryFile").schema(LISTING_SCHEMA).option("recursiveFileLookup", "true").option("pathGlobFilter", XML_GLOB)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source:
@@ -47,13 +51,13 @@ def stream_xml_links(spark: SparkSession, landing: str, lake: str, checkpoint: s
     done = []
 
     def write(batch, epoch):
-        write_links(batch, lake, landing)
+        load_files(spark, batch.collect(), lake, landing, own_only)   # one small row per file of the micro-batch
         done.append(epoch)
 
     q = (
-        id_lists(reader.load(landing), own_only).writeStream.foreachBatch(write)
+        reader.load(landing).select("path", "length", "modificationTime").writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint or _fs.join(lake, CHECKPOINT))
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return len(done)
+    return again + len(done)

@@ -184,3 +184,94 @@ def test_remove_loaded_deletes_inputs_after_commit(spark, article_dir, tmp_path)
     assert df.count() == 5
     assert not [f for f in os.listdir(article_dir) if f.endswith(".xml.gz")]
     assert ingest_xml(spark, article_dir, lake).count() == 5       # nothing left to load, lake intact
+
+
+def _cut(path, text):
+    """A gzip file that ends in the middle."""
+    path.write_bytes(gzip.compress(text.encode())[:40])
+
+
+def test_damaged_files_do_not_stop_a_load(spark, tmp_path):
+    from lakesmith.plans.xml_ingest import dead_letters, load_manifest
+    from lakesmith.streaming.ingest import stream_xml_links
+
+    d, lake = tmp_path / "in", str(tmp_path / "lake")
+    d.mkdir()
+    for i in range(5):
+        _gz(d / f"good{i} [x]{{%41}}+.xml.gz", ARTICLES.replace(">1<", f">{i}00<"))
+    _cut(d / "cut.xml.gz", ARTICLES)
+    _gz(d / "two.xml.gz", ARTICLES + "<PubmedArticleSet></PubmedArticleSet>")
+    (d / "nogzip.xml.gz").write_text("no gzip at all")
+    _gz(d / "none.xml.gz", "<PubmedArticleSet/>")
+    assert stream_xml_links(spark, str(d), lake) == 1
+    read = ingest_xml(spark, str(d), lake)
+    assert read.count() == 25 and {r.source_file for r in read.collect()} == {f"good{i} [x]{{%41}}+" for i in range(5)}
+    dead = {r.source_file: r for r in dead_letters(spark, lake).collect()}
+    assert set(dead) == {"cut", "two", "nogzip"} and all(r.reason for r in dead.values())
+    assert {r.source_file for r in load_manifest(spark, lake).collect()} == {f"good{i} [x]{{%41}}+" for i in range(5)}
+    assert stream_xml_links(spark, str(d), lake) == 0           # not tried again as they are
+    _gz(d / "cut.xml.gz", ARTICLES)
+    assert stream_xml_links(spark, str(d), lake) == 1           # mended: read again
+    assert ingest_xml(spark, str(d), lake).count() == 30 and {r.source_file for r in dead_letters(spark, lake).collect()} == {"two", "nogzip"}
+    left = ingest_xml(spark, str(d), lake, remove_loaded=True)
+    assert left.count() == 30 and {p.name for p in d.iterdir() if not p.name.startswith(".")} == {"two.xml.gz", "nogzip.xml.gz"}
+
+
+def test_a_failed_delivery_keeps_the_rows_before(spark, tmp_path):
+    from lakesmith.plans.xml_ingest import dead_letters
+
+    d, lake = tmp_path / "in", str(tmp_path / "lake")
+    d.mkdir()
+    _gz(d / "a.xml.gz", ARTICLES)
+    assert ingest_xml(spark, str(d), lake).count() == 5
+    _cut(d / "a.xml.gz", ARTICLES)
+    assert ingest_xml(spark, str(d), lake, skip_present=False).count() == 5
+    assert [r.source_file for r in dead_letters(spark, lake).collect()] == ["a"]
+
+
+def test_a_file_delivered_again_without_rows_has_none(spark, tmp_path):
+    d, lake = tmp_path / "in", str(tmp_path / "lake")
+    d.mkdir()
+    _gz(d / "a.xml.gz", ARTICLES)
+    _gz(d / "b.xml.gz", ARTICLES)
+    assert ingest_xml(spark, str(d), lake).count() == 10
+    _gz(d / "a.xml.gz", "<PubmedArticleSet/>")
+    df = ingest_xml(spark, str(d), lake, skip_present=False)
+    assert {r.source_file for r in df.collect()} == {"b"} and df.count() == 5
+    assert spark.read.parquet(lake).count() == 5                # replaced rows are deleted, too
+
+
+def test_a_load_that_ends_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    from lakesmith.plans import xml_ingest
+    from lakesmith.plans.xml_ingest import read_link_partitions
+
+    d, lake = tmp_path / "in", str(tmp_path / "lake")
+    d.mkdir()
+    _gz(d / "a.xml.gz", ARTICLES)
+    ingest_xml(spark, str(d), lake)
+    before = sorted(read_link_partitions(spark, lake).collect())
+    _gz(d / "a.xml.gz", ARTICLES.replace(">1<", ">11<"))
+    _gz(d / "b.xml.gz", ARTICLES)
+    with monkeypatch.context() as m:
+        m.setattr(xml_ingest, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception):
+            ingest_xml(spark, str(d), lake, skip_present=False)
+    assert spark.read.parquet(lake).count() > 5                 # written, but no record names it
+    assert sorted(read_link_partitions(spark, lake).collect()) == before
+    with monkeypatch.context() as m:                            # ends between the commit and the removal
+        m.setattr(xml_ingest, "_remove_replaced", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(Exception):
+            ingest_xml(spark, str(d), lake, skip_present=False)
+    after = read_link_partitions(spark, lake)
+    assert after.count() == 10 and {r.PMID for r in after.where("source_file = 'a'").collect()} >= {"11"}
+    assert ingest_xml(spark, str(d), lake, skip_present=False).count() == 10
+
+
+def test_faults_of_the_cluster_are_raised(spark):
+    from lakesmith.plans.xml_ingest import _bisected
+
+    def write(paths):
+        raise RuntimeError("No space left on device")
+
+    with pytest.raises(RuntimeError):
+        _bisected(["a", "b"], write)
