@@ -45,8 +45,9 @@ def open_input(path: str):
 
 
 def open_output(path: str):
+    """Output stream of the bytes as they are (pyarrow would compress by the file's ending)."""
     filesystem, inner = resolve(path)
-    return filesystem.open_output_stream(inner)
+    return filesystem.open_output_stream(inner, compression=None)
 
 
 def exists(path: str) -> bool:
