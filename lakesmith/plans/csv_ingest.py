@@ -9,13 +9,14 @@ The lake holds the cleaned text of every value; ``_schema`` beside it says
 which columns there are and how their text reads.  Each run adds its columns
 and widens types (bigint -> double -> string), so a column that was numeric in
 one year and text in the next reads as the text that was loaded, nothing is
-rewritten, and a run never loses an earlier run's columns.  Read it with
-``read_csv_lake``.
+rewritten, and a run never loses another run's columns, also of a run at the
+same time.  Read it with ``read_csv_lake``.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,13 +88,37 @@ def _value_columns(rows: DataFrame) -> list[str]:
 # ---------------------------------------------------------------- the lake's schema
 
 def lake_schema(lake_path: str) -> dict[str, str]:
-    """Columns of the lake and their types so far (newest schema file); empty before the first load."""
+    """Columns of the lake and their types so far; empty before the first load."""
+    return _schema_log(lake_path)[0]
+
+
+def _schema_log(lake_path: str) -> tuple[dict[str, str], list[str]]:
+    """The lake's schema and the files that it was read from.
+
+    Every load adds a file with the schema it saw, widened by its own columns,
+    and the names of the files it saw.  Widening only adds columns and goes up a
+    chain of types, so it does not matter in which order loads merge: files that
+    no other one covers (loads that ran at once) are merged when read, and none
+    is lost.
+    """
     folder = _fs.join(lake_path, SCHEMA)
-    names = _fs.list_files(folder)
-    if not names:
-        return {}
-    with _fs.open_input(_fs.join(folder, max(names))) as f:
-        return dict(json.loads(f.read().decode()))
+    names = sorted(n for n in _fs.list_files(folder) if n.endswith(".json") and not n.startswith("."))
+    covered: set[str] = set()
+    found = []
+    for name in reversed(names):   # the newest first: it covers nearly all others
+        if name not in covered:
+            with _fs.open_input(_fs.join(folder, name)) as f:
+                told = json.loads(f.read().decode())
+            if isinstance(told, dict):
+                covered |= set(told["covers"])
+                found.append(told["columns"])
+            else:   # as earlier versions wrote it: each file holds the whole schema
+                covered |= {n for n in names if n < name}
+                found.append(told)
+    schema: dict[str, str] = {}
+    for columns in reversed(found):
+        schema = widened(schema, dict(columns))
+    return schema, names
 
 
 def widened(old: dict[str, str], new: dict[str, str]) -> dict[str, str]:
@@ -107,11 +132,10 @@ def widened(old: dict[str, str], new: dict[str, str]) -> dict[str, str]:
     return out
 
 
-def _save_schema(lake_path: str, schema: dict[str, str]) -> None:
-    folder = _fs.join(lake_path, SCHEMA)
-    _fs.makedirs(folder)
-    with _fs.open_output(_fs.join(folder, f"{len(_fs.list_files(folder)):08d}.json")) as f:
-        f.write(json.dumps(list(schema.items())).encode())
+def _save_schema(lake_path: str, schema: dict[str, str], covers: list[str]) -> None:
+    """Add a file to the schema log; the number only keeps the order, the name is this load's alone."""
+    told = {"columns": list(schema.items()), "covers": covers}
+    _fs.write_new(_fs.join(lake_path, SCHEMA, f"{len(covers):08d}-{uuid.uuid4().hex}.json"), json.dumps(told).encode())
 
 
 def read_csv_lake(spark: SparkSession, lake_path: str) -> DataFrame:
@@ -160,10 +184,11 @@ def _load(spark: SparkSession, todo: DataFrame, lake_path: str, replace: bool) -
     rows = cleaned_rows(spark, archives=todo)
     values = _value_columns(rows)
     counts = type_counts(rows, values)
-    schema = widened(lake_schema(lake_path), {c: type_of(counts[c]) for c in values})
+    before, seen = _schema_log(lake_path)
+    schema = widened(before, {c: type_of(counts[c]) for c in values})
     spelling = {c.casefold(): c for c in schema}
     out = rows.drop(ARCHIVE).select(*[column(c).alias(spelling.get(c.casefold(), c) if c in counts else c) for c in rows.columns if c != ARCHIVE])
-    _save_schema(lake_path, schema)   # before the rows: it covers the old lake as well as the new
+    _save_schema(lake_path, schema, seen)   # before the rows: it covers the old lake as well as the new
     publish(out, lake_path, [SOURCE], replace=replace, checked=True)
 
 

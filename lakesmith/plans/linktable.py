@@ -19,9 +19,9 @@ from lakesmith.operators.tables import keep_not_null, project_rename
 from lakesmith.sources.lake import read_link_lake
 
 
-def clean_links(lake: DataFrame, distinct_after_cast: bool = False) -> DataFrame:
-    """(PMID string, DOI string) -> (PMID bigint, DOI string), cleaned."""
-    df = lake if distinct_after_cast else lake.dropDuplicates()
+def clean_links(lake: DataFrame, distinct_after_cast: bool = False, distinct: bool = True) -> DataFrame:
+    """(PMID string, DOI string) -> (PMID bigint, DOI string), cleaned; ``distinct=False``: the pairs are distinct already."""
+    df = lake.dropDuplicates() if distinct and not distinct_after_cast else lake
     df = df.filter(not_equal_keep_null("PMID", SENTINEL_PMID))
     df = df.withColumn("PMID_int", python_int("PMID"))
     df = keep_not_null(df, "PMID_int")

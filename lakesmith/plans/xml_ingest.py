@@ -100,14 +100,14 @@ def _identity_of(path: str, root: str) -> str:
 
 # ---------------------------------------------------------------- the lake's records
 
-def _records(spark: SparkSession, lake_path: str) -> DataFrame | None:
+def read_records(spark: SparkSession, lake_path: str) -> DataFrame | None:
     """Every record of the manifest, or None before the first load.  It lies under ``_manifest/``
     in the lake, which Spark's readers skip (leading underscore)."""
     path = _fs.join(lake_path, MANIFEST)
     return spark.read.schema(MANIFEST_SCHEMA).parquet(path) if _fs.list_files(path) else None
 
 
-def _newest(records: DataFrame) -> DataFrame:
+def newest_records(records: DataFrame) -> DataFrame:
     """The newest record of each file."""
     order = Window.partitionBy("source_file").orderBy(F.col("loaded_at").desc(), F.col("batch").desc_nulls_last())
     return records.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
@@ -115,20 +115,20 @@ def _newest(records: DataFrame) -> DataFrame:
 
 def load_manifest(spark: SparkSession, lake_path: str) -> DataFrame | None:
     """``(source_file, path, loaded_at)`` of every file whose rows the lake holds, or None before the first load."""
-    records = _records(spark, lake_path)
+    records = read_records(spark, lake_path)
     if records is None:
         return None
-    held = _newest(records.where(~F.col("status").eqNullSafe(FAILED)))
+    held = newest_records(records.where(~F.col("status").eqNullSafe(FAILED)))
     return held.where(~F.col("status").eqNullSafe(EMPTY)).select("source_file", "path", "loaded_at")
 
 
 def dead_letters(spark: SparkSession, lake_path: str) -> DataFrame:
     """``(source_file, path, length, modified, reason, loaded_at)`` of the files that could not be read when last tried.
     What an earlier delivery of such a file gave stays in the lake."""
-    records = _records(spark, lake_path)
+    records = read_records(spark, lake_path)
     if records is None:
         records = spark.createDataFrame([], MANIFEST_SCHEMA)
-    return _newest(records).where(F.col("status") == FAILED).select("source_file", "path", "length", "modified", "reason", "loaded_at")
+    return newest_records(records).where(F.col("status") == FAILED).select("source_file", "path", "length", "modified", "reason", "loaded_at")
 
 
 def read_link_partitions(spark: SparkSession, lake_path: str) -> DataFrame:
@@ -138,7 +138,7 @@ def read_link_partitions(spark: SparkSession, lake_path: str) -> DataFrame:
     """
     stored, records = spark.read.schema(STORED_SCHEMA).parquet(lake_path), _records(spark, lake_path)
     if records is not None:
-        live = _newest(records.where(~F.col("status").eqNullSafe(FAILED))).select("source_file", "batch", F.lit(True).alias("_known"))
+        live = newest_records(records.where(~F.col("status").eqNullSafe(FAILED))).select("source_file", "batch", F.lit(True).alias("_known"))
         stored = stored.join(live, "source_file", "left").where(
             F.col(BATCH).eqNullSafe(F.col("batch")) & (F.col("_known").isNotNull() | F.col(BATCH).isNull()))
     return stored.select("PMID", "DOI", "source_file")
@@ -172,7 +172,7 @@ def _reason(error: Exception) -> str:
     return (causes[-1] if causes else str(error).split("\n")[0])[:500]
 
 
-def _glob_escaped(path: str) -> str:
+def glob_escaped(path: str) -> str:
     """A listed path as a pattern that matches only itself."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
@@ -181,7 +181,7 @@ def _write(spark: SparkSession, paths: list[str], lake_path: str, root: str, bat
     """The links of the files into their partitions; returns the files that gave rows (told by the write itself)."""
     names = sorted({_identity_of(p, root) for p in paths})
     places = F.broadcast(spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "source_file string, _place int"))   # one row per file of the batch
-    lists = read_id_lists(spark, [_glob_escaped(p) for p in paths], own_only)
+    lists = read_id_lists(spark, [glob_escaped(p) for p in paths], own_only)
     links = extract_links(lists, file_identity(F.col("path"), root)).join(places, "source_file")
     seen = Observation()
     told = links.observe(seen, F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("bits"))
@@ -217,7 +217,7 @@ def load_files(spark: SparkSession, files: list, lake_path: str, root: str, own_
     if not newest:
         return
     batch = uuid.uuid4().hex   # an attempt that ends early leaves rows under an id that no record names
-    known = _records(spark, lake_path)
+    known = read_records(spark, lake_path)
     again = [] if known is None else [r.source_file for r in known.where(F.col("source_file").isin(list(newest))).select("source_file").distinct().collect()]
     filled, bad = _bisected([f["path"] for f in newest.values()], lambda paths: _write(spark, paths, lake_path, root, batch, own_only))
     now = datetime.now(timezone.utc)

@@ -74,6 +74,48 @@ def move(src: str, dst: str) -> None:
     filesystem.move(a, b)
 
 
+def move_new(src: str, dst: str) -> None:
+    """Rename within one filesystem; ``FileExistsError`` if ``dst`` is there already, which stays as it is.
+
+    Atomic where a rename refuses an existing target (HDFS) and on POSIX (a
+    hard link does); on an object store without such a call the check comes first.
+    """
+    import os
+
+    from pyarrow import fs
+
+    filesystem, a = resolve(src)
+    _, b = resolve(dst)
+    if isinstance(filesystem, fs.LocalFileSystem):
+        os.link(a, b)
+        os.unlink(a)
+        return
+    if exists(dst):
+        raise FileExistsError(dst)
+    try:
+        filesystem.move(a, b)
+    except OSError as e:
+        if exists(src):   # refused: another writer was first
+            raise FileExistsError(dst) from e
+        raise
+
+
+def write_new(path: str, data: bytes) -> None:
+    """Write a file that appears whole, and only if there is none of its name (else ``FileExistsError``)."""
+    import uuid
+
+    folder, name = path.rsplit("/", 1)
+    makedirs(folder)
+    hidden = join(folder, f".{uuid.uuid4().hex}.{name}")
+    with open_output(hidden) as f:
+        f.write(data)
+    try:
+        move_new(hidden, path)
+    except FileExistsError:
+        delete_file(hidden)
+        raise
+
+
 def join(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), *[p.strip("/") for p in parts]])
 
@@ -88,6 +130,16 @@ def list_files(path: str) -> list[str]:
     return [e.base_name for e in filesystem.get_file_info(fs.FileSelector(inner)) if e.type == fs.FileType.File]
 
 
+def list_folders(path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    from pyarrow import fs
+
+    filesystem, inner = resolve(path)
+    if filesystem.get_file_info(inner).type != fs.FileType.Directory:
+        return []
+    return [e.base_name for e in filesystem.get_file_info(fs.FileSelector(inner)) if e.type == fs.FileType.Directory]
+
+
 def delete_file(path: str) -> bool:
     """Delete one file; False if it was already gone."""
     from pyarrow import fs
