@@ -41,17 +41,20 @@ def unwrap_jsonp(col) -> Column:
 def strict_json(col) -> Column:
     """Parse JSON text into VARIANT; null unless the whole text is one JSON value.
 
-    Spark's parser stops after the first value and ignores what follows.  So
-    the text is parsed as the only element of an array and as the only value
-    of an object: whatever ends the one early is a syntax error in the other,
-    and both are whole exactly when the text is one value.  No pattern runs
-    over the text, so its length does not matter (up to the size that a
-    VARIANT can hold).
+    Spark's parser stops after the first value and ignores what follows, so the
+    text is parsed as the only element of an array.  A text without ``]`` cannot
+    end the array early; it is one value if the array has one element.  Other
+    texts are parsed as the only value of an object, too: whatever ends the one
+    early is a syntax error in the other, and both are whole exactly when the
+    text is one value.  No pattern runs over the text, so its length does not
+    matter (up to the size that a VARIANT can hold).
     """
     c = as_col(col)
     in_array = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}")))
-    return F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant"))
+    alone = F.try_variant_get(in_array, "$[1]", "variant").isNull()
+    return F.when(~F.contains(c, F.lit("]")), F.when(alone, F.try_variant_get(in_array, "$[0]", "variant"))).otherwise(
+        F.when(in_array.isNotNull(), F.try_variant_get(in_object, "$.v", "variant")))
 
 
 def latin1(col) -> Column:

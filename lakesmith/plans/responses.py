@@ -7,13 +7,12 @@ All column expressions; no Python on the data path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakesmith.functions.paths import concat_url
 from lakesmith.functions.text import strict_json, strip_bom, unwrap_jsonp
-from lakesmith.operators.sinks import write_json_documents
-from lakesmith.operators.tables import observe_count
+from lakesmith.session import fresh_dir
 
 
 def response_urls(dois: DataFrame, base_url: str, doi_col: str = "doi") -> DataFrame:
@@ -35,14 +34,21 @@ def ingest_responses(raw: DataFrame, out_path: str, rejects_path: str | None = N
     gets ``(doi, document)`` as parquet, so each document can be tied to its id,
     and ``rejects_path`` (default ``<out_path>_rejects``) gets ``(doi, raw)`` of
     the responses that are not exactly one JSON value.  Returns the counts.
+
+    The responses are read and parsed once, into a staged table split by
+    validity, which the counts are taken from on the way; the three outputs are
+    copies of its parts.
     """
-    base = out_path.rstrip("/")
-    parsed = unwrap_responses(raw, raw_col).select(F.col(doi_col), F.to_json("doc").alias("document"), F.col(raw_col))
-    ok, n_ok = observe_count(parsed.filter(F.col("document").isNotNull()).select(doi_col, "document"), "documents")
-    ok.write.mode("overwrite").parquet(f"{base}_by_doi")
-    bad, n_bad = observe_count(parsed.filter(F.col("document").isNull()).select(doi_col, raw_col), "rejects")
-    bad.write.mode("overwrite").parquet(rejects_path or f"{base}_rejects")
-    spark = raw.sparkSession
-    docs = spark.read.parquet(f"{base}_by_doi").select(F.parse_json("document").alias("doc"))
-    write_json_documents(docs, "doc", out_path)
-    return {"documents": int(n_ok.get["rows"]), "rejects": int(n_bad.get["rows"])}
+    spark, base, staged = raw.sparkSession, out_path.rstrip("/"), fresh_dir(raw.sparkSession, "stage", "responses")
+    parsed = unwrap_responses(raw, raw_col).select(F.col(doi_col).alias("id"), F.to_json("doc").alias("document"), F.col(raw_col).alias("raw"))
+    known = F.col("document").isNotNull()
+    seen = Observation()
+    split = parsed.select("id", "document", F.when(~known, F.col("raw")).alias("raw"), known.alias("valid")).observe(
+        seen, F.count_if("valid").alias("documents"), F.count_if(~F.col("valid")).alias("rejects"))
+    split.write.partitionBy("valid").parquet(staged)
+    rows = spark.read.schema(split.schema).parquet(staged)
+    ok, bad = rows.where("valid"), rows.where("NOT valid")
+    ok.select(F.col("id").alias(doi_col), "document").write.mode("overwrite").parquet(f"{base}_by_doi")
+    bad.select(F.col("id").alias(doi_col), F.col("raw").alias(raw_col)).write.mode("overwrite").parquet(rejects_path or f"{base}_rejects")
+    ok.select(F.col("document").alias("value")).write.mode("overwrite").text(out_path)
+    return {"documents": int(seen.get["documents"]), "rejects": int(seen.get["rejects"])}

@@ -136,7 +136,7 @@ def read_link_partitions(spark: SparkSession, lake_path: str) -> DataFrame:
 
     Rows without a batch of files without a record are those of writers that keep none.
     """
-    stored, records = spark.read.schema(STORED_SCHEMA).parquet(lake_path), _records(spark, lake_path)
+    stored, records = spark.read.schema(STORED_SCHEMA).parquet(lake_path), read_records(spark, lake_path)
     if records is not None:
         live = newest_records(records.where(~F.col("status").eqNullSafe(FAILED))).select("source_file", "batch", F.lit(True).alias("_known"))
         stored = stored.join(live, "source_file", "left").where(
