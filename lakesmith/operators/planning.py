@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def not_yet_done(work: DataFrame, done: DataFrame, key, null_safe: bool = False) -> DataFrame:
@@ -88,12 +89,48 @@ def with_position(df: DataFrame, order: list) -> DataFrame:
     )
 
 
+#: places of the leading order column at which rows are counted to find a slice
+EDGES = 64
+
+
+def _around(counts: list[tuple], start: int, end: int | None) -> tuple:
+    """``(low, base, high)`` of the edges about positions ``start .. end``: ``base`` rows lie below ``low``
+    (None: the beginning), and no wanted row at or above ``high`` (None: the end)."""
+    low, base = max(((e, n) for e, n in counts if n <= start), key=lambda x: x[1], default=(None, 0))
+    return low, base, None if end is None else min((e for e, n in counts if n >= end), default=None)
+
+
 def batch_slice(df: DataFrame, order: list, start: int, count: int | None = None) -> DataFrame:
     """Rows ``start .. start+count-1`` of ``df`` in ``order`` (all from ``start`` if no count).
 
-    Positions are computed distributedly, so a slice deep in the list costs
-    no more than one at its start.
+    The rows are staged once.  If the order begins with a numeric column,
+    ascending, a mergeable sketch of it gives edges, and the rows below each
+    edge are counted (one row to the driver).  That locates the slice: only the
+    rows between the edges about it are sorted, and of an open slice only those
+    about its start; the rest is filtered, not shuffled.  Otherwise all rows get
+    positions.
     """
+    from lakesmith.operators.tables import stage
+
+    staged, end = stage(df, "slice"), None if count is None else start + count
+    key = order[0]
+    if not isinstance(key, str) or not isinstance(df.schema[key].dataType, T.NumericType):
+        return _within(staged, order, start, end)
+    c = F.col(f"`{key}`")
+    told = staged.agg(F.percentile_approx(c, [i / EDGES for i in range(EDGES + 1)], 10_000).alias("e")).first()["e"]
+    edges = sorted({e for e in told or [] if e == e})
+    if not edges:
+        return _within(staged, order, start, end)
+    below = staged.agg(*[F.count_if(c.isNull() | (c < F.lit(e))).alias(f"n{i}") for i, e in enumerate(edges)]).first()   # nulls come first
+    counts = list(zip(edges, below, strict=True))
+    low, base, high = _around(counts, start, end if end is not None else start + 1)
+    after = F.lit(True) if low is None else c >= F.lit(low)
+    near = after if high is None else after & F.coalesce(c < F.lit(high), F.lit(True))
+    here = _within(staged.where(near), order, start - base, None if end is None else end - base)
+    return here if end is not None or high is None else here.unionAll(staged.where(c >= F.lit(high)))
+
+
+def _within(df: DataFrame, order: list, start: int, end: int | None) -> DataFrame:
     at = F.col("_seq")
-    within = at >= start if count is None else (at >= start) & (at < start + count)
+    within = at >= start if end is None else (at >= start) & (at < end)
     return with_position(df, order).filter(within).drop("_seq")
