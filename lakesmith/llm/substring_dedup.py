@@ -42,10 +42,10 @@ PIECE_BYTES = 4_000_000
 #: words gathered before a shard is indexed
 SHARD_WORDS = 500_000
 
-MINIMIZERS = "route long, kind tinyint, id long, tkey int, begin int, count int"
-SURVIVORS = "id long, tkey int, begin int, count int"
-SEGMENTS = "route long, kind tinyint, seg long, id long, tkey int, begin int, text string"
-FOUND = "kind tinyint, seg long, id long, tkey int, begin int, end int, mins array<long>"
+MINIMIZERS = "route long, kind tinyint, id long, tkey long, begin int, count int"
+SURVIVORS = "id long, tkey long, begin int, count int"
+SEGMENTS = "route long, kind tinyint, seg long, id long, tkey long, begin int, text string"
+FOUND = "kind tinyint, seg long, id long, tkey long, begin int, end int, mins array<long>"
 
 
 def _batch(spec: str, **cols) -> pa.RecordBatch:
@@ -327,10 +327,10 @@ def substring_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
         keyed.mapInArrow(lambda it: _send_minimizers(it, window), MINIMIZERS)
         .repartition("route").sortWithinPartitions("route")
         .mapInArrow(_surviving, SURVIVORS)
-        .groupBy("id", "tkey").agg(F.sort_array(F.collect_list(F.struct("begin", "count"))).alias("runs"))   # bounded by the document
+        .groupBy("id", "tkey").agg(F.sort_array(F.collect_set(F.struct("begin", "count"))).alias("runs"))   # bounded by the document: copies give equal runs
         .write.parquet(f"{path}/survivors")
     )
-    packed = keyed.mapInArrow(_pack, "id long, tkey int, packed binary")
+    packed = keyed.mapInArrow(_pack, "id long, tkey long, packed binary")
     (
         packed.hint("merge").join(spark.read.parquet(f"{path}/survivors"), ["id", "tkey"])
         .mapInArrow(lambda it: _send_segments(it, window), SEGMENTS)
@@ -340,10 +340,15 @@ def substring_spans(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     )
     found = spark.read.parquet(f"{path}/found")
     hot = found.where("kind = 2").groupBy("seg").agg(F.min("mins").alias("mins"))
+    hit = "(get(mins, i) < id)"
+    runs = (   # consecutive windows that go are one span: it is made before anything is exploded
+        f"zip_with(filter(sequence(0, size(mins) - 1), i -> {hit} AND NOT coalesce({hit.replace('i)', 'i - 1)')}, false)), "
+        f"filter(sequence(0, size(mins) - 1), i -> {hit} AND NOT coalesce({hit.replace('i)', 'i + 1)')}, false)), "
+        f"(a, b) -> named_struct('begin', begin + a, 'end', begin + b + {window}))"
+    )
     many = (
-        found.where("kind = 1").drop("mins").hint("merge").join(hot, "seg")
-        .select("id", "tkey", F.explode(F.expr(
-            f"filter(transform(mins, (m, i) -> named_struct('begin', begin + i, 'end', begin + i + {window}, 'm', m)), s -> s.m < id)")).alias("s"))
+        found.where("kind = 1").drop("mins").hint("merge").join(hot.where("size(mins) > 0"), "seg")
+        .select("id", "tkey", F.explode(F.expr(runs)).alias("s"))
         .select("id", "tkey", "s.begin", "s.end")
     )
     return found.where("kind = 0").select("id", "tkey", "begin", "end").unionByName(many)
@@ -360,10 +365,10 @@ def substring_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     words.  Other columns are not read; an empty table gives an empty result.
     """
     keyed = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.hash(F.col(text_col)).alias("tkey"), F.col(text_col).cast("string").alias("text"),
+        F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(F.col(text_col)).alias("tkey"), F.col(text_col).cast("string").alias("text"),
     )
     spans = substring_spans(keyed, window).groupBy("id", "tkey").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
-    packed = keyed.mapInArrow(_pack, "id long, tkey int, packed binary")
+    packed = keyed.mapInArrow(_pack, "id long, tkey long, packed binary")
     out = packed.hint("merge").join(spans, ["id", "tkey"], "left").mapInArrow(
         _keep, "id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
