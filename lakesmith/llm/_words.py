@@ -111,12 +111,12 @@ def scan(off: np.ndarray, raw: np.ndarray, sep: tuple, lower: bool) -> Words:
     return Words(s, e, mix((total[e] - total[s]) * down[s] if len(s) else np.zeros(0, U)), np.searchsorted(s, off))
 
 
-def pieces(column: pa.Array, limit: int = 1 << 21):
-    """Row ranges ``(a, b, offsets, bytes)`` of about ``limit`` bytes each (a longer text is one range)."""
+def pieces(column: pa.Array, limit: int = 1 << 21, rows: int = 1 << 30):
+    """Row ranges ``(a, b, offsets, bytes)`` of about ``limit`` bytes (a longer text is one range) and at most ``rows`` rows each."""
     off, raw = utf8(column)
     a, n = 0, len(off) - 1
     while a < n:
-        b = max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1)
+        b = min(a + rows, max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1))
         yield a, b, off[a:b + 1] - off[a], raw[off[a]:off[b]]
         a = b
 

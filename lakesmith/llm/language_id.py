@@ -26,7 +26,8 @@ GRAMS = 3
 CLUSTERS = 4
 #: most texts of a language that its centroids are fitted on
 PER_LANGUAGE = 2000
-PIECE_BYTES = 1 << 20
+#: text and rows whose counts are held at once (a row has ``DIMS`` counts, however short its text)
+PIECE_BYTES, PIECE_ROWS = 1 << 20, 256
 IDF_PARTS = 8
 #: quantile of the training texts' cosine, and the share of it that is still accepted
 REJECT_QUANTILE, REJECT_SHARE = 0.01, 0.5
@@ -39,7 +40,7 @@ _LETTER[128:] = np.arange(128, 256)
 
 def counts(texts: pa.Array):
     """Yields ``(a, b, matrix)``: n-gram counts of rows ``a:b``."""
-    for a, b, off, raw in pieces(pc.utf8_lower(pc.fill_null(texts, "")), PIECE_BYTES):
+    for a, b, off, raw in pieces(pc.utf8_lower(pc.fill_null(texts, "")), PIECE_BYTES, PIECE_ROWS):
         flat = _LETTER[raw]
         blank = flat == 0x20
         keep = np.ones(len(flat), bool)
@@ -184,8 +185,8 @@ def _predict(batches, m: Model):
                                          names=["row", "lang_pred", "score", "rejected", *batch.schema.names[3:]])
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` as struct ``row``, with ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or the columns ``keep`` of it) as struct ``row``, with ``lang_pred``, ``score`` (cosine, 0 to 1) and ``rejected``.
 
     Null texts and texts without a letter are ``und`` with score 0, and
     rejected; so is everything if there was nothing to learn from.  Ties go to
@@ -196,7 +197,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     sent = docs.sparkSession.sparkContext.broadcast(model)
     text = F.col(f"`{text_col}`").cast("string")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), text.alias("text"), has_letter(text).alias("letters"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if keep is None else keep)]).alias("row"), text.alias("text"), has_letter(text).alias("letters"))
     schema = StructType([rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("rejected", BooleanType())])
     return rows.mapInArrow(lambda it: _predict(it, sent.value), schema)
 
@@ -209,5 +210,5 @@ def language_id(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """Learns from the rows that are not held out, predicts all: id, ``held_out``, ``lang_pred``, ``score``, ``rejected``."""
     keyed = docs.select(F.col(id_col).alias("id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     model = fit(keyed.where(~F.col("held_out")))
-    out = predict(keyed.select("id", "held_out", "text"), model)
+    out = predict(keyed.select("id", "held_out", "text"), model, keep=["id", "held_out"])
     return out.select(F.col("row.id").alias(id_col), "row.held_out", "lang_pred", "score", "rejected")

@@ -273,3 +273,24 @@ def test_decontaminate_text_beyond_one_index(monkeypatch):
     off, raw = utf8(pa.array([" ".join(words)]))
     _, hit, pairs = dec._shard(off, raw, p)
     assert hit.sum() == brute.decontaminate([(1, " ".join(words))], [(1, " ".join(words[33:48]))])[0][2] and len(pairs) == 1
+
+
+def test_substring_dedup_of_many_copies(spark):
+    """A thousand rows without an id, copies of one another: each loses its words, and the work stays linear in them."""
+    from lakesmith.llm import substring_dedup as sd
+
+    text = " ".join(f"w{i}" for i in range(40)) + " end"
+    rows = [(1, text)] + [(None, text + " more words here")] * 1000 + [(None, "x " * 5), (7, " ".join(f"w{i}" for i in range(20, 40)))]
+    got = sd.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.n_words, r.n_removed) for r in got) == sorted([(41, 0), *[(44, 41)] * 1000, (5, 0), (20, 20)])
+    keyed = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("coalesce(doc_id, 9223372036854775807L) AS id", "xxhash64(text) AS tkey", "text")
+    assert sd.substring_spans(keyed).count() <= 8 * len(rows)   # a few spans a row, not a few for each pair of rows
+
+
+def test_language_counts_are_bounded_by_rows():
+    import pyarrow as pa
+
+    from lakesmith.llm import language_id as li
+
+    sizes = [b - a for a, b, _ in li.counts(pa.array(["a few words"] * 1000 + [None, ""]))]
+    assert sum(sizes) == 1002 and max(sizes) <= li.PIECE_ROWS
