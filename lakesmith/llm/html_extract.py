@@ -9,8 +9,9 @@ their classes and ids.  A node's importance is composed of
 
 Branches of low importance go from every page of the host, inside a stated
 article too, and so do branches whose tag states their role (menu, footer,
-form, ...).  Classes and ids with a role's words (advert, cookie, ...) lower
-the importance.  That a block lies in a stated article or beside
+form, ...) or whose name is made of a role's words (advert, comments, sidebar,
+...), whatever their texts; a name that only holds such a word lowers the
+importance.  That a block lies in a stated article or beside
 one only raises or lowers its importance; it decides alone where the host has
 too few pages.  Single texts are not judged: one that many pages share stays
 if its branch holds others.  The merged tree is built by partial aggregates (no host's pages
@@ -22,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 import zstandard
@@ -40,7 +42,9 @@ UNKNOWN = 0.3
 #: what being in a stated article, or beside one, makes of an importance
 INSIDE, OUTSIDE = 2.0, 0.5
 #: what a stated role, or a name that only holds a role's word, makes of a branch's importance
-STATED, HINTED = 0.25, 0.7
+STATED, HINTED = 0.0, 0.7
+#: the same of a stated role on pages that have text nowhere else, where it is the main branch
+MAIN_BRANCH = 0.25
 #: parts that a host's pages are dealt to
 SALTS = 64
 #: share of a node's presentation in its importance, per number of its layouts
@@ -63,6 +67,8 @@ NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar footer "
     "cookie cookies consent gdpr notice popup modal overlay newsletter subscribe share sharing social related recommended comment comments disqus respond login signup search".split()
 )
+#: those that a paragraph or an inline element of an article may have for a role, too
+ADVERTS = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo".split())
 #: words beside a role word that leave the name a role's
 ROLE_PARTS = frozenset("area bar block box btn button buttons container form group header icon icons inner item items link links list outer section slot unit widget wrap wrapper".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
@@ -77,13 +83,13 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 
 
-def role_of(words: list[str], strict: bool) -> float:
+def role_of(words: list[str], strict: bool, roles: frozenset = NOISE_WORDS) -> float:
     """What names make of an importance: those of role words (and ``ROLE_PARTS``) only state a role, others with one hint at it."""
     role = 1.0
     for w in words:
         parts = [p for p in re.split(r"[-_]+", w) if p]
-        if any(p in NOISE_WORDS for p in parts):
-            if all(p in NOISE_WORDS or p in ROLE_PARTS or p.isdigit() for p in parts):
+        if any(p in roles for p in parts):
+            if all(p in roles or p in ROLE_PARTS or p.isdigit() for p in parts):
                 return STATED
             if not strict:
                 role = HINTED
@@ -122,7 +128,7 @@ class Node:
             role = role_of(classes + ids, True)
             content = role == 1.0                              # <article class="comment"> is none
         elif inline or tag in TEXTUAL:
-            role = 1.0 if within else role_of(classes, True)
+            role = role_of(classes, True, ADVERTS if within else NOISE_WORDS)
         else:
             role = role_of(classes + ids, False)
         content &= not noise
@@ -131,7 +137,8 @@ class Node:
             enters = content and not within
             level = max(level, 0 if enters and parent.noise == 1 else parent.noise)
             role = role if enters else min(role, parent.role)
-        self.tag, self.path = tag, f"{parent.path}/{label}" if parent else label
+        # of fixed size, however deep the page is
+        self.tag, self.path = tag, hash64(f"{parent.path}/{label}" if parent else label)
         self.noise, self.role, self.content, self.kids = level, role, content or within, []
         self.stated = content and not within                   # where stated content begins
         #: an inline branch that is judged by itself
@@ -141,7 +148,12 @@ class Node:
 def blocks(text: str):
     """Yields ``(node, text)`` for each block of text in page order, and ``(node, None)`` when an element closes."""
     root = Node("page", "", None)
-    stack, buffer, at = [root], [], 0
+    stack, buffer, at, opened = [root], [], 0, Counter()
+
+    def pop():
+        n = stack.pop()
+        opened[n.tag] -= 1
+        return n
 
     def flush():
         words = html.unescape("".join(buffer)).split()
@@ -162,10 +174,10 @@ def blocks(text: str):
             continue
         tag = m[2].lower()
         if m[1]:
-            if any(n.tag == tag for n in stack[1:]):
+            if opened[tag] > 0:
                 if (tag in BLOCK or _ends_alone(stack, tag)) and (t := flush()):
                     yield owner(), t
-                while (n := stack.pop()).tag != tag:
+                while (n := pop()).tag != tag:
                     yield n, None
                 yield n, None
             elif tag == "p" and (t := flush()):
@@ -183,7 +195,7 @@ def blocks(text: str):
             if any(n.alone for n in stack[k:]) and (t := flush()):
                 yield owner(), t
             while len(stack) > k:
-                yield stack.pop(), None
+                yield pop(), None
         node = Node(tag, m[3], stack[-1])
         stack[-1].kids.append(node.path)
         if tag == "br" or tag in ("td", "th"):
@@ -197,6 +209,7 @@ def blocks(text: str):
         if node.alone and (t := flush()):                      # an inline branch that may go must not end up in its block
             yield owner(), t
         stack.append(node)
+        opened[tag] += 1
     buffer.append(text[at:])
     if t := flush():
         yield owner(), t
@@ -222,10 +235,10 @@ def _features(batches):
                 if block is not None:
                     seen.add((node.path, 0, hash64(block)))
                 else:
-                    seen |= {(node.path, 1, hash64("|".join(sorted(set(node.kids))))), (node.path, 2, 0)}
+                    seen |= {(node.path, 1, hash64("|".join(map(str, sorted(set(node.kids)))))), (node.path, 2, 0)}
             out += [(host, *s) for s in seen]
         cols = list(zip(*out, strict=True)) or [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int8()), pa.array(cols[3], pa.int64())], names=["host", "path", "kind", "feature"])
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int8()), pa.array(cols[3], pa.int64())], names=["host", "path", "kind", "feature"])
 
 
 def hash64(s: str) -> int:
@@ -267,7 +280,7 @@ def _extract(batches):
         yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("url"), pa.array(texts, pa.string())], names=["id", "url", "text"])
 
 
-def main_text(text: str, known: dict[str, float]) -> str:
+def main_text(text: str, known: dict[int, float]) -> str:
     """Blocks of enough importance, joined by newlines; ``known``: the importances of the host's style nodes.
 
     If none of a stated article's blocks has enough, as on copies of one page,
@@ -285,13 +298,15 @@ def main_text(text: str, known: dict[str, float]) -> str:
     # of several articles without a main element, which may be teasers or comments, only the larger part of the text is the stated one
     stated = size[1] > 0 and (mains > 0 or articles <= 1 or size[1] >= size[0])
 
+    only = all(n.role == STATED for n, _ in found)   # nothing else has text: the named branch is the main one
+
     def kept(node: Node) -> bool:
         prior = (INSIDE if node.content else OUTSIDE) if stated else 1.0
-        return known.get(node.path, UNKNOWN) * prior * node.role >= LEAST_IMPORTANCE
+        return known.get(node.path, UNKNOWN) * prior * (MAIN_BRANCH if only else node.role) >= LEAST_IMPORTANCE
 
     keep = [kept(n) for n, _ in found]
     if stated and not any(k and n.content for k, (n, _) in zip(keep, found, strict=True)):
-        keep = [k or n.content for k, (n, _) in zip(keep, found, strict=True)]
+        keep = [k or n.content and (only or n.role > STATED) for k, (n, _) in zip(keep, found, strict=True)]
     return "\n".join(b for k, (_, b) in zip(keep, found, strict=True) if k)
 
 
@@ -317,7 +332,7 @@ def html_extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "u
     path = fresh_dir(spark, "html_extract")
     host, _ = host_path(F.col("url"))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html")).withColumn("host", F.coalesce(host, F.lit("")))
-    tree = importance(rows.select("host", "html").mapInArrow(_features, "host string, path string, kind tinyint, feature long"))
+    tree = importance(rows.select("host", "html").mapInArrow(_features, "host string, path long, kind tinyint, feature long"))
     known = tree.where(F.col("has_text") & (F.col("pages") >= LEAST_PAGES))
     known.groupBy("host").agg(F.collect_list(F.struct("path", "importance")).alias("nodes")).write.parquet(f"{path}/known")       # bounded by a site's style nodes
     kind = pages.schema[id_col].dataType.simpleString()
