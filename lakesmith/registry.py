@@ -514,6 +514,31 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@register("compaction_incremental", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'P') OR (o_orderstatus = 'F' AND o_custkey % 2 = 0)")
+def compaction_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small files packed in two runs; in between one status' files are replaced and another status lands."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.plans.compaction import compact_new, read_compacted
+    from lakesmith.session import fresh_dir
+
+    run = fresh_dir(spark, "compaction", "incremental")
+    lake, out = f"{run}/lake", f"{run}/packed"
+    orders = render.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+
+    def deliver(status: str, some=F.lit(True)):
+        rows = orders.where((F.col("o_orderstatus") == status) & some).drop("o_custkey")
+        rows.repartition(6).write.mode("overwrite").parquet(f"{lake}/{status}")
+
+    deliver("F")
+    deliver("O")
+    compact_new(spark, lake, out, target_bytes=1 << 14)
+    deliver("F", F.col("o_custkey") % 2 == 0)
+    deliver("P")
+    compact_new(spark, lake, out, target_bytes=1 << 14)
+    return read_compacted(spark, out)
+
+
 @register("json_sink", "SELECT CAST(json(props) AS VARCHAR) AS value FROM events")
 def json_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events.props`` parsed and written as one JSON document per line, read back."""
