@@ -62,13 +62,17 @@ def latin1(col) -> Column:
     return F.decode(as_col(col), "ISO-8859-1")
 
 
-# HTML link extraction.  Comments and script bodies hold no links; attributes
-# are read inside tags only.  Groups that repeat are possessive, which Java
-# runs as a loop: the number of attributes or characters costs no stack.
-HTML_COMMENT = r"(?s)<!--.*?-->"
-# script bodies hold no markup; the <script> tag itself (and its src) stays
-HTML_SCRIPT_BODY = r"(?is)(<script\b[^>]*>).*?(</script\s*>)"
-HTML_TAG = r"""<[a-zA-Z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# HTML link extraction.  One alternation cuts a page into comments, script and
+# style elements (whose text holds no markup; like comments they run to the end
+# of the page if they are not closed) and tags; attributes are read inside tags
+# only.  Groups that repeat are possessive, which Java runs as a loop: the number
+# of attributes or characters costs no stack.
+_IN_TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+HTML_TAG = f"<[a-zA-Z]{_IN_TAG}"
+HTML_TOKEN = rf"(?is)<!--.*?(?:-->|\z)|<script\b{_IN_TAG}.*?(?:</script\s*>|\z)|<style\b{_IN_TAG}.*?(?:</style\s*>|\z)|{HTML_TAG}"
+# where a style sheet names a file, and a page that moves on its target
+CSS_URL = r"""(?i)(?:url\(\s*+|@import\s++(?=["']))("[^"]*+"|'[^']*+'|[^)"'\s]++)"""
+REFRESH_URL = r"""(?is)^[^;,]*+[;,]\s*+url\s*+=\s*+("[^"]*+"|'[^']*+'|.++)"""
 # one attribute with a value quoted with " or ', or unquoted
 HTML_ATTR = r"""\s([^\s=<>"'/]++)\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
 # The attributes an HTML parser reports as links (the link
@@ -82,13 +86,28 @@ NUMERIC_REF = r"^&#(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));"
 
 
 def raw_links(html) -> Column:
-    """``array<string>`` of link attribute values as written (quotes and
-    character references still in), in document order."""
-    body = F.regexp_replace(F.regexp_replace(as_col(html), HTML_COMMENT, ""), HTML_SCRIPT_BODY, "$1$2")
-    tags = F.regexp_extract_all(body, F.lit(HTML_TAG), 0)
-    attrs = F.flatten(F.transform(tags, lambda t: F.regexp_extract_all(t, F.lit(HTML_ATTR), 0)))
-    links = F.filter(attrs, lambda a: F.lower(F.regexp_extract(a, HTML_ATTR, 1)).isin(*LINK_ATTRS))
-    return F.transform(links, lambda a: F.regexp_extract(a, HTML_ATTR, 2))
+    """``array<string>`` of links as written (quotes and character references
+    still in), in document order: the link attributes of each tag, then the
+    target of a ``<meta http-equiv="refresh">``, the ``url()`` and ``@import``
+    of a style element and those of a ``style`` attribute."""
+    def of_token(t):
+        tag = F.regexp_extract(t, f"^{HTML_TAG}", 0)
+        attrs = F.regexp_extract_all(tag, F.lit(HTML_ATTR), 0)
+
+        def values(wanted):
+            return F.transform(F.filter(attrs, lambda a: wanted(F.lower(F.regexp_extract(a, HTML_ATTR, 1)), a)), lambda a: F.regexp_extract(a, HTML_ATTR, 2))
+
+        links = values(lambda name, a: name.isin(*LINK_ATTRS))
+        refreshes = F.size(F.filter(attrs, lambda a: a.rlike(r"""(?i)^\shttp-equiv\s*+=\s*+["']?refresh["']?$"""))) > 0
+        moved = F.flatten(F.transform(values(lambda name, a: name == "content"), lambda v: F.regexp_extract_all(clean_link(v), F.lit(REFRESH_URL), 1)))
+        sheet = F.regexp_extract_all(F.substring(t, F.length(tag) + 1, F.length(t)), F.lit(CSS_URL), 1)
+        inline = F.flatten(F.transform(values(lambda name, a: name == "style"), lambda v: F.regexp_extract_all(clean_link(v), F.lit(CSS_URL), 1)))
+        none = F.array().cast("array<string>")
+        return F.when(F.startswith(t, F.lit("<!--")), none).otherwise(F.concat(
+            links, F.when(t.rlike("(?i)^<meta\\b") & refreshes, moved).otherwise(none), F.when(t.rlike("(?i)^<style\\b"), sheet).otherwise(none),
+            F.when(F.contains(F.lower(tag), F.lit("style")), inline).otherwise(none)))
+
+    return F.flatten(F.transform(F.regexp_extract_all(as_col(html), F.lit(HTML_TOKEN), 0), of_token))
 
 
 def _numeric_refs(value: Column) -> Column:

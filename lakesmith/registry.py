@@ -245,6 +245,24 @@ def page_links_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(pages)
 
 
+_STYLED = ('<style>@import "i', '.css"; a{b:url( c', ' )}</style><meta http-equiv="refresh" content="5; URL=m', '"><p style="x:url(&quot;p', '&quot;)">t</p><!-- <a href="no"> -->')
+
+
+@register("page_links_css", f"""WITH {SQL_LINKS}
+SELECT CAST(page_id AS BIGINT) AS page_id, CAST(pos + 4 AS INT) AS pos, link FROM links
+UNION ALL SELECT CAST(page_id AS BIGINT), k, CASE k WHEN 0 THEN 'i' || page_id || '.css' WHEN 1 THEN 'c' || page_id WHEN 2 THEN 'm' || page_id ELSE 'p' || page_id END
+FROM pages, (SELECT unnest([0, 1, 2, 3])::INT AS k)""")
+def page_links_css(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Before each page a style sheet's files, a page that moves on, a style attribute, and a link in a comment."""
+    from pyspark.sql import functions as F
+
+    from lakesmith.sources.listings import page_links
+
+    number = F.col("page_id").cast("string")
+    parts = [x for piece in _STYLED[:-1] for x in (F.lit(piece), number)]
+    return page_links(render.table(spark, sf_dir, "pages").withColumn("html", F.concat(*parts, F.lit(_STYLED[-1]), "html")))
+
+
 @register("page_links_suffix", f"WITH {SQL_LINKS} SELECT CAST(page_id AS BIGINT) AS page_id, "
           f"CAST(pos AS INT) AS pos, link FROM links WHERE suffix(link, '{LINK_SUFFIX}')")
 def page_links_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:

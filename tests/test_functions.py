@@ -271,3 +271,38 @@ def test_responses_keep_ids_and_rejects(spark, tmp_path):
     assert [tuple(r) for r in spark.read.parquet(out + "_by_doi").collect()] == [("d1", '{"a":1}')]
     assert {tuple(r) for r in spark.read.parquet(out + "_rejects").collect()} == {("d2", "cb({})"), ("d3", None)}
     assert [r.value for r in spark.read.text(out).collect()] == ['{"a":1}']
+
+
+LINK_CASES = [
+    ('<a href="a">x</a><img src=b>', ["a", "b"]), ("<!-- <a href='no'> --><a href='c'>", ["c"]), ('<a href="d"><!-- open <a href="no">', ["d"]),
+    ('<script src="e">var x="<a href=no>"</script><a href=f>', ["e", "f"]), ('<script>open <a href="no">', []), ("<style>open a{b:url(o)}", ["o"]),
+    ("<style>@import \"g.css\"; b{background:url( 'h.png' )} i{x:URL(i.png)}</style><p style=\"background:url(j.png)\">", ["g.css", "h.png", "i.png", "j.png"]),
+    ('<div style="a:url(&quot;k.png&quot;)" background=l>', ["l", "k.png"]), ('<p title="style url(no)">url(no)</p>', []),
+    ('<meta http-equiv="refresh" content="5; URL=http://m/?a=1&amp;b=2"><meta name=x content="0; url=no">', ["http://m/?a=1&b=2"]),
+    ("<META HTTP-EQUIV=Refresh CONTENT=\"0;url='n'\">", ["n"]), ('<a href="x>y">', ["x>y"]), ("<a data-href=no href=p>", ["p"]), ("", []), (None, None),
+]
+
+
+def test_links_beyond_attributes(spark):
+    df = spark.createDataFrame([(i, h) for i, (h, _) in enumerate(LINK_CASES)], "i int, h string")
+    got = {r.i: r.l for r in df.select("i", html_links("h").alias("l")).collect()}
+    assert got == {i: e for i, (_, e) in enumerate(LINK_CASES)}
+
+
+def test_strict_json_as_python_reads_it(spark):
+    import json
+    import random
+
+    rng = random.Random(1)
+    tokens = ["1", ",", "null", '"a"', "]", "[", "{", "}", ":", '"]"', " ", "true", '"x":', "-", "\n", "1e5", '""']
+    texts = ["1,null", "1],[2", "null,null", " 1 ", "", "[1],[2]"] + ["".join(rng.choice(tokens) for _ in range(rng.randint(1, 6))) for _ in range(2000)]
+
+    def value(t):
+        try:
+            return [json.loads(t)]
+        except ValueError:
+            return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", F.to_json(strict_json("t")).alias("j")).collect():
+        assert (None if r.j is None else [json.loads(r.j)]) == value(r.t), r.t
