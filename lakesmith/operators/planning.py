@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,12 +112,13 @@ def batch_slice(df: DataFrame, order: list, start: int, count: int | None = None
     """
     from lakesmith.operators.tables import stage
 
-    staged, end = stage(df, "slice"), None if count is None else start + count
-    key = order[0]
+    end, key = None if count is None else start + count, order[0]
     if not isinstance(key, str) or not isinstance(df.schema[key].dataType, T.NumericType):
-        return _within(staged, order, start, end)
-    c = F.col(f"`{key}`")
-    told = staged.agg(F.percentile_approx(c, [i / EDGES for i in range(EDGES + 1)], 10_000).alias("e")).first()["e"]
+        return _within(stage(df, "slice"), order, start, end)
+    c, seen = F.col(f"`{key}`"), Observation()
+    sketch = F.percentile_approx(c, [i / EDGES for i in range(EDGES + 1)], 10_000)
+    staged = stage(df.observe(seen, sketch.alias("e")), "slice")   # the sketch is made while the rows are written
+    told = seen.get["e"]
     edges = sorted({e for e in told or [] if e == e})
     if not edges:
         return _within(staged, order, start, end)
