@@ -1,54 +1,52 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut into units: a run of letters, of digits or of other signs, with
-the space before it; other white space stands alone; a run has at most ``UNIT``
-characters.  Each
-distinct unit is segmented once: its substrings up to the longest piece are
-exploded and equi-joined to the piece table, the edges are grouped by unit, and
-a Spark higher-order aggregate folds them into the best path (Viterbi).
+A text is cut into units only between two characters that no piece holds side
+by side, so no piece can cross a cut and the units' best paths together are the
+text's best path.  Each distinct unit is segmented once: its substrings up to
+the longest piece are exploded and equi-joined to the piece table, the edges are
+grouped by unit, and a Spark higher-order aggregate folds them into the best
+path (Viterbi).  A long unit is folded ``STEP`` characters at a time; each step
+hands the nodes that a piece can still start from on to the next one.
 Characters without a piece become byte pieces, so decoding gives back every
 text exactly.
 
 Documents stay where they are read.  A task asks for the distinct units of its
-block of documents; the requests are shuffled by hash part, answered there with
-one packed row per block, and the answers are written by block to the shared
-folder, where the task that encodes the block reads its own.  So no task needs
-the whole vocabulary, frequent words travel once per block, and no text is
-shuffled.
+block of documents; requests and segmented units are joined, and the answers are
+written by asking task, in chunks of bounded size, to the shared folder, where
+the task that encodes the block reads its own.  So no task needs the whole
+vocabulary, frequent words travel once per block, and no text is shuffled.
 """
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.session import fresh_dir
 
-#: characters of a unit at most; longer runs are cut
-UNIT = 64
+#: characters of a unit that are folded in one step
+STEP = 64
 #: the mark that stands for a space in pieces, and what stands for the mark itself in units (no piece has it)
-SPACE_MARK, LITERAL_MARK = "▁", "￿"
+SPACE_MARK, LITERAL_MARK = "▁", "\uffff"
 #: a score counts as a cost in whole units of this many to one: the fold adds and compares integers
 COST_UNITS = 10_000
 #: cost of a character without a piece, more than any piece's
 UNKNOWN_COST = 100 * COST_UNITS
 #: fields of a lattice edge, from its low bits on: piece id, start, end, cost, and the end again, by which edges are sorted
-START, END, COST, ORDER = 21, 28, 35, 55
+START, END, COST, ORDER = 22, 29, 36, 56
 PLACE_MASK = (1 << (END - START)) - 1
-#: ids from here on stand for the character at ``id - OWN``
+#: ids from here on stand for the character whose code point is ``id - OWN``
 OWN = 1 << 20
 #: bytes of text of a block (one batch of rows at least)
 BLOCK_BYTES = 8_000_000
-
-UNITS = re.compile(rf" ?[^\W\d_]{{1,{UNIT}}}| ?[^\s\w]{{1,{UNIT}}}| ?[\d_]{{1,{UNIT}}}|\s")
+#: units of a chunk of answers; characters of units that one task segments; rows that are encoded at once
+CHUNK, PART_CHARS, ROWS = 4096, 500_000, 1000
 
 
 @dataclass
@@ -66,6 +64,34 @@ class Pieces:
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.rows, "id int, piece string, cost long")
 
+    def cutter(self) -> Cutter:
+        return Cutter([p for _, p, _ in self.rows])
+
+
+class Cutter:
+    """Cuts texts between characters that no piece holds side by side."""
+
+    def __init__(self, pieces: list[str]):
+        pairs = {pair for p in pieces for pair in zip(p, p[1:])}
+        number = {c: i for i, c in enumerate(sorted({c for pair in pairs for c in pair}), 1)}
+        self.joined = np.zeros((len(number) + 1, len(number) + 1), bool)
+        for x, y in pairs:
+            self.joined[number[x], number[y]] = True
+        self.number = np.zeros(0x110000, np.uint16)
+        for c, i in number.items():
+            self.number[ord(c)] = i
+        # in texts a space is what the mark is in pieces, and the mark itself is in no piece
+        self.number[ord(" ")], self.number[ord(SPACE_MARK)] = number.get(SPACE_MARK, 0), 0
+
+    def units(self, text: str) -> list[str]:
+        """Units of a text, after the space that every text is given in front."""
+        if not text:
+            return []
+        text = " " + text
+        at = self.number[np.frombuffer(text.encode("utf-32-le"), "<u4")]
+        cuts = (np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+
 
 def load_pieces(path: str) -> Pieces:
     """Pieces of a SentencePiece model file with byte fallback.
@@ -86,7 +112,7 @@ def load_pieces(path: str) -> Pieces:
     ranks = all(s == int(s) for s in scores)
     logs = [-float(np.log(2 - s)) if ranks else float(s) for s in scores]
     rows = [(i, model.id_to_piece(i), min(max(round(-x * COST_UNITS), 0), UNKNOWN_COST - 1)) for i, x in zip(plain, logs, strict=True)]
-    if n > OWN or max(len(p) for _, p, _ in rows) > UNIT:
+    if n > OWN or max(len(p) for _, p, _ in rows) >= STEP:
         raise ValueError("more or longer pieces than an edge can hold")
     surface = [b""] * n
     for i, p, _ in rows:
@@ -96,63 +122,105 @@ def load_pieces(path: str) -> Pieces:
     return Pieces(rows, bytes_[0], surface)
 
 
-def units_of(text: str) -> list[str]:
-    """Units of a text, after the space that every text is given in front."""
-    return UNITS.findall(" " + text) if text else []
+def _keys(unit) -> dict:
+    """Two 64-bit hashes that stand for a unit, however long."""
+    return {"key": F.xxhash64(unit), "key2": F.xxhash64(F.lit(1), unit)}
 
 
-def segment(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """``(part, unit, ids)`` from distinct ``(part, unit)``: the path of the least cost; on ties the later piece is the longer one.
+def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
+    """``(key, key2, ids)`` from distinct ``unit``: the path of the least cost; on ties the later piece is the longer one.
 
-    An edge is one integer (its fields are above).  So is a node of the fold:
-    the edge that reaches it, with the cost of the whole path; the smaller
-    integer is the better node.
+    An edge is one integer (its fields are above); its places count from
+    ``longest`` characters before its step.  So is a node of the fold: the edge
+    that reaches it, with the cost of the whole path (less what all paths into
+    the step share); the smaller integer is the better node.
     """
-    spark = units.sparkSession
-    # a number in front of the grouping key: rows are sorted by it instead of by text
-    marked = units.withColumns({
-        "key": F.xxhash64("unit"), "esc": F.translate("unit", SPACE_MARK + " ", LITERAL_MARK + SPACE_MARK), "n": F.char_length("unit")})
+    reach = pieces.longest
+    text = F.col("unit")
+    steps = F.when(F.char_length(text) <= STEP, F.array(text)).otherwise(F.split(text, rf"(?s)(?<=\G.{{{STEP}}})(?=.)"))
+    marked = (
+        units.withColumns(_keys(text)).repartition(parts, "key").select("key", "key2", steps.alias("steps"))
+        .withColumn("windows", F.transform("steps", lambda x, i: F.struct(
+            F.when(i == 0, F.lit(0)).otherwise(reach - 1).alias("lead"),
+            F.when(i == 0, x).otherwise(F.concat(F.substring(F.get("steps", i - 1), -(reach - 1), reach - 1), x)).alias("text"))))
+        .select("key", "key2", F.posexplode("windows").alias("step", "w")).select("key", "key2", "step", "w.lead", "w.text")
+        .withColumns({"esc": F.translate("text", SPACE_MARK + " ", LITERAL_MARK + SPACE_MARK), "n": F.char_length("text")})
+    )
+    # substrings that end in the step itself
+    first = F.greatest(F.lit(1), F.col("lead") + 1 - F.col("s"))
+    last = F.least(F.lit(reach), F.col("n") - F.col("s"))
     subs = (
         marked.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .withColumn("l", F.explode(F.sequence(F.lit(1), F.least(F.lit(pieces.longest), F.col("n") - F.col("s")))))
+        .withColumn("l", F.explode(F.when(first <= last, F.sequence(first, last))))
         .withColumn("piece", F.expr("substring(esc, s + 1, l)"))
     )
-    table = F.broadcast(pieces.table(spark))                    # the model's pieces, a fixed table
+    table = F.broadcast(pieces.table(units.sparkSession))       # the model's pieces, a fixed table
 
     def field(value, place):
         return F.shiftleft(value.cast("long"), place)
 
     # a single character without a piece keeps an edge of its own, which connects every lattice
-    end = F.col("s") + F.col("l")
-    cost, piece = F.coalesce("cost", F.lit(UNKNOWN_COST)), F.coalesce("id", F.col("s") + OWN)
-    edge = field(end, ORDER) + field(cost, COST) + field(end, END) + field(F.col("s"), START) + piece
-    whole = subs.join(table, "piece", "left").where("id is not null or l = 1").groupBy("key", "unit", "part").agg(
-        F.sort_array(F.collect_list(edge)).alias("edges"))
+    start = F.col("s") - F.col("lead") + reach
+    end = start + F.col("l")
+    cost, piece = F.coalesce("cost", F.lit(UNKNOWN_COST)), F.coalesce("id", F.ascii(F.expr("substring(text, s + 1, 1)")) + OWN)
+    edge = field(end, ORDER) + field(cost, COST) + field(end, END) + field(start, START) + piece
+    whole = (
+        subs.join(table, "piece", "left").where("id is not null or l = 1")
+        .groupBy("key", "key2", "step").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+        .groupBy("key", "key2").agg(F.sort_array(F.collect_list(F.struct("step", "edges"))).alias("steps"))
+    )
 
     def start_of(x):
         return F.shiftright(x, START).bitwiseAND(F.lit(PLACE_MASK)).cast("int")
 
-    def grow(nodes, edge):
-        node = F.get(nodes, start_of(edge)).bitwiseAND(F.lit(-1 << COST)) + edge.bitwiseAND(F.lit((1 << ORDER) - 1))
+    def grow(nodes, edge, before):
+        # ``before``: places in front of the first node
+        node = F.get(nodes, start_of(edge) - before).bitwiseAND(F.lit(-1 << COST)) + edge.bitwiseAND(F.lit((1 << ORDER) - 1))
         # edges come by their end: the first one of an end adds its node
-        return F.when(F.size(nodes) == F.shiftright(edge, ORDER), F.concat(nodes, F.array(node))).otherwise(
+        return F.when(F.size(nodes) + before == F.shiftright(edge, ORDER), F.concat(nodes, F.array(node))).otherwise(
             F.concat(F.slice(nodes, F.lit(1), F.size(nodes) - 1), F.array(F.least(F.element_at(nodes, -1), node))))
 
+    def fold(done, step):
+        # a step starts from the last nodes of the one before, whose least cost becomes 0
+        handed = F.slice(F.element_at(done, -1), -(reach + 1), reach + 1)
+        least = F.array_min(handed).bitwiseAND(F.lit(-1 << COST))
+        nodes = F.when(step["step"] == 0, F.array(F.lit(0).cast("long"))).otherwise(F.transform(handed, lambda x: x - least))
+        before = F.when(step["step"] == 0, F.lit(reach)).otherwise(F.lit(0))
+        return F.concat(done, F.array(F.aggregate(step["edges"], nodes, lambda held, edge: grow(held, edge, before))))
+
     def back(path, node):
         # nodes from the last to the first; the head of the path is the place that the next one must end at
         here = F.shiftright(node, END).bitwiseAND(F.lit(PLACE_MASK)) == F.get(path, F.lit(0))
         return F.when(here, F.concat(F.array(start_of(node), node.bitwiseAND(F.lit((1 << START) - 1)).cast("int")), F.slice(path, F.lit(2), F.size(path)))).otherwise(path)
 
+    def back_steps(paths, nodes):
+        # steps from the last to the first; a place of a step lies ``STEP`` higher in the one before
+        head = F.array(F.get(F.get(paths, F.lit(0)), F.lit(0)) + STEP)
+        return F.concat(F.array(F.aggregate(F.reverse(nodes), head, back)), paths)
+
     def as_bytes(i):
         # the character's UTF-8 bytes as byte pieces
-        digits = F.split(F.hex(F.encode(F.substring(F.col("unit"), i - OWN + 1, F.lit(1)), "utf-8")), r"(?<=\G..)(?=.)")
-        return F.when(i >= OWN, F.transform(digits, lambda h: F.conv(h, 16, 10).cast("int") + pieces.byte_base)).otherwise(F.array(i))
+        c = i - OWN
+
+        def tail(shift):
+            return F.shiftright(c, shift).bitwiseAND(F.lit(63)) + 128 + pieces.byte_base
+
+        def lead(shift, mark):
+            return F.shiftright(c, shift) + mark + pieces.byte_base
 
-    nodes = whole.select("part", "unit", F.aggregate("edges", F.expr("array(0L)"), grow).alias("nodes"))
-    # node 0 is no edge; what is left of the path's head is place 0
-    ids = nodes.select("part", "unit", F.aggregate(
-        F.reverse(F.slice("nodes", F.lit(2), F.size("nodes"))), F.array(F.size("nodes") - 1), back, lambda p: F.slice(p, F.lit(2), F.size(p))).alias("ids"))
-    return ids.select("part", "unit", F.when(F.array_max("ids") < OWN, F.col("ids")).otherwise(F.flatten(F.transform("ids", as_bytes))).alias("ids"))
+        return (
+            F.when(i < OWN, F.array(i)).when(c < 0x80, F.array(lead(0, 0))).when(c < 0x800, F.array(lead(6, 0xC0), tail(0)))
+            .when(c < 0x10000, F.array(lead(12, 0xE0), tail(6), tail(0))).otherwise(F.array(lead(18, 0xF0), tail(12), tail(6), tail(0)))
+        )
+
+    none = F.expr("array(array(0L))")
+    folded = whole.select("key", "key2", F.aggregate("steps", F.slice(none, 1, 0), fold).alias("steps"))
+    # without the nodes that were handed on
+    own = folded.select("key", "key2", F.transform("steps", lambda x, i: F.slice(x, F.when(i == 0, F.lit(2)).otherwise(reach + 2), F.size(x))).alias("steps"))
+    goal = F.array(F.array(F.size(F.element_at("steps", -1)) + (reach - STEP)))
+    paths = own.select("key", "key2", F.aggregate(F.reverse("steps"), goal, back_steps, lambda p: F.flatten(
+        F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x: F.slice(x, F.lit(2), F.size(x))))).alias("ids"))
+    return paths.select("key", "key2", F.when(F.array_max("ids") < OWN, F.col("ids")).otherwise(F.flatten(F.transform("ids", as_bytes))).alias("ids"))
 
 
 def _blocks(batches) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -176,74 +244,66 @@ def _texts(held: list[pa.RecordBatch]) -> Iterator[str | None]:
             yield t.as_py()
 
 
-def _by_part(held: list[pa.RecordBatch], parts: int) -> dict[int, list[str]]:
-    """The block's distinct units by hash part, each list in order."""
+def _wanted(held: list[pa.RecordBatch], cutter: Cutter) -> tuple[list[str], int]:
+    """The block's distinct units in order, and a checksum of them."""
     seen: set[str] = set()
     for t in _texts(held):
-        seen.update(units_of(t or ""))
-    out: dict[int, list[str]] = {}
-    for u in sorted(seen):
-        out.setdefault(zlib.crc32(u.encode("utf-8", "surrogatepass")) % parts, []).append(u)
-    return out
+        seen.update(cutter.units(t or ""))
+    units, mark = sorted(seen), 0
+    for u in units:
+        mark = zlib.crc32(u.encode(), mark)
+    return units, mark
 
 
-def _ask(batches, parts: int):
+def _ask(batches, cutter: Cutter):
     for block, held in _blocks(batches):
-        asked = _by_part(held, parts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(asked), pa.int32()), pa.array([block] * len(asked), pa.int64()), pa.array(list(asked.values()), pa.list_(pa.string()))], names=["part", "block", "units"])
-
-
-def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Per asking block one packed row: the ids of its units in their order."""
-    squeeze = zstandard.ZstdCompressor(level=3).compress
-    ids = known.column("ids").combine_chunks() if known.num_rows else pa.array([], pa.list_(pa.int32()))
-    flat, first = ids.flatten().to_numpy().astype("<u4"), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]).astype(np.int64)
-    at = {u: i for i, u in enumerate(known.column("unit").to_pylist())}
-    blobs = []
-    for units in asked.column("units"):
-        places = [at[u] for u in units.as_py()]
-        sizes = np.array([first[i + 1] - first[i] for i in places], "<u4")
-        blobs.append(squeeze(sizes.tobytes() + b"".join(flat[first[i]:first[i + 1]].tobytes() for i in places)))
-    return pa.table({"part": asked.column("part"), "block": asked.column("block"), "n": pa.array([len(u) for u in asked.column("units")], pa.int32()), "packed": pa.array(blobs, pa.binary())})
-
-
-def _answers(folder: str, block: int) -> dict[int, tuple[int, bytes]]:
-    """What was answered to a block: ``(units, packed ids)`` by part."""
+        units, mark = _wanted(held, cutter)
+        for k in range(0, len(units), CHUNK):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block >> 24], pa.int64()), pa.array([block], pa.int64()), pa.array([k // CHUNK], pa.int32()), pa.array([mark], pa.int64()),
+                 pa.array([units[k:k + CHUNK]], pa.list_(pa.string()))], names=["task", "block", "chunk", "mark", "units"])
+
+
+def _answers(folder: str, block: int) -> Iterator[tuple[int, pa.ListArray]]:
+    """What was answered to a block, in order: checksum, and the ids of each unit of a chunk."""
+    import pyarrow.dataset as ds
     import pyarrow.parquet as pq
 
     from lakesmith.sources import _fs
 
-    out, here = {}, _fs.join(folder, f"block={block}")
-    for name in _fs.list_files(here):
+    here = _fs.join(folder, f"task={block >> 24}")
+    for name in sorted(_fs.list_files(here)):
         if name.endswith(".parquet"):
             with _fs.open_input(_fs.join(here, name)) as f:
-                t = pq.read_table(f)
-            out.update(zip(t.column("part").to_pylist(), zip(t.column("n").to_pylist(), t.column("packed").to_pylist(), strict=True), strict=True))
-    return out
+                t = pq.read_table(f, filters=ds.field("block") == block).sort_by("chunk")
+            for mark, ids in zip(t.column("mark").to_pylist(), t.column("ids"), strict=True):
+                yield mark, ids.values
 
 
-def _encode(batches, folder: str, parts: int):
-    loose = zstandard.ZstdDecompressor().decompress
+def _encode(batches, folder: str, cutter: Cutter):
     for block, held in _blocks(batches):
-        answers, known = _answers(folder, block), {}
-        for part, units in _by_part(held, parts).items():
-            n, packed = answers.get(part, (0, b""))
-            if n != len(units):
-                raise RuntimeError("the rows are not read in the order in which their units were collected; encode a table read from files, or pass stage=True")
-            blob, at = loose(packed), 4 * n
-            for u, size in zip(units, np.frombuffer(blob, "<u4", n).tolist(), strict=True):
-                known[u] = blob[at:at + 4 * size]
-                at += 4 * size
-        for b in held:
-            ids = [None if t is None else b"".join([known[u] for u in units_of(t)]) for t in b.column("text").to_pylist()]
-            first = np.cumsum([0] + [len(x or b"") // 4 for x in ids]).astype(np.int32)
-            values = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<u4").astype(np.int32))
-            lists = pa.ListArray.from_arrays(first, values, mask=pa.array([x is None for x in ids]))
-            yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
-
-
-def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, parts: int | None = None, stage: bool = False) -> DataFrame:
+        units, mark = _wanted(held, cutter)
+        known, n = {}, 0
+        for marked, ids in _answers(folder, block) if units else ():
+            flat = ids.flatten().to_numpy().astype("<u4").tobytes()
+            ends = np.cumsum(ids.value_lengths().to_numpy()).astype(np.int64) * 4
+            if marked != mark or n + len(ends) > len(units):
+                n = -1
+                break
+            known.update(zip(units[n:n + len(ends)], [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], strict=True))
+            n += len(ends)
+        if n != len(units):
+            raise RuntimeError("the rows are not read in the order in which their units were collected; encode a table read from files, or pass stage=True")
+        for whole in held:
+            for b in (whole.slice(k, ROWS) for k in range(0, whole.num_rows, ROWS)):
+                ids = [None if t is None else b"".join([known[u] for u in cutter.units(t)]) for t in b.column("text").to_pylist()]
+                first = np.cumsum([0] + [len(x or b"") // 4 for x in ids]).astype(np.int32)
+                values = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<u4").astype(np.int32))
+                lists = pa.ListArray.from_arrays(first, values, mask=pa.array([x is None for x in ids]))
+                yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
+
+
+def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, stage: bool = False) -> DataFrame:
     """The columns ``keep`` of ``docs`` (default: all but the text) as struct ``row``, and ``ids``, the text's piece ids.
 
     A null text has null ids, an empty one none.  Repeated rows are encoded
@@ -254,28 +314,33 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: lis
     ``docs`` is read twice and must give the same rows in the same order, as a
     table read from files does; ``stage=True`` writes other frames to such a
     table first.  Should the order differ, the job fails; it never encodes by
-    another block's answers.  ``parts``: hash parts of the vocabulary, default
-    four times ``spark.sql.shuffle.partitions``.
+    another block's answers.
     """
     from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
     spark = docs.sparkSession
     path = fresh_dir(spark, "piece_encoding")
-    parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))     # a part's lattice is sorted in memory
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     row = F.struct(*[F.col(f"`{c}`") for c in keep]) if keep else F.struct(F.lit(0).alias("none"))
     rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
     if stage:
         rows.write.parquet(f"{path}/rows")
         rows = spark.read.parquet(f"{path}/rows")
-    rows.mapInArrow(lambda it: _ask(it, parts), "part int, block long, units array<string>").write.option("compression", "zstd").parquet(f"{path}/asked")
-    asked = spark.read.parquet(f"{path}/asked").repartition(parts, "part")
-    units = asked.select("part", F.explode("units").alias("unit")).distinct()
-    known = segment(units, pieces).withColumnRenamed("part", "of_part")
-    answers = asked.groupBy("part").cogroup(known.groupBy("of_part")).applyInArrow(_answer, "part int, block long, n int, packed binary")
-    answers.repartition("block").write.partitionBy("block").parquet(f"{path}/answers")
+    cutter = pieces.cutter()
+    rows.mapInArrow(lambda it: _ask(it, cutter), "task long, block long, chunk int, mark long, units array<string>").write.option("compression", "zstd").parquet(f"{path}/asked")
+    asked = spark.read.parquet(f"{path}/asked")
+    asked.select(F.explode("units").alias("unit")).distinct().write.parquet(f"{path}/units")
+    units = spark.read.parquet(f"{path}/units")
+    chars = units.agg(F.sum(F.char_length("unit"))).first()[0] or 0
+    segment(units, pieces, chars // PART_CHARS + 1).write.parquet(f"{path}/known")
+    wanted = asked.select("task", "block", "chunk", "mark", F.posexplode("units").alias("place", "unit")).withColumns(_keys(F.col("unit"))).drop("unit")
+    answers = (
+        wanted.join(spark.read.parquet(f"{path}/known"), ["key", "key2"]).select("task", "block", "chunk", "mark", F.struct("place", "ids").alias("one"))
+        .repartition("task").groupBy("task", "block", "chunk", "mark").agg(F.sort_array(F.collect_list("one")).alias("all"))
+    )
+    answers.select("task", "block", "chunk", "mark", F.col("all.ids").alias("ids")).write.partitionBy("task").option("compression", "zstd").parquet(f"{path}/answers")
     out = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType()))])
-    return rows.mapInArrow(lambda it: _encode(it, f"{path}/answers", parts), out)
+    return rows.mapInArrow(lambda it: _encode(it, f"{path}/answers", cutter), out)
 
 
 def decode(encoded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:

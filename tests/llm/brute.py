@@ -74,18 +74,23 @@ def viterbi(unit, pieces, byte_base, unknown):
     """Cheapest path over one unit; on ties the later piece is the longer one."""
     esc = unit.replace("▁", "\uffff").replace(" ", "▁")
     table = {p: (i, c) for i, p, c in pieces}
-    best = [(0, [])]
+    longest = max(map(len, table))
+    best = [(0, None, [])]
     for e in range(1, len(esc) + 1):
         top = None
-        for s in range(e):
+        for s in range(max(e - longest, 0), e):
             if esc[s:e] in table:
                 i, cost = table[esc[s:e]]
-                option = (best[s][0] + cost, best[s][1] + [i])
+                option = (best[s][0] + cost, s, [i])
             elif s == e - 1:
-                option = (best[s][0] + unknown, best[s][1] + [byte_base + b for b in unit[s:e].encode()])
+                option = (best[s][0] + unknown, s, [byte_base + b for b in unit[s:e].encode()])
             else:
                 continue
             if top is None or option[0] < top[0]:
                 top = option
         best.append(top)
-    return best[-1][1]
+    out, e = [], len(esc)
+    while e:
+        out[:0] = best[e][2]
+        e = best[e][1]
+    return out

@@ -173,7 +173,7 @@ def test_pieces_round_trip_and_best_path(spark, odd_docs, pieces):
         if t is None:
             assert ids is None
         elif len(t) < 6000:
-            assert ids == [x for u in piece_encoding.units_of(t) for x in brute.viterbi(u, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST)]
+            assert ids == (brute.viterbi(" " + t, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST) if t else [])
     encoded.unpersist()
 
 
@@ -184,12 +184,24 @@ def test_pieces_of_the_table(spark, sf_small, pieces):
     for doc_id, text in docs.select("doc_id", "text").collect():
         assert got[doc_id].decoded_sha256 == brute.sha(text) and got[doc_id].n_pieces == len(got[doc_id].ids)
         if doc_id % 10 == 0:
-            expect = []
-            for u in piece_encoding.units_of(text):
-                if u not in memo:
-                    memo[u] = brute.viterbi(u, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST)
-                expect += memo[u]
-            assert got[doc_id].ids == expect
+            if text not in memo:
+                memo[text] = brute.viterbi(" " + text, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST) if text else []
+            assert got[doc_id].ids == memo[text]
+
+
+def test_pieces_no_cut_where_a_piece_may_cross(spark, pieces):
+    """Against Viterbi over the unsplit text: runs of spaces, unspaced scripts, mixed signs, tokens of many steps, every piece."""
+    rng = random.Random(5)
+    texts = [
+        "    def f(x):\n        return x_{1} ._(x)  \t  end   ", " " * 500, "▁ literal ▁▁ marks \uffff", "数据处理的文本分析" * 40, "ภาษาไทยไม่มีช่องว่าง" * 20,
+        "".join(rng.choices("abcdefgh", k=5000)), "a" * 1037, "".join(rng.choices("et ai", k=63)), "".join(rng.choices("etai", k=64)), "".join(rng.choices("etai", k=127)),
+        "".join(rng.choices("etai", k=128)), "😀é\x00" * 30, "\r\n\r\n" * 40, "".join(rng.choices("0123456789abcdef", k=900)) + "==",
+    ]
+    texts += [p.replace("▁", " ") for _, p, _ in pieces.rows[::40]] + [p.replace("▁", " ") for _, p, _ in pieces.rows if len(p) > 1 and not p.strip("▁")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.row.doc_id: r.ids for r in piece_encoding.encode(docs, pieces, stage=True).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == brute.viterbi(" " + t, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST), t[:40]
 
 
 def test_pieces_empty_table(no_docs, pieces):
