@@ -20,8 +20,11 @@ vocabulary, frequent words travel once per block, and no text is shuffled.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +48,8 @@ PLACE_MASK = (1 << (END - START)) - 1
 OWN = 1 << 20
 #: bytes of text of a block (one batch of rows at least)
 BLOCK_BYTES = 8_000_000
+#: low bits of a block's number: which of its task's blocks it is, and a checksum of its units
+NUMBER_BITS, MARK_BITS = 18, 24
 #: units of a chunk of answers; characters of units that one task segments; rows that are encoded at once
 CHUNK, PART_CHARS, ROWS = 4096, 500_000, 1000
 
@@ -123,8 +128,8 @@ def load_pieces(path: str) -> Pieces:
 
 
 def _keys(unit) -> dict:
-    """Two 64-bit hashes that stand for a unit, however long."""
-    return {"key": F.xxhash64(unit), "key2": F.xxhash64(F.lit(1), unit)}
+    """Hashes of 64 and 32 bits that stand for a unit, however long."""
+    return {"key": F.xxhash64(unit), "key2": F.hash(unit)}
 
 
 def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
@@ -137,37 +142,38 @@ def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
     """
     reach = pieces.longest
     text = F.col("unit")
-    steps = F.when(F.char_length(text) <= STEP, F.array(text)).otherwise(F.split(text, rf"(?s)(?<=\G.{{{STEP}}})(?=.)"))
-    marked = (
-        units.withColumns(_keys(text)).repartition(parts, "key").select("key", "key2", steps.alias("steps"))
-        .withColumn("windows", F.transform("steps", lambda x, i: F.struct(
-            F.when(i == 0, F.lit(0)).otherwise(reach - 1).alias("lead"),
-            F.when(i == 0, x).otherwise(F.concat(F.substring(F.get("steps", i - 1), -(reach - 1), reach - 1), x)).alias("text"))))
-        .select("key", "key2", F.posexplode("windows").alias("step", "w")).select("key", "key2", "step", "w.lead", "w.text")
-        .withColumns({"esc": F.translate("text", SPACE_MARK + " ", LITERAL_MARK + SPACE_MARK), "n": F.char_length("text")})
-    )
-    # substrings that end in the step itself
-    first = F.greatest(F.lit(1), F.col("lead") + 1 - F.col("s"))
-    last = F.least(F.lit(reach), F.col("n") - F.col("s"))
-    subs = (
-        marked.withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-        .withColumn("l", F.explode(F.when(first <= last, F.sequence(first, last))))
-        .withColumn("piece", F.expr("substring(esc, s + 1, l)"))
-    )
+    keyed = units.withColumns(_keys(text)).repartition(parts, "key")
+    long = keyed.where(F.char_length(text) > STEP).select("key", "key2", F.split(text, rf"(?s)(?<=\G.{{{STEP}}})(?=.)").alias("steps"))
+    windows = F.transform("steps", lambda x, i: F.struct(
+        F.when(i == 0, F.lit(0)).otherwise(reach - 1).alias("lead"),
+        F.when(i == 0, x).otherwise(F.concat(F.substring(F.get("steps", i - 1), -(reach - 1), reach - 1), x)).alias("text")))
+    in_steps = long.select("key", "key2", F.posexplode(windows).alias("step", "w")).select("key", "key2", "step", "w.lead", "w.text")
+    in_one = keyed.where(F.char_length(text) <= STEP).select("key", "key2", F.lit(0).alias("lead"), text.alias("text"))
     table = F.broadcast(pieces.table(units.sparkSession))       # the model's pieces, a fixed table
 
     def field(value, place):
         return F.shiftleft(value.cast("long"), place)
 
-    # a single character without a piece keeps an edge of its own, which connects every lattice
-    start = F.col("s") - F.col("lead") + reach
-    end = start + F.col("l")
-    cost, piece = F.coalesce("cost", F.lit(UNKNOWN_COST)), F.coalesce("id", F.ascii(F.expr("substring(text, s + 1, 1)")) + OWN)
-    edge = field(end, ORDER) + field(cost, COST) + field(end, END) + field(start, START) + piece
+    def edges(windows, *by):
+        # substrings that end in the step itself
+        first = F.greatest(F.lit(1), F.col("lead") + 1 - F.col("s"))
+        last = F.least(F.lit(reach), F.col("n") - F.col("s"))
+        subs = (
+            windows.withColumns({"esc": F.translate("text", SPACE_MARK + " ", LITERAL_MARK + SPACE_MARK), "n": F.char_length("text")})
+            .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+            .withColumn("l", F.explode(F.when(first <= last, F.sequence(first, last))))
+            .withColumn("piece", F.expr("substring(esc, s + 1, l)"))
+        )
+        # a single character without a piece keeps an edge of its own, which connects every lattice
+        start = F.col("s") - F.col("lead") + reach
+        end = start + F.col("l")
+        cost, piece = F.coalesce("cost", F.lit(UNKNOWN_COST)), F.coalesce("id", F.ascii(F.expr("substring(text, s + 1, 1)")) + OWN)
+        edge = field(end, ORDER) + field(cost, COST) + field(end, END) + field(start, START) + piece
+        return subs.join(table, "piece", "left").where("id is not null or l = 1").groupBy(*by).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
     whole = (
-        subs.join(table, "piece", "left").where("id is not null or l = 1")
-        .groupBy("key", "key2", "step").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-        .groupBy("key", "key2").agg(F.sort_array(F.collect_list(F.struct("step", "edges"))).alias("steps"))
+        edges(in_one, "key", "key2").select("key", "key2", F.array(F.struct(F.lit(0).alias("step"), "edges")).alias("steps"))
+        .unionByName(edges(in_steps, "key", "key2", "step").groupBy("key", "key2").agg(F.sort_array(F.collect_list(F.struct("step", "edges"))).alias("steps")))
     )
 
     def start_of(x):
@@ -227,7 +233,7 @@ def _blocks(batches) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
     """Blocks of a task's rows, numbered alike whenever the same rows are read in the same order."""
     from pyspark import TaskContext
 
-    number, held, size = TaskContext.get().partitionId() << 24, [], 0
+    number, held, size = TaskContext.get().partitionId() << NUMBER_BITS, [], 0
     for b in batches:
         held.append(b)
         size += b.column("text").nbytes
@@ -244,63 +250,72 @@ def _texts(held: list[pa.RecordBatch]) -> Iterator[str | None]:
             yield t.as_py()
 
 
-def _wanted(held: list[pa.RecordBatch], cutter: Cutter) -> tuple[list[str], int]:
-    """The block's distinct units in order, and a checksum of them."""
-    seen: set[str] = set()
-    for t in _texts(held):
-        seen.update(cutter.units(t or ""))
-    units, mark = sorted(seen), 0
+def _identity(number: int, units: Iterable[str]) -> int:
+    """A block's number with a checksum of its units in order, so that another block's answers never fit."""
+    mark = 0
     for u in units:
         mark = zlib.crc32(u.encode(), mark)
-    return units, mark
+    task, number = divmod(number, 1 << NUMBER_BITS)
+    return task << (NUMBER_BITS + MARK_BITS) | (mark >> (32 - MARK_BITS)) << NUMBER_BITS | number
 
 
 def _ask(batches, cutter: Cutter):
-    for block, held in _blocks(batches):
-        units, mark = _wanted(held, cutter)
+    for number, held in _blocks(batches):
+        seen: set[str] = set()
+        for t in _texts(held):
+            seen.update(cutter.units(t or ""))
+        units = sorted(seen)
+        block = _identity(number, units)
         for k in range(0, len(units), CHUNK):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block >> 24], pa.int64()), pa.array([block], pa.int64()), pa.array([k // CHUNK], pa.int32()), pa.array([mark], pa.int64()),
-                 pa.array([units[k:k + CHUNK]], pa.list_(pa.string()))], names=["task", "block", "chunk", "mark", "units"])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.array([units[k:k + CHUNK]], pa.list_(pa.string()))], names=["block", "first", "units"])
 
 
-def _answers(folder: str, block: int) -> Iterator[tuple[int, pa.ListArray]]:
-    """What was answered to a block, in order: checksum, and the ids of each unit of a chunk."""
+def _answers(folder: str, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """What was answered to a block: ids of its units one after the other, and their numbers."""
     import pyarrow.dataset as ds
     import pyarrow.parquet as pq
 
     from lakesmith.sources import _fs
 
-    here = _fs.join(folder, f"task={block >> 24}")
+    here, flat, sizes = _fs.join(folder, f"task={block >> (NUMBER_BITS + MARK_BITS)}"), [], []
     for name in sorted(_fs.list_files(here)):
         if name.endswith(".parquet"):
             with _fs.open_input(_fs.join(here, name)) as f:
-                t = pq.read_table(f, filters=ds.field("block") == block).sort_by("chunk")
-            for mark, ids in zip(t.column("mark").to_pylist(), t.column("ids"), strict=True):
-                yield mark, ids.values
+                t = pq.read_table(f, columns=["block", "chunk", "ids"], filters=ds.field("block") == block).sort_by("chunk")
+            for ids in t.column("ids"):
+                flat.append(ids.values.flatten().to_numpy())
+                sizes.append(ids.values.value_lengths().to_numpy())
+    return np.concatenate([*flat, np.zeros(0, np.int32)]), np.concatenate([*sizes, np.zeros(0, np.int32)])
 
 
 def _encode(batches, folder: str, cutter: Cutter):
-    for block, held in _blocks(batches):
-        units, mark = _wanted(held, cutter)
-        known, n = {}, 0
-        for marked, ids in _answers(folder, block) if units else ():
-            flat = ids.flatten().to_numpy().astype("<u4").tobytes()
-            ends = np.cumsum(ids.value_lengths().to_numpy()).astype(np.int64) * 4
-            if marked != mark or n + len(ends) > len(units):
-                n = -1
-                break
-            known.update(zip(units[n:n + len(ends)], [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)], strict=True))
-            n += len(ends)
-        if n != len(units):
+    for number, held in _blocks(batches):
+        # each text as numbers of its units, in the order in which they were first met
+        numbers: dict[str, int] = defaultdict(count().__next__)
+        codes, sizes = array("i"), []
+        for t in _texts(held):
+            before = len(codes)
+            codes.extend(map(numbers.__getitem__, cutter.units(t or "")))
+            sizes.append(len(codes) - before)
+        units = sorted(numbers)
+        flat, lengths = _answers(folder, _identity(number, units)) if units else (np.zeros(0, np.int32),) * 2
+        if len(lengths) != len(units):
             raise RuntimeError("the rows are not read in the order in which their units were collected; encode a table read from files, or pass stage=True")
+        place = np.empty(len(units), np.int32)
+        place[np.fromiter(map(numbers.__getitem__, units), np.int32, len(units))] = np.arange(len(units), dtype=np.int32)
+        del units, numbers
+        starts, all_codes = np.cumsum(lengths, dtype=np.int64) - lengths, np.frombuffer(codes, np.int32)
+        at, row = 0, 0
         for whole in held:
             for b in (whole.slice(k, ROWS) for k in range(0, whole.num_rows, ROWS)):
-                ids = [None if t is None else b"".join([known[u] for u in cutter.units(t)]) for t in b.column("text").to_pylist()]
-                first = np.cumsum([0] + [len(x or b"") // 4 for x in ids]).astype(np.int32)
-                values = pa.array(np.frombuffer(b"".join(x or b"" for x in ids), "<u4").astype(np.int32))
-                lists = pa.ListArray.from_arrays(first, values, mask=pa.array([x is None for x in ids]))
+                ends = np.cumsum([0, *sizes[row:row + b.num_rows]])
+                wanted = place[all_codes[at:at + ends[-1]]]
+                n = lengths[wanted]
+                to = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+                values = flat[np.repeat(starts[wanted] - to[:-1], n) + np.arange(to[-1])]
+                lists = pa.ListArray.from_arrays(pa.array(to[ends].astype(np.int32)), pa.array(values, pa.int32()), mask=b.column("text").is_null())
                 yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
+                at, row = at + int(ends[-1]), row + b.num_rows
 
 
 def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, stage: bool = False) -> DataFrame:
@@ -327,18 +342,21 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: lis
         rows.write.parquet(f"{path}/rows")
         rows = spark.read.parquet(f"{path}/rows")
     cutter = pieces.cutter()
-    rows.mapInArrow(lambda it: _ask(it, cutter), "task long, block long, chunk int, mark long, units array<string>").write.option("compression", "zstd").parquet(f"{path}/asked")
+    cutter = pieces.cutter()
+    rows.mapInArrow(lambda it: _ask(it, cutter), "block long, first int, units array<string>").write.option("compression", "zstd").parquet(f"{path}/asked")
     asked = spark.read.parquet(f"{path}/asked")
     asked.select(F.explode("units").alias("unit")).distinct().write.parquet(f"{path}/units")
     units = spark.read.parquet(f"{path}/units")
     chars = units.agg(F.sum(F.char_length("unit"))).first()[0] or 0
     segment(units, pieces, chars // PART_CHARS + 1).write.parquet(f"{path}/known")
-    wanted = asked.select("task", "block", "chunk", "mark", F.posexplode("units").alias("place", "unit")).withColumns(_keys(F.col("unit"))).drop("unit")
+    wanted = asked.select("block", "first", F.posexplode("units").alias("place", "unit")).select(
+        "block", (F.col("first") + F.col("place")).alias("place"), *[k.alias(name) for name, k in _keys(F.col("unit")).items()])
     answers = (
-        wanted.join(spark.read.parquet(f"{path}/known"), ["key", "key2"]).select("task", "block", "chunk", "mark", F.struct("place", "ids").alias("one"))
-        .repartition("task").groupBy("task", "block", "chunk", "mark").agg(F.sort_array(F.collect_list("one")).alias("all"))
+        wanted.join(spark.read.parquet(f"{path}/known"), ["key", "key2"])
+        .select(F.shiftright("block", NUMBER_BITS + MARK_BITS).cast("int").alias("task"), "block", "place", "ids").repartition("task")
+        .groupBy("task", "block", F.floor(F.col("place") / CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("all"))
     )
-    answers.select("task", "block", "chunk", "mark", F.col("all.ids").alias("ids")).write.partitionBy("task").option("compression", "zstd").parquet(f"{path}/answers")
+    answers.select("task", "block", "chunk", F.col("all.ids").alias("ids")).write.partitionBy("task").option("compression", "zstd").parquet(f"{path}/answers")
     out = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType()))])
     return rows.mapInArrow(lambda it: _encode(it, f"{path}/answers", cutter), out)
 
