@@ -20,14 +20,12 @@ vocabulary, frequent words travel once per block, and no text is shuffled.
 from __future__ import annotations
 
 import zlib
-from array import array
-from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,8 +48,8 @@ OWN = 1 << 20
 BLOCK_BYTES = 8_000_000
 #: low bits of a block's number: which of its task's blocks it is, and a checksum of its units
 NUMBER_BITS, MARK_BITS = 18, 24
-#: units of a chunk of answers; characters of units that one task segments; rows that are encoded at once
-CHUNK, PART_CHARS, ROWS = 4096, 500_000, 1000
+#: units of a chunk of answers; characters of units that one task segments; bytes of text that are cut at once (one row at least)
+CHUNK, PART_CHARS, SLICE_BYTES = 4096, 500_000, 2_000_000
 
 
 @dataclass
@@ -88,14 +86,21 @@ class Cutter:
         # in texts a space is what the mark is in pieces, and the mark itself is in no piece
         self.number[ord(" ")], self.number[ord(SPACE_MARK)] = number.get(SPACE_MARK, 0), 0
 
-    def units(self, text: str) -> list[str]:
-        """Units of a text, after the space that every text is given in front."""
-        if not text:
-            return []
-        text = " " + text
-        at = self.number[np.frombuffer(text.encode("utf-32-le"), "<u4")]
-        cuts = (np.flatnonzero(~self.joined[at[:-1], at[1:]]) + 1).tolist()
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+    def units(self, texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+        """Units of texts, one after the other, and how many each text has; every text is given a space in front."""
+        spaced = [" " + t if t else "" for t in texts]
+        whole = "".join(spaced)
+        data = whole.encode()
+        at = self.number[np.frombuffer(whole.encode("utf-32-le"), "<u4")]
+        ends = np.cumsum([0, *map(len, spaced)])
+        starts = np.ones(len(at) + 1, bool)
+        starts[1:-1] = ~self.joined[at[:-1], at[1:]]
+        starts[ends] = True
+        cuts = np.flatnonzero(starts)
+        places = np.append(np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), len(data))      # of characters in bytes
+        units = pa.Array.from_buffers(pa.string(), len(cuts) - 1, [None, pa.py_buffer(places[cuts].astype(np.int32)), pa.py_buffer(data)])
+        return units, np.diff(np.searchsorted(cuts, ends))
+
 
 
 def load_pieces(path: str) -> Pieces:
@@ -244,30 +249,33 @@ def _blocks(batches) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
         yield number, held
 
 
-def _texts(held: list[pa.RecordBatch]) -> Iterator[str | None]:
+def _slices(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about ``SLICE_BYTES`` of text."""
     for b in held:
-        for t in b.column("text"):
-            yield t.as_py()
+        size = pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False)
+        ends = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // SLICE_BYTES)) + 1
+        edges = [0, *ends.tolist(), b.num_rows]
+        for x, y in zip(edges, edges[1:]):
+            if y > x:
+                yield b.slice(x, y - x)
 
 
-def _identity(number: int, units: Iterable[str]) -> int:
-    """A block's number with a checksum of its units in order, so that another block's answers never fit."""
+def _vocabulary(number: int, held: list[pa.RecordBatch], cutter: Cutter) -> tuple[int, pa.Array]:
+    """The block's distinct units as first met; before them its number with a checksum of them, so that another block's answers never fit."""
+    units = pa.concat_arrays([pa.array([], pa.string())] + [cutter.units(b.column("text").to_pylist())[0].unique() for b in _slices(held)]).unique()
     mark = 0
-    for u in units:
-        mark = zlib.crc32(u.encode(), mark)
+    for k in range(0, len(units), CHUNK):
+        mark = zlib.crc32("\0".join(units[k:k + CHUNK].to_pylist()).encode(), mark)
     task, number = divmod(number, 1 << NUMBER_BITS)
-    return task << (NUMBER_BITS + MARK_BITS) | (mark >> (32 - MARK_BITS)) << NUMBER_BITS | number
+    return task << (NUMBER_BITS + MARK_BITS) | (mark >> (32 - MARK_BITS)) << NUMBER_BITS | number, units
 
 
 def _ask(batches, cutter: Cutter):
     for number, held in _blocks(batches):
-        seen: set[str] = set()
-        for t in _texts(held):
-            seen.update(cutter.units(t or ""))
-        units = sorted(seen)
-        block = _identity(number, units)
+        block, units = _vocabulary(number, held, cutter)
         for k in range(0, len(units), CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.array([units[k:k + CHUNK]], pa.list_(pa.string()))], names=["block", "first", "units"])
+            some = units[k:k + CHUNK]
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)], names=["block", "first", "units"])
 
 
 def _answers(folder: str, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -281,7 +289,7 @@ def _answers(folder: str, block: int) -> tuple[np.ndarray, np.ndarray]:
     for name in sorted(_fs.list_files(here)):
         if name.endswith(".parquet"):
             with _fs.open_input(_fs.join(here, name)) as f:
-                t = pq.read_table(f, columns=["block", "chunk", "ids"], filters=ds.field("block") == block).sort_by("chunk")
+                t = pq.read_table(f, columns=["block", "chunk", "ids"], filters=ds.field("block") == block, use_threads=False).sort_by("chunk")
             for ids in t.column("ids"):
                 flat.append(ids.values.flatten().to_numpy())
                 sizes.append(ids.values.value_lengths().to_numpy())
@@ -290,32 +298,20 @@ def _answers(folder: str, block: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _encode(batches, folder: str, cutter: Cutter):
     for number, held in _blocks(batches):
-        # each text as numbers of its units, in the order in which they were first met
-        numbers: dict[str, int] = defaultdict(count().__next__)
-        codes, sizes = array("i"), []
-        for t in _texts(held):
-            before = len(codes)
-            codes.extend(map(numbers.__getitem__, cutter.units(t or "")))
-            sizes.append(len(codes) - before)
-        units = sorted(numbers)
-        flat, lengths = _answers(folder, _identity(number, units)) if units else (np.zeros(0, np.int32),) * 2
+        block, units = _vocabulary(number, held, cutter)
+        flat, lengths = _answers(folder, block) if len(units) else (np.zeros(0, np.int32),) * 2
         if len(lengths) != len(units):
             raise RuntimeError("the rows are not read in the order in which their units were collected; encode a table read from files, or pass stage=True")
-        place = np.empty(len(units), np.int32)
-        place[np.fromiter(map(numbers.__getitem__, units), np.int32, len(units))] = np.arange(len(units), dtype=np.int32)
-        del units, numbers
-        starts, all_codes = np.cumsum(lengths, dtype=np.int64) - lengths, np.frombuffer(codes, np.int32)
-        at, row = 0, 0
-        for whole in held:
-            for b in (whole.slice(k, ROWS) for k in range(0, whole.num_rows, ROWS)):
-                ends = np.cumsum([0, *sizes[row:row + b.num_rows]])
-                wanted = place[all_codes[at:at + ends[-1]]]
-                n = lengths[wanted]
-                to = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
-                values = flat[np.repeat(starts[wanted] - to[:-1], n) + np.arange(to[-1])]
-                lists = pa.ListArray.from_arrays(pa.array(to[ends].astype(np.int32)), pa.array(values, pa.int32()), mask=b.column("text").is_null())
-                yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
-                at, row = at + int(ends[-1]), row + b.num_rows
+        starts = np.cumsum(lengths, dtype=np.int64) - lengths
+        for b in _slices(held):
+            met, n_units = cutter.units(b.column("text").to_pylist())
+            at = pc.index_in(met, value_set=units).to_numpy()
+            n = lengths[at]
+            to = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
+            values = flat[np.repeat(starts[at] - to[:-1], n) + np.arange(to[-1])]
+            ends = to[np.concatenate([[0], np.cumsum(n_units)])].astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()), mask=b.column("text").is_null())
+            yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
 
 
 def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, stage: bool = False) -> DataFrame:
