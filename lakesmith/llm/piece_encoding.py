@@ -48,8 +48,9 @@ OWN = 1 << 20
 BLOCK_BYTES = 8_000_000
 #: low bits of a block's number: which of its task's blocks it is, and a checksum of its units
 NUMBER_BITS, MARK_BITS = 18, 24
-#: units of a chunk of answers; characters of units that one task segments; bytes of text that are cut at once (one row at least)
-CHUNK, PART_CHARS, SLICE_BYTES = 4096, 500_000, 2_000_000
+#: units of a chunk of answers; characters of units that one task segments; bytes of text that are cut at once (one row at least);
+#: rows that are decoded at once
+CHUNK, PART_CHARS, SLICE_BYTES, ROWS = 4096, 500_000, 2_000_000, 1000
 
 
 @dataclass
@@ -303,6 +304,7 @@ def _encode(batches, folder: str, cutter: Cutter):
         if len(lengths) != len(units):
             raise RuntimeError("the rows are not read in the order in which their units were collected; encode a table read from files, or pass stage=True")
         starts = np.cumsum(lengths, dtype=np.int64) - lengths
+        met = at = n = to = values = lists = None
         for b in _slices(held):
             met, n_units = cutter.units(b.column("text").to_pylist())
             at = pc.index_in(met, value_set=units).to_numpy()
@@ -312,6 +314,8 @@ def _encode(batches, folder: str, cutter: Cutter):
             ends = to[np.concatenate([[0], np.cumsum(n_units)])].astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()), mask=b.column("text").is_null())
             yield pa.RecordBatch.from_arrays([b.column("row"), lists], names=["row", "ids"])
+        del units, flat, lengths, starts, met, at, n, to, values, lists
+        pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: list[str] | None = None, stage: bool = False) -> DataFrame:
@@ -373,7 +377,7 @@ def decode(encoded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", keep: li
     def spell(batches):
         surface = sent.value
         n = len(surface)
-        for b in batches:
+        for b in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             texts = []
             for ids in b.column(1):
                 if not ids.is_valid:
