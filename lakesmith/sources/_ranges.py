@@ -26,6 +26,7 @@ from lakesmith.session import fresh_dir
 from lakesmith.sources import _quotes as Q
 from lakesmith.sources import _records as R
 from lakesmith.sources._fs import open_input
+from lakesmith.sources.zipcsv import TASK_BYTES, spread
 
 PARTS = "path string, part bigint, at bigint, end bigint"
 PLAN = T.StructType([
@@ -162,7 +163,10 @@ def _extract(batches):
 
 
 def extract_ranges(files: DataFrame, range_bytes: int, forced: str | None = None) -> DataFrame:
-    """Raw records (``_records.RAW_SCHEMA``) of the files ``(path, length)``, one task for each ``range_bytes``."""
+    """Raw records (``_records.RAW_SCHEMA``) of the files ``(path, length)``, cut into ranges of ``range_bytes``.
+
+    A task takes as many ranges as fill it (``zipcsv.TASK_BYTES``), one after another.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = files.sparkSession
@@ -173,8 +177,9 @@ def extract_ranges(files: DataFrame, range_bytes: int, forced: str | None = None
     parts = spark.read.parquet(f"{out}/parts")
 
     def dealt(df: DataFrame) -> DataFrame:
-        """One range a task, whatever file it is of (written before, so counting its small rows is cheap)."""
-        return df.repartition(max(1, df.count()))
+        """Ranges dealt to tasks, whatever file they are of (written before, so counting the small rows is cheap)."""
+        n = df.agg(F.count(F.lit(1)).alias("ranges"), F.sum(F.col("end") - F.col("at")).alias("bytes")).first()
+        return spread(df, n["ranges"], (n["bytes"] or 0) / TASK_BYTES)
 
     numbered = dealt(parts).mapInArrow(_functions, PARTS + ", function int") if forced is None else parts
     schema = to_arrow_schema(PLAN)

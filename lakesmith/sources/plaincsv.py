@@ -4,8 +4,8 @@
 the zip reader: files whose columns differ in order or number are mapped by
 name, quoted newlines and unclosed quotes are handled, and every row with more
 fields than its header is kept in ``_bad_line``.  A file of at most
-``range_bytes`` is read by one task, a bigger one by a task for each such range
-of bytes (``_ranges``), with the same rows.
+``range_bytes`` is read by one task, a bigger one in such ranges of bytes, which
+are dealt to tasks (``_ranges``), with the same rows.
 
 ``read_csv_lines`` is for big files of one record per line and one header: it
 uses Spark's own CSV source, which splits them over tasks.  A file whose

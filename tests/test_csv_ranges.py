@@ -99,3 +99,14 @@ def test_big_file_on_many_tasks(spark, tmp_path):
     assert len(expect) == 4000 + 1 + 3001 + 3000
     lines = sorted(read_quote_split_csv(spark, str(tmp_path), "split.csv", range_bytes=1 << 12).collect())
     assert lines == sorted(read_quote_split_csv(spark, str(tmp_path), "split.csv").collect()) and lines[0].note == 'a "b", c'
+
+
+def test_ranges_share_tasks(spark, tmp_path):
+    """Many small ranges make no more tasks than their bytes fill (or the cluster has slots)."""
+    p = tmp_path / "f.csv"
+    p.write_bytes(b'id,note\n' + b"".join(b'%d,"a\n""b"""\n' % i for i in range(400)))
+    files = spark.createDataFrame([(str(p), p.stat().st_size)], "path string, length bigint")
+    raw = X.extract_ranges(files, 64)
+    assert raw.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    rows = [tuple(r._fields) for r in raw.orderBy("_row_no").collect()]
+    assert rows == [("id", "note")] + [(str(i), 'a\n"b"') for i in range(400)]
