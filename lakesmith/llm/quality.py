@@ -19,7 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesmith.llm._linear import Logistic, best_threshold, sigmoid
@@ -170,24 +170,47 @@ def count_sure(free: DataFrame, vocabulary: list, pairs: list[Pair]) -> list:
     return [[(views[v][k, :, 1:], views[v][k, :, 0]) for v in range(2)] for k in range(len(pairs))]
 
 
+def fit_pairs(spark: SparkSession, sample, ratios: list) -> list[Pair]:
+    """A pair per fold, fitted without its rows, and one on all rows; each model is fitted by a task of its own.
+
+    ``sample``: the labelled rows, broadcast; ``ratios``: per pair and view what the other view's labels have given.
+    """
+    sent = spark.sparkContext.broadcast(ratios)
+
+    def fit(batches):
+        features, buckets, sizes, y, fold = sample.value
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                k, view = i >> 1, i & 1
+                use = fold != k if k < FOLDS else np.ones(len(y), bool)      # the rows that it may learn from
+                row, col = (x.astype(np.int64) for x in features[view])
+                place, pick = np.cumsum(use) - 1, use[row]
+                dense = mean_ratio(sent.value[k][view], *(x.astype(np.int64) for x in buckets[view]), len(y))
+                m = Logistic(sizes[view], 1).fit(place[row[pick]], col[pick], y[use], dense[use], centre=1.0)
+                yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([m.w]), pa.array([m.v]), pa.array([float(m.b)])], names=["id", "w", "v", "b"])
+
+    n = 2 * len(ratios)
+    got = spark.range(0, n, 1, n).mapInArrow(fit, "id long, w array<double>, v array<double>, b double").toArrow().to_pylist()   # a row per model
+    models = {}
+    for r in got:
+        m = models[r["id"]] = Logistic(len(r["w"]), 1)
+        m.w, m.v, m.b = np.array(r["w"]), np.array(r["v"]), r["b"]
+    sent.unpersist()
+    return [Pair([models[2 * k], models[2 * k + 1]], some) for k, some in enumerate(ratios)]
+
+
 def cotrain(features: list, buckets: list, vocabulary: list, y: np.ndarray, fold: np.ndarray, free: DataFrame) -> Views:
     """``features`` (places in the vocabularies) and ``buckets``: per view ``(row, place)`` of the labelled rows; ``free``: the unlabelled ones."""
     n = len(y)
-    known = [fold != f for f in range(FOLDS)] + [np.ones(n, bool)]     # the rows that a pair may learn from
-
-    def fitted(view, use, ratio):
-        row, col = features[view]
-        place = np.cumsum(use) - 1
-        pick = use[row]
-        return Logistic(len(vocabulary[view]), 1).fit(place[row[pick]], col[pick], y[use], mean_ratio(ratio, *buckets[view], n)[use], centre=1.0)
+    narrow = [[(row.astype(np.int32), place.astype(np.int32)) for row, place in kind] for kind in (features, buckets)]
+    sample = free.sparkSession.sparkContext.broadcast((*narrow, [len(x) for x in vocabulary], y, fold))
 
     none = [np.zeros(b) for b in BUCKETS]
-    pairs = [Pair([fitted(v, use, none[v]) for v in range(2)], none) for use in known]
+    pairs = fit_pairs(free.sparkSession, sample, [none] * (FOLDS + 1))
     if len(np.unique(y)) == 2:
         for _ in range(ROUNDS):
             counted = count_sure(free, vocabulary, pairs)
-            ratios = [[log_ratio(*counted[k][v]) for v in range(2)] for k in range(len(pairs))]
-            pairs = [Pair([fitted(v, use, ratios[k][v]) for v in range(2)], ratios[k]) for k, use in enumerate(known)]
+            pairs = fit_pairs(free.sparkSession, sample, [[log_ratio(*counted[k][v]) for v in range(2)] for k in range(len(pairs))])
     margins = np.zeros((2, n))
     for f in range(FOLDS):
         for v in range(2):

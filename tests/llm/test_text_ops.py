@@ -427,3 +427,26 @@ def test_style_node_importance(spark):
     got = html_extract.importance(spark.createDataFrame(rows, "host string, path string, kind byte, feature long")).collect()[0]
     text = 1 - (math.log(4) / math.log(8)) / 5
     assert got.pages == 8 and got.importance == pytest.approx(html_extract.DAMPING * text)
+
+
+def test_quality_models_are_fitted_in_tasks(spark, monkeypatch):
+    """The driver fits none; each is the one that its rows give in one place."""
+    from lakesmith.llm._linear import Logistic
+
+    rng = np.random.default_rng(3)
+    n, sizes = 60, [7, 5]
+    features = [(np.repeat(np.arange(n), 2), rng.integers(0, s, 2 * n)) for s in sizes]
+    buckets = [(np.repeat(np.arange(n), 2), rng.integers(0, b, 2 * n)) for b in quality.BUCKETS]
+    ratios = [[rng.normal(size=b) for b in quality.BUCKETS] for _ in range(quality.FOLDS + 1)]
+    y, fold = (rng.random(n) < 0.5).astype(float), np.arange(n) % quality.FOLDS
+    expect = []
+    for k in range(quality.FOLDS + 1):
+        use = fold != k
+        for v in range(2):
+            row, col = features[v]
+            m = Logistic(sizes[v], 1)
+            expect.append(m.fit((np.cumsum(use) - 1)[row[use[row]]], col[use[row]], y[use], quality.mean_ratio(ratios[k][v], *buckets[v], n)[use], centre=1.0))
+    monkeypatch.setattr(Logistic, "fit", lambda *a, **k: pytest.fail("fitted on the driver"))
+    pairs = quality.fit_pairs(spark, spark.sparkContext.broadcast((features, buckets, sizes, y, fold)), ratios)
+    for m, e in zip([m for p in pairs for m in p.models], expect, strict=True):
+        assert np.array_equal(m.w, e.w) and np.array_equal(m.v, e.v) and m.b == e.b
