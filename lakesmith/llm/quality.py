@@ -9,6 +9,9 @@ view's model as one more column, weighted on the labelled rows.  So a feature
 that no labelled row has counts too.  In the end both views are calibrated on
 out-of-fold margins of the labelled rows and combined.
 
+A text is scanned once: the places of its features, a fraction of its size, are
+written to the shared folder, and the rounds and the scoring read those.
+
 Models are fitted on at most ``LABELLED`` labelled rows; all unlabelled
 documents take part in every round, and all documents are scored.
 """
@@ -19,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +39,9 @@ SURE = 0.95
 #: buckets that the features of the text and of the metadata are counted in
 BUCKETS = (1 << 13, 1 << 12)
 PIECE_BYTES = 4_000_000
+#: the written places (in the vocabularies and in the buckets, per view), and how many rows of them are taken at once
+PLACES = {"words": np.uint16, "tokens": np.int32, "text_buckets": np.uint16, "meta_buckets": np.uint16}
+ROWS = 1000
 #: a feature says that a shape makes up more than this share of the words
 SHARES = (0.0, 1 / 64, 1 / 16, 1 / 4)
 
@@ -104,13 +111,13 @@ class Pair:
     models: list
     ratios: list
 
-    def margins(self, vocabulary: list, features: list, buckets: list, n: int) -> list[np.ndarray]:
-        return [self.models[v].margin(*word_index(vocabulary[v], *features[v]), n, mean_ratio(self.ratios[v], *buckets[v], n)) for v in range(2)]
+    def margins(self, features: list, buckets: list, n: int) -> list[np.ndarray]:
+        """Per view, from the ``(row, place)`` that ``placed`` gives."""
+        return [self.models[v].margin(*features[v], n, mean_ratio(self.ratios[v], *buckets[v], n)) for v in range(2)]
 
 
 @dataclass
 class Views:
-    vocabulary: list            # per view
     pair: Pair
     scale: list                 # (slope, offset) per view: margin -> calibrated log odds
     prior: float
@@ -139,30 +146,70 @@ def features_of(batch: pa.RecordBatch):
         yield a, b, found, [bucketed(*found[v], BUCKETS[v]) for v in range(2)]
 
 
+def _packed(row: np.ndarray, place: np.ndarray, n: int, kind) -> pa.Array:
+    """Each row's places as bytes."""
+    ends = np.searchsorted(row, np.arange(n + 1)) * np.dtype(kind).itemsize
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(place.astype(kind))])
+
+
+def _unpacked(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, place)`` of what ``_packed`` wrote."""
+    sizes = pc.binary_length(column).to_numpy(zero_copy_only=False) // np.dtype(kind).itemsize
+    return np.repeat(np.arange(len(column)), sizes), np.frombuffer(b"".join(column.to_pylist()), kind).astype(np.int64)
+
+
+def with_places(rows: DataFrame, vocabulary: list) -> DataFrame:
+    """``rows`` with the places of their features instead of ``text`` and ``meta``."""
+    from pyspark.sql.types import BinaryType, StructField, StructType
+
+    keep = [c for c in rows.columns if c not in ("text", "meta")]
+    sent = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def emit(batches):
+        for batch in batches:
+            for a, b, found, buckets in features_of(batch):
+                n = b - a
+                places = [*(word_index(sent.value[v], *found[v]) for v in range(2)), *buckets]
+                packed = [_packed(*x, n, kind) for x, kind in zip(places, PLACES.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(a, n) for c in keep), *packed], names=[*keep, *PLACES])
+
+    schema = StructType([*(rows.schema[c] for c in keep), *(StructField(c, BinaryType()) for c in PLACES)])
+    return rows.select(*keep, "text", "meta").mapInArrow(emit, schema)
+
+
+def placed(batches):
+    """``(rows, features, buckets)`` of a few rows at a time, both per view, from the columns of ``with_places``."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            rows = batch.slice(k, ROWS)
+            found = [_unpacked(rows.column(c), kind) for c, kind in PLACES.items()]
+            yield rows, found[:2], found[2:]
+
+
 def count_sure(free: DataFrame, vocabulary: list, pairs: list[Pair]) -> list:
-    """Per pair and view ``(counts, n)`` by label and bucket: the documents of ``free`` that the other view is sure of."""
+    """Per pair and view ``(counts, n)`` by label and bucket: the documents of ``free`` (as read, or ``with_places``) that the other view is sure of."""
     width = [1 + x for x in BUCKETS]                            # in front the number of documents
-    sent = free.sparkSession.sparkContext.broadcast((vocabulary, pairs))
+    sent = free.sparkSession.sparkContext.broadcast(pairs)
+    if "text" in free.columns:
+        free = with_places(free, vocabulary)
 
     def emit(batches):
-        words, models = sent.value
+        models = sent.value
         sums = [np.zeros((len(models), 2, w), np.int64) for w in width]
-        for batch in batches:
-            for a, b, found, buckets in features_of(batch):
-                for k, pair in enumerate(models):
-                    for v, margin in enumerate(pair.margins(words, found, buckets, b - a)):
-                        p, other = sigmoid(margin), 1 - v
-                        for y in (0, 1):
-                            sure = (p if y else 1 - p) >= SURE
-                            row, bucket = buckets[other]
-                            sums[other][k, y, 0] += sure.sum()
-                            sums[other][k, y, 1:] += np.bincount(bucket[sure[row]], minlength=BUCKETS[other])
+        for rows, found, buckets in placed(batches):
+            for k, pair in enumerate(models):
+                for v, margin in enumerate(pair.margins(found, buckets, rows.num_rows)):
+                    p, other = sigmoid(margin), 1 - v
+                    label = np.where(p >= SURE, 1, np.where(1 - p >= SURE, 0, 2))          # 2: not sure
+                    row, bucket = buckets[other]
+                    sums[other][k, :, 0] += np.bincount(label, minlength=3)[:2]
+                    sums[other][k, :, 1:] += np.bincount(label[row] * BUCKETS[other] + bucket, minlength=3 * BUCKETS[other]).reshape(3, -1)[:2]
         flat = np.concatenate([x.ravel() for x in sums])
         at = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(flat[at], pa.int64())], names=["place", "k"])
 
     # as many rows as there are buckets, whatever the input
-    got = free.select("text", "meta").mapInArrow(emit, "place int, k long").groupBy("place").agg(F.sum("k").alias("k")).toArrow()
+    got = free.select(*PLACES).mapInArrow(emit, "place int, k long").groupBy("place").agg(F.sum("k").alias("k")).toArrow()
     flat = np.zeros(len(pairs) * 2 * sum(width))
     flat[got.column("place").to_numpy()] = got.column("k").to_numpy()
     text, meta = np.split(flat, [len(pairs) * 2 * width[0]])
@@ -219,16 +266,16 @@ def cotrain(features: list, buckets: list, vocabulary: list, y: np.ndarray, fold
     prior = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
     scale = [_calibrate(margins[v], y) if n else (1.0, 0.0) for v in range(2)]
     both = sum(s * margins[v] + o for v, (s, o) in enumerate(scale)) - prior
-    return Views(vocabulary, pairs[-1], scale, prior, best_threshold(sigmoid(-both), 1 - y))
+    return Views(pairs[-1], scale, prior, best_threshold(sigmoid(-both), 1 - y))
 
 
 def unlabelled(base: DataFrame, labels: DataFrame, limit: int) -> DataFrame:
     """Rows of ``base`` whose id no label has.  Up to ``limit`` ids are broadcast; for more, the rows are joined once and written."""
     ids = labels.dropna().distinct()
     if ids.limit(limit + 1).count() <= limit:
-        return base.join(F.broadcast(ids), "id", "left_anti").select("text", "meta")
+        return base.join(F.broadcast(ids), "id", "left_anti").drop("id")
     path = f"{fresh_dir(base.sparkSession, 'quality')}/unlabelled"
-    base.hint("merge").join(ids, "id", "left_anti").select("text", "meta").write.option("compression", "zstd").parquet(path)
+    base.hint("merge").join(ids, "id", "left_anti").drop("id").write.option("compression", "zstd").parquet(path)
     return base.sparkSession.read.parquet(path)
 
 
@@ -248,7 +295,6 @@ def quality(
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), meta_tokens(meta).alias("meta"))
     known = labelled_sample(docs, labels, id_col, text_col, {"good": good}, labelled).select("id", "good", "key")
     known = base.join(F.broadcast(known.select("id", "good", "key")), "id")                       # at most ``labelled`` rows
-    free = unlabelled(base, labels.select(F.col(id_col).alias("id")), labelled)
     text_words = choose_words(known.select("text", "good"), ["good"], FEATURES, text_features)
 
     def index(batches):
@@ -270,20 +316,22 @@ def quality(
     meta_row, meta_hash = flat("tokens")
     meta_words = np.unique(meta_hash.view(U))
     y = rows.column("good").to_numpy().astype(float)
+    vocabulary, path = [text_words, meta_words], f"{fresh_dir(spark, 'quality')}/places"
+    with_places(base, vocabulary).write.option("compression", "zstd").parquet(path)
+    every = spark.read.parquet(path)
+    free = unlabelled(every, labels.select(F.col(id_col).alias("id")), labelled)
     model = cotrain(
         [flat("words"), word_index(meta_words, meta_row, meta_hash.view(U))], [flat("text_buckets"), flat("meta_buckets")],
-        [text_words, meta_words], y, fold_of(rows.column("key").to_numpy()), free)
+        vocabulary, y, fold_of(rows.column("key").to_numpy()), free)
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches):
         m = sent.value
-        for batch in batches:
-            for a, b, found, buckets in features_of(batch):
-                n = b - a
-                odds = [slope * margin + offset for (slope, offset), margin in zip(m.scale, m.pair.margins(m.vocabulary, found, buckets, n), strict=True)]
-                both = odds[0] + odds[1] - m.prior
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, n), pa.array(sigmoid(odds[0])), pa.array(sigmoid(odds[1])), pa.array(sigmoid(both)), pa.array(sigmoid(-both) <= m.cut)],
-                                                 names=["id", "p_text", "p_meta", "score", "keep"])
+        for some, found, buckets in placed(batches):
+            odds = [slope * margin + offset for (slope, offset), margin in zip(m.scale, m.pair.margins(found, buckets, some.num_rows), strict=True)]
+            both = odds[0] + odds[1] - m.prior
+            yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(sigmoid(odds[0])), pa.array(sigmoid(odds[1])), pa.array(sigmoid(both)), pa.array(sigmoid(-both) <= m.cut)],
+                                             names=["id", "p_text", "p_meta", "score", "keep"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return base.select("id", "text", "meta").mapInArrow(score, f"id {kind}, p_text double, p_meta double, score double, keep boolean").withColumnRenamed("id", id_col)
+    return every.mapInArrow(score, f"id {kind}, p_text double, p_meta double, score double, keep boolean").withColumnRenamed("id", id_col)

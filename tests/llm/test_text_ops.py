@@ -450,3 +450,19 @@ def test_quality_models_are_fitted_in_tasks(spark, monkeypatch):
     pairs = quality.fit_pairs(spark, spark.sparkContext.broadcast((features, buckets, sizes, y, fold)), ratios)
     for m, e in zip([m for p in pairs for m in p.models], expect, strict=True):
         assert np.array_equal(m.w, e.w) and np.array_equal(m.v, e.v) and m.b == e.b
+
+
+def test_quality_scans_each_text_once(spark, sf_small, monkeypatch):
+    """The rounds and the scoring read written places, which give the rows that the texts do."""
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    scans, counts = [], quality.with_places
+    monkeypatch.setattr(quality, "with_places", lambda *a: scans.append(a) or counts(*a))
+    seen, count = [], quality.count_sure
+    monkeypatch.setattr(quality, "count_sure", lambda free, *a: seen.append((free, *a)) or count(free, *a))
+    quality.quality(docs, labels, F.col("quality") == 1, {"source": F.col("source")}).count()
+    assert len(scans) == 1 and len(seen) == quality.ROUNDS and all("text" not in free.columns for free, *_ in seen)
+    free, vocabulary, pairs = seen[-1]
+    base = docs.select(F.col("doc_id").alias("id"), "text", quality.meta_tokens({"source": F.col("source")}).alias("meta"))
+    whole = quality.unlabelled(base, labels.select(F.col("doc_id").alias("id")), 10**6)
+    for x, y in zip(count(free, vocabulary, pairs), count(whole, vocabulary, pairs), strict=True):
+        assert all(np.array_equal(a, b) for view in range(2) for a, b in zip(x[view], y[view], strict=True))
