@@ -57,8 +57,8 @@ def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     ship_package(spark)
     pieces = _pieces.load_pieces(PIECE_MODEL)
     encoded = _pieces.encode(docs, pieces, keep=["doc_id"]).select("row.doc_id", "ids")
-    decoded = _pieces.decode(encoded.select("doc_id", "ids", F.col("ids").alias("kept")), pieces)
-    return decoded.select("row.doc_id", F.size("row.kept").cast("long").alias("n_pieces"), F.col("row.kept").alias("ids"), F.sha2("text", 256).alias("decoded_sha256"))
+    decoded = _pieces.decode(encoded, pieces, keep=["doc_id", "ids"])
+    return decoded.select("row.doc_id", F.size("row.ids").cast("long").alias("n_pieces"), "row.ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [

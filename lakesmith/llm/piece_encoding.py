@@ -3,10 +3,11 @@
 A text is cut into units only between two characters that no piece holds side
 by side, so no piece can cross a cut and the units' best paths together are the
 text's best path.  Each distinct unit is segmented once: its substrings up to
-the longest piece are exploded and equi-joined to the piece table, the edges are
-grouped by unit, and a Spark higher-order aggregate folds them into the best
-path (Viterbi).  A long unit is folded ``STEP`` characters at a time; each step
-hands the nodes that a piece can still start from on to the next one.
+the longest piece are exploded and equi-joined to the piece table, and the edges
+are grouped by unit and folded into the best path (Viterbi): those of units of up
+to ``STEP`` characters many units at a time, as arrays; a long unit's by a Spark
+higher-order aggregate, ``STEP`` characters at a time, where each step hands the
+nodes that a piece can still start from on to the next one.
 Characters without a piece become byte pieces, so decoding gives back every
 text exactly.
 
@@ -138,6 +139,45 @@ def _keys(unit) -> dict:
     return {"key": F.xxhash64(unit), "key2": F.hash(unit)}
 
 
+def _paths(batches, reach: int, byte_base: int):
+    """Best paths of units of one step, all units of a chunk place by place; edges and nodes are those of ``segment``."""
+    leads = np.array([0, 0, 0xC0, 0xE0, 0xF0])
+    for b in (whole.slice(k, CHUNK) for whole in batches for k in range(0, whole.num_rows, CHUNK)):
+        n, lists = b.num_rows, b.column("edges")
+        edge, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+        unit, end = np.repeat(np.arange(n), sizes), (edge >> ORDER) - reach
+        at = np.maximum.reduceat(end, np.cumsum(sizes) - sizes)            # each unit has edges
+        order = np.argsort(end, kind="stable")                             # units stay in order within a place
+        edge, unit, end = edge[order], unit[order], end[order]
+        start = ((edge >> START) & PLACE_MASK) - reach
+        nodes = np.zeros((n, at.max() + 1), np.int64)
+        bounds = np.searchsorted(end, np.arange(1, nodes.shape[1]))
+        for place, (x, y) in enumerate(zip(bounds, [*bounds[1:], len(end)]), 1):
+            u = unit[x:y]
+            reached = (nodes[u, start[x:y]] & (-1 << COST)) + (edge[x:y] & ((1 << ORDER) - 1))
+            first = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1]]))
+            nodes[u[first], place] = np.minimum.reduceat(reached, first)
+        live, met = np.arange(n), []
+        while len(live):                                                   # from the last place to the first
+            node = nodes[live, at]
+            at = ((node >> START) & PLACE_MASK) - reach
+            met.append((live, at, node & ((1 << START) - 1)))
+            live, at = live[at > 0], at[at > 0]
+        owner, place, ids = (np.concatenate(x) for x in zip(*met))
+        order = np.lexsort((place, owner))
+        owner, ids = owner[order], ids[order]
+        # characters without a piece: their UTF-8 bytes as byte pieces
+        char = ids - OWN
+        sizes = 1 + (char >= 0x80).astype(np.int64) + (char >= 0x800) + (char >= 0x10000)
+        which = np.repeat(np.arange(len(ids)), sizes)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        char, ids, sizes = char[which], ids[which], sizes[which]
+        bits = char >> 6 * (sizes - 1 - nth)
+        ids = np.where(char < 0, ids, byte_base + np.where(nth == 0, bits + leads[sizes], (bits & 63) + 128))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(owner[which], minlength=n))])
+        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("key2"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))], names=["key", "key2", "ids"])
+
+
 def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
     """``(key, key2, ids)`` from distinct ``unit``: the path of the least cost; on ties the later piece is the longer one.
 
@@ -155,6 +195,7 @@ def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
         F.when(i == 0, x).otherwise(F.concat(F.substring(F.get("steps", i - 1), -(reach - 1), reach - 1), x)).alias("text")))
     in_steps = long.select("key", "key2", F.posexplode(windows).alias("step", "w")).select("key", "key2", "step", "w.lead", "w.text")
     in_one = keyed.where(F.char_length(text) <= STEP).select("key", "key2", F.lit(0).alias("lead"), text.alias("text"))
+    byte_base = pieces.byte_base
     table = F.broadcast(pieces.table(units.sparkSession))       # the model's pieces, a fixed table
 
     def field(value, place):
@@ -175,12 +216,11 @@ def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
         end = start + F.col("l")
         cost, piece = F.coalesce("cost", F.lit(UNKNOWN_COST)), F.coalesce("id", F.ascii(F.expr("substring(text, s + 1, 1)")) + OWN)
         edge = field(end, ORDER) + field(cost, COST) + field(end, END) + field(start, START) + piece
-        return subs.join(table, "piece", "left").where("id is not null or l = 1").groupBy(*by).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+        return subs.join(table, "piece", "left").where("id is not null or l = 1").groupBy(*by).agg(F.collect_list(edge).alias("edges"))
 
-    whole = (
-        edges(in_one, "key", "key2").select("key", "key2", F.array(F.struct(F.lit(0).alias("step"), "edges")).alias("steps"))
-        .unionByName(edges(in_steps, "key", "key2", "step").groupBy("key", "key2").agg(F.sort_array(F.collect_list(F.struct("step", "edges"))).alias("steps")))
-    )
+    short = edges(in_one, "key", "key2").mapInArrow(lambda it: _paths(it, reach, byte_base), "key long, key2 int, ids array<int>")
+    whole = edges(in_steps, "key", "key2", "step").groupBy("key", "key2").agg(
+        F.sort_array(F.collect_list(F.struct("step", F.sort_array("edges").alias("edges")))).alias("steps"))
 
     def start_of(x):
         return F.shiftright(x, START).bitwiseAND(F.lit(PLACE_MASK)).cast("int")
@@ -232,7 +272,8 @@ def segment(units: DataFrame, pieces: Pieces, parts: int) -> DataFrame:
     goal = F.array(F.array(F.size(F.element_at("steps", -1)) + (reach - STEP)))
     paths = own.select("key", "key2", F.aggregate(F.reverse("steps"), goal, back_steps, lambda p: F.flatten(
         F.transform(F.slice(p, F.lit(1), F.size(p) - 1), lambda x: F.slice(x, F.lit(2), F.size(x))))).alias("ids"))
-    return paths.select("key", "key2", F.when(F.array_max("ids") < OWN, F.col("ids")).otherwise(F.flatten(F.transform("ids", as_bytes))).alias("ids"))
+    long_paths = paths.select("key", "key2", F.when(F.array_max("ids") < OWN, F.col("ids")).otherwise(F.flatten(F.transform("ids", as_bytes))).alias("ids"))
+    return short.unionByName(long_paths)
 
 
 def _blocks(batches) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -277,6 +318,8 @@ def _ask(batches, cutter: Cutter):
         for k in range(0, len(units), CHUNK):
             some = units[k:k + CHUNK]
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some)], names=["block", "first", "units"])
+        del held, units
+        pa.default_memory_pool().release_unused()
 
 
 def _answers(folder: str, block: int) -> tuple[np.ndarray, np.ndarray]:
@@ -342,7 +385,6 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: lis
         rows.write.parquet(f"{path}/rows")
         rows = spark.read.parquet(f"{path}/rows")
     cutter = pieces.cutter()
-    cutter = pieces.cutter()
     rows.mapInArrow(lambda it: _ask(it, cutter), "block long, first int, units array<string>").write.option("compression", "zstd").parquet(f"{path}/asked")
     asked = spark.read.parquet(f"{path}/asked")
     asked.select(F.explode("units").alias("unit")).distinct().write.parquet(f"{path}/units")
@@ -364,6 +406,7 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: lis
 def decode(encoded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (default: all but the ids) as struct ``row``, and ``text``; inverse of ``encode``.
 
+    ``keep`` may name the ids too, which then travel once and come back as they are.
     Ids of control pieces and ids that the model lacks add nothing; bytes that
     are not UTF-8 become U+FFFD (``encode`` makes neither); null ids give null.
     """
@@ -371,7 +414,9 @@ def decode(encoded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", keep: li
 
     spark = encoded.sparkSession
     keep = [c for c in encoded.columns if c != ids_col] if keep is None else keep
-    rows = encoded.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{ids_col}`").alias("ids"))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row")
+    within = keep.index(ids_col) if ids_col in keep else None
+    rows = encoded.select(row) if within is not None else encoded.select(row, F.col(f"`{ids_col}`").alias("ids"))
     sent = spark.sparkContext.broadcast(pieces.surface)         # the model's pieces, a fixed table
 
     def spell(batches):
@@ -379,12 +424,14 @@ def decode(encoded: DataFrame, pieces: Pieces, *, ids_col: str = "ids", keep: li
         n = len(surface)
         for b in (whole.slice(k, ROWS) for whole in batches for k in range(0, whole.num_rows, ROWS)):
             texts = []
-            for ids in b.column(1):
+            for ids in b.column(1) if within is None else b.column(0).field(within):
                 if not ids.is_valid:
                     texts.append(None)
                     continue
                 s = b"".join([surface[i] for i in ids.values.to_numpy(zero_copy_only=False).tolist() if i is not None and 0 <= i < n]).decode("utf-8", "replace")
                 texts.append(s[1:] if s.startswith(" ") else s)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["row", "text"])
+            del texts
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(spell, StructType([rows.schema["row"], StructField("text", StringType())]))

@@ -466,3 +466,27 @@ def test_quality_scans_each_text_once(spark, sf_small, monkeypatch):
     whole = quality.unlabelled(base, labels.select(F.col("doc_id").alias("id")), 10**6)
     for x, y in zip(count(free, vocabulary, pairs), count(whole, vocabulary, pairs), strict=True):
         assert all(np.array_equal(a, b) for view in range(2) for a, b in zip(x[view], y[view], strict=True))
+
+
+def test_pieces_short_units_are_folded_as_arrays(spark, pieces):
+    """Units of one step: ties, characters of one to four bytes without a piece, against Viterbi in plain Python."""
+    rng = random.Random(8)
+    chars = "et ai\x00\x7fé߿ࠀ￿😀\U0010ffff"
+    texts = sorted({"".join(rng.choices(chars, k=rng.randrange(1, piece_encoding.STEP + 1))) for _ in range(300)} | {c * k for c in chars for k in (1, 2, 63, 64)})
+    units = spark.createDataFrame([(t,) for t in texts], "unit string").repartition(1)
+    keys = {(r.key, r.key2): r.unit for r in units.withColumns(piece_encoding._keys(F.col("unit"))).collect()}
+    got = {keys[r.key, r.key2]: r.ids for r in piece_encoding.segment(units, pieces, 2).collect()}
+    assert sorted(got) == texts
+    for t in texts:
+        assert got[t] == brute.viterbi(t, pieces.rows, pieces.byte_base, piece_encoding.UNKNOWN_COST), t
+
+
+def test_pieces_decode_returns_the_ids_it_is_asked_to_keep(spark, odd_docs, pieces):
+    """The ids travel once, in the kept columns; null and empty texts and more rows than are decoded at once included."""
+    more = odd_docs.select("id", "text").unionByName(spark.range(1000, 3500).select(F.col("id").cast(odd_docs.schema["id"].dataType), F.concat(F.lit("row "), "id").alias("text"))).coalesce(1)
+    encoded = piece_encoding.encode(more, pieces, keep=["id"], stage=True).select("row.id", "ids").cache()
+    plain = {r.row.id: r.text for r in piece_encoding.decode(encoded, pieces).collect()}
+    kept = piece_encoding.decode(encoded, pieces, keep=["id", "ids"])
+    got = {r.row.id: (r.row.ids, r.text) for r in kept.collect()}
+    assert got == {r.id: (r.ids, plain[r.id]) for r in encoded.collect()}
+    encoded.unpersist()
