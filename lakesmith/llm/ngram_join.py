@@ -16,7 +16,10 @@ The answer asks for connected classes, so not every pair is needed:
 3. then every remaining pair, of classes in different components, that shares
    a prefix shingle and passes the filters is verified.  This step makes the
    result exact, and a large group of near copies, joined by its chains, adds
-   few pairs to it.
+   few pairs to it.  Copies that are too far from all others stay alone in such
+   a group and meet all of it; the parities of the two sets, which bound by how
+   many shingles they differ, are compared in the join, so only pairs close to
+   the threshold leave it.
 
 A shingle that is frequent within a map piece is chained there and only its
 first class is sent on; its other rows are dealt at random.
@@ -25,6 +28,8 @@ first class is sent on; its other rows are dealt at random.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +48,12 @@ SKETCH = 1 << 20
 SKETCH_PARTS = 64
 #: ranges of the shingle hash that the suffix filter compares, one byte each
 RANGES = 256
+#: words of 64 bits that hold a set's parities, which the last step compares: a bit tells whether the set has an odd number of the shingles dealt to it
+PARITY_WORDS = 8
 #: classes with one shingle in a map piece from which on they are chained there
 HOT = 16
-PIECE_BYTES = 4_000_000
+#: bytes of text of a map piece, and of texts that are cut at once (one row at least): cutting takes some 50 bytes a byte
+PIECE_BYTES, SCAN_BYTES = 4_000_000, 1_000_000
 #: neighbours that a class meets in each of the random orders of step 2, and about how many rows are ordered together
 NEIGHBOURS, TOGETHER = (1, 4), 64
 #: bits that say which documents' sets are written for verification
@@ -53,16 +61,19 @@ WANTED_BITS = 1 << 24
 
 POSTINGS = "route long, kind tinyint, token long, n int, cls long, pos int, prev_cls long, prev_n int, prev_pos int"
 SHARED = "token long, n int, cls long, pos int, prev_cls long, prev_n int, prev_pos int"
+PARITIES = [f"p{k}" for k in range(PARITY_WORDS)]
+CLASSES = f"id long, cls long, n int, ranges binary, parity struct<{', '.join(f'{p}: long' for p in PARITIES)}>"
 
 
 def _sets(batches, words: int):
     """(ids, [sorted distinct shingle hashes or None]) per piece."""
     for batch in batches:
-        for a, b, off, raw in pieces(batch.column(1), PIECE_BYTES):
-            w = scan(off, raw, SPACE, True)
-            yield batch.column(0).slice(a, b - a), [
-                np.unique(windows(w.hash[s:e], words)) if e > s else None for s, e in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)
-            ]
+        for a, b, _, _ in pieces(batch.column(1), PIECE_BYTES):
+            sets = []
+            for _, _, off, raw in pieces(batch.column(1).slice(a, b - a), SCAN_BYTES):
+                w = scan(off, raw, SPACE, True)
+                sets += [np.unique(windows(w.hash[s:e], words)) if e > s else None for s, e in zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)]
+            yield batch.column(0).slice(a, b - a), sets
 
 
 def _class(u: np.ndarray) -> int:
@@ -70,15 +81,26 @@ def _class(u: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(u.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def _parities(sets: list) -> pa.StructArray:
+    """Parities of each set, ``PARITY_WORDS`` integers; sets differ in at least as many shingles as they do in parities."""
+    bits = np.zeros((len(sets), 64 * PARITY_WORDS), np.uint8)
+    for row, u in zip(bits, sets, strict=True):
+        if u is not None:
+            row[:] = np.bincount((u % U(64 * PARITY_WORDS)).astype(np.int64), minlength=64 * PARITY_WORDS) & 1
+    packed = np.packbits(bits, axis=1).view(np.int64)
+    return pa.StructArray.from_arrays([pa.array(packed[:, k]) for k in range(PARITY_WORDS)], names=PARITIES)
+
+
 def _classes(batches, words: int):
-    """Class and size of each document's set, and its counts by range of the shingle hash."""
+    """Class and size of each document's set, its counts by range of the shingle hash and its parities."""
     shift = U(64 - (RANGES - 1).bit_length())
     for ids, sets in _sets(batches, words):
         yield pa.RecordBatch.from_arrays([
             ids.cast(pa.int64()), pa.array([None if u is None else _class(u) for u in sets], pa.int64()),
             pa.array([0 if u is None else len(u) for u in sets], pa.int32()),
             pa.array([None if u is None else np.bincount((u >> shift).astype(np.int64), minlength=RANGES).clip(max=255).astype(np.uint8).tobytes() for u in sets], pa.binary()),
-        ], names=["id", "cls", "n", "ranges"])
+            _parities(sets),
+        ], names=["id", "cls", "n", "ranges", "parity"])
 
 
 def _sketch(batches, words: int):
@@ -192,6 +214,23 @@ def _may_link(n: Column, i: Column, m: Column, j: Column, percent: int) -> Colum
     return long_enough & (room >= _needed(n, m, percent))
 
 
+def _parities_allow(n: Column, x: Column, m: Column, y: Column, percent: int) -> Column:
+    """Parity filter: sets that link differ in no more shingles than these, so in no more parities."""
+    apart = reduce(add, [F.bit_count(x[p].bitwiseXOR(y[p])) for p in PARITIES])
+    return apart <= n + m - 2 * _needed(n, m, percent)
+
+
+def _last_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that share a shingle and pass the filters; one of each is not of the shingle's main component."""
+    x, y = rows.where("comp <> main").alias("x"), rows.alias("y")
+    rest = x.hint("merge").join(
+        y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
+        & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
+        & _parities_allow(F.col("x.n"), F.col("x.parity"), F.col("y.n"), F.col("y.parity"), percent)
+    )
+    return rest.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b"))
+
+
 def _wanted_texts(batches, words: int, bits: np.ndarray):
     """Class and whole text, compressed (a third of its set's size), of the documents whose bit is set."""
     squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -239,7 +278,7 @@ def _linked(batches, words: int, percent: int):
             names, packed = b.column(side).to_pylist(), b.column(f"packed_{side}")
             new = {n: packed[i].as_py() for i, n in enumerate(names) if n not in sets}
             texts = pa.array([loose(x) for x in new.values()], pa.large_binary())
-            for a, e, off, raw in pieces(texts, PIECE_BYTES):
+            for a, e, off, raw in pieces(texts, SCAN_BYTES):
                 w = scan(off, raw, SPACE, True)
                 for i, n in enumerate(list(new)[a:e]):
                     sets[n] = np.unique(windows(w.hash[w.first[i]:w.first[i + 1]], words))
@@ -251,7 +290,7 @@ def _linked(batches, words: int, percent: int):
 
 
 def similar_classes(keyed: DataFrame, classes: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``(node, component)`` of the classes that are linked with another; ``classes`` is ``(id, cls, n, ranges)``."""
+    """``(node, component)`` of the classes that are linked with another; ``classes`` is ``(id, cls, n, ranges, parity)``."""
     spark = keyed.sparkSession
     path = fresh_dir(spark, "ngram_join")
     counts = spark.sparkContext.broadcast(rare_first(keyed, words))          # fixed size
@@ -262,7 +301,7 @@ def similar_classes(keyed: DataFrame, classes: DataFrame, words: int = WORDS, pe
     )
     shared = spark.read.parquet(f"{path}/shared")
 
-    kinds = classes.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"))
+    kinds = classes.where("cls is not null").groupBy("cls").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("ranges").alias("ranges"), F.first("parity").alias("parity"))
     kinds.hint("merge").join(shared.select("cls").distinct(), "cls", "left_semi").write.parquet(f"{path}/kinds")
     kinds = spark.read.parquet(f"{path}/kinds")
 
@@ -355,12 +394,9 @@ def similar_classes(keyed: DataFrame, classes: DataFrame, words: int = WORDS, pe
         rows = moved(open_rows.drop("main", "rows"), more, step)
 
     open_rows = still_open(rows, "3")
-    x, y = open_rows.where("comp <> main").alias("x"), open_rows.alias("y")
-    rest = x.hint("merge").join(
-        y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") != F.col("y.comp"))
-        & _may_link(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
-    )
-    more = verify(rest.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")), "3")
+    open_rows.hint("merge").join(kinds.select("cls", "parity").hint("merge"), "cls").write.parquet(f"{path}/last")
+    open_rows = spark.read.parquet(f"{path}/last")
+    more = verify(_last_pairs(open_rows, percent), "3")
     return connected_components(links.unionByName(more))
 
 
@@ -377,7 +413,7 @@ def ngram_jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     path = fresh_dir(spark, "ngram_classes")
     keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    keyed.mapInArrow(lambda it: _classes(it, words), "id long, cls long, n int, ranges binary").write.parquet(f"{path}/classes")
+    keyed.mapInArrow(lambda it: _classes(it, words), CLASSES).write.parquet(f"{path}/classes")
     classes = spark.read.parquet(f"{path}/classes")
     found = similar_classes(keyed, classes, words, percent).withColumnsRenamed({"node": "cls", "component": "comp"})
     (

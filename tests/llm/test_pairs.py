@@ -213,6 +213,37 @@ def test_ngram_join_large_group_of_near_copies(spark):
     assert {c for i, _, c in got if i < 1000} == {0} and all(c == i for i, _, c in got if i >= 1000)
 
 
+def test_ngram_join_large_group_too_far_apart(spark):
+    """Copies of one text that link with none of the others share its shingles, but few of their pairs are looked at."""
+    r = random.Random(4)
+    base = [r.getrandbits(63) for _ in range(80)]
+    sets = [np.array(sorted([*base[:60], *(r.getrandbits(63) for _ in range(20))]), np.uint64) for _ in range(120)]       # 60 of 100 in common
+    sets += [np.array(sorted([*sets[k][:72].tolist(), *(r.getrandbits(63) for _ in range(8))]), np.uint64) for k in range(10)]   # 72 of 88
+    parity = ngram_join._parities(sets).to_pylist()
+    rows = [(7, k, 80, 0, k, 999, p) for k, p in enumerate(parity)]
+    schema = "token long, cls long, n int, pos int, comp long, main long, " + ngram_join.CLASSES[ngram_join.CLASSES.index("parity"):]
+    got = {(x.a, x.b) for x in ngram_join._last_pairs(spark.createDataFrame(rows, schema), 80).collect()}
+    assert {(k, 120 + k) for k in range(10)} <= got and len(got) < 300       # of 8385
+
+
+@pytest.mark.parametrize("size", [1, 30, 700, 3000])
+def test_parities_keep_every_link(spark, size):
+    r = random.Random(size)
+    sets, links = [], []
+    for k in range(40):
+        base = [r.getrandbits(63) for _ in range(size)]
+        copy = base[:size - r.randrange(size // 5 + 1)] + [r.getrandbits(63) for _ in range(r.randrange(size // 5 + 1))]
+        sets += [np.unique(np.array(s, np.uint64)) for s in (base, copy)]
+        both = len(set(base) & set(copy))
+        links.append(100 * both >= 80 * (len(set(base)) + len(set(copy)) - both))
+    parity = ngram_join._parities(sets).to_pylist()
+    rows = [(k, k, len(s), 0, k, -1, p) for k, (s, p) in enumerate(zip(sets, parity, strict=True))]
+    rows = [(k // 2, *row[1:]) for k, row in enumerate(rows)]       # a text and its copy share a shingle
+    schema = "token long, cls long, n int, pos int, comp long, main long, " + ngram_join.CLASSES[ngram_join.CLASSES.index("parity"):]
+    got = {x.a // 2 for x in ngram_join._last_pairs(spark.createDataFrame(rows, schema), 80).collect()}
+    assert any(links) and {k for k, link in enumerate(links) if link} <= got
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60) if i % 20 != 19], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges).collect()}
