@@ -29,7 +29,7 @@ WINDOW = 10
 #: words of test items searched in one pass over the documents
 BLOCK_WORDS = 2_000_000
 #: bytes of text of a shard: a word takes two at least, so this is within LIMIT
-SHARD_BYTES = 4_000_000
+SHARD_BYTES = 1_000_000
 #: bytes of rows that a task holds to search them for one block after another
 GROUP_BYTES = 32_000_000
 

@@ -49,9 +49,9 @@ OWN = 1 << 20
 BLOCK_BYTES = 8_000_000
 #: low bits of a block's number: which of its task's blocks it is, and a checksum of its units
 NUMBER_BITS, MARK_BITS = 18, 24
-#: units of a chunk of answers; characters of units that one task segments; bytes of text that are cut at once (one row at least);
+#: units of a chunk of answers; units whose paths are found together; characters of units that one task segments; bytes of text that are cut at once (one row at least);
 #: rows that are decoded at once
-CHUNK, PART_CHARS, SLICE_BYTES, ROWS = 4096, 500_000, 2_000_000, 1000
+CHUNK, TOGETHER, PART_CHARS, SLICE_BYTES, ROWS = 1024, 4096, 500_000, 1_000_000, 1000
 
 
 @dataclass
@@ -142,7 +142,7 @@ def _keys(unit) -> dict:
 def _paths(batches, reach: int, byte_base: int):
     """Best paths of units of one step, all units of a chunk place by place; edges and nodes are those of ``segment``."""
     leads = np.array([0, 0, 0xC0, 0xE0, 0xF0])
-    for b in (whole.slice(k, CHUNK) for whole in batches for k in range(0, whole.num_rows, CHUNK)):
+    for b in (whole.slice(k, TOGETHER) for whole in batches for k in range(0, whole.num_rows, TOGETHER)):
         n, lists = b.num_rows, b.column("edges")
         edge, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
         unit, end = np.repeat(np.arange(n), sizes), (edge >> ORDER) - reach
@@ -391,11 +391,12 @@ def encode(docs: DataFrame, pieces: Pieces, *, text_col: str = "text", keep: lis
     units = spark.read.parquet(f"{path}/units")
     chars = units.agg(F.sum(F.char_length("unit"))).first()[0] or 0
     segment(units, pieces, chars // PART_CHARS + 1).write.parquet(f"{path}/known")
+    tasks = asked.agg(F.max(F.shiftright("block", NUMBER_BITS + MARK_BITS))).first()[0] or 0
     wanted = asked.select("block", "first", F.posexplode("units").alias("place", "unit")).select(
         "block", (F.col("first") + F.col("place")).alias("place"), *[k.alias(name) for name, k in _keys(F.col("unit")).items()])
     answers = (
         wanted.join(spark.read.parquet(f"{path}/known"), ["key", "key2"])
-        .select(F.shiftright("block", NUMBER_BITS + MARK_BITS).cast("int").alias("task"), "block", "place", "ids").repartition("task")
+        .select(F.shiftright("block", NUMBER_BITS + MARK_BITS).cast("int").alias("task"), "block", "place", "ids").repartition(tasks + 1, "task")     # small parts: each is sorted in memory
         .groupBy("task", "block", F.floor(F.col("place") / CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("all"))
     )
     answers.select("task", "block", "chunk", F.col("all.ids").alias("ids")).write.partitionBy("task").option("compression", "zstd").parquet(f"{path}/answers")

@@ -1,6 +1,7 @@
 """Exact, substring and near-duplicate operators and decontamination against plain Python."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakesmith.llm import decontaminate as dec
-from lakesmith.llm import ngram_join, substring_dedup
+from lakesmith.llm import _words, ngram_join, substring_dedup
 from lakesmith.llm._fm import FMIndex
 from lakesmith.llm._graph import connected_components
 from lakesmith.llm._words import PUNCT, SPACE, scan, utf8
@@ -213,6 +214,19 @@ def test_ngram_join_large_group_of_near_copies(spark):
     assert {c for i, _, c in got if i < 1000} == {0} and all(c == i for i, _, c in got if i >= 1000)
 
 
+def test_ngram_sets_cut_little_text_at_once(monkeypatch):
+    """The memory of cutting a large batch is that of a small part of it; workers keep what they took once."""
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.randrange(10_000)}" for _ in range(400)) for _ in range(3000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["id", "text"])
+    monkeypatch.setattr(_words, "_pow", {"n": 0})
+    tracemalloc.start()
+    rows = sum(len(sets) for _, sets in ngram_join._sets([batch], 5))
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert rows == len(texts) and peak < 100e6, peak
+
+
 def test_ngram_join_large_group_too_far_apart(spark):
     """Copies of one text that link with none of the others share its shingles, but few of their pairs are looked at."""
     r = random.Random(4)
