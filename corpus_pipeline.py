@@ -53,10 +53,15 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document, and the digest of the text that they decode to."""
+    """Piece ids of each document, and the digest of the text that they decode to.
+
+    The ids are written before they are decoded: a task that did both would keep two Python workers.
+    """
     ship_package(spark)
     pieces = _pieces.load_pieces(PIECE_MODEL)
-    encoded = _pieces.encode(docs, pieces, keep=["doc_id"]).select("row.doc_id", "ids")
+    path = fresh_dir(spark, "corpus_pipeline")
+    _pieces.encode(docs, pieces, keep=["doc_id"]).select("row.doc_id", "ids").write.option("compression", "zstd").parquet(f"{path}/ids")
+    encoded = spark.read.parquet(f"{path}/ids")
     decoded = _pieces.decode(encoded, pieces, keep=["doc_id", "ids"])
     return decoded.select("row.doc_id", F.size("row.ids").cast("long").alias("n_pieces"), "row.ids", F.sha2("text", 256).alias("decoded_sha256"))
 

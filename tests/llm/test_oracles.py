@@ -68,3 +68,13 @@ def test_stages_edges(spark, odd_docs, no_docs):
                 assert out.columns == cols
             assert out.count() <= docs.count()
     assert p.exact_dedup(spark, odd_docs.select(cols), SF).groupBy("text").count().where("count > 1").count() == 0
+
+
+def test_sentencepiece_tasks_keep_one_python_worker(spark, odd_docs, tmp_path, capsys):
+    """Encoding and decoding do not share a task."""
+    import corpus_pipeline
+
+    odd_docs.write.parquet(f"{tmp_path}/docs")
+    out = corpus_pipeline.sentencepiece(spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path))
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1 and out.count() == odd_docs.count()
