@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from lakesmith.functions.ids import DOI_ID_TYPE, PUBMED_ID_TYPE, first_id_of_type
 from lakesmith.operators.sinks import unescape_path
 from lakesmith.sources import _fs
-from lakesmith.sources.xml import read_id_lists
+from lakesmith.sources.xml import PART_BYTES, SPREAD_BYTES, read_id_lists
 
 XML_SUFFIX = ".xml.gz"
 # Landed article files: gzipped as published, or already unpacked.
@@ -52,7 +52,7 @@ MANIFEST_SCHEMA = T.StructType([
     T.StructField("batch", T.StringType()), T.StructField("loaded_at", T.TimestampType()),
 ])
 # Spark's error conditions for a file that cannot be read or parsed.
-DATA_FAULTS = ("FAILED_READ_FILE", "MALFORMED_RECORD_IN_PARSING", "MALFORMED_XML", "EOFException", "ZipException", "XMLStreamException", "incorrect header check", "not a gzip file")
+DATA_FAULTS = ("FAILED_READ_FILE", "MALFORMED_RECORD_IN_PARSING", "MALFORMED_XML", "EOFException", "ZipException", "XMLStreamException", "incorrect header check", "not a gzip file", "DamagedFile")
 # bits of one bitmap of the engine, which tells the files that gave rows
 MOST_FILES = 1 << 15
 
@@ -168,7 +168,7 @@ def _is_data_fault(error: Exception) -> bool:
 
 def _reason(error: Exception) -> str:
     """The deepest cause that the error tells, on one line."""
-    causes = re.findall(r"Caused by: ([^\n]+)", str(error))
+    causes = re.findall(r"DamagedFile: ([^\n]+)", str(error)) or re.findall(r"Caused by: ([^\n]+)", str(error))
     return (causes[-1] if causes else str(error).split("\n")[0])[:500]
 
 
@@ -177,11 +177,11 @@ def glob_escaped(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def _write(spark: SparkSession, paths: list[str], lake_path: str, root: str, batch: str, own_only: bool) -> set[str]:
+def _write(spark: SparkSession, paths: list[str], lake_path: str, root: str, batch: str, own_only: bool, spread: int = 0) -> set[str]:
     """The links of the files into their partitions; returns the files that gave rows (told by the write itself)."""
     names = sorted({_identity_of(p, root) for p in paths})
     places = F.broadcast(spark.createDataFrame([(n, i + 1) for i, n in enumerate(names)], "source_file string, _place int"))   # one row per file of the batch
-    lists = read_id_lists(spark, [glob_escaped(p) for p in paths], own_only)
+    lists = read_id_lists(spark, [glob_escaped(p) for p in paths], own_only, spread)
     links = extract_links(lists, file_identity(F.col("path"), root)).join(places, "source_file")
     seen = Observation()
     told = links.observe(seen, F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("bits"))
@@ -219,7 +219,18 @@ def load_files(spark: SparkSession, files: list, lake_path: str, root: str, own_
     batch = uuid.uuid4().hex   # an attempt that ends early leaves rows under an id that no record names
     known = read_records(spark, lake_path)
     again = [] if known is None else [r.source_file for r in known.where(F.col("source_file").isin(list(newest))).select("source_file").distinct().collect()]
-    filled, bad = _bisected([f["path"] for f in newest.values()], lambda paths: _write(spark, paths, lake_path, root, batch, own_only))
+    lengths = {f["path"]: f["length"] for f in newest.values()}
+
+    def write(paths: list[str]) -> set[str]:
+        spread = -(-sum(lengths[p] for p in paths if lengths[p] > SPREAD_BYTES) // PART_BYTES)
+        try:
+            return _write(spark, paths, lake_path, root, batch, own_only, spread)
+        except Exception as e:  # noqa: BLE001 - see _bisected
+            if not (spread and len(paths) == 1 and _is_data_fault(e)):
+                raise
+            return _write(spark, paths, lake_path, root, batch, own_only)   # its pieces may not be well-formed, but the whole
+
+    filled, bad = _bisected(list(lengths), write)
     now = datetime.now(timezone.utc)
     rows = [{
         "source_file": n, "path": f["path"], "length": f["length"], "modified": f["modificationTime"].astimezone(timezone.utc),
