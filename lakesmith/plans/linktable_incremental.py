@@ -50,8 +50,8 @@ def units(spark: SparkSession, lake_path: str) -> DataFrame:
     return files.select(F.col("path").alias("unit"), F.concat_ws("/", "length", F.unix_micros("modificationTime")).alias("version"))
 
 
-def _read_units(spark: SparkSession, lake_path: str, wanted: DataFrame) -> DataFrame:
-    """``(unit, PMID, DOI)`` of the wanted units, read by name if they are few."""
+def _read_units(spark: SparkSession, lake_path: str, wanted: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """``(key, PMID, DOI)`` of the wanted units, read by name if they are few, or else of all; ``(key, unit)`` of the wanted; and whether they are few."""
     names = [r.unit for r in wanted.select("unit").limit(NAMED + 1).collect()]
     few = len(names) <= NAMED
     if read_records(spark, lake_path) is not None:
@@ -59,28 +59,37 @@ def _read_units(spark: SparkSession, lake_path: str, wanted: DataFrame) -> DataF
         if few:
             stored = stored.where(F.col("source_file").isin(names))   # prunes partitions
         here = stored.select(F.col("source_file").alias("unit"), F.coalesce(BATCH, F.lit("")).alias("version"), *LINK_COLUMNS)
-        return here.join(wanted, ["unit", "version"], "left_semi").select("unit", *LINK_COLUMNS)
+        return here.join(wanted, ["unit", "version"], "left_semi").select(F.col("unit").alias("key"), *LINK_COLUMNS), wanted.select(F.col("unit").alias("key"), "unit"), few
     if not names:
-        return spark.createDataFrame([], PAIRS)
+        return spark.createDataFrame([], PAIRS).withColumnRenamed("unit", "key"), wanted.select(F.col("unit").alias("key"), "unit"), few
     reader = spark.read.option("mergeSchema", "true")
     try:
         rows = reader.parquet(*map(glob_escaped, names)) if few else reader.option("recursiveFileLookup", "true").parquet(lake_path)
-        rows = rows.select(_unit_of_row().alias("unit"), *_as_text())
+        rows = rows.select(*_as_text())
     except Exception as e:  # noqa: BLE001 - Spark raises it from its footer job as well as from analysis
         if "MERGE" not in str(e) or not few:
             raise
-        one = [spark.read.parquet(glob_escaped(n)).select(F.lit(n).alias("unit"), *_as_text()) for n in names]   # types conflict: each file by its own
+        one = [spark.read.parquet(glob_escaped(n)).select(*_as_text()) for n in names]   # types conflict: each file by its own
         rows = reduce(DataFrame.unionAll, one)
-    return rows if few else rows.join(wanted, "unit", "left_semi")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(lake_path).select(F.col("_metadata.file_path").alias("key"))
+    keys = listing.withColumn("unit", F.regexp_replace(unescape_path(F.col("key")), "^file:/+", "file:/"))   # the path as the file listing writes it
+    return rows, keys.join(wanted.select("unit"), "unit", "left_semi"), few
 
 
-def _as_text() -> list[Column]:
-    return [F.col(c).cast("string").alias(c) for c in LINK_COLUMNS]
+def _pairs(spark: SparkSession, lake_path: str, wanted: DataFrame, keys_at: str) -> DataFrame:
+    """``(unit, PMID, DOI)``, the distinct pairs of each wanted unit, together in a task.  Units are names of files, often
+    long: rows carry numbers for them through the shuffle."""
+    rows, keys, few = _read_units(spark, lake_path, wanted)
+    keys.select("unit", "key", F.monotonically_increasing_id().alias("number")).write.parquet(keys_at)
+    keys = spark.read.schema("unit string, key string, number bigint").parquet(keys_at)
+    if few:
+        keys = F.broadcast(keys)
+    numbered = rows.join(keys.drop("unit"), "key").select("number", *LINK_COLUMNS).distinct().sortWithinPartitions("number")
+    return numbered.join(keys.drop("key"), "number").select("unit", *LINK_COLUMNS)
 
 
-def _unit_of_row() -> Column:
-    """The path as the file listing writes it."""
-    return F.regexp_replace(unescape_path(F.col("_metadata.file_path")), "^file:/+", "file:/")
+def _as_text() -> list[Column]:
+    return [F.col("_metadata.file_path").alias("key"), *[F.col(c).cast("string").alias(c) for c in LINK_COLUMNS]]
 
 
 def _part(split: dict) -> Column:
@@ -122,7 +131,7 @@ def refresh_link_table(spark: SparkSession, lake_path: str, state_path: str, par
     if before and not n:
         return {"units": 0, "parts": 0}
 
-    _read_units(spark, lake_path, changed.where("version IS NOT NULL").select("unit", "version")).distinct().sortWithinPartitions("unit").write.parquet(at(pairs_at))
+    _pairs(spark, lake_path, changed.where("version IS NOT NULL").select("unit", "version"), at(pairs_at) + "-keys").write.parquet(at(pairs_at))
     fresh = spark.read.schema(PAIRS).parquet(at(pairs_at))
     gone = changed.where("old_version IS NOT NULL").select("unit", F.col("old_pairs").alias("folder"))
     folders = [r.folder for r in gone.select("folder").distinct().collect()]   # one per refresh that loaded a changed unit
@@ -136,13 +145,16 @@ def refresh_link_table(spark: SparkSession, lake_path: str, state_path: str, par
     delta = signed.groupBy(*LINK_COLUMNS).agg(F.sum("n").alias("n")).where("n <> 0").withColumn("part", _part(split))
     delta.write.parquet(at(support_at) + "-delta")
     delta = spark.read.schema(SUPPORT).parquet(at(support_at) + "-delta")
-    touched = [r.part for r in delta.select("part").distinct().collect()]   # at most as many as there are parts
+    touched = {r.part for r in delta.select("part").distinct().collect()}   # at most as many as there are parts
 
     support: dict = dict(before["support"]) if before else {}
-    base = _support(spark, state_path, {k: v for k, v in support.items() if int(k) in touched})
-    merged = base.unionAll(delta).groupBy(*LINK_COLUMNS).agg(F.sum("n").alias("n"), F.max("part").alias("part")).where("n > 0")
-    merged.hint("rebalance", "part").write.partitionBy("part").parquet(at(support_at))
-    filled = {r.part for r in _listed_parts(spark, at(support_at)).collect()}
+    held = {k: v for k, v in support.items() if int(k) in touched}
+    merged = delta
+    if held:   # the delta has each pair once
+        merged = _support(spark, state_path, held).unionAll(delta).groupBy(*LINK_COLUMNS).agg(F.sum("n").alias("n"), F.max("part").alias("part"))
+    # small parts lie in one file, so the files' number follows the bytes; filters on parts skip pages
+    merged.where("n > 0").hint("rebalance", "part").sortWithinPartitions("part").select("PMID", "DOI", "n", "part").write.parquet(at(support_at))
+    filled = {r.part for r in spark.read.schema(SUPPORT).parquet(at(support_at)).select("part").distinct().collect()}   # at most as many as there are parts
     for p in touched:
         support.pop(str(p), None)
         if p in filled:
@@ -158,13 +170,6 @@ def _bytes(spark: SparkSession, lake_path: str) -> int:
     return int(file_inventory(spark, lake_path, "*.parquet").agg(F.sum("length").alias("b")).first()["b"] or 0)
 
 
-def _listed_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Parts that a write has filled, from its listing."""
-    if not any(True for _ in _fs.list_folders(folder)):
-        return spark.createDataFrame([], "part int")
-    return file_inventory(spark, folder, "*.parquet").select(F.regexp_extract("path", "/part=(-?[0-9]+)/", 1).cast("int").alias("part")).distinct()
-
-
 def _support(spark: SparkSession, state_path: str, support: dict) -> DataFrame:
     """The support's rows in the given parts, each from the folder of its last rewriting."""
     rows = spark.createDataFrame([], SUPPORT)

@@ -200,3 +200,32 @@ def test_link_table_of_a_lake_with_commits(spark, tmp_path):
     assert _rows(read_link_table(spark, state)) == [(4, "10.1/4"), (5, "10.1/5")]
     assert {r.unit for r in units(spark, lake).collect()} == {"a", "c"}
     assert clean_links(spark.createDataFrame([("1", "a")], "PMID string, DOI string")).count() == 1
+
+
+def test_small_parts_share_files(spark, tmp_path):
+    """The support's files follow its bytes, not the number of its parts, and its readers get the parts asked for."""
+    from pathlib import Path
+
+    from lakesmith.plans.linktable_incremental import _support
+
+    lake, state = str(tmp_path / "lake"), str(tmp_path / "state")
+    spark.range(20_000).selectExpr("CAST(id AS STRING) AS PMID", "'10.1/' || id AS DOI").coalesce(1).write.parquet(f"{lake}/f")
+    refresh_link_table(spark, lake, state, part_bytes=2000)
+    parts = latest(state)[1]["support"]
+    assert len(parts) > 50 and len(list(Path(state).glob("support-*/**/*.parquet"))) - len(list(Path(state).glob("support-*-delta/*.parquet"))) < len(parts) / 5
+    some = {k: parts[k] for k in list(parts)[:3]}
+    assert {str(r.part) for r in _support(spark, state, some).select("part").distinct().collect()} == set(some)
+    spark.range(10, 20).selectExpr("CAST(id AS STRING) AS PMID", "'10.1/' || id AS DOI").coalesce(1).write.mode("overwrite").parquet(f"{lake}/f")
+    refresh_link_table(spark, lake, state)
+    assert len(latest(state)[1]["support"]) == 1 and read_link_table(spark, state).count() == 10
+
+
+def test_one_refresh_of_a_lake_that_lost_all(spark, tmp_path):
+    lake, state = tmp_path / "lake", str(tmp_path / "state")
+    spark.createDataFrame([("1", "a"), ("1", "a"), (None, None)], "PMID string, DOI string").coalesce(1).write.parquet(str(lake / "f"))
+    refresh_link_table(spark, str(lake), state)
+    assert _rows(read_link_table(spark, state)) == [(1, "a")]
+    for p in (lake / "f").glob("*.parquet"):
+        p.unlink()
+    assert refresh_link_table(spark, str(lake), state)["units"] == 1
+    assert _rows(read_link_table(spark, state)) == []
